@@ -1,0 +1 @@
+"""Intentionally empty: every data flow this library covers is a batch flow."""
