@@ -100,6 +100,15 @@ def validate_zone(
     return spark.createDataFrame(rows, STATUS_SCHEMA)
 
 
+def failed_status(spark: SparkSession, zone: str, path: str, failed: Mapping[str, Exception]) -> DataFrame:
+    """Error rows for datasets that could not be built."""
+    rows = [
+        (zone, name, "error", None, None, None, None, f"{path}/{name}", _failure(error))
+        for name, error in failed.items()
+    ]
+    return spark.createDataFrame(rows, STATUS_SCHEMA)
+
+
 def run_summary(status: DataFrame) -> DataFrame:
     """Datasets, failures and records of a run in one row."""
     return status.agg(

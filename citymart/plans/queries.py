@@ -16,7 +16,7 @@ from citymart.functions.schema import numeric_columns, type_counts
 from citymart.operators import kpi, marts, profile, regress, standardize, validate
 from citymart.operators.latest import latest_per_key
 from citymart.plans import bindings as B
-from citymart.session import staged_path
+from citymart.session import stage, staged_path
 from citymart.sources import landing, schemas, tables
 from citymart.sources.files import entries, list_tables
 
@@ -605,15 +605,21 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.run_summary(_zone_status(spark, sf_dir))
 
 
+def _staged_verdicts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Status and checks as stored tables of a few rows: each input is scanned for them once."""
+    return stage(_zone_status(spark, sf_dir), "status"), stage(_checks(spark, sf_dir), "checks")
+
+
 @register
 def quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validate.quality_score(_zone_status(spark, sf_dir), _checks(spark, sf_dir))
+    return validate.quality_score(*_staged_verdicts(spark, sf_dir))
 
 
 @register
 def recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    score = quality_score(spark, sf_dir)
-    return rounded(validate.recommendations(score, _checks(spark, sf_dir)), ["value"])
+    status, checks = _staged_verdicts(spark, sf_dir)
+    found = validate.recommendations(validate.quality_score(status, checks), checks)
+    return rounded(found, ["value"])
 
 
 @register
@@ -621,8 +627,7 @@ def validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The executive summary and the sizes of the parts of the full report."""
     report = validate.validation_report(
         spark,
-        _zone_status(spark, sf_dir),
-        _checks(spark, sf_dir),
+        *_staged_verdicts(spark, sf_dir),
         kpi.as_metrics(kpi.culture_kpi(cultural_district(spark, sf_dir)), "cultural_accessibility"),
         "2025-01-01 00:00:00",
         "2025-01-01 00:00:02.5",
