@@ -78,16 +78,20 @@ def train(
     models: Mapping[str, Estimator] | None = None,
     train_percent: int = 80,
     seed: int = 42,
+    partitions: int | None = None,
 ) -> tuple[DataFrame, dict[str, PipelineModel]]:
     """Fit every model and rank them: ``(model, rmse)`` best first, and the fitted pipelines.
 
-    Features are fitted on the training rows only. The prepared rows are kept for the duration of
-    the fits, since each algorithm passes over them many times.
+    Features are fitted on the training rows only. The algorithms pass over the rows many times, so
+    these are spread evenly once, over ``spark.sql.shuffle.partitions`` unless told otherwise, and
+    kept for the duration of the fits.
     """
+    spark = rows.sparkSession
+    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     training, validation = split(rows, keys, train_percent, seed)
     prepared = Pipeline(stages=feature_stages(rows, ignore=keys)).fit(training)
     needed = ["features", TARGET]
-    train_set = prepared.transform(training).select(*needed).persist()
+    train_set = prepared.transform(training).select(*needed).repartition(partitions).persist()
     validation_set = prepared.transform(validation).select(*needed).persist()
     evaluator = RegressionEvaluator(labelCol=TARGET, metricName="rmse")
     try:
@@ -99,7 +103,7 @@ def train(
     finally:
         train_set.unpersist()
         validation_set.unpersist()
-    return leaderboard(rows.sparkSession.createDataFrame(scores, "model string, rmse double")), fitted
+    return leaderboard(spark.createDataFrame(scores, "model string, rmse double")), fitted
 
 
 def leaderboard(scores: DataFrame) -> DataFrame:

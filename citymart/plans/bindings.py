@@ -112,12 +112,14 @@ def income(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def sparse_income(spark: SparkSession, sf_dir: str) -> DataFrame:
+def without_low_index(income: DataFrame) -> DataFrame:
     """Income with the index missing from 2000 on where it lies below 100."""
     index = F.col("income_index_bcn_100")
-    return income(spark, sf_dir).withColumn(
-        "income_index_bcn_100", F.when((F.col("year") < 2000) | (index >= 100), index)
-    )
+    return income.withColumn("income_index_bcn_100", F.when((F.col("year") < 2000) | (index >= 100), index))
+
+
+def sparse_income(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_low_index(income(spark, sf_dir))
 
 
 def sites(spark: SparkSession, sf_dir: str) -> DataFrame:

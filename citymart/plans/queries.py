@@ -7,6 +7,7 @@ they can be compared with another engine; the operators themselves do not round
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +39,24 @@ def rounded(df: DataFrame, names: Sequence[str], digits: int = 6) -> DataFrame:
     return df.withColumns({n: F.round(n, digits) for n in names})
 
 
+def _income(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Income as a stored table of one row per nation and year.
+
+    For marts that read it more than once: the orders are aggregated once, and joins know how small
+    the result is.
+    """
+    return stage(B.income(spark, sf_dir), "income")
+
+
+def _sparse_income(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stage(B.sparse_income(spark, sf_dir), "income")
+
+
+def _sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amenities as a stored table, for queries that read them more than once."""
+    return stage(B.sites(spark, sf_dir), "sites")
+
+
 # ------------------------------------------------------- standardise and clean
 
 
@@ -242,12 +261,12 @@ def property_type(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def latest_income(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.latest_income(B.sparse_income(spark, sf_dir))
+    return marts.latest_income(_sparse_income(spark, sf_dir))
 
 
 @register
 def latest_population(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.latest_population(B.sparse_income(spark, sf_dir))
+    return marts.latest_population(_sparse_income(spark, sf_dir))
 
 
 @register
@@ -266,33 +285,33 @@ _SOCIO_FIGURES = [
 
 @register
 def socioeconomic_district(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(marts.socioeconomic_district(B.income(spark, sf_dir)), _SOCIO_FIGURES)
+    return rounded(marts.socioeconomic_district(_income(spark, sf_dir)), _SOCIO_FIGURES)
 
 
 @register
 def socioeconomic_neighborhood(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.socioeconomic_neighborhood(B.sparse_income(spark, sf_dir))
+    return marts.socioeconomic_neighborhood(_sparse_income(spark, sf_dir))
 
 
 @register
 def income_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.income_quintiles(B.income(spark, sf_dir))
+    return marts.income_quintiles(_income(spark, sf_dir))
 
 
 @register
 def income_bands_custom(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.income_quintiles(B.income(spark, sf_dir), CUSTOM_INCOME_CUTS)
+    return marts.income_quintiles(_income(spark, sf_dir), CUSTOM_INCOME_CUTS)
 
 
 @register
 def cultural_district(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.cultural_district(B.sites(spark, sf_dir), B.income(spark, sf_dir))
+    return marts.cultural_district(B.sites(spark, sf_dir), _income(spark, sf_dir))
 
 
 @register
 def cultural_neighborhood(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Population is known only where the sparse income has an index."""
-    income = B.sparse_income(spark, sf_dir).filter(F.col("year") >= 2000)
+    income = _sparse_income(spark, sf_dir).filter(F.col("year") >= 2000)
     return marts.cultural_neighborhood(B.sites(spark, sf_dir), income)
 
 
@@ -307,7 +326,7 @@ def _integrated(
     market_cuts: Sequence[float] = C.MARKET_CUTS,
     income_cuts: Sequence[float] = C.INCOME_CUTS,
 ) -> DataFrame:
-    income, sites = B.income(spark, sf_dir), B.sites(spark, sf_dir)
+    income, sites = _income(spark, sf_dir), B.sites(spark, sf_dir)
     return marts.integrated_analytics(
         marts.property_analytics(B.listings(spark, sf_dir), ["neighborhood"]),
         marts.socioeconomic_neighborhood(income),
@@ -357,7 +376,7 @@ def district_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def district_affordability(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpi.district_affordability(
-        property_district(spark, sf_dir), marts.socioeconomic_district(B.income(spark, sf_dir))
+        property_district(spark, sf_dir), marts.socioeconomic_district(_income(spark, sf_dir))
     )
 
 
@@ -380,12 +399,20 @@ def spatial_equity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def kpi_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    income, sites = B.income(spark, sf_dir), B.sites(spark, sf_dir)
+    """The indicators over stored marts, as a run has them: no mart is computed for two of them."""
+    income, sites = _income(spark, sf_dir), _sites(spark, sf_dir)
+    property_mart = stage(marts.property_analytics(B.listings(spark, sf_dir)), "property")
+    integrated_mart = marts.integrated_analytics(
+        property_mart,
+        marts.socioeconomic_neighborhood(income),
+        marts.cultural_neighborhood(sites, income),
+        marts.income_quintiles(income),
+    )
     digest = kpi.kpi_digest(
-        property_district(spark, sf_dir),
+        property_mart,
         marts.socioeconomic_district(income),
         marts.cultural_district(sites, income),
-        _integrated(spark, sf_dir),
+        integrated_mart,
     )
     return rounded(digest, ["value"])
 
@@ -528,22 +555,22 @@ def clipped_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ----------------------------------------------------------------- validation
 
 
-def _zone_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _zone_status(
+    spark: SparkSession, sf_dir: str, income: DataFrame | None = None, sites: DataFrame | None = None
+) -> DataFrame:
     """Status of formatted inputs and marts, and of one mart that is not there."""
-    income = B.income(spark, sf_dir)
+    income = income or _income(spark, sf_dir)
+    sites = sites or _sites(spark, sf_dir)
     frames = [
         validate.table_status(_net_listings(spark, sf_dir), "formatted", "idealista"),
-        validate.table_status(B.sparse_income(spark, sf_dir), "formatted", "income"),
-        validate.table_status(B.sites(spark, sf_dir), "formatted", "cultural_sites"),
-        validate.table_status(marts.cultural_category(B.sites(spark, sf_dir)), "exploitation", "categories", nulls=False),
+        validate.table_status(B.without_low_index(income), "formatted", "income"),
+        validate.table_status(sites, "formatted", "cultural_sites"),
+        validate.table_status(marts.cultural_category(sites), "exploitation", "categories", nulls=False),
         validate.table_status(marts.income_quintiles(income), "exploitation", "income_quintiles", nulls=False),
     ]
     absent = ("exploitation", "integrated_analytics", "error", None, None, None, None, "", "not found")
     frames.append(spark.createDataFrame([absent], validate.STATUS_SCHEMA))
-    result = frames[0]
-    for frame in frames[1:]:
-        result = result.unionByName(frame)
-    return result
+    return reduce(DataFrame.unionByName, frames)
 
 
 def _net_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -556,12 +583,18 @@ def _net_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        validate.quality_checks(_net_listings(spark, sf_dir), "formatted", "idealista")
-        .unionByName(validate.quality_checks(B.sparse_income(spark, sf_dir), "formatted", "income"))
-        .unionByName(validate.quality_checks(B.sites(spark, sf_dir), "formatted", "cultural_sites"))
-    )
+def _checks(
+    spark: SparkSession, sf_dir: str, income: DataFrame | None = None, sites: DataFrame | None = None
+) -> DataFrame:
+    income = income or _income(spark, sf_dir)
+    sites = sites or B.sites(spark, sf_dir)
+    tested = {
+        "idealista": _net_listings(spark, sf_dir),
+        "income": B.without_low_index(income),
+        "cultural_sites": sites,
+    }
+    frames = [validate.quality_checks(df, "formatted", name) for name, df in tested.items()]
+    return reduce(DataFrame.unionByName, frames)
 
 
 @register
@@ -606,8 +639,10 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _staged_verdicts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Status and checks as stored tables of a few rows: each input is scanned for them once."""
-    return stage(_zone_status(spark, sf_dir), "status"), stage(_checks(spark, sf_dir), "checks")
+    """Status and checks as stored tables of a few rows: no verdict scans the inputs again."""
+    income, sites = _income(spark, sf_dir), _sites(spark, sf_dir)
+    status = _zone_status(spark, sf_dir, income, sites)
+    return stage(status, "status"), stage(_checks(spark, sf_dir, income, sites), "checks")
 
 
 @register
@@ -647,7 +682,7 @@ def zone_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mart folders found in a zone after writing two marts, with the rows stored in each."""
     zone = staged_path(spark, "zone")
     tables.write_mart(marts.cultural_category(B.sites(spark, sf_dir)), zone, "cultural_category_analytics")
-    tables.write_mart(marts.income_quintiles(B.income(spark, sf_dir)), zone, "income_quintiles")
+    tables.write_mart(marts.income_quintiles(_income(spark, sf_dir)), zone, "income_quintiles")
     names = [r["dataset"] for r in list_tables(spark, zone).collect()]
     status = validate.validate_zone(spark, "exploitation", zone, [*names, "integrated_analytics"], nulls=False)
     return status.select("zone", "dataset", "status", "record_count", "column_count")
