@@ -77,8 +77,14 @@ def null_if_blank(value: Column, sentinel: str = "-") -> Column:
 
 
 def clean_number(value: Column, dtype: str, sentinel: str = "-") -> Column:
-    """Number read from dirty text: sentinel, blank and unparsable text become NULL."""
-    return null_if_blank(value, sentinel).try_cast(dtype)
+    """Number read from dirty text: sentinel, blank and unparsable text become NULL.
+
+    A whole number may be written with a decimal point.
+    """
+    text = null_if_blank(value, sentinel)
+    if dtype in ("int", "bigint"):
+        return F.coalesce(text.try_cast(dtype), text.try_cast("double").try_cast(dtype))
+    return text.try_cast(dtype)
 
 
 def with_default(value: Column, default: object, dtype: str) -> Column:

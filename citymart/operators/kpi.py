@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from citymart.functions import columns as C
+from citymart.operators.marts import valid_prices
 from citymart.operators.quantiles import join_on, quantiles
 
 
@@ -26,10 +27,12 @@ def price_quartiles(listings: DataFrame, key: str = "property_type", exact: bool
     return join_on(counts, found, [key], "left")
 
 
-def listing_counts(property_mart: DataFrame) -> DataFrame:
-    """Listings on offer per neighbourhood."""
-    return property_mart.filter(F.col("analysis_level") == "neighborhood").select(
-        "district", "neighborhood", "total_properties"
+def listing_counts(listings: DataFrame) -> DataFrame:
+    """Valid listings on offer per neighbourhood."""
+    return (
+        valid_prices(listings)
+        .groupBy("district", "neighborhood")
+        .agg(F.count(F.lit(1)).alias("total_properties"))
     )
 
 

@@ -90,11 +90,11 @@ def site_fields(coordinate_default: float | None = 0.0) -> list[Field]:
         Field("_id", "site_id"),
         Field("name", "facility_name"),
         Field("institution_name", "institution_name"),
-        Field("addresses_district_id", "district_code", "int"),
+        Field("addresses_district_id", "district_code", "int", dirty=True),
         Field("addresses_district_name", "district"),
         Field("addresses_neighborhood_name", "neighborhood"),
-        Field("geo_epgs_4326_y", "latitude", "double", coordinate_default),
-        Field("geo_epgs_4326_x", "longitude", "double", coordinate_default),
+        Field("geo_epgs_4326_y", "latitude", "double", coordinate_default, dirty=True),
+        Field("geo_epgs_4326_x", "longitude", "double", coordinate_default, dirty=True),
         Field("values_category", "category"),
         Field("values_value", "facility_type"),
     ]

@@ -39,29 +39,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nations with their region: ``(nationkey, regionkey, neighborhood, district)``."""
-    nation = table(spark, sf_dir, "nation")
-    region = table(spark, sf_dir, "region")
-    return nation.join(region, nation["n_regionkey"] == region["r_regionkey"]).select(
-        F.col("n_nationkey").alias("nationkey"),
-        F.col("r_regionkey").alias("regionkey"),
-        F.col("n_name").alias("neighborhood"),
-        F.col("r_name").alias("district"),
+def with_place(df: DataFrame, spark: SparkSession, sf_dir: str, nation_key: str) -> DataFrame:
+    """``df`` with the neighbourhood and district of its nation key, as ``regionkey`` beside it."""
+    nation = table(spark, sf_dir, "nation").withColumnsRenamed(
+        {"n_name": "neighborhood", "n_regionkey": "regionkey"}
     )
+    region = table(spark, sf_dir, "region").withColumnRenamed("r_name", "district")
+    return (
+        df.join(nation, F.col(nation_key) == F.col("n_nationkey"))
+        .join(region, F.col("regionkey") == F.col("r_regionkey"))
+        .drop("n_nationkey", "r_regionkey")
+    )
+
+
+def placed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with their supplier and its place.
+
+    Tables are joined to the items one by one: each right side is a plain file whose size the
+    optimizer knows, so it broadcasts the small ones and never has to guess the size of a join.
+    """
+    items = table(spark, sf_dir, "lineitem")
+    supplier = table(spark, sf_dir, "supplier")
+    return with_place(items.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")), spark, sf_dir, "s_nationkey")
 
 
 def listings(spark: SparkSession, sf_dir: str, parts: bool = False) -> DataFrame:
     """Line items as listings; ``parts`` adds the columns that need the part table joined."""
-    place = places(spark, sf_dir)
-    supplier = table(spark, sf_dir, "supplier").join(place, F.col("s_nationkey") == F.col("nationkey"))
-    items = table(spark, sf_dir, "lineitem").join(
-        supplier.select("s_suppkey", "district", "neighborhood"), F.col("l_suppkey") == F.col("s_suppkey")
-    )
+    items = placed_items(spark, sf_dir)
     extra = []
     if parts:
-        part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand")
-        items = items.join(part, F.col("l_partkey") == F.col("p_partkey"))
+        items = items.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         extra = [
             F.col("p_type").alias("property_type"),
             F.substring("p_brand", 7, 10).alias("floor"),
@@ -83,15 +90,14 @@ def listings(spark: SparkSession, sf_dir: str, parts: bool = False) -> DataFrame
 def income(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders per nation and year: mean order value against the year's mean, and customers.
 
-    Money is summed as decimals, so the result does not depend on the order of the rows.
+    Money is summed as decimals, so the result does not depend on the order of the rows. Names are
+    joined to the few aggregated rows.
     """
-    place = places(spark, sf_dir)
-    customer = table(spark, sf_dir, "customer").join(place, F.col("c_nationkey") == F.col("nationkey"))
+    customer = table(spark, sf_dir, "customer")
     yearly = (
         table(spark, sf_dir, "orders")
         .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .withColumn("year", F.year("o_orderdate"))
-        .groupBy("year", "regionkey", "district", "nationkey", "neighborhood")
+        .groupBy(F.year("o_orderdate").alias("year"), F.col("c_nationkey").alias("nationkey"))
         .agg(
             F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("money"),
             F.count(F.lit(1)).alias("orders"),
@@ -101,14 +107,15 @@ def income(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole_year = Window.partitionBy("year")
     mean = F.col("money").cast("double") / F.col("orders")
     year_mean = F.sum("money").over(whole_year).cast("double") / F.sum("orders").over(whole_year)
-    return yearly.select(
+    indexed = yearly.withColumn("index", F.round(100 * mean / year_mean, 1))
+    return with_place(indexed, spark, sf_dir, "nationkey").select(
         "year",
         F.col("regionkey").alias("district_code"),
         F.col("district").alias("district_name"),
         F.col("nationkey").alias("neighborhood_code"),
         F.col("neighborhood").alias("neighborhood_name"),
         "population",
-        F.round(100 * mean / year_mean, 1).alias("income_index_bcn_100"),
+        F.col("index").alias("income_index_bcn_100"),
     )
 
 
@@ -124,17 +131,14 @@ def sparse_income(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each brand and type a supplier sells is one amenity of the supplier's nation."""
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
     sold = (
         table(spark, sf_dir, "lineitem")
-        .join(part, F.col("l_partkey") == F.col("p_partkey"))
+        .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .select("l_suppkey", "p_brand", "p_type")
         .distinct()
     )
-    supplier = table(spark, sf_dir, "supplier").join(
-        places(spark, sf_dir), F.col("s_nationkey") == F.col("nationkey")
-    )
-    return sold.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).select(
+    supplied = sold.join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+    return with_place(supplied, spark, sf_dir, "s_nationkey").select(
         F.col("l_suppkey").cast("string").alias("site_id"),
         F.col("s_name").alias("facility_name"),
         "district",

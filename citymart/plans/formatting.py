@@ -22,7 +22,10 @@ READERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "income": lambda spark, path: standardize.format_income(
         landing.read_csv(spark, path, schemas.INCOME_LANDING)
     ),
-    "cultural_sites": lambda spark, path: standardize.format_sites(landing.read_csv(spark, path)),
+    # Wide files of which few columns count: read as text, typed by the standardising projection.
+    "cultural_sites": lambda spark, path: standardize.format_sites(
+        landing.read_csv(spark, path, infer=False)
+    ),
 }
 
 

@@ -24,15 +24,18 @@ def read_json_lines(spark: SparkSession, path: str | list[str], schema: str | No
     return (reader.schema(schema) if schema else reader).json(path)
 
 
-def read_csv(spark: SparkSession, path: str | list[str], schema: str | None = None) -> DataFrame:
-    """CSV files with a header. A schema spares the pass that guesses the types.
+def read_csv(
+    spark: SparkSession, path: str | list[str], schema: str | None = None, infer: bool = True
+) -> DataFrame:
+    """CSV files with a header.
 
-    A header that does not fit the schema is an error.
+    Guessing the types costs a pass over all files; a schema, or ``infer=False`` for all text,
+    spares it. A header that does not fit the schema is an error.
     """
     reader = spark.read.option("header", True)
     if schema:
         return reader.schema(schema).option("enforceSchema", False).csv(path)
-    return reader.option("inferSchema", True).csv(path)
+    return reader.option("inferSchema", infer).csv(path)
 
 
 def _first_lines(

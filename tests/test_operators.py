@@ -61,8 +61,8 @@ def test_ratios_survive_zero(spark):
 
 
 def test_clean_number(spark):
-    data = [("-",), ("",), (None,), ("12",), ("-5",), ("x",), (" 7",)]
-    assert values(spark, C.clean_number(F.col("v"), "int"), data, "v string") == [None, None, None, 12, -5, None, 7]
+    data = [("-",), ("",), (None,), ("12",), ("-5",), ("x",), (" 7",), ("3.0",)]
+    assert values(spark, C.clean_number(F.col("v"), "int"), data, "v string") == [None, None, None, 12, -5, None, 7, 3]
 
 
 def test_numeric_text(spark):
