@@ -57,6 +57,13 @@ def district_affordability(property_mart: DataFrame, socio_district: DataFrame)
     )
 
 
+def attractiveness_ranking(integrated: DataFrame) -> DataFrame:
+    """Neighbourhoods by attractiveness, best first, those without a score last."""
+    return integrated.select("district", "neighborhood", "attractiveness_score").orderBy(
+        F.desc_nulls_last("attractiveness_score"), "district", "neighborhood"
+    )
+
+
 def economic_accessibility(integrated: DataFrame) -> DataFrame:
     """Do dear neighbourhoods coincide with rich ones? Correlation of income index and price."""
     return integrated.agg(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,22 +53,7 @@ _PRICE_MEDIANS = {
 }
 
 
-def _property_columns(level: str) -> list[Column]:
-    return [
-        F.col("district"),
-        (F.col("neighborhood") if level == "neighborhood" else F.lit(None).cast("string")).alias("neighborhood"),
-        F.lit(level).alias("analysis_level"),
-        F.col("total_properties"),
-        F.round("avg_price_eur", 2).alias("avg_price_eur"),
-        F.round("median_price_eur", 2).alias("median_price_eur"),
-        F.round("avg_price_per_m2", 2).alias("avg_price_per_m2"),
-        F.round("median_price_per_m2", 2).alias("median_price_per_m2"),
-        F.round("avg_size_m2", 1).alias("avg_size_m2"),
-        F.round("avg_rooms", 1).alias("avg_rooms"),
-        F.round("price_per_m2_stddev", 2).alias("price_per_m2_stddev"),
-        F.col("min_price_per_m2"),
-        F.col("max_price_per_m2"),
-    ]
+_LEVELS = {"district": PLACE[:1], "neighborhood": PLACE}
 
 
 def property_analytics(
@@ -77,30 +63,41 @@ def property_analytics(
 ) -> DataFrame:
     """Price statistics of valid listings per district and per neighbourhood, one row set each.
 
-    Both levels share one grouping-sets aggregation and, with exact medians, two scans in all.
+    Both levels come out of one grouping-sets aggregation, and of the same scans for the medians.
     """
     clean = valid_prices(listings)
-    keys_of = {"district": PLACE[:1], "neighborhood": PLACE}
-    grains = [keys_of[level] for level in levels]
-    if len(grains) == 1:
-        stats = {levels[0]: clean.groupBy(*grains[0]).agg(*_price_measures())}
-    else:
-        both = clean.groupingSets(grains, *PLACE).agg(
-            F.grouping_id(*PLACE).alias("level_id"), *_price_measures()
+    grains = [_LEVELS[level] for level in levels]
+    level = F.when(F.grouping("neighborhood") == 1, "district").otherwise("neighborhood")
+    stats = clean.groupingSets(grains, *PLACE) if len(grains) > 1 else clean.groupBy(*grains[0])
+    stats = stats.agg(
+        (level if len(grains) > 1 else F.lit(levels[0])).alias("analysis_level"), *_price_measures()
+    )
+    if list(levels) == ["district"]:
+        stats = stats.withColumn("neighborhood", F.lit(None).cast("string"))
+    medians = [
+        found.withColumns(
+            {
+                "analysis_level": F.lit(name),
+                **({} if "neighborhood" in keys else {"neighborhood": F.lit(None).cast("string")}),
+            }
         )
-        stats = {
-            level: both.filter(F.col("level_id") == (0 if level == "neighborhood" else 1)).drop("level_id")
-            for level in levels
-        }
-    medians = quantiles(clean, grains, _PRICE_MEDIANS, exact)
-    frames = [
-        join_on(stats[level], median, keys, "left").select(*_property_columns(level))
-        for level, keys, median in zip(levels, grains, medians)
+        for name, keys, found in zip(levels, grains, quantiles(clean, grains, _PRICE_MEDIANS, exact))
     ]
-    result = frames[0]
-    for frame in frames[1:]:
-        result = result.unionByName(frame)
-    return result
+    joined = join_on(stats, reduce(DataFrame.unionByName, medians), [*PLACE, "analysis_level"], "left")
+    return joined.select(
+        *PLACE,
+        "analysis_level",
+        "total_properties",
+        F.round("avg_price_eur", 2).alias("avg_price_eur"),
+        F.round("median_price_eur", 2).alias("median_price_eur"),
+        F.round("avg_price_per_m2", 2).alias("avg_price_per_m2"),
+        F.round("median_price_per_m2", 2).alias("median_price_per_m2"),
+        F.round("avg_size_m2", 1).alias("avg_size_m2"),
+        F.round("avg_rooms", 1).alias("avg_rooms"),
+        F.round("price_per_m2_stddev", 2).alias("price_per_m2_stddev"),
+        "min_price_per_m2",
+        "max_price_per_m2",
+    )
 
 
 def property_type_analytics(listings: DataFrame, exact: bool = True) -> DataFrame:

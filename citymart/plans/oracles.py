@@ -586,6 +586,10 @@ ORACLES: dict[str, str] = {
         select district, median_price_eur, median_income_index,
                round(median_price_eur / nullif(median_income_index * 1000, 0), 2) as affordability_ratio
         from property_district join socio_district on district = district_name""",
+    "attractiveness": f"""with {_all_marts()}
+        select district, neighborhood, attractiveness_score from integrated
+        order by attractiveness_score desc nulls last, district, neighborhood""",
+    "affordability": f"with {_all_marts()} select district, neighborhood, affordability_ratio from integrated",
     "economic_accessibility": f"""with {_all_marts()}
         select count(*) as neighborhoods,
                round(corr(income_index_bcn_100, avg_price_per_m2), 6) as corr_income_price_per_m2,
@@ -693,11 +697,15 @@ ORACLES: dict[str, str] = {
     "validation_report": f"""with {_CHECKS}, {_ADVICE}
         select case when load_success_rate > 80 then 'PASSED' else 'FAILED' end as overall_status,
                overall_quality_score as data_quality_score, load_success_rate,
-               total_datasets as total_datasets_validated, '2.50s' as execution_time, 2 as zones, 2 as kpis,
+               cast(total_datasets as bigint) as total_datasets_validated, '2.50s' as execution_time, 2 as zones,
+               2 as kpis,
                (select cast(count(*) as integer) from checks) as checks,
                (select cast(count(*) as integer) from status) as datasets,
                (select cast(greatest(1, count(*)) as integer) from advice) as advice
         from score""",
+    "log_search": """
+        select concat(upper(event_type), ' user=', user_id, ' ', props) as line from events
+        where event_type = 'error'""",
     "zone_tables": f"""with {_INCOME}{_latest('income', 'latest')}{_SITES}
         select 'exploitation' as zone, 'cultural_category_analytics' as dataset, 'success' as status,
                count(*) as record_count, 3 as column_count

@@ -18,7 +18,7 @@ from citymart.operators import kpi, marts, profile, regress, standardize, valida
 from citymart.operators.latest import latest_per_key
 from citymart.plans import bindings as B
 from citymart.session import stage, staged_path
-from citymart.sources import landing, schemas, tables
+from citymart.sources import landing, reports, schemas, tables
 from citymart.sources.files import entries, list_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -376,6 +376,16 @@ def district_affordability(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def attractiveness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kpi.attractiveness_ranking(_integrated(spark, sf_dir))
+
+
+@register
+def affordability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _integrated(spark, sf_dir).select("district", "neighborhood", "affordability_ratio")
+
+
 @register
 def economic_accessibility(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = kpi.economic_accessibility(_integrated(spark, sf_dir))
@@ -655,7 +665,7 @@ def recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The executive summary and the sizes of the parts of the full report."""
+    """The stored report read back: its executive summary and the sizes of its parts."""
     report = validate.validation_report(
         spark,
         *_staged_verdicts(spark, sf_dir),
@@ -663,7 +673,9 @@ def validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         "2025-01-01 00:00:00",
         "2025-01-01 00:00:02.5",
     )
-    return report.select(
+    output = staged_path(spark, "output")
+    reports.write_report(report, f"{output}/data_validation_report.json")
+    return reports.read_reports(spark, f"{output}/*validation_report*").select(
         "executive_summary.*",
         F.size("zone_summary").alias("zones"),
         F.size("kpi_summary").alias("kpis"),
@@ -684,6 +696,15 @@ def zone_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return status.select("zone", "dataset", "status", "record_count", "column_count")
 
 
+@register
+def log_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events written as log lines, searched whatever the letter case."""
+    path = staged_path(spark, "logs")
+    lines = F.format_string("%s user=%d %s", F.upper("event_type"), "user_id", "props")
+    B.table(spark, sf_dir, "events").select(lines).write.text(path)
+    return reports.search_logs(spark, f"{path}/*.txt", "error User").select("line")
+
+
 # ------------------------------------------------------------------- learning
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,9 +38,12 @@ def shared_dir(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="citymart-")
-    spark.conf.set(CHECKPOINT_KEY, folder)
-    return folder
+    return _temporary_dir(spark.sparkContext.applicationId)
+
+
+@cache
+def _temporary_dir(application_id: str) -> str:
+    return tempfile.mkdtemp(prefix=f"citymart-{application_id}-")
 
 
 def staged_path(spark: SparkSession, name: str) -> str:
