@@ -7,9 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from citymart.session import stage
+
 
 def latest_per_key(
-    df: DataFrame, keys: Sequence[str], order: str, basis: Column | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    basis: Column | None = None,
+    staged: bool = False,
 ) -> DataFrame:
     """Rows of ``df`` whose ``order`` is the newest of their key, ties kept, plus ``latest_<order>``.
 
@@ -17,7 +23,8 @@ def latest_per_key(
     that value come back. Keys or orders that are NULL drop out.
 
     An aggregate and a join instead of a ranking window: the maximum combines map-side and the join
-    can be broadcast or skew-split, whereas a window would sort a hot key in one task.
+    can be broadcast or skew-split, whereas a window would sort a hot key in one task. ``staged``
+    stores the maxima first; for a large ``df`` with few keys their known size saves its shuffle.
     """
     newest_name = f"latest_{order}"
     newest = (
@@ -25,6 +32,8 @@ def latest_per_key(
         .groupBy(*[F.col(k).alias(f"__{k}") for k in keys])
         .agg(F.max(order).alias(newest_name))
     )
+    if staged:
+        newest = stage(newest, "newest")
     same = F.col(order) == F.col(newest_name)
     for key in keys:
         same = same & (F.col(key) == F.col(f"__{key}"))

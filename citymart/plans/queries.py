@@ -268,7 +268,7 @@ def latest_population(spark: SparkSession, sf_dir: str) -> DataFrame:
 def latest_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The orders of each customer's newest order day, ties kept."""
     orders = B.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    return latest_per_key(orders, ["o_custkey"], "o_orderdate").select("o_orderkey", "o_custkey")
+    return latest_per_key(orders, ["o_custkey"], "o_orderdate", staged=True).select("o_orderkey", "o_custkey")
 
 
 _SOCIO_FIGURES = [

@@ -46,8 +46,13 @@ def _temporary_dir(application_id: str) -> str:
     return tempfile.mkdtemp(prefix=f"citymart-{application_id}-")
 
 
+def staging_dir(spark: SparkSession) -> str:
+    """One folder per application, so that all of its staged tables can be dropped together."""
+    return f"{shared_dir(spark)}/citymart-{spark.sparkContext.applicationId}"
+
+
 def staged_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{staging_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -62,3 +67,9 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = staged_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Delete the tables this application staged; frames built on them stop working."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(staging_dir(spark))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-# Landing files as they arrive.
+# Landing files as they arrive. Counts are read as doubles, so that 3 and 3.0 are both understood.
 LISTINGS_LANDING = """
     propertyCode string, url string, district string, neighborhood string, address string,
     municipality string, latitude double, longitude double, propertyType string,
-    detailedType struct<subTypology: string, typology: string>, size double, rooms bigint,
-    bathrooms bigint, floor string, status string, price double, priceByArea double,
+    detailedType struct<subTypology: string, typology: string>, size double, rooms double,
+    bathrooms double, floor string, status string, price double, priceByArea double,
     exterior boolean, hasLift boolean, parkingSpace struct<hasParkingSpace: boolean,
     isParkingSpaceIncludedInPrice: boolean, parkingSpacePrice: double>
 """

@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from citymart.session import local_session  # noqa: E402
+from citymart.session import clear_staged, local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -14,4 +14,5 @@ def spark(tmp_path_factory):
     session.conf.set("spark.sql.shuffle.partitions", "4")
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clear_staged(session)
     session.stop()

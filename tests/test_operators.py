@@ -157,7 +157,9 @@ def test_latest_keeps_ties_and_drops_unknown_years(spark):
         [("a", 1, "x"), ("a", 2, "y"), ("a", 2, "z"), ("b", None, "u"), ("c", 1, "v"), (None, 5, "w")],
         "k string, year int, p string",
     )
-    assert rows(latest_per_key(df, ["k"], "year")) == [("a", 2, "y", 2), ("a", 2, "z", 2), ("c", 1, "v", 1)]
+    want = [("a", 2, "y", 2), ("a", 2, "z", 2), ("c", 1, "v", 1)]
+    assert rows(latest_per_key(df, ["k"], "year")) == want
+    assert rows(latest_per_key(df, ["k"], "year", staged=True)) == want
 
 
 def test_latest_with_basis_brings_back_all_rows_of_that_year(spark):
