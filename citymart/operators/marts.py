@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from citymart.functions import columns as C
 from citymart.operators.latest import latest_per_key
 from citymart.operators.quantiles import join_on, quantiles
+from citymart.session import stage
 
 # Fixed value: listings at or above this price per square metre are outliers.
 MAX_PRICE_PER_M2 = 20_000
@@ -53,38 +54,39 @@ _PRICE_MEDIANS = {
 }
 
 
-_LEVELS = {"district": PLACE[:1], "neighborhood": PLACE}
+_LEVELS = {
+    "district": ["district"],
+    "neighborhood": PLACE,
+    "property_type": ["district", "property_type"],
+}
 
 
-def property_analytics(
-    listings: DataFrame,
-    levels: Sequence[str] = ("district", "neighborhood"),
-    exact: bool = True,
-) -> DataFrame:
-    """Price statistics of valid listings per district and per neighbourhood, one row set each.
+def _price_stats(listings: DataFrame, levels: Sequence[str], exact: bool) -> DataFrame:
+    """Price statistics of valid listings at several levels, keys that do not apply NULL.
 
-    Both levels come out of one grouping-sets aggregation, and of the same scans for the medians.
+    All levels come out of one grouping-sets aggregation, and of the same scans for the medians.
     """
     clean = valid_prices(listings)
     grains = [_LEVELS[level] for level in levels]
-    level = F.when(F.grouping("neighborhood") == 1, "district").otherwise("neighborhood")
-    stats = clean.groupingSets(grains, *PLACE) if len(grains) > 1 else clean.groupBy(*grains[0])
-    stats = stats.agg(
-        (level if len(grains) > 1 else F.lit(levels[0])).alias("analysis_level"), *_price_measures()
-    )
-    if list(levels) == ["district"]:
-        stats = stats.withColumn("neighborhood", F.lit(None).cast("string"))
+    keys = list(dict.fromkeys(k for grain in grains for k in grain))
+    level = F.lit(None).cast("string")
+    for name, grain in zip(levels, grains):
+        absent = int("".join("0" if k in grain else "1" for k in keys), 2)
+        level = F.when(F.grouping_id(*keys) == absent, name).otherwise(level)
+    stats = clean.groupingSets(grains, *keys).agg(level.alias("analysis_level"), *_price_measures())
     medians = [
         found.withColumns(
-            {
-                "analysis_level": F.lit(name),
-                **({} if "neighborhood" in keys else {"neighborhood": F.lit(None).cast("string")}),
-            }
-        )
-        for name, keys, found in zip(levels, grains, quantiles(clean, grains, _PRICE_MEDIANS, exact))
+            {k: F.lit(None).cast(clean.schema[k].dataType) for k in keys if k not in grain}
+        ).withColumn("analysis_level", F.lit(name))
+        for name, grain, found in zip(levels, grains, quantiles(clean, grains, _PRICE_MEDIANS, exact))
     ]
-    joined = join_on(stats, reduce(DataFrame.unionByName, medians), [*PLACE, "analysis_level"], "left")
-    return joined.select(
+    return join_on(stats, reduce(DataFrame.unionByName, medians), [*keys, "analysis_level"], "left")
+
+
+def _property_columns(stats: DataFrame) -> DataFrame:
+    if "neighborhood" not in stats.columns:
+        stats = stats.withColumn("neighborhood", F.lit(None).cast("string"))
+    return stats.select(
         *PLACE,
         "analysis_level",
         "total_properties",
@@ -100,16 +102,35 @@ def property_analytics(
     )
 
 
+def _type_columns(stats: DataFrame) -> DataFrame:
+    return stats.select(
+        "district",
+        "property_type",
+        F.col("total_properties").alias("type_count"),
+        F.col("avg_price_per_m2").alias("avg_price_per_m2_by_type"),
+        F.col("median_price_per_m2").alias("median_price_per_m2_by_type"),
+    )
+
+
+def property_analytics(
+    listings: DataFrame,
+    levels: Sequence[str] = ("district", "neighborhood"),
+    exact: bool = True,
+) -> DataFrame:
+    """Price statistics of valid listings per district and per neighbourhood, one row set each."""
+    return _property_columns(_price_stats(listings, levels, exact))
+
+
 def property_type_analytics(listings: DataFrame, exact: bool = True) -> DataFrame:
     """Listings, mean and median price per m² per district and property type."""
-    clean = valid_prices(listings)
-    keys = ["district", "property_type"]
-    stats = clean.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("type_count"),
-        F.avg("price_per_m2").alias("avg_price_per_m2_by_type"),
-    )
-    [medians] = quantiles(clean, [keys], {"median_price_per_m2_by_type": ("price_per_m2", 0.5)}, exact)
-    return join_on(stats, medians, keys, "left")
+    return _type_columns(_price_stats(listings, ["property_type"], exact))
+
+
+def property_marts(listings: DataFrame, exact: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Both property marts out of one staged result, so that they share every scan."""
+    stats = stage(_price_stats(listings, list(_LEVELS), exact), "prices")
+    by_type = F.col("analysis_level") == "property_type"
+    return _property_columns(stats.filter(~by_type)), _type_columns(stats.filter(by_type))
 
 
 # ------------------------------------------------------------ socio-economic

@@ -92,7 +92,7 @@ def train(
     prepared = Pipeline(stages=feature_stages(rows, ignore=keys)).fit(training)
     needed = ["features", TARGET]
     train_set = prepared.transform(training).select(*needed).repartition(partitions).persist()
-    validation_set = prepared.transform(validation).select(*needed).persist()
+    validation_set = prepared.transform(validation).select(*needed).repartition(partitions).persist()
     evaluator = RegressionEvaluator(labelCol=TARGET, metricName="rmse")
     try:
         fitted, scores = {}, []

@@ -32,8 +32,9 @@ def run_exploitation(
         tables.write_mart(df, exploitation_zone, name, fmt)
 
     listings, income, sites = formatted("idealista"), formatted("income"), formatted("cultural_sites")
-    write(marts.stamped(marts.property_analytics(listings, exact=exact)), "property_analytics")
-    write(marts.property_type_analytics(listings, exact), "property_type_analytics")
+    prices, prices_by_type = marts.property_marts(listings, exact)
+    write(marts.stamped(prices), "property_analytics")
+    write(prices_by_type, "property_type_analytics")
     write(marts.socioeconomic_district(income, exact), "socioeconomic_district_analytics")
     write(marts.socioeconomic_neighborhood(income), "socioeconomic_neighborhood_analytics")
     write(marts.income_quintiles(income), "income_quintiles")

@@ -542,6 +542,13 @@ ORACLES: dict[str, str] = {
                round(avg(price_per_m2), 6) as avg_price_per_m2_by_type,
                quantile_disc(price_per_m2, 0.5) as median_price_per_m2_by_type
         from valid group by district, property_type""",
+    "property_marts": f"""with {_PROPERTY}
+        select district, coalesce(neighborhood, 'all') as part, analysis_level, total_properties as listings,
+               median_price_per_m2 as median_price
+        from (select * from property_district union all select * from property_neighborhood)
+        union all
+        select district, property_type, 'property_type', count(*), round(quantile_disc(price_per_m2, 0.5), 2)
+        from valid group by district, property_type""",
     "latest_income": f"with {_INCOME}{_latest('sparse', 'latest')} select * from latest",
     "latest_population": f"with {_INCOME}{_population('sparse', 'population')} select * from population",
     "latest_orders": """

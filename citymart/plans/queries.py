@@ -254,6 +254,27 @@ def property_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(mart, ["avg_price_per_m2_by_type"])
 
 
+@register
+def property_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listings per level out of both marts, built together."""
+    places, types = marts.property_marts(B.listings(spark, sf_dir, parts=True))
+    place_rows = places.select(
+        "district",
+        F.coalesce("neighborhood", F.lit("all")).alias("part"),
+        "analysis_level",
+        F.col("total_properties").alias("listings"),
+        F.col("median_price_per_m2").alias("median_price"),
+    )
+    type_rows = types.select(
+        "district",
+        F.col("property_type").alias("part"),
+        F.lit("property_type").alias("analysis_level"),
+        F.col("type_count").alias("listings"),
+        F.round("median_price_per_m2_by_type", 2).alias("median_price"),
+    )
+    return place_rows.unionByName(type_rows)
+
+
 @register
 def latest_income(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.latest_income(_sparse_income(spark, sf_dir))
