@@ -40,6 +40,13 @@ PASS_LOAD_RATE = 80
 MIN_QUALITY_SCORE = 80
 MAX_DUPLICATE_PCT = 10
 
+# The advice given, as formats.
+FAILED_LOADS = "⚠️ %d datasets failed to load. Check data paths and file formats."
+LOW_QUALITY = "⚠️ Data quality score is %.1f%%. Review data cleaning processes."
+MANY_DUPLICATES = "⚠️ High duplicate rate in %s (%.1f%%). Consider deduplication."
+INVALID_PRICES = "⚠️ Found %d records with invalid prices in %s. Review price validation rules."
+HEALTHY = "✅ All validations passed. Data pipeline is healthy."
+
 
 class GateError(RuntimeError):
     """A gate found datasets that must not pass."""
@@ -265,53 +272,22 @@ def recommendations(score: DataFrame, checks: DataFrame) -> DataFrame:
             message.alias("message"),
         )
 
-    def rate(value: Column) -> Column:
-        return F.format_string("%.1f%%", value.cast("double"))
-
-    def count(value: Column) -> Column:
-        return value.cast("long").cast("string")
-
     failed, points, value = F.col("failed_loads"), F.col("overall_quality_score"), F.col("value")
     duplicates = (F.col("check") == "duplicate_percentage") & (value > MAX_DUPLICATE_PCT)
     prices = (F.col("check") == "negative_prices") & (value > 0)
+    name = F.col("dataset")
     found = [
         advice(
-            score,
-            F.col("load_success_rate") < 100,
-            "failed_loads",
-            failed,
-            F.concat(count(failed), F.lit(" datasets failed to load. Check data paths and file formats.")),
+            score, F.col("load_success_rate") < 100, "failed_loads", failed, F.format_string(FAILED_LOADS, failed)
         ),
         advice(
-            score,
-            points < MIN_QUALITY_SCORE,
-            "low_quality_score",
-            points,
-            F.concat(F.lit("Data quality score is "), rate(points), F.lit(". Review data cleaning processes.")),
+            score, points < MIN_QUALITY_SCORE, "low_quality_score", points, F.format_string(LOW_QUALITY, points)
         ),
         advice(
-            checks,
-            duplicates,
-            "high_duplicate_rate",
-            value,
-            F.concat(
-                F.lit("High duplicate rate in "), "dataset", F.lit(" ("), rate(value), F.lit("). Consider deduplication.")
-            ),
-            F.col("dataset"),
+            checks, duplicates, "high_duplicate_rate", value, F.format_string(MANY_DUPLICATES, name, value), name
         ),
         advice(
-            checks,
-            prices,
-            "invalid_prices",
-            value,
-            F.concat(
-                F.lit("Found "),
-                count(value),
-                F.lit(" records with invalid prices in "),
-                "dataset",
-                F.lit(". Review price validation rules."),
-            ),
-            F.col("dataset"),
+            checks, prices, "invalid_prices", value, F.format_string(INVALID_PRICES, value.cast("long"), name), name
         ),
     ]
     rows = reduce(DataFrame.unionByName, found)
@@ -322,7 +298,7 @@ def recommendations(score: DataFrame, checks: DataFrame) -> DataFrame:
             F.lit("healthy").alias("rule"),
             none.alias("dataset"),
             F.lit(None).cast("double").alias("value"),
-            F.lit("All validations passed. Data pipeline is healthy.").alias("message"),
+            F.lit(HEALTHY).alias("message"),
         )
     ).cast(row_type)
     gathered = F.collect_list(F.struct("rule", "dataset", "value", "message")).cast(row_type)
@@ -334,9 +310,20 @@ def recommendations(score: DataFrame, checks: DataFrame) -> DataFrame:
 # ----------------------------------------------------------------- report
 
 
-def _gather(df: DataFrame, name: str) -> DataFrame:
-    """A small result table as one row with an array of its rows, in a stable order."""
-    return df.agg(F.array_sort(F.collect_list(F.struct(*df.columns))).alias(name))
+def _entries(key: str, value: Column) -> Column:
+    """Aggregate of a small table into a map with its keys in a stable order."""
+    pairs = F.collect_list(F.struct(F.col(key).alias("key"), value.alias("value")))
+    by_key = F.array_sort(pairs, lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0))
+    return F.map_from_entries(by_key)
+
+
+def _as_map(df: DataFrame, key: str, value: Column) -> DataFrame:
+    return df.agg(_entries(key, value).alias("map"))
+
+
+def _nested(df: DataFrame, outer: str, inner: str, value: Column) -> DataFrame:
+    """A small result table as one row with a map of maps."""
+    return _as_map(df.groupBy(outer).agg(_entries(inner, value).alias("inner")), outer, F.col("inner"))
 
 
 def validation_report(
@@ -348,32 +335,36 @@ def validation_report(
     finished: str,
     version: str = "1.0",
 ) -> DataFrame:
-    """The whole validation run as one nested row; its parts are status tables of a few rows."""
+    """The whole validation run as one nested row, a document keyed by zone, dataset and indicator.
+
+    Its parts are result tables of a few rows each. Scalar subqueries place them in the document, so
+    no join is needed.
+    """
     score = quality_score(status, checks)
+    summary = F.struct("total_datasets", "successful_loads", "total_records", "success_rate")
+    details = F.struct(*[c for c in status.columns if c not in ("zone", "dataset")])
+    advice = recommendations(score, checks).agg(F.sort_array(F.collect_list("message")))
+    zoned = status.withColumn("zone", F.concat("zone", F.lit("_details")))
+    parts = spark.range(1).select(
+        score.select(F.struct("*")).scalar().alias("verdict"),
+        _as_map(zone_summary(status), "zone", summary).scalar().alias("zone_summary"),
+        _nested(kpis, "kpi", "metric", F.col("value")).scalar().alias("kpi_summary"),
+        _nested(checks, "dataset", "check", F.col("value")).scalar().alias("data_quality_details"),
+        _nested(zoned, "zone", "dataset", details).scalar().alias("detailed_results"),
+        advice.scalar().alias("recommendations"),
+    )
     seconds = F.to_timestamp(F.lit(finished)).cast("double") - F.to_timestamp(F.lit(started)).cast("double")
-    parts = {
-        "score": score,
-        "zone_summary": zone_summary(status),
-        "kpi_summary": kpis,
-        "data_quality_details": checks,
-        "detailed_results": status,
-        "recommendations": recommendations(score, checks),
-    }
-    # Scalar subqueries place each one-row part in the document without any join.
-    cells = {name: _gather(part, name).scalar() for name, part in parts.items()}
-    one = spark.range(1).select(*[c.alias(n) for n, c in cells.items()])
-    total = F.col("score")[0]
-    return one.select(
+    return parts.select(
         F.struct(
             F.lit(finished).alias("generated_at"),
             F.lit(version).alias("pipeline_version"),
             F.lit("data_validation_summary").alias("report_type"),
         ).alias("report_metadata"),
         F.struct(
-            overall_status(total["load_success_rate"]).alias("overall_status"),
-            total["overall_quality_score"].alias("data_quality_score"),
-            total["load_success_rate"].alias("load_success_rate"),
-            total["total_datasets"].alias("total_datasets_validated"),
+            overall_status(F.col("verdict.load_success_rate")).alias("overall_status"),
+            F.col("verdict.overall_quality_score").alias("data_quality_score"),
+            F.col("verdict.load_success_rate").alias("load_success_rate"),
+            F.col("verdict.total_datasets").alias("total_datasets_validated"),
             F.format_string("%.2fs", seconds).alias("execution_time"),
         ).alias("executive_summary"),
         "zone_summary",
@@ -381,12 +372,13 @@ def validation_report(
         "data_quality_details",
         F.struct(
             seconds.alias("execution_time_seconds"),
+            F.format_string("%.2fs", seconds).alias("execution_time_formatted"),
             F.lit(started).alias("start_time"),
             F.lit(finished).alias("end_time"),
             F.lit(spark.version).alias("spark_version"),
         ).alias("performance_metrics"),
         "detailed_results",
-        F.transform("recommendations", lambda r: r["message"]).alias("recommendations"),
+        "recommendations",
     )
 
 

@@ -473,20 +473,21 @@ from status group by zone"""
 _ADVICE = """
 advice as (
     select 'failed_loads' as rule, cast(null as varchar) as dataset, cast(failed_loads as double) as value,
-           concat(failed_loads, ' datasets failed to load. Check data paths and file formats.') as message
+           concat('⚠️ ', failed_loads, ' datasets failed to load. Check data paths and file formats.') as message
     from score where load_success_rate < 100
     union all
     select 'low_quality_score', null, overall_quality_score,
-           concat('Data quality score is ', printf('%.1f%%', overall_quality_score),
+           concat('⚠️ Data quality score is ', printf('%.1f%%', overall_quality_score),
                   '. Review data cleaning processes.')
     from score where overall_quality_score < 80
     union all
     select 'high_duplicate_rate', dataset, round(value, 6),
-           concat('High duplicate rate in ', dataset, ' (', printf('%.1f%%', value), '). Consider deduplication.')
+           concat('⚠️ High duplicate rate in ', dataset, ' (', printf('%.1f%%', value),
+                  '). Consider deduplication.')
     from checks where "check" = 'duplicate_percentage' and value > 10
     union all
     select 'invalid_prices', dataset, value,
-           concat('Found ', cast(value as bigint), ' records with invalid prices in ', dataset,
+           concat('⚠️ Found ', cast(value as bigint), ' records with invalid prices in ', dataset,
                   '. Review price validation rules.')
     from checks where "check" = 'negative_prices' and value > 0
 )"""
@@ -699,15 +700,16 @@ ORACLES: dict[str, str] = {
     "quality_score": f"with {_CHECKS} select * from score",
     "recommendations": f"""with {_CHECKS}, {_ADVICE}
         select * from advice
-        union all select 'healthy', null, null, 'All validations passed. Data pipeline is healthy.'
+        union all select 'healthy', null, null, '✅ All validations passed. Data pipeline is healthy.'
         where not exists (select * from advice)""",
     "validation_report": f"""with {_CHECKS}, {_ADVICE}
         select case when load_success_rate > 80 then 'PASSED' else 'FAILED' end as overall_status,
                overall_quality_score as data_quality_score, load_success_rate,
-               cast(total_datasets as bigint) as total_datasets_validated, '2.50s' as execution_time, 2 as zones,
-               2 as kpis,
-               (select cast(count(*) as integer) from checks) as checks,
-               (select cast(count(*) as integer) from status) as datasets,
+               cast(total_datasets as bigint) as total_datasets_validated, '2.50s' as execution_time,
+               (select cast(sum(record_count) as bigint) from status where zone = 'formatted') as formatted_records,
+               (select count(*) from status where zone = 'exploitation' and status = 'success') as marts_loaded,
+               (select count(*) from sites) as sites,
+               (select count(*) from net where price_eur <= 0) as negative_prices, 'not found' as error,
                (select cast(greatest(1, count(*)) as integer) from advice) as advice
         from score""",
     "log_search": """

@@ -686,7 +686,7 @@ def recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stored report read back: its executive summary and the sizes of its parts."""
+    """The stored report read back: its executive summary and a figure of each part."""
     report = validate.validation_report(
         spark,
         *_staged_verdicts(spark, sf_dir),
@@ -698,10 +698,11 @@ def validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     reports.write_report(report, f"{output}/data_validation_report.json")
     return reports.read_reports(spark, f"{output}/*validation_report*").select(
         "executive_summary.*",
-        F.size("zone_summary").alias("zones"),
-        F.size("kpi_summary").alias("kpis"),
-        F.size("data_quality_details").alias("checks"),
-        F.size("detailed_results").alias("datasets"),
+        F.col("zone_summary.formatted.total_records").alias("formatted_records"),
+        F.col("zone_summary.exploitation.successful_loads").alias("marts_loaded"),
+        F.col("kpi_summary.cultural_accessibility.total_cultural_sites").cast("bigint").alias("sites"),
+        F.col("data_quality_details.idealista.negative_prices").cast("bigint").alias("negative_prices"),
+        F.col("detailed_results.exploitation_details.integrated_analytics.error").alias("error"),
         F.size("recommendations").alias("advice"),
     )
 

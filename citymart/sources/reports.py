@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 
 def write_report(report: DataFrame, path: str) -> None:
-    """Store a one-row report as one indented JSON document under the folder ``path``."""
-    document = F.to_json(F.struct("*"), {"pretty": "true", "ignoreNullFields": "false"})
+    """Store a one-row report as one indented JSON document under the folder ``path``.
+
+    Unknown values are left out of the document.
+    """
+    document = F.to_json(F.struct("*"), {"pretty": "true"})
     report.select(document.alias("value")).coalesce(1).write.mode("overwrite").text(path)
 
 

@@ -407,10 +407,10 @@ def test_score_and_recommendations(spark):
     assert rows(score) == [(70.0, 66.67, 3, 2, 1)]
     messages = [r["message"] for r in validate.recommendations(score, checks).collect()]
     assert sorted(messages) == [
-        "1 datasets failed to load. Check data paths and file formats.",
-        "Data quality score is 70.0%. Review data cleaning processes.",
-        "Found 2 records with invalid prices in a. Review price validation rules.",
-        "High duplicate rate in a (60.0%). Consider deduplication.",
+        "⚠️ 1 datasets failed to load. Check data paths and file formats.",
+        "⚠️ Data quality score is 70.0%. Review data cleaning processes.",
+        "⚠️ Found 2 records with invalid prices in a. Review price validation rules.",
+        "⚠️ High duplicate rate in a (60.0%). Consider deduplication.",
     ]
     assert rows(validate.zone_summary(status)) == [("e", 1, 1, 0, 100.0), ("f", 2, 1, 10, 50.0)]
 

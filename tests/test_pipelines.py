@@ -171,15 +171,17 @@ def test_validation_report(spark, zones, formatted, exploited):
     report = reports.read_reports(spark, f"{zones['output']}/*validation_report*").first()
     assert report["executive_summary"]["overall_status"] == "PASSED"
     assert report["executive_summary"]["total_datasets_validated"] == 12
-    assert {z["zone"]: z["successful_loads"] for z in report["zone_summary"]} == {
-        "formatted_zone": 3,
-        "exploitation_zone": 9,
-    }
-    assert report["recommendations"] == ["All validations passed. Data pipeline is healthy."]
-    kpis = {(k["kpi"], k["metric"]): k["value"] for k in report["kpi_summary"]}
-    assert kpis[("integration_quality", "total_records")] == 3
-    assert kpis[("cultural_accessibility", "total_cultural_sites")] == 3
-    assert len(kpis) == 12
+    zone = report["zone_summary"]
+    assert (zone["formatted_zone"]["successful_loads"], zone["exploitation_zone"]["successful_loads"]) == (3, 9)
+    assert zone["formatted_zone"]["total_records"] == 72
+    assert report["recommendations"] == ["✅ All validations passed. Data pipeline is healthy."]
+    kpis = report["kpi_summary"].asDict(recursive=True)
+    assert kpis["integration_quality"]["total_records"] == 3
+    assert kpis["cultural_accessibility"]["total_cultural_sites"] == 3
+    assert sorted(len(metrics) for metrics in kpis.values()) == [2, 3, 3, 4]
+    assert report["data_quality_details"]["idealista"]["negative_prices"] == 0
+    income = report["detailed_results"]["formatted_zone_details"]["income"]
+    assert (income["status"], income["record_count"], income["null_count"]) == ("success", 7, 3)
 
 
 def test_missing_dataset_does_not_stop_the_rest(spark, zones, tmp_path):

@@ -85,7 +85,7 @@ def test_reports_newest_first(spark, tmp_path):
 
     for i, stamp in ((1, 1_000_000), (2, 2_000_000)):
         path = str(tmp_path / f"validation_report_{i}.json")
-        reports.write_report(spark.range(i, i + 1).selectExpr("id", "struct(null as x, 'é' as y) as n"), path)
+        reports.write_report(spark.range(i, i + 1).selectExpr("id", "struct(1 as x, 'é' as y) as n"), path)
         for entry in os.listdir(path):
             os.utime(os.path.join(path, entry), (stamp, stamp))
     got = reports.read_reports(spark, str(tmp_path / "*validation_report*")).collect()
