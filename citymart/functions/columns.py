@@ -15,6 +15,11 @@ INCOME_LABELS = ("Q1_Lowest", "Q2_Low", "Q3_Medium", "Q4_High", "Q5_Highest")
 MARKET_CUTS = (50, 100)
 MARKET_LABELS = ("Low", "Medium", "High")
 
+# Weights of the attractiveness score.
+INCOME_WEIGHT = 0.3
+DENSITY_WEIGHT = 0.3
+CHEAPNESS_WEIGHT = 0.4
+
 
 def band(value: Column, cuts: Sequence[float], labels: Sequence[str]) -> Column:
     """Label of the first cut that ``value`` does not exceed, the last label beyond all cuts.
@@ -62,7 +67,9 @@ def affordability(median_price: Column, income_index: Column) -> Column:
 def attractiveness(income_index: Column, density: Column, price_per_m2: Column) -> Column:
     """Weighted score: 30 % income, 30 % amenity density, 40 % cheapness. NULL if any part is."""
     cheapness = F.try_divide(F.lit(1000), price_per_m2) * 100
-    return F.round(income_index * 0.3 + density * 10 * 0.3 + cheapness * 0.4, 2)
+    return F.round(
+        income_index * INCOME_WEIGHT + density * 10 * DENSITY_WEIGHT + cheapness * CHEAPNESS_WEIGHT, 2
+    )
 
 
 def percent_of(part: Column, whole: Column) -> Column:

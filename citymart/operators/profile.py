@@ -38,9 +38,16 @@ def _comparable(field: T.StructField) -> Column:
 
 
 def _identity(df: DataFrame, keys: Sequence[str] | None, exact: bool) -> list[Column]:
-    parts = [_comparable(df.schema[k]) for k in (keys or df.columns)]
+    fields = [df.schema[k] for k in (keys or df.columns)]
     if exact:
-        return [p.alias(f"id_{i}") for i, p in enumerate(parts)]
+        return [_comparable(f).alias(f"id_{i}") for i, f in enumerate(fields)]
+    parts: list[Column] = []
+    for field in fields:
+        # The hash passes over NULLs, so their places go in as values; nested values go in as text.
+        value = _comparable(field)
+        if isinstance(field.dataType, (T.ArrayType, T.StructType, T.MapType)):
+            value = F.to_json(F.struct(value), {"ignoreNullFields": "false"})
+        parts += [value, _ref(field.name).isNull()]
     return [
         F.xxhash64(*parts).alias("id_0"),
         F.xxhash64(F.lit(len(parts)), *reversed(parts)).alias("id_1"),

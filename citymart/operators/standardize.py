@@ -49,6 +49,9 @@ def with_load_time(df: DataFrame) -> DataFrame:
     )
 
 
+# Source columns, their names and types in the formatted tables, defaults for NULL.
+
+
 def listing_fields(coordinate_default: float | None = 0.0) -> list[Field]:
     return [
         Field("propertyCode", "property_code"),

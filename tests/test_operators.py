@@ -277,10 +277,21 @@ def test_duplicates_with_nulls_maps_and_hot_rows(spark, exact):
     assert (metrics["total_missing"], metrics["duplicate_count"], metrics["total_columns"]) == (4, 100, 3)
 
 
+@pytest.mark.parametrize("exact", [True, False])
+def test_place_of_a_null_matters(spark, exact):
+    data = [("a", None, [None, 1]), (None, "a", [None, 1]), ("a", None, [1, None]), ("a", "", [1]), ("a", None, [1])]
+    df = spark.createDataFrame(data, "s string, t string, a array<int>")
+    assert profile.duplicate_profile(df, exact=exact).first()["unique_rows"] == 5
+
+
+words = st.sampled_from(["a", "", None])
+
+
+@pytest.mark.parametrize("exact", [True, False])
 @calm
-@given(st.lists(st.tuples(st.integers(0, 2), st.sampled_from(["a", "b", None])), min_size=1, max_size=30))
-def test_unique_and_duplicate_rows_add_up(spark, data):
-    got = profile.duplicate_profile(spark.createDataFrame(data, "i int, s string")).first()
+@given(data=st.lists(st.tuples(words, st.integers(0, 1) | st.none(), words), min_size=1, max_size=40))
+def test_unique_and_duplicate_rows_add_up(spark, exact, data):
+    got = profile.duplicate_profile(spark.createDataFrame(data, "s string, i int, t string"), exact=exact).first()
     assert got["unique_rows"] == len(set(data))
     assert got["unique_rows"] + got["duplicate_count"] == got["total_rows"] == len(data)
 
