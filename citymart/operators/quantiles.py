@@ -14,6 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from citymart.session import stage
 
@@ -23,8 +24,8 @@ RESOLUTION = 2**8
 # At this resolution a bucket holds at most 2**21 different doubles, whatever the data.
 FINEST = 2**32
 
-# A bucket with more rows than this is refined before its values are sorted in one task.
-MAX_BUCKET_ROWS = 5_000_000
+# A bucket that may hold more distinct values than this is refined before one task sorts them.
+MAX_BUCKET_VALUES = 5_000_000
 
 # Natural logarithms of doubles start near -745; the shift keeps bucket numbers of positives above 0.
 _LOG_SHIFT = 746
@@ -60,6 +61,20 @@ def join_on(
     return joined.drop(*[f"__{n}" for n in names])
 
 
+def _count(cells: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rows and the range of their values per group of columns."""
+    return cells.withColumn("v", F.col("value")).groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")
+    )
+
+
+def _step(dtype: T.DataType) -> float:
+    """The least distance of two different values of a type, 0.0 where there is none to rely on."""
+    if isinstance(dtype, T.DecimalType):
+        return 10.0**-dtype.scale
+    return 1.0 if isinstance(dtype, T.IntegralType) else 0.0
+
+
 def _running(counts: DataFrame, part: Sequence[str], order: str) -> DataFrame:
     """Counts summed per (part, order) with ``below``, the rows of the part before that order value.
 
@@ -69,7 +84,7 @@ def _running(counts: DataFrame, part: Sequence[str], order: str) -> DataFrame:
     return (
         counts.repartition(*part)
         .groupBy(*part, order)
-        .agg(F.sum("n").alias("n"))
+        .agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
         .withColumn("below", F.sum("n").over(window) - F.col("n"))
     )
 
@@ -95,9 +110,7 @@ def _narrow(
             wanted = join_on(wanted, marked, part, "left")
             hit = hit | F.coalesce(F.col(flag), F.lit(False))
     keys = list(dict.fromkeys(k for grain in grains for k in grain))
-    counted = (
-        wanted.filter(hit).groupBy(*keys, "measure", "bucket", order).agg(F.count(F.lit(1)).alias("n"))
-    )
+    counted = _count(wanted.filter(hit), [*keys, "measure", "bucket", order])
     found = []
     for grain, spot in zip(grains, by_grain):
         part = [*grain, "measure", "bucket"]
@@ -114,7 +127,7 @@ def group_quantiles(
     grains: Sequence[Sequence[str]],
     outputs: Mapping[str, tuple[str, float]],
     rule: str = "disc",
-    max_bucket_rows: int = MAX_BUCKET_ROWS,
+    max_bucket_values: int = MAX_BUCKET_VALUES,
 ) -> list[DataFrame]:
     """Exact quantiles for several grouping grains, in two scans of ``df`` as a rule.
 
@@ -124,25 +137,34 @@ def group_quantiles(
 
     The first scan counts rows per bucket and finds the bucket of each wanted rank. These few rows
     are staged, so their true size decides how the next scan, which looks at the wanted buckets
-    only, is joined to them. A wanted bucket above ``max_bucket_rows`` costs one more scan that
-    splits it further; the last scan sorts the distinct values of what is left.
+    only, is joined to them. A wanted bucket that may hold more than ``max_bucket_values`` different
+    values costs one more scan that splits it further; the last scan sorts the values of what is left.
+    How many there may be follows from the rows of the bucket, its range and the type of the measure.
     """
-    keys = list(dict.fromkeys(k for grain in grains for k in grain))
+    names = list(dict.fromkeys(k for grain in grains for k in grain))
     measures = list(dict.fromkeys(m for m, _ in outputs.values()))
+    # Neutral key names, so that no key clashes with the columns used below.
+    key_of = {name: f"key_{i}" for i, name in enumerate(names)}
+    keys = list(key_of.values())
+    key_types = {key_of[name]: df.schema[name].dataType for name in names}
+    grains = [[key_of[name] for name in grain] for grain in grains]
     # Written as a generator, not as unpivot: the grains then reuse one shuffle of the counts.
     cells = [F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("value")) for m in measures]
-    values = df.select(*keys, F.inline(F.array(*cells))).filter(F.abs("value") < float("inf"))
+    values = df.select(*[F.col(n).alias(k) for n, k in key_of.items()], F.inline(F.array(*cells)))
+    values = values.filter(F.abs("value") < float("inf"))
 
     def staged(frames: list[DataFrame], bucket: str) -> DataFrame:
         tagged = [
             frame.select(
                 F.lit(number).alias("grain"),
-                *[(F.col(k) if k in grain else F.lit(None).cast(df.schema[k].dataType)).alias(k) for k in keys],
+                *[(F.col(k) if k in grain else F.lit(None).cast(key_types[k])).alias(k) for k in keys],
                 "measure",
                 F.col(bucket).alias("bucket"),
                 "out",
                 "rank",
                 "n",
+                "lo",
+                "hi",
             )
             for number, (grain, frame) in enumerate(zip(grains, frames))
         ]
@@ -158,7 +180,7 @@ def group_quantiles(
     )
     resolution = RESOLUTION
     cells = values.withColumn("bucket", _bucket(F.col("value"), resolution))
-    histogram = cells.groupBy(*keys, "measure", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    histogram = _count(cells, [*keys, "measure", "bucket"])
     found = []
     for grain in grains:
         part = [*grain, "measure"]
@@ -172,13 +194,21 @@ def group_quantiles(
             .filter((F.col("rank") > 0) & (F.col("rank") <= F.col("n")))
         )
     spots = staged(found, "bucket")
-    while resolution < FINEST and (spots.agg(F.max("n")).first()[0] or 0) > max_bucket_rows:
+    spread = F.col("hi") - F.col("lo")
+    different = F.when(spread == 0, 1).otherwise(F.col("n"))
+    for measure in measures:
+        step = _step(df.schema[measure].dataType)
+        if step:
+            here = F.col("measure") == measure
+            different = F.when(here, F.least(different, F.ceil(spread / step) + 1)).otherwise(different)
+    while resolution < FINEST and (spots.agg(F.max(different)).first()[0] or 0) > max_bucket_values:
         resolution *= RESOLUTION
         finer = cells.withColumn("finer", _bucket(F.col("value"), resolution))
         spots = staged(_narrow(finer, grains, spots, "finer"), "finer")
         cells = values.withColumn("bucket", _bucket(F.col("value"), resolution))
+    name_of = {key: name for name, key in key_of.items()}
     return [
-        frame.groupBy(*grain).agg(
+        frame.groupBy(*[F.col(k).alias(name_of[k]) for k in grain]).agg(
             *[F.max(F.when(F.col("out") == out, F.col("value"))).alias(out) for out in outputs]
         )
         for grain, frame in zip(grains, _narrow(cells, grains, spots, "value"))

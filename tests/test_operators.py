@@ -109,11 +109,24 @@ def test_quantiles_against_sorting(spark):
     check_quantiles(spark, data)
 
 
-def test_quantiles_with_refinement(spark):
+def test_one_repeated_value_needs_no_refinement(spark, monkeypatch):
+    """Many rows are no reason for another scan where the bucket holds few different values."""
+    scans = []
+    real = quantiles.stage
+    monkeypatch.setattr(quantiles, "stage", lambda df, name: scans.append(name) or real(df, name))
+    check_quantiles(spark, [("hot", 0, 7.0, 100_000 + i % 3) for i in range(300)], max_bucket_values=10)
+    assert len(scans) == 1
+
+
+def test_quantiles_with_refinement(spark, monkeypatch):
     """A hot group whose values nearly coincide: buckets are split until they are small enough."""
     data = [("hot", 0, 1000.0 + i * 1e-7, 5) for i in range(400)] + [("hot", 1, 1000.0, 5)] * 200
     data += [("cold", 0, -3.0, 2), ("cold", 0, -2.0, 9)]
-    check_quantiles(spark, data, max_bucket_rows=10)
+    scans = []
+    real = quantiles.stage
+    monkeypatch.setattr(quantiles, "stage", lambda df, name: scans.append(name) or real(df, name))
+    check_quantiles(spark, data, max_bucket_values=10)
+    assert len(scans) > 1
 
 
 @calm
@@ -133,6 +146,13 @@ def test_quantiles_property(spark, data):
     check_quantiles(spark, data)
 
 
+def test_quantiles_of_awkwardly_named_columns(spark):
+    df = spark.createDataFrame([("a", "b", 1, 2.0), ("a", "b", 1, 3.0)], "value string, measure string, n int, bucket double")
+    [found] = quantiles.group_quantiles(df, [["value", "measure", "n"]], {"rank": ("bucket", 0.5)})
+    assert found.columns == ["value", "measure", "n", "rank"]
+    assert rows(found) == [("a", "b", 1, 2.0)]
+
+
 def test_nearest_rank(spark):
     df = spark.createDataFrame([(float(i),) for i in range(1, 5)], "v double")
     outputs = {f"p{p}": ("v", p / 100) for p in (25, 50, 75)}
