@@ -33,6 +33,8 @@ CATEGORICAL = ["neighborhood", "property_type", "status"]
 DEFAULTS = {"neighborhood": "unknown", "status": "good", "floor": 0}
 TARGET = "price"
 
+ROWS_PER_PARTITION = 1_000_000
+
 
 def model_rows(
     listings: DataFrame, columns: Sequence[str] = MODEL_COLUMNS, keep: Sequence[str] = ()
@@ -72,6 +74,11 @@ def regressors(seed: int = 42, trees: int = 100) -> dict[str, Estimator]:
     }
 
 
+def _spread(rows: DataFrame) -> int:
+    """Partitions that keep all cores busy, and beyond that hold about 100 MB of features each."""
+    return max(rows.sparkSession.sparkContext.defaultParallelism, rows.count() // ROWS_PER_PARTITION)
+
+
 def train(
     rows: DataFrame,
     keys: Sequence[str],
@@ -83,11 +90,10 @@ def train(
     """Fit every model and rank them: ``(model, rmse)`` best first, and the fitted pipelines.
 
     Features are fitted on the training rows only. The algorithms pass over the rows many times, so
-    these are spread evenly once, over ``spark.sql.shuffle.partitions`` unless told otherwise, and
-    kept for the duration of the fits.
+    these are spread evenly once, and kept for the duration of the fits.
     """
     spark = rows.sparkSession
-    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = partitions or _spread(rows)
     training, validation = split(rows, keys, train_percent, seed)
     prepared = Pipeline(stages=feature_stages(rows, ignore=keys)).fit(training)
     needed = ["features", TARGET]
