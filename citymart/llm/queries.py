@@ -6,13 +6,35 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from citymart.llm.mixing import mixing_positions
 from citymart.llm.packing import pack_documents
+from citymart.llm.secrets import digest, find_secrets
 from citymart.llm.simhash import simhash_duplicates
+from citymart.llm.toxicity import fit, held_out, score_documents
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest(find_secrets(spark.read.parquet(f"{sf_dir}/documents.parquet")))
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources weighed by the square root of their size, blocks of 100,000 characters."""
+    places = mixing_positions(spark.read.parquet(f"{sf_dir}/documents.parquet"), alpha=0.5)
+    return places.select(F.col("id").alias("doc_id"), "source", "block", "release", "deadline", "slot")
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), label_col="toxic")
+    return score_documents(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), words=3, bits=2)
 
@@ -22,6 +44,9 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_secrets": op2_secrets,
+    "op3_mixing": op3_mixing,
+    "op4_toxicity": op4_toxicity,
     "op6_simhash": op6_simhash,
     "op7_packing": op7_packing,
 }
