@@ -13,6 +13,15 @@ from citymart.llm.packing import pack_documents
 from citymart.llm.secrets import digest, find_secrets
 from citymart.llm.simhash import simhash_duplicates
 from citymart.llm.toxicity import fit, held_out, score_documents
+from citymart.llm.urls import judge_pages
+
+#: Rules of the url query: verdict, host, beginning of the path.
+URL_RULES = (
+    ("block", "net", "/"),
+    ("allow", "example.net", "/en/"),
+    ("block", "example.com", "/de/"),
+    ("allow", "org", "/fr/"),
+)
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -43,12 +52,81 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), TOKENIZER, size=2048, end_id=1)
 
 
+def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"), URL_RULES)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secrets": op2_secrets,
     "op3_mixing": op3_mixing,
     "op4_toxicity": op4_toxicity,
     "op6_simhash": op6_simhash,
     "op7_packing": op7_packing,
+    "op10_urls": op10_urls,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op10_urls": r"""
+with recursive page as (
+  select page_id, html,
+    translate(regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)', 1),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    regexp_extract(coalesce(url, ''), '^(?s:.*?)://[^/?#]*([^?#]*)', 1) as path,
+    regexp_extract(coalesce(url, ''), '^[^?#]*(\?[^#]*)', 1) as query
+  from pages
+),
+tag as (
+  select host, path, query,
+    unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>')) as tag from page
+),
+target as (
+  select host || path || query as a, host,
+    replace(case when regexp_matches(tag, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b')
+        then regexp_extract(tag, '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1)
+      when regexp_matches(tag, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b')
+        then regexp_extract(tag, '(?is)\burl\s*=\s*["'']?([^"''\s>;]+)', 1) end, '&amp;', '&') as t
+  from tag where host <> ''
+),
+absolute as (
+  select a, case when t like '//%' then 'http:' || t when t like '/%' then 'http://' || host || t else t end as t
+  from target where t <> ''
+),
+link as (
+  select distinct a,
+    translate(regexp_extract(t, '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz') || regexp_extract(t, '^(?s:.*?)://[^/?#]*([^?#]*)', 1)
+      || regexp_extract(t, '^[^?#]*(\?[^#]*)', 1) as b
+  from absolute where t like '%://%'
+),
+edge as (select a, b from link where a <> b union select b, a from link where a <> b),
+reach(a, b) as (
+  select a, a from edge
+  union
+  select r.a, e.b from reach r join edge e on r.b = e.a
+),
+rules(verdict, host, path) as (
+  values ('block', 'net', '/'), ('allow', 'example.net', '/en/'),
+    ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')
+),
+known as (
+  select distinct b as address, regexp_extract(b, '^([^/?#]*)', 1) as host,
+    regexp_extract(b, '^[^/?#]*([^?#]*)', 1) as path from reach
+),
+decided as (
+  select k.address, arg_max(r.verdict, length(r.host || r.path)) as verdict
+  from known k join rules r
+    on (k.host = r.host or ends_with(k.host, '.' || r.host)) and starts_with(k.path, r.path)
+  group by k.address
+),
+fate as (select x.a as address, min(d.verdict) as fate from reach x join decided d on x.b = d.address group by x.a),
+own as (
+  select p.page_id, arg_max(r.host || r.path, length(r.host || r.path)) as rule,
+    arg_max(r.verdict, length(r.host || r.path)) as verdict
+  from page p join rules r
+    on (p.host = r.host or ends_with(p.host, '.' || r.host)) and starts_with(p.path, r.path)
+  group by p.page_id
+)
+select p.page_id, p.host, p.path, o.rule, coalesce(o.verdict, f.fate, 'allow') as verdict
+from page p left join own o using (page_id) left join fate f on p.host || p.path || p.query = f.address
+""",
+}
