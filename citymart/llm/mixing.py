@@ -13,7 +13,7 @@ from citymart.session import stage
 BLOCK_CHARS = 100_000
 PERIOD = 10_000
 MAX_SOURCES = 10_000
-SLICE_UNITS = 50_000
+SLICE_UNITS = 2_000
 
 
 def integer_shares(weights: dict, period: int) -> dict:
