@@ -8,12 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from citymart.llm.inner_product import top_products
 from citymart.llm.mixing import mixing_positions
 from citymart.llm.packing import pack_documents
 from citymart.llm.secrets import digest, find_secrets
 from citymart.llm.simhash import simhash_duplicates
 from citymart.llm.toxicity import fit, held_out, score_documents
 from citymart.llm.urls import judge_pages
+from citymart.llm.vector_links import vector_links
 
 #: Rules of the url query: verdict, host, beginning of the path.
 URL_RULES = (
@@ -26,6 +28,10 @@ URL_RULES = (
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_links(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), cosine=0.95)
+
+
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(find_secrets(spark.read.parquet(f"{sf_dir}/documents.parquet")))
 
@@ -52,20 +58,57 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), TOKENIZER, size=2048, end_id=1)
 
 
+def op8_inner_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_products(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), every=50, k=5, scale=256.0)
+
+
 def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"), URL_RULES)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_vector_links": op1_vector_links,
     "op2_secrets": op2_secrets,
     "op3_mixing": op3_mixing,
     "op4_toxicity": op4_toxicity,
     "op6_simhash": op6_simhash,
     "op7_packing": op7_packing,
+    "op8_inner_product": op8_inner_product,
     "op10_urls": op10_urls,
 }
 
 ORACLES: dict[str, str] = {
+    "op1_vector_links": """
+with recursive vector as (
+  select vec_id, embedding::double[] as x from embeddings
+  where vec_id is not null and len(embedding) > 0
+    and len(list_filter(embedding, c -> c is null or not isfinite(c))) = 0
+    and len(list_filter(embedding, c -> c <> 0)) > 0
+),
+link as (
+  select a.vec_id as a, b.vec_id as b from vector a join vector b
+    on a.vec_id <> b.vec_id and len(a.x) = len(b.x) and list_cosine_similarity(a.x, b.x) >= 0.95
+),
+reach(a, b) as (select a, b from link union select r.a, l.b from reach r join link l on r.b = l.a)
+select vec_id,
+  (select count(*) from link l where l.a = vec_id) as n_links,
+  least(vec_id, coalesce((select min(b) from reach r where r.a = vec_id), vec_id)) as component_id,
+  vec_id <= coalesce((select min(b) from reach r where r.a = vec_id), vec_id) as kept
+from embeddings
+""",
+    "op8_inner_product": """
+with vector as (
+  select vec_id, list_transform(embedding, c -> floor(256 * c::double)) as x from embeddings
+  where vec_id is not null and len(embedding) > 0
+    and len(list_filter(embedding, c -> c is null or not isfinite(c))) = 0
+),
+ranked as (
+  select q.vec_id as query_id, c.vec_id, list_dot_product(q.x, c.x)::bigint as score,
+    row_number() over (partition by q.vec_id order by list_dot_product(q.x, c.x) desc, c.vec_id)::integer as rank
+  from vector q join vector c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id and len(q.x) = len(c.x)
+)
+select query_id, rank, vec_id, score from ranked where rank <= 5
+""",
     "op10_urls": r"""
 with recursive page as (
   select page_id, html,
