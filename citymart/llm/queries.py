@@ -82,8 +82,8 @@ ORACLES: dict[str, str] = {
 with recursive vector as (
   select vec_id, embedding::double[] as x from embeddings
   where vec_id is not null and len(embedding) > 0
-    and len(list_filter(embedding, c -> c is null or not isfinite(c))) = 0
-    and len(list_filter(embedding, c -> c <> 0)) > 0
+    and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0
+    and len(list_filter(embedding, lambda c: c <> 0)) > 0
 ),
 link as (
   select a.vec_id as a, b.vec_id as b from vector a join vector b
@@ -98,9 +98,9 @@ from embeddings
 """,
     "op8_inner_product": """
 with vector as (
-  select vec_id, list_transform(embedding, c -> floor(256 * c::double)) as x from embeddings
+  select vec_id, list_transform(embedding, lambda c: floor(256 * c::double)) as x from embeddings
   where vec_id is not null and len(embedding) > 0
-    and len(list_filter(embedding, c -> c is null or not isfinite(c))) = 0
+    and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0
 ),
 ranked as (
   select q.vec_id as query_id, c.vec_id, list_dot_product(q.x, c.x)::bigint as score,
