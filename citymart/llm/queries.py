@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citymart.llm.inner_product import top_products
+from citymart.llm.labelled import held_out
 from citymart.llm.mixing import mixing_positions
 from citymart.llm.packing import pack_documents
+from citymart.llm.resampling import resample
 from citymart.llm.secrets import digest, find_secrets
 from citymart.llm.simhash import simhash_duplicates
-from citymart.llm.toxicity import fit, held_out, score_documents
+from citymart.llm.toxicity import fit, score_documents
 from citymart.llm.urls import judge_pages
 from citymart.llm.vector_links import vector_links
 
@@ -50,6 +52,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    return resample(docs, labels, label_col="quality")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), words=3, bits=2)
 
@@ -71,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secrets": op2_secrets,
     "op3_mixing": op3_mixing,
     "op4_toxicity": op4_toxicity,
+    "op5_resampling": op5_resampling,
     "op6_simhash": op6_simhash,
     "op7_packing": op7_packing,
     "op8_inner_product": op8_inner_product,
