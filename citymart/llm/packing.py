@@ -17,14 +17,14 @@ from citymart.session import stage
 
 #: Texts are tokenised in groups of about so many characters.
 GROUP_CHARS = 4_000_000
-#: A task forgets the ids of known words beyond so many; memory stays below about 200 MB.
-KNOWN_WORDS = 1_000_000
+#: A worker forgets the ids of known words beyond so many; they take about 150 bytes each.
+KNOWN_WORDS = 700_000
 
 _PUNCTUATION = string.punctuation.encode()
 
 
 class WordIds(dict):
-    """Token ids (little-endian, four bytes each) of space-separated words, learnt as they come.
+    """Token ids (in ``kind``'s bytes) of space-separated words, learnt as they come.
 
     The tokenizer never joins across white space, so a text's ids are those of its words in turn. A
     word seen for the first time gets an empty entry that ``learn`` fills for all new words at once.
@@ -34,55 +34,65 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
-        self.new: list[tuple[bytes, bytearray]] = []
+        self.new: dict[bytes, bytearray] = {}
         vocabulary = self.tokenizer.get_vocab()
+        self.kind = "<u2" if max(vocabulary.values()) < 1 << 16 else "<u4"
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     def __missing__(self, word: bytes) -> bytearray:
-        ids = self[word] = bytearray()
-        self.new.append((word, ids))
+        ids = self.new.get(word)
+        if ids is None:
+            ids = self.new[word] = bytearray()
         return ids
 
-    def parts(self, text: str) -> list[bytearray]:
+    def parts(self, text: str) -> list[bytes | bytearray]:
         raw = text.encode()
         if b"<|" not in raw:  # special tokens are known in lower case only
             raw = raw.lower()
         return list(map(self.__getitem__, raw.replace(b"\n", b" ").split(b" ")))
 
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(f.ids, self.kind) for f in found]
+
     def learn(self) -> None:
-        """Fill all entries that ``parts`` opened. Letters with trailing punctuation are two tokens'
-        worth of words: the letters, and the punctuation as a whole."""
-        odd, composed, cores = [], [], {}
-        while self.new:
-            for word, ids in self.new:
+        """Fill all entries that ``parts`` opened. A word of letters and trailing punctuation has the
+        ids of the letters and of the punctuation as a whole, so only its parts are encoded."""
+        odd, cores, composed, todo = {}, {}, [], self.new
+        while todo:
+            self.new = {}
+            for word, ids in todo.items():
                 core = word.rstrip(_PUNCTUATION)
                 if not core.decode().isalpha():
-                    odd.append((word, ids))
+                    odd[word] = ids
                 elif len(core) == len(word):
                     cores[word] = ids
                 else:
-                    composed.append((ids, core, word[len(core) :]))
-            self.new = []
-            for _, core, tail in composed:  # opens entries for parts not seen yet
-                self[core], self[tail]
+                    composed.append((word, ids, core, word[len(core) :]))
+            for _, _, core, tail in composed:  # opens entries for parts not seen yet
+                for part in (core, tail):
+                    if part not in cores and part not in odd:
+                        self[part]
+            todo = self.new
+        self.new = {}
         if cores:
             words = [w.decode() for w in cores]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+            ids = self._encode([" ".join(words)])[0]
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) == len(words):  # each word ends once
-                raw, at = ids.tobytes(), [0, *(4 * cuts).tolist()]
+                raw, at = ids.tobytes(), [0, *(ids.itemsize * cuts).tolist()]
                 for entry, start, end in zip(cores.values(), at, at[1:]):
                     entry += raw[start:end]
             else:
-                odd.extend(cores.items())
-        if odd:
-            texts = [w.decode() for w, _ in odd]
-            for (_, entry), found in zip(odd, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-                entry += np.array(found.ids, "<u4").tobytes()
-        for ids, core, tail in composed:
-            ids += self[core]
-            ids += self[tail]
+                odd.update(cores)
+        for entry, ids in zip(odd.values(), self._encode([w.decode() for w in odd])):
+            entry += ids.tobytes()
+        for learnt in (cores, odd):
+            self.update((word, bytes(ids)) for word, ids in learnt.items())
+        for word, ids, core, tail in composed:
+            ids += self[core] + self[tail]
+            self[word] = bytes(ids)
 
     def trim(self) -> None:
         if len(self) > KNOWN_WORDS:
@@ -95,21 +105,24 @@ def word_ids(file: str) -> WordIds:
     return WordIds(file)
 
 
-def token_bytes(texts: list[str | None], file: str) -> Iterator[bytes]:
-    """The ids of each text, four bytes each; NULL counts as empty."""
-    known, start = word_ids(file), 0
-    while start < len(texts):
-        end, chars, parts = start, 0, []
-        while end < len(texts) and chars < GROUP_CHARS:
-            text = texts[end] or ""
-            chars += len(text) + 1
-            parts.append(known.parts(text))
-            end += 1
+def token_ids(texts: pa.Array, file: str) -> Iterator[np.ndarray]:
+    """The ids of each text; NULL counts as empty."""
+    known, chars, parts = word_ids(file), 0, []
+
+    def learnt() -> Iterator[np.ndarray]:
         known.learn()
         for part in parts:
-            yield b"".join(part)
+            yield np.frombuffer(b"".join(part), known.kind)
         known.trim()
-        start = end
+
+    for item in texts:
+        text = item.as_py() or ""
+        chars += len(text) + 1
+        parts.append(known.parts(text))
+        if chars >= GROUP_CHARS:
+            yield from learnt()
+            chars, parts = 0, []
+    yield from learnt()
 
 
 def token_pieces(
@@ -129,18 +142,17 @@ def token_pieces(
     }
     if with_ids:
         fields["ids"] = "array<int>"
-    end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, seen = TaskContext.get().partitionId(), [0] * (size + 1)
         for batch in batches:
             taken, starts, lengths, sums, totals, ranks, ids = [], [], [], [], [], [], []
-            for row, raw in enumerate(token_bytes(batch.column(1).to_pylist(), tokenizer_file)):
-                raw += end
-                total = len(raw) // 4
+            for row, tokens in enumerate(token_ids(batch.column(1), tokenizer_file)):
+                tokens = np.append(tokens.astype("<u4"), np.array([end_id], "<u4"))
+                total = len(tokens)
                 for start in range(0, total, size):
-                    piece = raw[4 * start : 4 * (start + size)]
-                    length = len(piece) // 4
+                    piece = tokens[start : start + size]
+                    length = len(piece)
                     taken.append(row)
                     starts.append(start)
                     lengths.append(length)
@@ -149,7 +161,7 @@ def token_pieces(
                     ranks.append(seen[length])
                     seen[length] += 1
                     if with_ids:
-                        ids.append(np.frombuffer(piece, "<i4"))
+                        ids.append(piece.astype(np.int32))
             columns = [batch.column(0).take(pa.array(taken, pa.int64()))]
             columns += [pa.array(c, pa.int64()) for c in (starts, lengths, sums, totals)]
             columns += [pa.array([task] * len(taken), pa.int32()), pa.array(ranks, pa.int64())]
