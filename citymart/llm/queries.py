@@ -12,6 +12,7 @@ from citymart.llm.inner_product import top_products
 from citymart.llm.labelled import held_out
 from citymart.llm.mixing import mixing_positions
 from citymart.llm.packing import pack_documents
+from citymart.llm.passages import shared_passages
 from citymart.llm.resampling import resample
 from citymart.llm.secrets import digest, find_secrets
 from citymart.llm.simhash import simhash_duplicates
@@ -69,6 +70,10 @@ def op8_inner_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_products(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), every=50, k=5, scale=256.0)
 
 
+def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shared_passages(spark.read.parquet(f"{sf_dir}/documents.parquet"), least=50)
+
+
 def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"), URL_RULES)
 
@@ -82,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_simhash": op6_simhash,
     "op7_packing": op7_packing,
     "op8_inner_product": op8_inner_product,
+    "op9_passages": op9_passages,
     "op10_urls": op10_urls,
 }
 
