@@ -7,10 +7,10 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-
 from pyspark.sql.pandas.types import to_arrow_type
 
 from citymart.session import stage
@@ -25,16 +25,17 @@ def split_words(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
-def anchors(words: list[bytes], least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Minimiser positions of a text and the hashes of the ``GRAM`` words that begin there.
+def anchors(words: list[bytes], least: int) -> tuple[np.ndarray, ...]:
+    """Minimiser positions of a text, the hashes of the ``GRAM`` words there, and the first and the
+    last start of the runs of ``least`` words that each position was chosen for.
 
     Of every ``least - GRAM + 1`` positions in a row the leftmost one with the smallest hash is
-    chosen, so that ``least`` words in a row, wherever they stand, have the same positions chosen
+    chosen, so that ``least`` words in a row, wherever they stand, have the same position chosen
     inside them. Shorter texts have none.
     """
     n, window = len(words) - GRAM + 1, least - GRAM + 1
     if n < window:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return (np.zeros(0, np.int64),) * 4
     sums = np.fromiter(map(zlib.crc32, words), np.uint64, len(words))
     hashes = np.zeros(n, np.uint64)
     for i in range(GRAM):
@@ -42,12 +43,12 @@ def anchors(words: list[bytes], least: int) -> tuple[np.ndarray, np.ndarray]:
     hashes ^= hashes >> np.uint64(32)
     hashes *= _MIX
     hashes ^= hashes >> np.uint64(29)
-    chosen = []
-    for start in range(0, n - window + 1, 1 << 16):  # in parts for long texts
+    chosen = np.empty(n - window + 1, np.int64)
+    for start in range(0, len(chosen), 1 << 16):  # in parts for long texts
         part = np.lib.stride_tricks.sliding_window_view(hashes[start : start + (1 << 16) + window - 1], window)
-        chosen.append(np.unique(part.argmin(axis=1) + np.arange(len(part))) + start)
-    at = np.unique(np.concatenate(chosen))
-    return at, hashes[at].view(np.int64)
+        chosen[start : start + len(part)] = part.argmin(axis=1) + np.arange(start, start + len(part))
+    at, first, count = np.unique(chosen, return_index=True, return_counts=True)
+    return at, hashes[at].view(np.int64), first, first + count - 1
 
 
 def _anchor_rows(docs: DataFrame, least: int) -> DataFrame:
@@ -55,7 +56,7 @@ def _anchor_rows(docs: DataFrame, least: int) -> DataFrame:
         for batch in batches:
             keys, positions, grams = [], [], []
             for key, text in zip(batch.column(0).to_numpy(zero_copy_only=False), batch.column(1)):
-                at, hashes = anchors(split_words(text.as_py()), least)
+                at, hashes, _, _ = anchors(split_words(text.as_py()), least)
                 keys.append(np.full(len(at), key))
                 positions.append(at.astype(np.int32))
                 grams.append(hashes)
@@ -66,30 +67,34 @@ def _anchor_rows(docs: DataFrame, least: int) -> DataFrame:
 
 
 def _suffix_rows(docs: DataFrame, least: int, id_kind: str) -> DataFrame:
-    """``id``, ``pos``, ``suffix`` (the ``least`` words from there) and ``left`` (as many before, the last first)."""
+    """``id``, ``pos``, ``suffix`` (the ``least`` words from there), ``left`` (as many before, the last
+    first), and how far before ``pos`` the runs that it was chosen for begin: ``near`` to ``far``."""
+    names = ["id", "pos", "suffix", "left", "near", "far"]
+    kinds = [pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.int32()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["id", "pos", "suffix", "left"]
         for batch in batches:
             ids, out = batch.column(0), []
-            for row, (text, at) in enumerate(zip(batch.column(1), batch.column(2))):
-                words = split_words(text.as_py())
-                for p in at.as_py():
-                    left = words[max(0, p - least) : p]
-                    out.append((row, p, b" ".join(words[p : p + least]), b" ".join(left[::-1])))
+
+            def table() -> pa.RecordBatch:
+                row, *columns = zip(*out)
+                columns = [pa.array(c, k) for c, k in zip(columns, kinds)]
+                return pa.RecordBatch.from_arrays([ids.take(pa.array(row)), *columns], names=names)
+
+            for row, (text, chosen) in enumerate(zip(batch.column(1), batch.column(2))):
+                words, wanted = split_words(text.as_py()), set(chosen.as_py())
+                at, _, first, last = (c.tolist() for c in anchors(words, least))
+                for p, low, high in zip(at, first, last):
+                    if p in wanted:
+                        suffix, left = words[p : p + least], words[max(0, p - least) : p]
+                        out.append((row, p, b" ".join(suffix), b" ".join(left[::-1]), p - high, p - low))
                 if len(out) > 20_000:
-                    yield _batch(ids, out, names)
-                    out = []
+                    yield table()
+                    out.clear()
             if out:
-                yield _batch(ids, out, names)
-
-    return docs.mapInArrow(run, f"id {id_kind}, pos int, suffix binary, left binary")
+                yield table()
 
-
-def _batch(ids: pa.Array, rows: list[tuple], names: list[str]) -> pa.RecordBatch:
-    row, pos, suffix, left = zip(*rows)
-    columns = [ids.take(pa.array(row)), pa.array(pos, pa.int32()), pa.array(suffix, pa.binary()), pa.array(left, pa.binary())]
-    return pa.RecordBatch.from_arrays(columns, names=names)
+    return docs.mapInArrow(run, f"id {id_kind}, pos int, suffix binary, left binary, near int, far int")
 
 
 def common_words(a: bytes, b: bytes) -> int:
@@ -104,69 +109,106 @@ def common_words(a: bytes, b: bytes) -> int:
     return n
 
 
-Row = tuple  # id, pos, suffix, left
+Row = tuple  # id, pos, suffix, left, near, far
 
 
-def shared_spans(rows: Iterable[Row], least: int) -> Iterator[tuple]:
-    """Spans that sorted suffixes share with neighbours of other documents, and the rows left open.
+def run_key(row: Row, back: int, least: int) -> bytes:
+    """The ``least`` words that begin ``back`` words before the row's position, as 128 bits."""
+    left, right = row[3].split()[:back], row[2].split()[: least - back]
+    return xxhash.xxh3_128_digest(b" ".join([*left[::-1], *right]))
 
-    Yields (row, start, end) and, for the first and the last run of one document's rows, which lack a
-    neighbour on one side, (row, None, None). The nearest neighbour of another document on either side
-    has the longest common beginning; the match is then extended to the left.
-    """
-
-    def match(row: Row, other: Row | None) -> tuple | None:
-        if other is None:
-            return None
-        right = common_words(row[2], other[2])
-        if right < GRAM:
-            return None
-        left = common_words(row[3], other[3])
-        return (row, row[1] - left, row[1] + right) if left + right >= least else None
 
+def shared_spans(rows: Iterable[Row], least: int) -> Iterator[tuple]:
+    """What sorted suffixes share with their neighbours, and what is left to find out.
+
+    * ("span", row, start, end): words shared with the nearest suffix of another document on either
+      side, which has the longest common beginning; the match is extended to the left.
+    * ("open", row): first and last run of one document's rows, which lack a neighbour on one side.
+    * ("ask" or "tell", row, back): a run of ``least`` words that some other suffix may share, as its
+      part to the right is no longer than the longest common beginning; "ask" if no span covers it.
+      Of suffixes that are the same on both sides in two documents, only two rows tell.
+    """
     before: Row | None = None
     run: list[Row] = []
     first = True
+    told: tuple = (None, set())
+
+    def looked_at(row: Row, others: list[Row | None]) -> Iterator[tuple]:
+        nonlocal told
+        spans, right, twin = [], 0, False
+        for other in others:
+            if other is None:
+                right = least
+                continue
+            common = common_words(row[2], other[2])
+            right = max(right, common)
+            if common >= GRAM:
+                left = common_words(row[3], other[3])
+                twin = twin or row[2:4] == other[2:4]
+                if left + common >= least:
+                    spans.append((row[1] - left, row[1] + common))
+        yield from (("span", row, *span) for span in spans)
+        if twin:
+            if told[0] != row[2:4]:
+                told = (row[2:4], set())
+            if row[0] in told[1] or len(told[1]) == 2:
+                return
+            told[1].add(row[0])
+        if right >= GRAM:
+            for back in range(max(row[4], least - right), row[5] + 1):
+                start = row[1] - back
+                covered = any(a <= start and start + least <= b for a, b in spans)
+                yield "tell" if covered else "ask", row, back
+
     for row in rows:
         if run and row[0] != run[0][0]:
             for r in run:
-                yield from filter(None, (match(r, before), match(r, row)))
+                yield from looked_at(r, [before, row])
                 if first:
-                    yield r, None, None
+                    yield "open", r
             before, run, first = run[-1], [], False
         run.append(row)
     for r in run:
-        yield from filter(None, (match(r, before),))
-        yield r, None, None
+        yield from looked_at(r, [before, None])
+        yield "open", r
 
 
 def _compare(rows: DataFrame, least: int, id_kind: str) -> DataFrame:
-    """``shared_spans`` over the partitions; open rows come with their words and their place."""
+    """``shared_spans`` over the partitions: spans, keys of runs, and open rows with their place."""
     id_type = to_arrow_type(rows.schema["id"].dataType)
+    kinds = [id_type, pa.string(), *[pa.int32()] * 2, pa.binary(), *[pa.int32()] * 3, pa.binary(), pa.binary(), *[pa.int32()] * 2]
+    names = ["id", "what", "start", "end", "run_key", "task", "place", "pos", "suffix", "left", "near", "far"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
-        kinds = [id_type, *[pa.int32()] * 5, pa.binary(), pa.binary()]
-        names = ["id", "start", "end", "task", "place", "pos", "suffix", "left"]
 
         def read() -> Iterator[Row]:
+            wanted = ("id", "pos", "suffix", "left", "near", "far")
             for batch in batches:
-                yield from zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("id", "pos", "suffix", "left")))
+                yield from zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in wanted))
 
         def table(out: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
 
         out = []
-        for place, (row, start, end) in enumerate(shared_spans(read(), least)):
-            rest = row[1:] if start is None else (None, None, None)
-            out.append((row[0], start, end, task, place, *rest))
+        for place, (what, row, *more) in enumerate(shared_spans(read(), least)):
+            if what == "span":
+                out.append((row[0], what, *more, None, task, place, *[None] * 5))
+            elif what == "open":
+                out.append((row[0], what, None, None, None, task, place, *row[1:]))
+            else:
+                start = row[1] - more[0]
+                out.append((row[0], what, start, start + least, run_key(row, more[0], least), task, place, *[None] * 5))
             if len(out) >= 10_000:
                 yield table(out)
                 out = []
         if out:
             yield table(out)
 
-    schema = f"id {id_kind}, start int, end int, task int, place int, pos int, suffix binary, left binary"
+    schema = (
+        f"id {id_kind}, what string, start int, end int, run_key binary, task int, place int, "
+        "pos int, suffix binary, left binary, near int, far int"
+    )
     return rows.mapInArrow(run, schema)
 
 
@@ -182,9 +224,10 @@ def shared_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Positions with the smallest hash of their window are kept; those whose words begin a position in
     another document too (counted with a combined aggregate, joined as a skewed join) become suffixes.
     Suffixes with their words to either side are sorted by ranges, so that the suffixes of a frequent
-    passage are split over tasks; each task compares neighbours and leaves its first and last rows open
-    for one small comparison across tasks. Words beyond ``least`` on either side are covered by the
-    next position, as positions are never farther apart.
+    passage are split over tasks; each task compares neighbours and extends their matches. A
+    neighbour need not be the partner with the longest match on both sides together: runs of ``least``
+    words that no match covers but some other suffix may share are looked up by a 128-bit key, which
+    also settles the rows at the tasks' ends. So every run that two documents share is found.
     """
     id_kind = df.schema[id_col].dataType.simpleString()
     docs = df.filter(F.col(id_col).isNotNull()).select(
@@ -199,11 +242,17 @@ def shared_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     texts = docs.join(chosen, F.col("key") == F.col("__key")).select("id", "text", "at")
     suffixes = stage(_suffix_rows(texts, least, id_kind), "suffixes")
     order = ["suffix", "left", "id", "pos"]
-    compared = stage(_compare(suffixes.repartitionByRange(*order).sortWithinPartitions(*order), least, id_kind), "compared")
-    edges = compared.filter("start is null").repartition(1).sortWithinPartitions("task", "place")
-    spans = compared.filter("start is not null").select("id", "start", "end")
-    spans = spans.unionAll(_compare(edges, least, id_kind).filter("start is not null").select("id", "start", "end"))
-    spans = spans.distinct()
+    suffixes = suffixes.repartitionByRange(*order).sortWithinPartitions(*order)
+    compared = stage(_compare(suffixes, least, id_kind), "compared")
+    # the open rows of all tasks in order, a few for each task
+    edges = compared.filter("what = 'open'").repartition(1).sortWithinPartitions("task", "place")
+    spans = compared.filter("what = 'span'").select("id", "start", "end")
+    spans = spans.unionAll(_compare(edges, least, id_kind).filter("what = 'span'").select("id", "start", "end"))
+    runs = compared.filter("run_key is not null").select("id", "run_key", "start", "end", "what")
+    asked = runs.filter("what = 'ask'").select("id", "run_key", "start", "end").distinct()
+    known = runs.join(asked.select("run_key").distinct(), "run_key", "left_semi")
+    known = known.groupBy("run_key").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low <> high")
+    spans = spans.unionAll(asked.join(known, "run_key", "left_semi").select("id", "start", "end")).distinct()
     # overlapping spans of a document become one
     before = Window.partitionBy("id").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
     spans = spans.withColumn("fresh", (F.col("start") > F.coalesce(F.max("end").over(before), F.lit(-1))).cast("int"))
