@@ -236,6 +236,8 @@ def shared_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     found = stage(_anchor_rows(docs, least), "anchors")
     several = found.groupBy("gram").agg(F.min("key").alias("low"), F.max("key").alias("high"))
     several = several.filter("low <> high").select(F.col("gram").alias("__gram"))
+    # a table of its own, so that a frequent one's rows are split in the join
+    several = stage(several, "several")
     chosen = found.join(several, F.col("gram") == F.col("__gram"), "left_semi")
     chosen = chosen.groupBy(F.col("key").alias("__key")).agg(F.collect_set("pos").alias("at"))
     chosen = stage(chosen, "chosen")
