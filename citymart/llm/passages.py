@@ -8,7 +8,6 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -123,14 +122,13 @@ def shared_spans(rows: Iterable[Row], least: int) -> Iterator[tuple]:
 
     * ("span", row, start, end): words shared with the nearest suffix of another document on either
       side, which has the longest common beginning; the match is extended to the left.
-    * ("open", row): first and last run of one document's rows, which lack a neighbour on one side.
     * ("ask" or "tell", row, back): a run of ``least`` words that some other suffix may share, as its
       part to the right is no longer than the longest common beginning; "ask" if no span covers it.
-      Of suffixes that are the same on both sides in two documents, only two rows tell.
+      Of suffixes that are the same on both sides in two documents, only two rows tell. The first and
+      the last rows, which lack a neighbour on one side, may share any run.
     """
     before: Row | None = None
     run: list[Row] = []
-    first = True
     told: tuple = (None, set())
 
     def looked_at(row: Row, others: list[Row | None]) -> Iterator[tuple]:
@@ -164,24 +162,18 @@ def shared_spans(rows: Iterable[Row], least: int) -> Iterator[tuple]:
         if run and row[0] != run[0][0]:
             for r in run:
                 yield from looked_at(r, [before, row])
-                if first:
-                    yield "open", r
-            before, run, first = run[-1], [], False
+            before, run = run[-1], []
         run.append(row)
     for r in run:
         yield from looked_at(r, [before, None])
-        yield "open", r
 
 
 def _compare(rows: DataFrame, least: int, id_kind: str) -> DataFrame:
-    """``shared_spans`` over the partitions: spans, keys of runs, and open rows with their place."""
-    id_type = to_arrow_type(rows.schema["id"].dataType)
-    kinds = [id_type, pa.string(), *[pa.int32()] * 2, pa.binary(), *[pa.int32()] * 3, pa.binary(), pa.binary(), *[pa.int32()] * 2]
-    names = ["id", "what", "start", "end", "run_key", "task", "place", "pos", "suffix", "left", "near", "far"]
+    """``shared_spans`` over each partition, with the keys of the runs asked and told."""
+    kinds = [to_arrow_type(rows.schema["id"].dataType), pa.string(), pa.int32(), pa.int32(), pa.binary()]
+    names = ["id", "what", "start", "end", "run_key"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = TaskContext.get().partitionId()
-
         def read() -> Iterator[Row]:
             wanted = ("id", "pos", "suffix", "left", "near", "far")
             for batch in batches:
@@ -191,25 +183,19 @@ def _compare(rows: DataFrame, least: int, id_kind: str) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
 
         out = []
-        for place, (what, row, *more) in enumerate(shared_spans(read(), least)):
+        for what, row, *more in shared_spans(read(), least):
             if what == "span":
-                out.append((row[0], what, *more, None, task, place, *[None] * 5))
-            elif what == "open":
-                out.append((row[0], what, None, None, None, task, place, *row[1:]))
+                out.append((row[0], what, *more, None))
             else:
                 start = row[1] - more[0]
-                out.append((row[0], what, start, start + least, run_key(row, more[0], least), task, place, *[None] * 5))
+                out.append((row[0], what, start, start + least, run_key(row, more[0], least)))
             if len(out) >= 10_000:
                 yield table(out)
                 out = []
         if out:
             yield table(out)
 
-    schema = (
-        f"id {id_kind}, what string, start int, end int, run_key binary, task int, place int, "
-        "pos int, suffix binary, left binary, near int, far int"
-    )
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, f"id {id_kind}, what string, start int, end int, run_key binary")
 
 
 def shared_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = 50) -> DataFrame:
@@ -246,10 +232,7 @@ def shared_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     order = ["suffix", "left", "id", "pos"]
     suffixes = suffixes.repartitionByRange(*order).sortWithinPartitions(*order)
     compared = stage(_compare(suffixes, least, id_kind), "compared")
-    # the open rows of all tasks in order, a few for each task
-    edges = compared.filter("what = 'open'").repartition(1).sortWithinPartitions("task", "place")
     spans = compared.filter("what = 'span'").select("id", "start", "end")
-    spans = spans.unionAll(_compare(edges, least, id_kind).filter("what = 'span'").select("id", "start", "end"))
     runs = compared.filter("run_key is not null").select("id", "run_key", "start", "end", "what")
     asked = runs.filter("what = 'ask'").select("id", "run_key", "start", "end").distinct()
     known = runs.join(asked.select("run_key").distinct(), "run_key", "left_semi")
