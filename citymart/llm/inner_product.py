@@ -202,8 +202,9 @@ def top_products(
     """``query_id``, ``rank`` from 1, ``vec_id``, ``score``: the ``k`` best rows of each query, itself left out.
 
     Queries are the rows whose id is divisible by ``every``, candidates all rows. Components become
-    floor(``scale`` x), the score is the integer inner product, ties go to the smaller id. Vectors
-    that are NULL or empty or hold a NULL or non-finite component take no part, nor do vectors of
+    floor(``scale`` x), the score is the integer inner product, held at the limits of a long beyond
+    them, ties go to the smaller id. Vectors that are NULL or empty or hold a NULL or non-finite
+    component take no part, nor do vectors of
     different lengths with each other; a query without candidates has no rows. Rows without an id are
     left out; of rows that repeat an id the smallest vector counts. Other columns are ignored. An
     empty table gives no rows.
