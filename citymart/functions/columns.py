@@ -95,8 +95,8 @@ def clean_number(value: Column, dtype: str, sentinel: str = "-") -> Column:
 
 
 def with_default(value: Column, default: object, dtype: str) -> Column:
-    """``value`` with NULL replaced, then cast."""
-    return F.coalesce(value, F.lit(default)).cast(dtype)
+    """``value`` in the wanted type, with the default for NULL and for what the type cannot hold."""
+    return F.coalesce(value.try_cast(dtype), F.lit(default).cast(dtype))
 
 
 def all_digits(value: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from citymart.functions import columns as C
 from citymart.operators.marts import valid_prices
-from citymart.operators.quantiles import join_on, quantiles
+from citymart.operators.quantiles import ACCURACY, group_stats
 
 
 def pearson(a: Column, b: Column) -> Column:
@@ -19,12 +19,15 @@ def pearson(a: Column, b: Column) -> Column:
     return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
-def price_quartiles(listings: DataFrame, key: str = "property_type", exact: bool = True) -> DataFrame:
+# Fixed values in this module: the names of the indicators and of their figures.
+
+
+def price_quartiles(
+    listings: DataFrame, key: str = "property_type", exact: bool = False, accuracy: int = ACCURACY
+) -> DataFrame:
     """Price quartiles and number of listings per ``key``."""
-    counts = listings.groupBy(key).agg(F.count(F.lit(1)).alias("listings"))
     outputs = {"price_q1": ("price_eur", 0.25), "price_q2": ("price_eur", 0.5), "price_q3": ("price_eur", 0.75)}
-    [found] = quantiles(listings, [[key]], outputs, exact)
-    return join_on(counts, found, [key], "left")
+    return group_stats(listings, [key], [F.count(F.lit(1)).alias("listings")], outputs, exact, accuracy)
 
 
 def listing_counts(listings: DataFrame) -> DataFrame:

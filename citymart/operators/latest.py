@@ -38,3 +38,16 @@ def latest_per_key(
     for key in keys:
         same = same & (F.col(key) == F.col(f"__{key}"))
     return df.join(newest, same).drop(*[f"__{k}" for k in keys])
+
+
+def dedup_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """One row per key: the one with the largest ``order`` values, ties by the largest other columns.
+
+    NULL keys are keys like any other, NULL orders come first. The winner is an aggregate of whole
+    rows, combined map-side, so copies of a key meet as one row per task. Maps cannot be compared and
+    are not taken.
+    """
+    others = [c for c in df.columns if c not in (*keys, *order)]
+    newest = F.max(F.struct(*order, *others)).alias("__newest")
+    found = df.groupBy(*keys).agg(newest)
+    return found.select(*[F.col(c) if c in keys else F.col(f"__newest.{c}").alias(c) for c in df.columns])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from citymart.functions import columns as C
 from citymart.operators.latest import latest_per_key
-from citymart.operators.quantiles import join_on, quantiles
+from citymart.operators.quantiles import ACCURACY, group_quantiles, group_stats, join_on, sketches
 from citymart.session import stage
 
 # Fixed value: listings at or above this price per square metre are outliers.
@@ -61,10 +61,13 @@ _LEVELS = {
 }
 
 
-def _price_stats(listings: DataFrame, levels: Sequence[str], exact: bool) -> DataFrame:
+def _price_stats(
+    listings: DataFrame, levels: Sequence[str], exact: bool, medians: bool = True, accuracy: int = ACCURACY
+) -> DataFrame:
     """Price statistics of valid listings at several levels, keys that do not apply NULL.
 
-    All levels come out of one grouping-sets aggregation, and of the same scans for the medians.
+    All levels come out of one grouping-sets aggregation, medians included unless they are to be
+    ``exact``, which costs two more scans.
     """
     clean = valid_prices(listings)
     grains = [_LEVELS[level] for level in levels]
@@ -73,14 +76,21 @@ def _price_stats(listings: DataFrame, levels: Sequence[str], exact: bool) -> Dat
     for name, grain in zip(levels, grains):
         absent = int("".join("0" if k in grain else "1" for k in keys), 2)
         level = F.when(F.grouping_id(*keys) == absent, name).otherwise(level)
-    stats = clean.groupingSets(grains, *keys).agg(level.alias("analysis_level"), *_price_measures())
-    medians = [
-        found.withColumns(
+    measures = [level.alias("analysis_level"), *_price_measures()]
+    if not medians:
+        measures += [F.lit(None).cast("double").alias(m) for m in _PRICE_MEDIANS]
+    elif not exact:
+        measures += sketches(_PRICE_MEDIANS, accuracy)
+    stats = clean.groupingSets(grains, *keys).agg(*measures)
+    if not medians or not exact:
+        return stats
+    found = [
+        frame.withColumns(
             {k: F.lit(None).cast(clean.schema[k].dataType) for k in keys if k not in grain}
         ).withColumn("analysis_level", F.lit(name))
-        for name, grain, found in zip(levels, grains, quantiles(clean, grains, _PRICE_MEDIANS, exact))
+        for name, grain, frame in zip(levels, grains, group_quantiles(clean, grains, _PRICE_MEDIANS))
     ]
-    return join_on(stats, reduce(DataFrame.unionByName, medians), [*keys, "analysis_level"], "left")
+    return join_on(stats, reduce(DataFrame.unionByName, found), [*keys, "analysis_level"], "left")
 
 
 def _property_columns(stats: DataFrame) -> DataFrame:
@@ -115,20 +125,27 @@ def _type_columns(stats: DataFrame) -> DataFrame:
 def property_analytics(
     listings: DataFrame,
     levels: Sequence[str] = ("district", "neighborhood"),
-    exact: bool = True,
+    exact: bool = False,
+    medians: bool = True,
+    accuracy: int = ACCURACY,
 ) -> DataFrame:
-    """Price statistics of valid listings per district and per neighbourhood, one row set each."""
-    return _property_columns(_price_stats(listings, levels, exact))
+    """Price statistics of valid listings per district and per neighbourhood, one row set each.
+
+    Without ``medians`` their columns are NULL.
+    """
+    return _property_columns(_price_stats(listings, levels, exact, medians, accuracy))
 
 
-def property_type_analytics(listings: DataFrame, exact: bool = True) -> DataFrame:
+def property_type_analytics(listings: DataFrame, exact: bool = False, accuracy: int = ACCURACY) -> DataFrame:
     """Listings, mean and median price per m² per district and property type."""
-    return _type_columns(_price_stats(listings, ["property_type"], exact))
+    return _type_columns(_price_stats(listings, ["property_type"], exact, accuracy=accuracy))
 
 
-def property_marts(listings: DataFrame, exact: bool = True) -> tuple[DataFrame, DataFrame]:
+def property_marts(
+    listings: DataFrame, exact: bool = False, accuracy: int = ACCURACY
+) -> tuple[DataFrame, DataFrame]:
     """Both property marts out of one staged result, so that they share every scan."""
-    stats = stage(_price_stats(listings, list(_LEVELS), exact), "prices")
+    stats = stage(_price_stats(listings, list(_LEVELS), exact, accuracy=accuracy), "prices")
     by_type = F.col("analysis_level") == "property_type"
     return _property_columns(stats.filter(~by_type)), _type_columns(stats.filter(by_type))
 
@@ -150,10 +167,9 @@ def latest_income(income: DataFrame) -> DataFrame:
     return latest_per_key(valid_income(income), INCOME_PLACE, "year")
 
 
-def socioeconomic_district(income: DataFrame, exact: bool = True) -> DataFrame:
+def socioeconomic_district(income: DataFrame, exact: bool = False, accuracy: int = ACCURACY) -> DataFrame:
     """Income level, inequality and population per district, from the newest year of each part."""
-    latest = latest_income(income)
-    stats = latest.groupBy("district_name").agg(
+    measures = [
         F.min("district_code").alias("district_code"),
         F.count(F.lit(1)).alias("neighborhood_count"),
         F.avg("income_index_bcn_100").alias("avg_income_index"),
@@ -162,11 +178,9 @@ def socioeconomic_district(income: DataFrame, exact: bool = True) -> DataFrame:
         F.max("income_index_bcn_100").alias("max_income_index"),
         F.sum("population").cast("double").alias("total_population"),
         F.avg("population").alias("avg_neighborhood_population"),
-    )
-    [medians] = quantiles(
-        latest, [["district_name"]], {"median_income_index": ("income_index_bcn_100", 0.5)}, exact
-    )
-    return join_on(stats, medians, ["district_name"], "left").select(
+    ]
+    median = {"median_income_index": ("income_index_bcn_100", 0.5)}
+    return group_stats(latest_income(income), ["district_name"], measures, median, exact, accuracy).select(
         "district_name",
         "district_code",
         "neighborhood_count",
@@ -288,18 +302,25 @@ def integrated_analytics(
     property_mart: DataFrame,
     socio_mart: DataFrame,
     cultural_mart: DataFrame,
-    quintile_mart: DataFrame,
     market_cuts: Sequence[float] = C.MARKET_CUTS,
     fold_names: bool = False,
+    aliases: DataFrame | None = None,
+    income_cuts: Sequence[float] = C.INCOME_CUTS,
 ) -> DataFrame:
     """Neighbourhood marts side by side with the composite scores.
 
     All inputs are neighbourhood-grain marts, so the joins are between small tables. Names must
     match exactly unless ``fold_names`` makes the match ignore letter case and outer blanks.
+    ``aliases`` (``alias``, ``name``) first replaces other spellings of a neighbourhood. The income
+    band follows from the index that the socio-economic mart holds.
     """
 
     def keyed(df: DataFrame, place: Sequence[str], keep: Sequence[str]) -> DataFrame:
         fold = C.matching_key if fold_names else (lambda c: c)
+        if aliases is not None:
+            kept = df.select("*", F.col(place[1]).alias("__as_written"))
+            df = with_canonical_names(kept, "__as_written", aliases)
+            place = [place[0], "__as_written"]
         names = [fold(F.col(p)).alias(k) for p, k in zip(place, ("k_district", "k_neighborhood"))]
         return df.select(*names, *keep)
 
@@ -319,14 +340,13 @@ def integrated_analytics(
     )
     socio = keyed(socio_mart, INCOME_PLACE, ["income_index_bcn_100", "population"])
     culture = keyed(cultural_mart, PLACE, ["total_cultural_sites", "cultural_sites_per_1000_residents"])
-    bands = keyed(quintile_mart, INCOME_PLACE, ["income_quintile"])
     return (
         base.join(socio, key, "left")
         .join(culture, key, "left")
-        .join(bands, key, "left")
         .drop(*key)
         .withColumns(
             {
+                "income_quintile": C.band(F.col("income_index_bcn_100"), income_cuts, C.INCOME_LABELS),
                 "affordability_ratio": C.affordability(
                     F.col("median_price_eur"), F.col("income_index_bcn_100")
                 ),
@@ -344,6 +364,17 @@ def integrated_analytics(
     )
 
 
+def with_canonical_names(df: DataFrame, column: str, aliases: DataFrame) -> DataFrame:
+    """``df`` with the names in ``column`` replaced where ``aliases`` lists them as an ``alias``.
+
+    Letter case and outer blanks of an alias do not count. Of several names for one alias the
+    smallest is taken; names without an entry, and NULLs, stay.
+    """
+    known = aliases.groupBy(C.matching_key(F.col("alias")).alias("__alias")).agg(F.min("name").alias("__name"))
+    joined = df.join(known, C.matching_key(F.col(column)) == F.col("__alias"), "left")
+    return joined.withColumn(column, F.coalesce("__name", column)).drop("__alias", "__name")
+
+
 def stamped(df: DataFrame, column: str = "created_at") -> DataFrame:
     """``df`` with the time of the run; added when a mart is written."""
     return df.withColumn(column, F.current_timestamp())

@@ -121,13 +121,15 @@ def duplicate_profile(df: DataFrame, keys: Sequence[str] | None = None, exact: b
     )
 
 
+def distinct_kinds(df: DataFrame, figures: dict[str, Column], exact: bool) -> DataFrame:
+    """Each kind of row once, with its ``copies`` and the given figures, which follow from the row."""
+    kinds = df.select(*_identity(df, None, exact), *[f.alias(n) for n, f in figures.items()])
+    return kinds.groupBy(*kinds.columns).agg(F.count(F.lit(1)).alias("copies"))
+
+
 def quality_metrics(df: DataFrame, exact: bool = True) -> DataFrame:
     """Size, missing cells and duplicates of a table in one row and one pass."""
-    row_nulls = sum(_missing(df), F.lit(0).cast("long"))
-    kinds = df.select(*_identity(df, None, exact), row_nulls.alias("row_nulls"))
-    kinds = kinds.groupBy(*[c for c in kinds.columns if c != "row_nulls"], "row_nulls").agg(
-        F.count(F.lit(1)).alias("copies")
-    )
+    kinds = distinct_kinds(df, {"row_nulls": sum(_missing(df), F.lit(0).cast("long"))}, exact)
     cells = F.lit(len(df.columns))
     return (
         kinds.agg(
@@ -155,16 +157,22 @@ def missing_matrix(df: DataFrame, rows: int = 100, columns: int = 20, order_by:
 # ------------------------------------------------------------- distributions
 
 
+def _finite(value: Column) -> Column:
+    return F.when(F.abs(value) < float("inf"), value)
+
+
 def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 50) -> DataFrame:
     """Equal-width bins of each column: ``(column_name, bin, lower, upper, count)``, empty bins left out.
 
-    The limits come from a scalar subquery, so counting needs no join and combines map-side.
+    All numeric columns by default. The limits are those of the finite values; infinities and NaN
+    are counted in a row without bin and limits. The limits come from a scalar subquery, so counting
+    needs no join and combines map-side.
     """
-    columns = list(columns or numeric_columns(df)[:6])
+    columns = list(columns or numeric_columns(df))
     limits = df.agg(
         F.struct(
             *[
-                f(_ref(c).cast("double")).alias(f"{n}_{i}")
+                f(_finite(_ref(c).cast("double"))).alias(f"{n}_{i}")
                 for i, c in enumerate(columns)
                 for n, f in (("lo", F.min), ("hi", F.max))
             ]
@@ -174,7 +182,8 @@ def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 5
     for i, name in enumerate(columns):
         value, low, high = _ref(name).cast("double"), limits[f"lo_{i}"], limits[f"hi_{i}"]
         place = F.try_divide(value - low, high - low) * bins
-        number = F.least(F.lit(bins - 1), F.coalesce(F.floor(place), F.lit(0))).cast("int")
+        inside = F.least(F.lit(bins - 1), F.coalesce(F.floor(place), F.lit(0))).cast("int")
+        number = F.when(_finite(value).isNotNull(), inside)
         width = (high - low) / bins
         cells.append(
             F.when(
@@ -206,8 +215,11 @@ def top_values(df: DataFrame, column: str, n: int = 15) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Pearson correlation of every pair of numeric columns, one pass: ``(col_a, col_b, r)``."""
-    columns = list(columns or numeric_columns(df)[:10])
+    """Pearson correlation of every pair of columns, one pass: ``(col_a, col_b, r)``.
+
+    All numeric columns by default.
+    """
+    columns = list(columns or numeric_columns(df))
     if len(columns) < 2:
         raise ValueError("correlation needs at least two numeric columns")
     pairs = [(a, b) for a, b in combinations(range(len(columns)), 2)] + [(a, a) for a in range(len(columns))]
@@ -224,8 +236,8 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
 def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Summary statistics, one row per column.
 
-    Numeric columns get moments, limits and quartiles (nearest rank); text and dates get their
-    limits as text; anything else its counts.
+    Numeric columns get moments, limits and quartiles (nearest rank), infinities and NaN included;
+    text and dates get their limits as text; anything else its counts.
     """
     fields = [df.schema[c] for c in (columns or df.columns)]
     classes = [type_class(f.dataType) for f in fields]

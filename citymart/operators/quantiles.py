@@ -9,32 +9,48 @@ the wanted rank is looked at again, so the second scan shuffles a sliver of the
 
 from __future__ import annotations
 
+import math
+import sys
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from citymart.session import stage
 
 # Buckets per e-fold of the value in the first scan; each refinement multiplies by the same number.
 RESOLUTION = 2**8
 
-# At this resolution a bucket holds at most 2**21 different doubles, whatever the data.
-FINEST = 2**32
+# Stand-ins for NaN and infinity in sketches.
+_LARGEST = sys.float_info.max
+_NEXT_LARGEST = math.nextafter(_LARGEST, 0)
 
-# A bucket that may hold more distinct values than this is refined before one task sorts them.
-MAX_BUCKET_VALUES = 5_000_000
+# Rank error of the sketches: rows of a group divided by this.
+ACCURACY = 100_000
 
 # Natural logarithms of doubles start near -745; the shift keeps bucket numbers of positives above 0.
 _LOG_SHIFT = 746
 
+# Beyond the bucket of any finite double at any resolution in use.
+_NAN_BUCKET = 1 << 62
+
 
 def _bucket(value: Column, resolution: int) -> Column:
-    """Monotone bucket number: equal relative width on both sides of zero, zero on its own."""
+    """Monotone bucket number: equal relative width on both sides of zero, zero on its own.
+
+    Infinities have buckets of their own at the ends, NaN one behind them, as Spark sorts them.
+    """
+    infinite = F.lit(float("inf"))
     size = F.floor((F.log(F.abs(value)) + _LOG_SHIFT) * resolution).cast("long")
-    return F.when(value > 0, size).when(value < 0, -size).otherwise(F.lit(0).cast("long"))
+    return (
+        F.when(F.isnan(value), F.lit(_NAN_BUCKET))
+        .when(value == infinite, F.lit(_NAN_BUCKET - 1))
+        .when(value == -infinite, F.lit(1 - _NAN_BUCKET))
+        .when(value > 0, size)
+        .when(value < 0, -size)
+        .otherwise(F.lit(0).cast("long"))
+    )
 
 
 def _rank(prob: Column, total: Column, rule: str) -> Column:
@@ -62,17 +78,8 @@ def join_on(
 
 
 def _count(cells: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Rows and the range of their values per group of columns."""
-    return cells.withColumn("v", F.col("value")).groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")
-    )
-
-
-def _step(dtype: T.DataType) -> float:
-    """The least distance of two different values of a type, 0.0 where there is none to rely on."""
-    if isinstance(dtype, T.DecimalType):
-        return 10.0**-dtype.scale
-    return 1.0 if isinstance(dtype, T.IntegralType) else 0.0
+    """Rows per group of columns."""
+    return cells.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
 
 
 def _running(counts: DataFrame, part: Sequence[str], order: str) -> DataFrame:
@@ -84,7 +91,7 @@ def _running(counts: DataFrame, part: Sequence[str], order: str) -> DataFrame:
     return (
         counts.repartition(*part)
         .groupBy(*part, order)
-        .agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+        .agg(F.sum("n").alias("n"))
         .withColumn("below", F.sum("n").over(window) - F.col("n"))
     )
 
@@ -127,19 +134,20 @@ def group_quantiles(
     grains: Sequence[Sequence[str]],
     outputs: Mapping[str, tuple[str, float]],
     rule: str = "disc",
-    max_bucket_values: int = MAX_BUCKET_VALUES,
+    refinements: int = 0,
 ) -> list[DataFrame]:
     """Exact quantiles for several grouping grains, in two scans of ``df`` as a rule.
 
     ``outputs`` maps a result column to ``(measure, probability)``. One frame per grain comes back,
-    with the grain's keys and the result columns as doubles. NULL and non-finite values are left
-    out. ``rule`` picks the row: ``disc`` takes rank ceil(p*n), ``nearest`` rank round(p*(n-1))+1.
+    with the grain's keys and the result columns as doubles. NULLs are left out; infinities rank at
+    the ends and NaN last. ``rule`` picks the row: ``disc`` takes rank ceil(p*n), ``nearest`` rank
+    round(p*(n-1))+1.
 
     The first scan counts rows per bucket and finds the bucket of each wanted rank. These few rows
     are staged, so their true size decides how the next scan, which looks at the wanted buckets
-    only, is joined to them. A wanted bucket that may hold more than ``max_bucket_values`` different
-    values costs one more scan that splits it further; the last scan sorts the values of what is left.
-    How many there may be follows from the rows of the bucket, its range and the type of the measure.
+    only, is joined to them; it sorts the different values of a wanted bucket, whose relative width is
+    0.4 %, in one task. Each of the ``refinements`` is one more scan that first splits the wanted
+    buckets into 256.
     """
     names = list(dict.fromkeys(k for grain in grains for k in grain))
     measures = list(dict.fromkeys(m for m, _ in outputs.values()))
@@ -151,7 +159,7 @@ def group_quantiles(
     # Written as a generator, not as unpivot: the grains then reuse one shuffle of the counts.
     cells = [F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("value")) for m in measures]
     values = df.select(*[F.col(n).alias(k) for n, k in key_of.items()], F.inline(F.array(*cells)))
-    values = values.filter(F.abs("value") < float("inf"))
+    values = values.filter(F.col("value").isNotNull())
 
     def staged(frames: list[DataFrame], bucket: str) -> DataFrame:
         tagged = [
@@ -163,8 +171,6 @@ def group_quantiles(
                 "out",
                 "rank",
                 "n",
-                "lo",
-                "hi",
             )
             for number, (grain, frame) in enumerate(zip(grains, frames))
         ]
@@ -194,14 +200,7 @@ def group_quantiles(
             .filter((F.col("rank") > 0) & (F.col("rank") <= F.col("n")))
         )
     spots = staged(found, "bucket")
-    spread = F.col("hi") - F.col("lo")
-    different = F.when(spread == 0, 1).otherwise(F.col("n"))
-    for measure in measures:
-        step = _step(df.schema[measure].dataType)
-        if step:
-            here = F.col("measure") == measure
-            different = F.when(here, F.least(different, F.ceil(spread / step) + 1)).otherwise(different)
-    while resolution < FINEST and (spots.agg(F.max(different)).first()[0] or 0) > max_bucket_values:
+    for _ in range(refinements):
         resolution *= RESOLUTION
         finer = cells.withColumn("finer", _bucket(F.col("value"), resolution))
         spots = staged(_narrow(finer, grains, spots, "finer"), "finer")
@@ -215,25 +214,33 @@ def group_quantiles(
     ]
 
 
-def approx_quantiles(
-    df: DataFrame,
-    grains: Sequence[Sequence[str]],
-    outputs: Mapping[str, tuple[str, float]],
-    accuracy: int = 10_000,
-) -> list[DataFrame]:
-    """The same frames from one sketch aggregation per grain; rank error at most n / accuracy."""
-    return [
-        df.groupBy(*grain).agg(
-            *[F.percentile_approx(m, p, accuracy).cast("double").alias(out) for out, (m, p) in outputs.items()]
-        )
-        for grain in grains
-    ]
+def sketches(outputs: Mapping[str, tuple[str, float]], accuracy: int = ACCURACY) -> list[Column]:
+    """The same results as aggregates for any grouping, from sketches merged map-side.
+
+    The rank is off by at most n / ``accuracy``, so groups of less than half of ``accuracy`` rows are
+    exact; a sketch takes up to some 24 bytes times ``accuracy``.
+    """
+    infinite, found = float("inf"), []
+    for out, (measure, p) in outputs.items():
+        value = F.col(measure).cast("double")
+        # Sketches cannot order NaN, nor what stands above the largest number that takes its place.
+        value = F.when(F.isnan(value), _LARGEST).when(value == infinite, _NEXT_LARGEST).otherwise(value)
+        value = F.percentile_approx(value, p, accuracy)
+        value = F.when(value == _LARGEST, float("nan")).when(value == _NEXT_LARGEST, infinite).otherwise(value)
+        found.append(value.alias(out))
+    return found
 
 
-def quantiles(
+def group_stats(
     df: DataFrame,
-    grains: Sequence[Sequence[str]],
+    keys: Sequence[str],
+    measures: Sequence[Column],
     outputs: Mapping[str, tuple[str, float]],
-    exact: bool = True,
-) -> list[DataFrame]:
-    return group_quantiles(df, grains, outputs) if exact else approx_quantiles(df, grains, outputs)
+    exact: bool = False,
+    accuracy: int = ACCURACY,
+) -> DataFrame:
+    """Aggregates and quantiles per group: one scan with sketches, three with exact quantiles."""
+    if not exact:
+        return df.groupBy(*keys).agg(*measures, *sketches(outputs, accuracy))
+    [found] = group_quantiles(df, [keys], outputs)
+    return join_on(df.groupBy(*keys).agg(*measures), found, keys, "left")

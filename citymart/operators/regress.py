@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +33,9 @@ CATEGORICAL = ["neighborhood", "property_type", "status"]
 DEFAULTS = {"neighborhood": "unknown", "status": "good", "floor": 0}
 TARGET = "price"
 
-ROWS_PER_PARTITION = 1_000_000
+# The training rows are spread over so many partitions. Forests draw their samples by partition, so
+# the number is a parameter of the model and does not follow the cluster.
+PARTITIONS = 32
 
 
 def model_rows(
@@ -50,20 +52,20 @@ def split(df: DataFrame, keys: Sequence[str], train_percent: int = 80, seed: int
     """Train and validation rows by a hash of the keys.
 
     A row's side depends on its key alone: a recomputed or differently partitioned input splits the
-    same way, and copies of a row never sit on both sides.
+    same way, and copies of a row never sit on both sides. Any engine that knows MD5 splits alike.
     """
-    bucket = F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(100))
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *keys))
+    bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 100
     return df.filter(bucket < train_percent), df.filter(bucket >= train_percent)
 
 
 def feature_stages(df: DataFrame, ignore: Sequence[str] = ()) -> list[Estimator]:
     """Index the text columns (unseen values are skipped) and assemble all features."""
     numeric = [c for c in df.columns if c not in (*CATEGORICAL, TARGET, *ignore)]
-    indexers = [
-        StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="skip") for c in CATEGORICAL if c in df.columns
-    ]
-    inputs = numeric + [i.getOutputCol() for i in indexers]
-    return [*indexers, VectorAssembler(inputCols=inputs, outputCol="features")]
+    text = [c for c in CATEGORICAL if c in df.columns]
+    indexed = [f"{c}_idx" for c in text]
+    indexer = [StringIndexer(inputCols=text, outputCols=indexed, handleInvalid="skip")] if text else []
+    return [*indexer, VectorAssembler(inputCols=numeric + indexed, outputCol="features")]
 
 
 def regressors(seed: int = 42, trees: int = 100) -> dict[str, Estimator]:
@@ -74,9 +76,12 @@ def regressors(seed: int = 42, trees: int = 100) -> dict[str, Estimator]:
     }
 
 
-def _spread(rows: DataFrame) -> int:
-    """Partitions that keep all cores busy, and beyond that hold about 100 MB of features each."""
-    return max(rows.sparkSession.sparkContext.defaultParallelism, rows.count() // ROWS_PER_PARTITION)
+def _with_bins(model: Estimator, prepared: PipelineModel) -> Estimator:
+    """The model with a bin for every label, where it needs one and would have fewer."""
+    labels = [len(found) for s in prepared.stages if isinstance(s, StringIndexerModel) for found in s.labelsArray]
+    if not labels or not model.hasParam("maxBins") or model.getOrDefault("maxBins") >= max(labels):
+        return model
+    return model.copy({model.getParam("maxBins"): max(labels)})
 
 
 def train(
@@ -85,25 +90,29 @@ def train(
     models: Mapping[str, Estimator] | None = None,
     train_percent: int = 80,
     seed: int = 42,
-    partitions: int | None = None,
+    partitions: int = PARTITIONS,
 ) -> tuple[DataFrame, dict[str, PipelineModel]]:
     """Fit every model and rank them: ``(model, rmse)`` best first, and the fitted pipelines.
 
     Features are fitted on the training rows only. The algorithms pass over the rows many times, so
-    these are spread evenly once, and kept for the duration of the fits.
+    these are spread evenly once, in the order of their keys, and kept for the duration of the fits.
+    ``rows`` is read three times: pass a stored table.
     """
     spark = rows.sparkSession
-    partitions = partitions or _spread(rows)
     training, validation = split(rows, keys, train_percent, seed)
     prepared = Pipeline(stages=feature_stages(rows, ignore=keys)).fit(training)
     needed = ["features", TARGET]
-    train_set = prepared.transform(training).select(*needed).repartition(partitions).persist()
-    validation_set = prepared.transform(validation).select(*needed).repartition(partitions).persist()
+
+    def ready(part: DataFrame) -> DataFrame:
+        spread = prepared.transform(part).repartition(partitions, *keys).sortWithinPartitions(*keys)
+        return spread.select(*needed).persist()
+
+    train_set, validation_set = ready(training), ready(validation)
     evaluator = RegressionEvaluator(labelCol=TARGET, metricName="rmse")
     try:
         fitted, scores = {}, []
         for name, model in (models or regressors(seed)).items():
-            regression = model.fit(train_set)
+            regression = _with_bins(model, prepared).fit(train_set)
             scores.append((name, evaluator.evaluate(regression.transform(validation_set))))
             fitted[name] = PipelineModel(stages=[*prepared.stages, regression])
     finally:

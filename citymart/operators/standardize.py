@@ -31,7 +31,7 @@ class Field:
             value = C.clean_number(value, self.dtype)
         if self.default is not None:
             return C.with_default(value, self.default, self.dtype).alias(self.name)
-        return value.cast(self.dtype).alias(self.name)
+        return (value.cast if self.dtype == "string" else value.try_cast)(self.dtype).alias(self.name)
 
 
 def standardize(df: DataFrame, fields: Sequence[Field], source_dataset: str | None = None) -> DataFrame:
@@ -104,8 +104,9 @@ def site_fields(coordinate_default: float | None = 0.0) -> list[Field]:
 
 
 def valid_listings(df: DataFrame) -> DataFrame:
-    """Listings with a price, a size and a district."""
-    return df.filter((F.col("price_eur") > 0) & (F.col("size_m2") > 0) & F.col("district").isNotNull())
+    """Listings with a price, a size and a district, which is more than blanks: tables are stored by
+    district, and an empty partition value would read back as NULL."""
+    return df.filter((F.col("price_eur") > 0) & (F.col("size_m2") > 0) & (F.trim("district") != ""))
 
 
 def format_listings(raw: DataFrame, coordinate_default: float | None = 0.0) -> DataFrame:

@@ -11,20 +11,28 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citymart.functions.columns import percent_of
-from citymart.operators.profile import duplicate_profile, null_totals
+from citymart.operators.profile import distinct_kinds, null_totals
 from citymart.sources.tables import DEFAULT_FORMAT, read_table
 
 STATUS_SCHEMA = """
     zone string, dataset string, status string, record_count bigint, column_count int,
     null_count bigint, null_percentage double, path string, error string
 """
-CHECK_SCHEMA = "zone string, dataset string, check string, value double"
+CHECK_SCHEMA = "zone string, dataset string, check string, value double, error string"
 
-# Rules per dataset, counted as violations.
-RULES: dict[str, dict[str, str]] = {
-    "idealista": {"negative_prices": "price_eur <= 0", "zero_sizes": "size_m2 <= 0"},
-    "income": {"negative_income": "income_index_bcn_100 < 0", "future_years": "year > 2025"},
-}
+# Fixed value: the last year that income can be known for.
+LAST_YEAR = 2025
+
+
+def rules(last_year: int = LAST_YEAR) -> dict[str, dict[str, str]]:
+    """Rules per dataset, counted as violations."""
+    return {
+        "idealista": {"negative_prices": "price_eur <= 0", "zero_sizes": "size_m2 <= 0"},
+        "income": {"negative_income": "income_index_bcn_100 < 0", "future_years": f"year > {int(last_year)}"},
+    }
+
+
+RULES = rules()
 
 # Least row counts of the formatted tables, marts that must not be empty.
 MIN_RECORDS = {"idealista": 10_000, "income": 500, "cultural_sites": 400}
@@ -81,7 +89,7 @@ def table_status(df: DataFrame, zone: str, dataset: str, path: str = "", nulls:
 
 
 def _failure(error: Exception) -> str:
-    return str(error).strip().splitlines()[0][:500] if str(error).strip() else type(error).__name__
+    return str(error).strip() or type(error).__name__
 
 
 def validate_zone(
@@ -155,35 +163,47 @@ def quality_checks(
     zone: str,
     dataset: str,
     rules: Mapping[str, Column | str] | None = None,
-    exact: bool = True,
+    exact: bool = False,
 ) -> DataFrame:
-    """Duplicates and rule violations of a table as rows ``(zone, dataset, check, value)``."""
+    """Duplicates and rule violations of a table, in one pass, as rows ``(zone, dataset, check, value, error)``.
+
+    Rows are compared by a 128-bit fingerprint, or column by column if ``exact``.
+    """
     rules = RULES.get(dataset, {}) if rules is None else rules
-    copies = duplicate_profile(df, exact=exact).select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("check"), F.col(c).cast("double").alias("value"))
-                    for c in ("duplicate_count", "duplicate_percentage")
-                ]
-            )
-        )
+    broken = {
+        f"rule_{i}": F.coalesce((F.expr(p) if isinstance(p, str) else p).cast("int"), F.lit(0))
+        for i, p in enumerate(rules.values())
+    }
+    copies = F.col("copies")
+    duplicates, total = F.coalesce(F.sum(copies - 1), F.lit(0)), F.coalesce(F.sum(copies), F.lit(0))
+    counted = distinct_kinds(df, broken, exact).agg(
+        duplicates.alias("duplicate_count"),
+        percent_of(duplicates, total).alias("duplicate_percentage"),
+        *[F.coalesce(F.sum(copies * F.col(r)), F.lit(0)).alias(r) for r in broken],
+    )
+    values = {"duplicate_count": "duplicate_count", "duplicate_percentage": "duplicate_percentage"}
+    values |= dict(zip(rules, broken))
+    pairs = [F.struct(F.lit(c).alias("check"), F.col(v).cast("double").alias("value")) for c, v in values.items()]
+    return counted.select(
+        F.lit(zone).alias("zone"),
+        F.lit(dataset).alias("dataset"),
+        F.inline(F.array(*pairs)),
+        F.lit(None).cast("string").alias("error"),
     )
-    found = copies.unionByName(rule_violations(df, rules)) if rules else copies
-    return found.select(F.lit(zone).alias("zone"), F.lit(dataset).alias("dataset"), "check", "value")
 
 
 def check_zone(
-    spark: SparkSession, status: DataFrame, fmt: str = DEFAULT_FORMAT, exact: bool = True
+    spark: SparkSession, status: DataFrame, fmt: str = DEFAULT_FORMAT, exact: bool = False
 ) -> DataFrame:
-    """Quality checks of every table that loaded; a check that fails to run becomes an error row."""
+    """Quality checks of every table that loaded; a check that fails to run becomes an ``error`` row
+    with the whole text of the error."""
     rows = []
     for table in status.filter(F.col("status") == "success").orderBy("zone", "dataset").collect():
         try:
             df = read_table(spark, table["path"], fmt)
             rows += [tuple(r) for r in quality_checks(df, table["zone"], table["dataset"], exact=exact).collect()]
-        except (PySparkException, Py4JJavaError):
-            rows.append((table["zone"], table["dataset"], "error", None))
+        except (PySparkException, Py4JJavaError) as error:
+            rows.append((table["zone"], table["dataset"], "error", None, _failure(error)))
     return spark.createDataFrame(rows, CHECK_SCHEMA)
 
 
@@ -191,16 +211,20 @@ def check_zone(
 
 
 def row_count_gate(status: DataFrame, minimums: Mapping[str, int] = MIN_RECORDS) -> DataFrame:
-    """PASS or FAIL of each loaded table against its least row count, ERROR of one that did not load."""
+    """PASS or FAIL of each loaded table against its least row count, ERROR of one that did not load,
+    MISSING of one that has a least row count but no status."""
     spark = status.sparkSession
     limits = spark.createDataFrame(list(minimums.items()), "dataset string, min_required bigint")
     needed = F.coalesce("min_required", F.lit(0).cast("bigint"))
-    enough = F.col("record_count") >= needed
-    return status.join(F.broadcast(limits), "dataset", "left").select(
-        "dataset",
-        "record_count",
-        needed.alias("min_required"),
-        F.when(F.col("status") != "success", "ERROR").when(enough, "PASS").otherwise("FAIL").alias("gate"),
+    gate = (
+        F.when(F.col("status").isNull(), "MISSING")
+        .when(F.col("status") != "success", "ERROR")
+        .when(F.col("record_count") >= needed, "PASS")
+        .otherwise("FAIL")
+    )
+    found = status.select("dataset", "status", "record_count")
+    return limits.join(found, "dataset", "full").select(
+        "dataset", "record_count", needed.alias("min_required"), gate.alias("gate")
     )
 
 
@@ -350,6 +374,7 @@ def validation_report(
         _as_map(zone_summary(status), "zone", summary).scalar().alias("zone_summary"),
         _nested(kpis, "kpi", "metric", F.col("value")).scalar().alias("kpi_summary"),
         _nested(checks, "dataset", "check", F.col("value")).scalar().alias("data_quality_details"),
+        _as_map(checks.filter("error is not null"), "dataset", F.col("error")).scalar().alias("check_errors"),
         _nested(zoned, "zone", "dataset", details).scalar().alias("detailed_results"),
         advice.scalar().alias("recommendations"),
     )
@@ -370,6 +395,7 @@ def validation_report(
         "zone_summary",
         "kpi_summary",
         "data_quality_details",
+        "check_errors",
         F.struct(
             seconds.alias("execution_time_seconds"),
             F.format_string("%.2fs", seconds).alias("execution_time_formatted"),
@@ -390,7 +416,10 @@ def pipeline_report(
     run_id: str,
     run_date: str,
 ) -> DataFrame:
-    """One row on a whole run: datasets per stage, records formatted and the verdict."""
+    """One row on a whole run: datasets per stage, records formatted and the verdict.
+
+    The run failed if a required dataset is absent, a table did not load or the validation failed.
+    """
     counted = [
         presence.agg(F.count(F.lit(1)).alias("n")).scalar().alias("landing_zone_datasets"),
         formatted.agg(F.count(F.lit(1)).alias("n")).scalar().alias("formatted_datasets"),
@@ -399,12 +428,16 @@ def pipeline_report(
         .scalar()
         .alias("total_records_processed"),
     ]
+    absent = presence.agg(F.count_if(~F.col("exists")).alias("n")).scalar()
+    broken = formatted.unionByName(exploitation).agg(F.count_if(F.col("status") != "success").alias("n")).scalar()
+    verdict = overall_status(F.col("load_success_rate"))
+    failed = (absent > 0) | (broken > 0) | (verdict != "PASSED")
     return score.select(
         F.lit(run_date).alias("execution_date"),
         F.lit(run_id).alias("run_id"),
-        F.lit("SUCCESS").alias("pipeline_status"),
+        F.when(failed, "FAILED").otherwise("SUCCESS").alias("pipeline_status"),
         *counted,
-        overall_status(F.col("load_success_rate")).alias("status"),
+        verdict.alias("status"),
         F.col("overall_quality_score").alias("quality_score"),
         "load_success_rate",
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from citymart.operators import marts, validate
+from citymart.session import scratch
 from citymart.sources import tables
 from citymart.sources.schemas import EXPLOITATION
 
@@ -14,13 +15,28 @@ def run_exploitation(
     formatted_zone: str,
     exploitation_zone: str,
     fmt: str = tables.DEFAULT_FORMAT,
-    exact: bool = True,
+    exact: bool = False,
     fold_names: bool = False,
+    aliases: DataFrame | None = None,
 ) -> DataFrame:
     """Build and store the nine marts; one status row each.
 
     The integrated mart is built from the stored neighbourhood marts, so nothing is computed twice.
     """
+    with scratch(spark):
+        _build(spark, formatted_zone, exploitation_zone, fmt, exact, fold_names, aliases)
+    return validate.validate_zone(spark, "exploitation", exploitation_zone, list(EXPLOITATION), nulls=False, fmt=fmt)
+
+
+def _build(
+    spark: SparkSession,
+    formatted_zone: str,
+    exploitation_zone: str,
+    fmt: str,
+    exact: bool,
+    fold_names: bool,
+    aliases: DataFrame | None,
+) -> None:
 
     def formatted(name: str) -> DataFrame:
         return tables.read_mart(spark, formatted_zone, name, fmt)
@@ -45,8 +61,7 @@ def run_exploitation(
         stored("property_analytics"),
         stored("socioeconomic_neighborhood_analytics"),
         stored("cultural_neighborhood_analytics"),
-        stored("income_quintiles"),
         fold_names=fold_names,
+        aliases=aliases,
     )
     write(marts.stamped(integrated), "integrated_analytics")
-    return validate.validate_zone(spark, "exploitation", exploitation_zone, list(EXPLOITATION), nulls=False, fmt=fmt)

@@ -22,9 +22,10 @@ READERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "income": lambda spark, path: standardize.format_income(
         landing.read_csv(spark, path, schemas.INCOME_LANDING)
     ),
-    # Wide files of which few columns count: read as text, typed by the standardising projection.
+    # Wide files of which few columns count: read as text, typed by the standardising projection. Their
+    # free texts may hold line breaks.
     "cultural_sites": lambda spark, path: standardize.format_sites(
-        landing.read_csv(spark, path, infer=False)
+        landing.read_csv(spark, path, infer=False, multi_line=True)
     ),
 }
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from citymart.operators import regress
+from citymart.session import scratch, stage
 from citymart.sources import tables
 
 
@@ -14,9 +15,10 @@ def run_training(
     """Train all models, save the best with an example, and return the ranking."""
     listings = tables.read_mart(spark, formatted_zone, "idealista", fmt)
     key = ["property_code"]
-    rows = regress.model_rows(listings, keep=key)
-    ranking, fitted = regress.train(rows, key, regress.regressors(trees=trees))
-    best = fitted[regress.best_model(ranking)]
-    regress.save_model(best, f"{model_path}/model")
-    regress.model_example(best, rows).write.mode("overwrite").parquet(f"{model_path}/example")
+    with scratch(spark):
+        rows = stage(regress.model_rows(listings, keep=key), "model-rows")
+        ranking, fitted = regress.train(rows, key, regress.regressors(trees=trees))
+        best = fitted[regress.best_model(ranking)]
+        regress.save_model(best, f"{model_path}/model")
+        regress.model_example(best, rows).write.mode("overwrite").parquet(f"{model_path}/example")
     return ranking

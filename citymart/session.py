@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,9 +48,25 @@ def _temporary_dir(application_id: str) -> str:
     return tempfile.mkdtemp(prefix=f"citymart-{application_id}-")
 
 
+_SCOPES: list[str] = []
+
+
 def staging_dir(spark: SparkSession) -> str:
-    """One folder per application, so that all of its staged tables can be dropped together."""
-    return f"{shared_dir(spark)}/citymart-{spark.sparkContext.applicationId}"
+    """One folder per application, so that all of its staged tables can be dropped together; inside
+    ``scratch``, one per scope in it."""
+    folder = f"{shared_dir(spark)}/citymart-{spark.sparkContext.applicationId}"
+    return "/".join([folder, *_SCOPES])
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """A scope whose staged tables are dropped at its end; nothing built on them may leave it."""
+    _SCOPES.append(f"run-{uuid.uuid4().hex}")
+    try:
+        yield
+    finally:
+        clear_staged(spark)
+        _SCOPES.pop()
 
 
 def staged_path(spark: SparkSession, name: str) -> str:
@@ -70,6 +88,6 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 
 def clear_staged(spark: SparkSession) -> None:
-    """Delete the tables this application staged; frames built on them stop working."""
+    """Delete the tables this application, or the open scope, staged; frames built on them stop working."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(staging_dir(spark))
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -45,6 +45,26 @@ def entries(spark: SparkSession, path: str) -> list[Entry]:
     return sorted(found)
 
 
+def head(spark: SparkSession, path: str, size: int = 65_536) -> str:
+    """The text at the beginning of a file: at most ``size`` bytes are read, whatever its length."""
+    fs, where = _filesystem(spark, path)
+    stream = fs.open(where)
+    try:
+        return bytes(stream.readNBytes(size)).decode("utf-8-sig", "ignore")
+    finally:
+        stream.close()
+
+
+def file_count(spark: SparkSession, path: str) -> int:
+    """Files directly in a folder, counted as the file system lists them, without an object for each."""
+    fs, where = _filesystem(spark, path)
+    listed, count = fs.listFiles(where, False), 0
+    while listed.hasNext():
+        listed.next()
+        count += 1
+    return count
+
+
 def list_tables(spark: SparkSession, zone: str, marker: str | None = None) -> DataFrame:
     """Tables of a zone: its sub-folders, with ``marker`` only those that contain such an entry.
 
@@ -61,7 +81,7 @@ def list_tables(spark: SparkSession, zone: str, marker: str | None = None) -> Da
 def table_file_counts(spark: SparkSession, zone: str) -> DataFrame:
     """Direct files of each table folder of a zone: ``(dataset, file_count)``."""
     rows = [
-        (e.name, sum(not f.is_dir for f in entries(spark, e.path)))
+        (e.name, file_count(spark, e.path))
         for e in entries(spark, zone)
         if e.is_dir
     ]
@@ -107,6 +127,6 @@ def required_datasets(spark: SparkSession, zone: str, names: Sequence[str]) -> D
     for name in names:
         path = f"{zone}/{name}"
         found = exists(spark, path)
-        files = sum(not e.is_dir for e in entries(spark, path)) if found else 0
+        files = file_count(spark, path) if found else 0
         rows.append((name, found, files, path))
     return spark.createDataFrame(rows, "dataset string, exists boolean, file_count int, path string")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import io
+from collections.abc import Sequence
+from csv import reader as read_records
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from citymart.functions.schema import common_type
-from citymart.sources.files import entries
+from citymart.sources.files import entries, head
 
 
 def read_json_arrays(spark: SparkSession, path: str | list[str], schema: str | None = None) -> DataFrame:
@@ -25,39 +27,39 @@ def read_json_lines(spark: SparkSession, path: str | list[str], schema: str | No
 
 
 def read_csv(
-    spark: SparkSession, path: str | list[str], schema: str | None = None, infer: bool = True
+    spark: SparkSession,
+    path: str | list[str],
+    schema: str | None = None,
+    infer: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """CSV files with a header.
 
     Guessing the types costs a pass over all files; a schema, or ``infer=False`` for all text,
-    spares it. A header that does not fit the schema is an error.
+    spares it. A header that does not fit the schema is an error. ``multi_line`` keeps line breaks
+    inside quotes, with doubled quotes for a quote; each file is then read by one task.
     """
     reader = spark.read.option("header", True)
+    if multi_line:
+        reader = reader.option("multiLine", True).option("escape", '"')
     if schema:
         return reader.schema(schema).option("enforceSchema", False).csv(path)
     return reader.option("inferSchema", infer).csv(path)
 
 
-def _first_lines(
-    spark: SparkSession, paths: Sequence[str], look: Callable[[Column], Column]
-) -> list[tuple[str, str]]:
-    """What ``look`` makes of the first non-blank line of each file, as ``(path, result)``.
-
-    Only the split that starts a file is kept, so there is one partial result per file.
-    """
-    lines = (
-        spark.read.text(list(paths))
-        .select("value", "_metadata.file_path", "_metadata.file_block_start")
-        .filter((F.col("file_block_start") == 0) & (F.trim("value") != ""))
-    )
-    heads = lines.groupBy("file_path").agg(look(F.first("value")).alias("line"))
-    return [(r["file_path"], r["line"]) for r in heads.orderBy("file_path").collect()]
+def _csv_header(head: str) -> tuple[str, ...]:
+    """The names in the first record of a file, line breaks inside quotes included."""
+    return tuple(next((r for r in read_records(io.StringIO(head, newline="")) if r), ()))
 
 
-def _ends(line: Column) -> Column:
-    """First and last character, enough to tell ``{...}`` records from arrays."""
-    line = F.trim(line)
-    return F.concat(F.left(line, F.lit(1)), F.right(line, F.lit(1)))
+def _json_kind(start: str) -> str | None:
+    """``lines`` if the first line is a record, or the beginning of one longer than ``start``; else one
+    document per file, an ``array`` as a rule."""
+    first, line_ends, _ = start.lstrip().partition("\n")
+    first = first.rstrip()
+    if not first:
+        return None
+    return "lines" if first[0] == "{" and (first[-1] == "}" or not line_ends) else "array"
 
 
 def _as_type(column: Column, have: T.DataType, want: T.DataType) -> Column:
@@ -101,29 +103,33 @@ def read_folder(spark: SparkSession, path: str) -> DataFrame:
     whether they hold an array or one record per line; the groups are combined by column name.
     """
     files = [e for e in entries(spark, path) if not e.is_dir]
-    csv = [e.path for e in files if e.name.lower().endswith(".csv")]
+    tables = [e.path for e in files if e.name.lower().endswith(".csv")]
     json = [e.path for e in files if e.name.lower().endswith(".json")]
-    if csv and json:
+    if tables and json:
         raise ValueError("the folder holds both CSV and JSON files; only one kind is supported")
-    if not csv and not json:
+    if not tables and not json:
         raise ValueError("the folder holds no CSV or JSON file")
-    return read_files(spark, csv, json)
+    return read_files(spark, tables, json)
 
 
 def read_files(spark: SparkSession, csv: Sequence[str] = (), json: Sequence[str] = ()) -> DataFrame:
-    """CSV and JSON files, grouped as :func:`read_folder` does, combined into one table."""
+    """CSV and JSON files, grouped as :func:`read_folder` does, combined into one table.
+
+    Only the beginning of each file is looked at to group them; empty files contribute nothing. CSV
+    fields may hold line breaks in quotes. Types are guessed, which reads a file once more; name the
+    kind and a schema with the readers above where that matters.
+    """
     frames = []
-    if csv:
-        by_header: dict[str, list[str]] = {}
-        for file, line in _first_lines(spark, csv, lambda line: line):
-            by_header.setdefault(line, []).append(file)
-        frames += [read_csv(spark, group) for group in by_header.values()]
-    if json:
-        heads = _first_lines(spark, json, _ends)
-        lines = [file for file, ends in heads if ends == "{}"]
-        arrays = [file for file, ends in heads if ends != "{}"]
-        frames += [read_json_lines(spark, lines)] if lines else []
-        frames += [read_json_arrays(spark, arrays)] if arrays else []
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for file in csv:
+        if header := _csv_header(head(spark, file)):
+            by_header.setdefault(header, []).append(file)
+    frames += [read_csv(spark, group, multi_line=True) for group in by_header.values()]
+    kinds = {file: _json_kind(head(spark, file)) for file in json}
+    lines = [file for file, kind in kinds.items() if kind == "lines"]
+    arrays = [file for file, kind in kinds.items() if kind == "array"]
+    frames += [read_json_lines(spark, lines)] if lines else []
+    frames += [read_json_arrays(spark, arrays)] if arrays else []
     if not frames:
         raise ValueError("no CSV or JSON file with content")
     return union_relaxed(frames)

@@ -80,7 +80,7 @@ def test_clip_and_fold(spark):
 
 
 def disc(data, p):
-    ordered = sorted(data)
+    ordered = sorted(data, key=lambda v: (v != v, v))  # NaN last, as Spark sorts
     return ordered[max(1, math.ceil(p * len(ordered))) - 1] if ordered else None
 
 
@@ -94,39 +94,35 @@ def check_quantiles(spark, data, **options):
             groups.setdefault(row[:width], []).append(row)
         want = []
         for key, members in groups.items():
-            v = [m[2] for m in members if m[2] is not None and math.isfinite(m[2])]
+            v = [m[2] for m in members if m[2] is not None]
             w = [m[3] for m in members if m[3] is not None]
             found = (disc(v, 0.5), disc(v, 0.1), disc(w, 0.75))
             if any(x is not None for x in found):
                 want.append((*key, *found))
-        assert rows(frame) == sorted(want, key=repr)
+        plain = lambda r: repr(tuple(x + 0.0 if isinstance(x, (int, float)) else x for x in r))
+        assert sorted(map(plain, rows(frame))) == sorted(map(plain, want))
 
 
 def test_quantiles_against_sorting(spark):
     data = [("a", i % 3, float((i * 7919) % 1000) / 7 - 50, i % 11) for i in range(500)]
     data += [("b", 0, 5.0, 1)] * 4 + [("c", 1, -0.0, -3), ("d", 2, None, None), (None, None, 1e300, 7)]
     data += [("e", 0, v, 0) for v in (1.0, 2.0, 3.0, 4.0, float("nan"), float("inf"), 5e-324, -1e-300, 0.0)]
+    nan, inf = float("nan"), float("inf")
+    data += [("inf", 0, v, 0) for v in (1.0, 2.0, inf, inf, inf)] + [("nan", 0, v, 0) for v in (100.0, nan, nan)]
+    data += [("low", 0, v, 0) for v in (-inf, -inf, 5.0)] + [("all", 1, v, 0) for v in (nan, inf, -inf, 0.0)]
     check_quantiles(spark, data)
 
 
-def test_one_repeated_value_needs_no_refinement(spark, monkeypatch):
-    """Many rows are no reason for another scan where the bucket holds few different values."""
-    scans = []
-    real = quantiles.stage
-    monkeypatch.setattr(quantiles, "stage", lambda df, name: scans.append(name) or real(df, name))
-    check_quantiles(spark, [("hot", 0, 7.0, 100_000 + i % 3) for i in range(300)], max_bucket_values=10)
-    assert len(scans) == 1
-
-
-def test_quantiles_with_refinement(spark, monkeypatch):
-    """A hot group whose values nearly coincide: buckets are split until they are small enough."""
+@pytest.mark.parametrize("refinements", [0, 1, 2])
+def test_quantiles_with_refinement(spark, monkeypatch, refinements):
+    """A hot group whose values nearly coincide: each refinement is one more scan that splits buckets."""
     data = [("hot", 0, 1000.0 + i * 1e-7, 5) for i in range(400)] + [("hot", 1, 1000.0, 5)] * 200
     data += [("cold", 0, -3.0, 2), ("cold", 0, -2.0, 9)]
     scans = []
     real = quantiles.stage
     monkeypatch.setattr(quantiles, "stage", lambda df, name: scans.append(name) or real(df, name))
-    check_quantiles(spark, data, max_bucket_values=10)
-    assert len(scans) > 1
+    check_quantiles(spark, data, refinements=refinements)
+    assert len(scans) == 1 + refinements
 
 
 @calm
@@ -163,10 +159,11 @@ def test_nearest_rank(spark):
 
 def test_approximate_quantiles_agree_on_small_groups(spark):
     df = spark.createDataFrame([(i % 2, float(i)) for i in range(101)], "k int, v double")
-    outputs = {"m": ("v", 0.5)}
-    [a] = quantiles.quantiles(df, [["k"]], outputs, exact=True)
-    [b] = quantiles.quantiles(df, [["k"]], outputs, exact=False)
-    assert rows(a) == rows(b)
+    nonfinite = [(2, v) for v in (1.0, float("inf"), float("nan"))] + [(3, v) for v in (float("nan"), -float("inf"))]
+    df = df.union(spark.createDataFrame(nonfinite, df.schema))
+    size, outputs = [F.count("*").alias("n")], {"m": ("v", 0.5)}
+    exact, sketch = (quantiles.group_stats(df, ["k"], size, outputs, exact) for exact in (True, False))
+    assert repr(rows(exact)) == repr(rows(sketch)) and len(rows(exact)) == 4
 
 
 # -------------------------------------------------------------------- latest
@@ -269,9 +266,12 @@ def test_names_match_exactly_unless_folded(spark):
         prop,
         marts.socioeconomic_neighborhood(income),
         marts.cultural_neighborhood(sites, income),
-        marts.income_quintiles(income),
     )
     assert marts.integrated_analytics(*inputs).count() == 0
+    aliases = spark.createDataFrame([(" LA font", "the fountain"), ("other", "x")], "alias string, name string")
+    assert marts.integrated_analytics(*inputs, aliases=aliases).count() == 1
+    named = marts.with_canonical_names(spark.createDataFrame([("La Font",), (None,), ("z",)], "n string"), "n", aliases)
+    assert sorted(rows(named), key=repr) == [("the fountain",), ("z",), (None,)]
     [folded] = marts.integrated_analytics(*inputs, fold_names=True).collect()
     assert (folded["neighborhood"], folded["total_cultural_sites"], folded["income_quintile"]) == ("La Font", 1, "Q3_Medium")
 
@@ -431,7 +431,11 @@ def status_rows(spark, data):
 def test_score_and_recommendations(spark):
     status = status_rows(spark, [("f", "a", "success", 10), ("f", "b", "error", None), ("e", "c", "success", 0)])
     checks = spark.createDataFrame(
-        [("f", "a", "duplicate_percentage", 60.0), ("f", "c", "duplicate_percentage", 0.0), ("f", "a", "negative_prices", 2.0)],
+        [
+            ("f", "a", "duplicate_percentage", 60.0, None),
+            ("f", "c", "duplicate_percentage", 0.0, None),
+            ("f", "a", "negative_prices", 2.0, None),
+        ],
         validate.CHECK_SCHEMA,
     )
     score = validate.quality_score(status, checks)
@@ -448,7 +452,7 @@ def test_score_and_recommendations(spark):
 
 def test_healthy_run(spark):
     status = status_rows(spark, [("f", "a", "success", 10)])
-    checks = spark.createDataFrame([("f", "a", "duplicate_percentage", 0.0)], validate.CHECK_SCHEMA)
+    checks = spark.createDataFrame([("f", "a", "duplicate_percentage", 0.0, None)], validate.CHECK_SCHEMA)
     got = validate.recommendations(validate.quality_score(status, checks), checks).collect()
     assert [r["rule"] for r in got] == ["healthy"]
 
@@ -465,6 +469,42 @@ def test_required_mart_outcomes(spark):
     validate.assert_gate(gate.filter("dataset = 'c'"), fail_on=["FAIL"])
 
 
+def test_row_count_gate_outcomes(spark):
+    status = status_rows(spark, [("f", "a", "success", 5), ("f", "b", "success", 4), ("f", "c", "error", None), ("f", "e", "success", 0)])
+    gate = validate.row_count_gate(status, {"a": 5, "b": 5, "c": 5, "d": 5})
+    assert {r["dataset"]: r["gate"] for r in gate.collect()} == {
+        "a": "PASS", "b": "FAIL", "c": "ERROR", "d": "MISSING", "e": "PASS"
+    }
+    with pytest.raises(validate.GateError, match="b, c, d"):
+        validate.assert_gate(gate)
+
+
+def test_last_year_of_the_rules_is_a_parameter(spark):
+    income = spark.createDataFrame([(1.0, 2025), (1.0, 2026)], "income_index_bcn_100 double, year int")
+    found = {r["check"]: r["value"] for r in validate.quality_checks(income, "f", "income").collect()}
+    assert found == {"duplicate_count": 0.0, "duplicate_percentage": 0.0, "negative_income": 0.0, "future_years": 1.0}
+    later = validate.quality_checks(income, "f", "income", validate.rules(2026)["income"], exact=True)
+    assert {r["check"]: r["value"] for r in later.collect()}["future_years"] == 0.0
+
+
+def test_failed_check_keeps_its_error(spark, tmp_path):
+    spark.range(3).write.parquet(f"{tmp_path}/idealista")
+    status = validate.validate_zone(spark, "f", str(tmp_path), ["idealista", "income"])
+    [missing] = status.filter("status = 'error'").collect()
+    assert "income" in missing["error"]
+    [row] = validate.check_zone(spark, status).collect()  # the rules name columns that are not there
+    assert row["check"] == "error" and row["value"] is None and "price_eur" in row["error"]
+
+
+def test_dedup_latest(spark):
+    from citymart.operators.latest import dedup_latest
+
+    data = [("a", 1, "x"), ("a", 2, "y"), ("a", 2, "z"), ("a", 2, "z"), (None, 1, "n"), (None, None, "m"), ("b", None, None)]
+    df = spark.createDataFrame(data, "k string, t int, v string")
+    assert rows(dedup_latest(df, ["k"], ["t"])) == [("a", 2, "z"), ("b", None, None), (None, 1, "n")]
+    assert dedup_latest(df.limit(0), ["k"], ["t"]).collect() == []
+
+
 def test_rule_counts_skip_nulls(spark):
     df = spark.createDataFrame([(0.0, 1), (-1.0, 0), (None, None), (5.0, 2)], "price_eur double, size_m2 int")
     assert rows(validate.rule_violations(df, validate.RULES["idealista"])) == [("negative_prices", 2.0), ("zero_sizes", 1.0)]
