@@ -66,10 +66,12 @@ def _anchor_rows(docs: DataFrame, least: int) -> DataFrame:
 
 
 def _suffix_rows(docs: DataFrame, least: int, id_kind: str) -> DataFrame:
-    """``id``, ``pos``, ``suffix`` (the ``least`` words from there), ``left`` (as many before, the last
-    first), and how far before ``pos`` the runs that it was chosen for begin: ``near`` to ``far``."""
-    names = ["id", "pos", "suffix", "left", "near", "far"]
-    kinds = [pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.int32()]
+    """``id``, ``suffix`` (the ``least`` words from a position), ``left`` (as many before, the last
+    first), how far before the position the runs that it was chosen for begin, ``near`` to ``far``, and
+    ``at``, all positions of the document that have these. Words that repeat over and over, which have
+    positions chosen at every step, make few rows."""
+    names = ["id", "suffix", "left", "near", "far", "at"]
+    kinds = [pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.list_(pa.int32())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -83,17 +85,20 @@ def _suffix_rows(docs: DataFrame, least: int, id_kind: str) -> DataFrame:
             for row, (text, chosen) in enumerate(zip(batch.column(1), batch.column(2))):
                 words, wanted = split_words(text.as_py()), set(chosen.as_py())
                 at, _, first, last = (c.tolist() for c in anchors(words, least))
+                same: dict[tuple, list[int]] = {}
                 for p, low, high in zip(at, first, last):
                     if p in wanted:
                         suffix, left = words[p : p + least], words[max(0, p - least) : p]
-                        out.append((row, p, b" ".join(suffix), b" ".join(left[::-1]), p - high, p - low))
+                        key = b" ".join(suffix), b" ".join(left[::-1]), p - high, p - low
+                        same.setdefault(key, []).append(p)
+                out += [(row, *key, places) for key, places in same.items()]
                 if len(out) > 20_000:
                     yield table()
                     out.clear()
             if out:
                 yield table()
 
-    return docs.mapInArrow(run, f"id {id_kind}, pos int, suffix binary, left binary, near int, far int")
+    return docs.mapInArrow(run, f"id {id_kind}, suffix binary, left binary, near int, far int, at array<int>")
 
 
 def common_words(a: bytes, b: bytes) -> int:
@@ -108,28 +113,36 @@ def common_words(a: bytes, b: bytes) -> int:
     return n
 
 
-Row = tuple  # id, pos, suffix, left, near, far
+#: Keys that a task remembers to have told.
+RECENT_KEYS = 100_000
 
+Row = tuple  # id, suffix, left, near, far, at
 
-def run_key(row: Row, back: int, least: int) -> bytes:
-    """The ``least`` words that begin ``back`` words before the row's position, as 128 bits."""
-    left, right = row[3].split()[:back], row[2].split()[: least - back]
-    return xxhash.xxh3_128_digest(b" ".join([*left[::-1], *right]))
+
+def run_keys(row: Row, first: int, last: int, least: int) -> Iterator[tuple[int, bytes]]:
+    """For ``first`` to ``last`` words back, the ``least`` words that begin there, as 128 bits."""
+    if first <= last:
+        left, right = row[2].split()[:last][::-1], row[1].split()
+        for back in range(first, last + 1):
+            words = left[len(left) - back :] + right[: least - back]
+            yield back, xxhash.xxh3_128_digest(b" ".join(words))
 
 
 def shared_spans(rows: Iterable[Row], least: int) -> Iterator[tuple]:
     """What sorted suffixes share with their neighbours, and what is left to find out.
 
-    * ("span", row, start, end): words shared with the nearest suffix of another document on either
+    * ("span", row, left, right): words before and from the positions on that are shared with the nearest suffix of another document on either
       side, which has the longest common beginning; the match is extended to the left.
-    * ("ask" or "tell", row, back): a run of ``least`` words that some other suffix may share, as its
-      part to the right is no longer than the longest common beginning; "ask" if no span covers it.
-      Of suffixes that are the same on both sides in two documents, only two rows tell. The first and
-      the last rows, which lack a neighbour on one side, may share any run.
+    * ("ask" or "tell", row, back, key): a run of ``least`` words, beginning ``back`` words before the
+      positions, that some other suffix may share, as its part to the right is no longer than the
+      longest common beginning; "ask" if no span covers it, else "tell": it is shared. Once is enough
+      for suffixes that are the same on both sides and for runs told lately. The first and the last
+      rows, which lack a neighbour on one side, may share any run.
     """
     before: Row | None = None
     run: list[Row] = []
-    told: tuple = (None, set())
+    told: Row | None = None
+    recent: set[bytes] = set()
 
     def looked_at(row: Row, others: list[Row | None]) -> Iterator[tuple]:
         nonlocal told
@@ -138,25 +151,28 @@ def shared_spans(rows: Iterable[Row], least: int) -> Iterator[tuple]:
             if other is None:
                 right = least
                 continue
-            common = common_words(row[2], other[2])
+            common = common_words(row[1], other[1])
             right = max(right, common)
             if common >= GRAM:
-                left = common_words(row[3], other[3])
-                twin = twin or row[2:4] == other[2:4]
+                left = common_words(row[2], other[2])
+                twin = twin or row[1:3] == other[1:3]
                 if left + common >= least:
-                    spans.append((row[1] - left, row[1] + common))
+                    spans.append((left, common))
         yield from (("span", row, *span) for span in spans)
         if twin:
-            if told[0] != row[2:4]:
-                told = (row[2:4], set())
-            if row[0] in told[1] or len(told[1]) == 2:
+            if told == row[1:5]:
                 return
-            told[1].add(row[0])
+            told = row[1:5]
         if right >= GRAM:
-            for back in range(max(row[4], least - right), row[5] + 1):
-                start = row[1] - back
-                covered = any(a <= start and start + least <= b for a, b in spans)
-                yield "tell" if covered else "ask", row, back
+            if len(recent) > RECENT_KEYS:
+                recent.clear()
+            for back, key in run_keys(row, max(row[3], least - right), row[4], least):
+                covered = any(back <= a and least - back <= b for a, b in spans)
+                if not covered:
+                    yield "ask", row, back, key
+                elif key not in recent:
+                    recent.add(key)
+                    yield "tell", row, back, key
 
     for row in rows:
         if run and row[0] != run[0][0]:
@@ -175,7 +191,7 @@ def _compare(rows: DataFrame, least: int, id_kind: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def read() -> Iterator[Row]:
-            wanted = ("id", "pos", "suffix", "left", "near", "far")
+            wanted = ("id", "suffix", "left", "near", "far", "at")
             for batch in batches:
                 yield from zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in wanted))
 
@@ -185,10 +201,11 @@ def _compare(rows: DataFrame, least: int, id_kind: str) -> DataFrame:
         out = []
         for what, row, *more in shared_spans(read(), least):
             if what == "span":
-                out.append((row[0], what, *more, None))
+                out += [(row[0], what, p - more[0], p + more[1], None) for p in row[5]]
+            elif what == "ask":
+                out += [(row[0], what, p - more[0], p - more[0] + least, more[1]) for p in row[5]]
             else:
-                start = row[1] - more[0]
-                out.append((row[0], what, start, start + least, run_key(row, more[0], least)))
+                out.append((None, what, None, None, more[1]))
             if len(out) >= 10_000:
                 yield table(out)
                 out = []
@@ -229,14 +246,17 @@ def shared_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     chosen = stage(chosen, "chosen")
     texts = docs.join(chosen, F.col("key") == F.col("__key")).select("id", "text", "at")
     suffixes = stage(_suffix_rows(texts, least, id_kind), "suffixes")
-    order = ["suffix", "left", "id", "pos"]
+    order = ["suffix", "left", "id", "at"]
     suffixes = suffixes.repartitionByRange(*order).sortWithinPartitions(*order)
     compared = stage(_compare(suffixes, least, id_kind), "compared")
     spans = compared.filter("what = 'span'").select("id", "start", "end")
-    runs = compared.filter("run_key is not null").select("id", "run_key", "start", "end", "what")
-    asked = runs.filter("what = 'ask'").select("id", "run_key", "start", "end").distinct()
-    known = runs.join(asked.select("run_key").distinct(), "run_key", "left_semi")
-    known = known.groupBy("run_key").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low <> high")
+    # a run asked for is shared if it was told, or asked for by another document; only asks have an id
+    runs = compared.filter("run_key is not null")
+    known = runs.groupBy("run_key").agg(
+        F.min("id").alias("low"), F.max("id").alias("high"), F.bool_or(F.col("id").isNull()).alias("told")
+    )
+    known = stage(known.filter("told and low is not null or low <> high").select("run_key"), "runs")
+    asked = runs.filter("id is not null").select("id", "run_key", "start", "end")
     spans = spans.unionAll(asked.join(known, "run_key", "left_semi").select("id", "start", "end")).distinct()
     # overlapping spans of a document become one
     before = Window.partitionBy("id").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
