@@ -52,6 +52,28 @@ property_district as ({_property("district")}),
 property_neighborhood as ({_property("neighborhood")})"""
 )
 
+_NON_FINITE = _LISTINGS + """,
+prices as (
+    select district, case rooms when 1 then '-inf'::double when 6 then 'inf'::double when 7 then 'nan'::double
+                     else price_eur end as price
+    from listings
+)
+select district, """ + ", ".join(
+    f"""case when isnan(p{p}) then 'nan' when isinf(p{p}) and p{p} > 0 then 'inf' when isinf(p{p}) then '-inf'
+        else cast(try_cast(p{p} as decimal(18, 2)) as varchar) end as p{p}"""
+    for p in (25, 50, 72, 99)
+) + """
+from (select district, quantile_disc(price, 0.25) as p25, quantile_disc(price, 0.5) as p50,
+             quantile_disc(price, 0.72) as p72, quantile_disc(price, 0.99) as p99
+      from prices group by district)"""
+
+_MODEL = f"""{_LISTINGS},
+sides as (
+    select property_code, size_m2, price_eur,
+           cast(concat('0x', substring(md5(concat('42|', property_code)), 1, 8)) as bigint) % 100 < 80 as train
+    from listings
+)"""
+
 _INCOME = (
     _PLACES
     + """,
@@ -289,6 +311,18 @@ def _correlations(columns: tuple[str, ...]) -> str:
     )
 
 
+_NUMBERS = (
+    "l_orderkey",
+    "l_partkey",
+    "l_suppkey",
+    "l_linenumber",
+    "l_quantity",
+    "l_extendedprice",
+    "l_discount",
+    "l_tax",
+)
+
+
 def _describe() -> str:
     rows = []
     for c in _ORDERS:
@@ -414,6 +448,12 @@ score as (
 )
 
 
+_COMPLETE = (
+    "district is not null and neighborhood is not null and median_price_eur is not null "
+    "and income_index_bcn_100 is not null"
+)
+
+
 def _digest() -> str:
     groups = {
         "avg_price_per_m2_by_district": (
@@ -444,8 +484,8 @@ def _digest() -> str:
             "integrated",
             {
                 "total_records": "count(*)",
-                "complete_records": "count(*)",
-                "completeness_percentage": "case when count(*) > 0 then 100 else 0 end",
+                "complete_records": f"count(*) filter ({_COMPLETE})",
+                "completeness_percentage": f"coalesce(count(*) filter ({_COMPLETE}) / nullif(count(*), 0) * 100, 0)",
             },
         ),
     }
@@ -537,6 +577,10 @@ ORACLES: dict[str, str] = {
     "property_neighborhood": f"with {_PROPERTY} select * from property_neighborhood",
     "property_analytics": f"""with {_PROPERTY}
         select * from property_district union all select * from property_neighborhood""",
+    "property_exact": f"""with {_PROPERTY}
+        select * from property_district union all select * from property_neighborhood""",
+    "quantiles_non_finite": f"with {_NON_FINITE}",
+    "sketches_non_finite": f"with {_NON_FINITE}",
     "property_stored": f"with {_PROPERTY} select * from property_neighborhood",
     "property_type": f"""with {_LISTINGS}
         select district, property_type, count(*) as type_count,
@@ -570,7 +614,10 @@ ORACLES: dict[str, str] = {
     "cultural_district": f"""with {_INCOME}{_population('income', 'population')}{_SITES}{_CULTURE}
         select * from culture_district""",
     "cultural_neighborhood": f"""with {_INCOME},
-        recent as (select * from sparse where year >= 2000){_population('recent', 'population')}{_SITES}{_CULTURE}
+        gaps as (
+            select * replace (case when neighborhood_code % 3 <> 0 then income_index_bcn_100 end
+                              as income_index_bcn_100)
+            from income){_population('gaps', 'population')}{_SITES}{_CULTURE}
         select * from culture_neighborhood""",
     "cultural_category": f"""with {_PLACES}{_SITES}
         select district, category, count(*) as category_count from sites group by district, category""",
@@ -658,8 +705,12 @@ ORACLES: dict[str, str] = {
         {_correlations(("l_extendedprice", "l_quantity", "l_discount", "l_linenumber"))}""",
     "describe": f"with {_DIRTY} {_describe()}",
     "column_types": """
-        select type_class, column_count, (select count(*) from events) as total_rows
-        from (values ('numeric', 3), ('categorical', 2), ('date', 1)) t(type_class, column_count)""",
+        select case when column_type in ('TINYINT', 'SMALLINT', 'INTEGER', 'BIGINT', 'FLOAT', 'DOUBLE') then 'numeric'
+                    when column_type = 'VARCHAR' then 'categorical'
+                    when column_type like 'DATE%' or column_type like 'TIMESTAMP%' then 'date'
+                    else 'other' end as type_class,
+               cast(count(*) as integer) as column_count, (select count(*) from events) as total_rows
+        from (describe events) group by 1""",
     "sample_rows": """
         select o_orderkey, o_custkey, o_totalprice from orders
         order by md5(concat('42|', o_orderkey)), o_orderkey limit 1000""",
@@ -682,11 +733,11 @@ ORACLES: dict[str, str] = {
     ),
     "quality_checks": f"with {_CHECKS} select * replace (round(value, 6) as value) from checks",
     "row_count_gate": f"""with {_STATUS}, limits(dataset, needed) as (
-            values ('idealista', 10000), ('income', 500), ('cultural_sites', 400))
-        select s.dataset, record_count, cast(coalesce(needed, 0) as bigint) as min_required,
-               case when status <> 'success' then 'ERROR' when record_count >= coalesce(needed, 0) then 'PASS'
-                    else 'FAIL' end as gate
-        from status s left join limits l on s.dataset = l.dataset""",
+            values ('idealista', 10000), ('income', 500), ('cultural_sites', 400), ('weather', 1))
+        select dataset, record_count, cast(coalesce(needed, 0) as bigint) as min_required,
+               case when status is null then 'MISSING' when status <> 'success' then 'ERROR'
+                    when record_count >= coalesce(needed, 0) then 'PASS' else 'FAIL' end as gate
+        from status full join limits using (dataset)""",
     "required_mart_gate": f"""with {_STATUS}, required(dataset) as (
             values ('categories'), ('income_quintiles'), ('integrated_analytics'), ('property_analytics'))
         select r.dataset, record_count,
@@ -721,4 +772,82 @@ ORACLES: dict[str, str] = {
         from (select distinct district, category from sites)
         union all select 'exploitation', 'income_quintiles', 'success', count(*), 4 from latest
         union all select 'exploitation', 'integrated_analytics', 'error', null, null""",
+    "model_rows": f"""with {_LISTINGS}
+        select property_code, neighborhood, property_type, size_m2, rooms,
+               cast(substring(p_brand, 7) as integer) as floor, status, price_eur as price, is_exterior
+        from listings where regexp_full_match(substring(p_brand, 7), '[0-9]+')""".replace(
+        "p_type as property_type\n", "p_type as property_type, p_brand, l_linestatus = 'O' as is_exterior\n"
+    ),
+    "model_split": f"""with {_MODEL}
+        select property_code, case when train then 'train' else 'validation' end as side from sides""",
+    "linear_price_model": f"""with {_MODEL}, line as (
+            select regr_slope(price_eur, size_m2) as slope, regr_intercept(price_eur, size_m2) as start
+            from sides where train)
+        select 'LinearRegression' as model, round(sqrt(avg((price_eur - start - slope * size_m2) ** 2)), 4) as rmse
+        from sides, line where not train""",
+    "json_arrays": "select * from conversations",
+    "folder_json": "select * from conversations",
+    "folder_csv": "select doc_id, text, lang from documents",
+    "load_safety": f"""with {_RAW_LISTINGS}
+        select property_code, district, size_m2 from raw
+        where price_eur > 0 and size_m2 > 0 and district is not null and rooms <> 2
+          and (floor is null or floor <> '3')""",
+    "load_times": f"""with {_RAW_LISTINGS}{_SITES}
+        select 'load' as what, count(*) as row_count, count(*) as known, cast(1 as bigint) as times
+        from raw where price_eur > 0 and size_m2 > 0 and district is not null
+        union all select 'mart', count(*), count(*), 1 from (select distinct district, category from sites)""",
+    "zone_files": """
+        select 'formatted' as zone, count(*) > 0 as exists, cast(2 as bigint) as dir_count, true as has_content,
+               true as dated
+        from nation
+        union all select 'landing', false, 0, false, false""",
+    "table_files": """
+        select dataset, cast(2 as integer) as file_count from (values ('idealista'), ('income')) t(dataset)
+        where exists (select * from nation)""",
+    "required_folders": """
+        select dataset, dataset <> 'cultural-sites' as exists,
+               cast(case when dataset <> 'cultural-sites' then 2 else 0 end as integer) as file_count
+        from (values ('idealista'), ('income'), ('cultural-sites')) t(dataset)""",
+    "table_preview": "select * from nation",
+    "log_files": "select 'two' as run, count(*) > 0 as has_content from events",
+    "newest_report": "select cast(0 as bigint) as run, count(*) as rows from labels where toxic = 0",
+    "zone_checks": f"""with {_INCOME}
+        select 'formatted' as zone, 'income' as dataset, "check", round(value, 6) as value,
+               cast(null as boolean) as names_column
+        from ({_check_rows("income", "sparse", _SPARSE_COLUMNS, {
+            "negative_income": "income_index_bcn_100 < 0", "future_years": "year > 2025"})})
+        union all select 'formatted', 'idealista', 'error', null, true""",
+    "run_report": f"""with {_INCOME}
+        select '2025-01-01' as execution_date, 'run-1' as run_id, 'FAILED' as pipeline_status,
+               cast(3 as bigint) as landing_zone_datasets, cast(2 as bigint) as formatted_datasets,
+               cast(1 as bigint) as analytics_datasets,
+               (select count(*) from nation) + (select count(*) from sparse) as total_records_processed,
+               'PASSED' as status, 100.0::double as quality_score, 100.0::double as load_success_rate""",
+    "newest_order": """
+        select o_custkey, o_orderkey, o_totalprice from (
+            select *, row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) as r
+            from orders)
+        where r = 1""",
+    "canonical_names": """
+        select c_custkey, case when n_nationkey % 2 = 1 then concat(n_name, '!') else n_name end as n_name
+        from customer join nation on c_nationkey = n_nationkey""",
+    "completeness_gaps": f"""with {_INCOME}, gaps as (
+            select year <> 1996 and income_index_bcn_100 is not null as complete from sparse)
+        select count(*) as total_records, count(*) filter (complete) as complete_records,
+               round(count(*) filter (complete) / count(*) * 100, 6) as completeness_percentage
+        from gaps""",
+    "histogram_all": _histogram(_NUMBERS)
+    + """
+    union all
+    select 'odd_tax', bin, case when bin is not null then round(lo + bin * ((hi - lo) / 50), 6) end,
+           case when bin is not null then round(lo + (bin + 1) * ((hi - lo) / 50), 6) end, count(*)
+    from (select lo, hi, case when l_linenumber < 6
+                 then cast(least(49, floor((l_tax - lo) / (hi - lo) * 50)) as integer) end as bin
+          from lineitem, (select min(l_tax) as lo, max(l_tax) as hi from lineitem where l_linenumber < 6))
+    group by lo, hi, bin""",
+    "correlation_all": f"""with items as (
+            select {", ".join(_NUMBERS)}, l_quantity * l_tax as quantity_tax, l_extendedprice * l_discount as saved,
+                   case when l_quantity > 5 then l_linenumber end as some_lines
+            from lineitem)
+        {_correlations((*_NUMBERS, "quantity_tax", "saved", "some_lines"))}""",
 }

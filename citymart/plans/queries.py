@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 
 from citymart.functions import columns as C
 from citymart.functions.schema import numeric_columns, type_counts
-from citymart.operators import kpi, marts, profile, regress, standardize, validate
-from citymart.operators.latest import latest_per_key
+from citymart.operators import kpi, marts, profile, quantiles, regress, standardize, validate
+from citymart.operators.latest import dedup_latest, latest_per_key
 from citymart.plans import bindings as B
 from citymart.session import stage, staged_path
 from citymart.sources import landing, reports, schemas, tables
-from citymart.sources.files import entries, list_tables
+from citymart.sources.files import entries, list_tables, required_datasets, table_file_counts, zone_inventory
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,9 @@ QUERIES: dict[str, Query] = {}
 CUSTOM_INCOME_CUTS = (90, 97, 103, 110)
 CUSTOM_MARKET_CUTS = (1000, 3000)
 
+# Sketches of this accuracy are exact in groups of up to half a million rows.
+ACCURACY = 1_000_000
+
 
 def register(query: Query) -> Query:
     QUERIES[query.__name__] = query
@@ -225,24 +228,64 @@ def distinct_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def property_district(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.property_analytics(B.listings(spark, sf_dir), ["district"])
+    return marts.property_analytics(B.listings(spark, sf_dir), ["district"], accuracy=ACCURACY)
 
 
 @register
 def property_neighborhood(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.property_analytics(B.listings(spark, sf_dir), ["neighborhood"])
+    return marts.property_analytics(B.listings(spark, sf_dir), ["neighborhood"], accuracy=ACCURACY)
 
 
 @register
 def property_analytics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.property_analytics(B.listings(spark, sf_dir))
+    return marts.property_analytics(B.listings(spark, sf_dir), accuracy=ACCURACY)
+
+
+@register
+def property_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same mart with medians that are exact at any size."""
+    return marts.property_analytics(B.listings(spark, sf_dir), exact=True)
+
+
+_NON_FINITE = {"p25": ("price", 0.25), "p50": ("price", 0.5), "p72": ("price", 0.72), "p99": ("price", 0.99)}
+
+
+def _non_finite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices of which some are infinite and some are not a number."""
+    line = F.col("rooms")
+    price = F.when(line == 6, float("inf")).when(line == 7, float("nan")).when(line == 1, -float("inf"))
+    return B.listings(spark, sf_dir).select("district", price.otherwise(F.col("price_eur")).alias("price"))
+
+
+def _as_text(df: DataFrame) -> DataFrame:
+    """Numbers as text that engines agree on, whatever they are."""
+
+    def text(value: Column) -> Column:
+        named = F.when(F.isnan(value), "nan").when(value == float("inf"), "inf").when(value == -float("inf"), "-inf")
+        return F.when(value.isNotNull(), named.otherwise(value.try_cast("decimal(18,2)").cast("string")))
+
+    return df.select("district", *[text(F.col(c)).alias(c) for c in df.columns[1:]])
+
+
+@register
+def quantiles_non_finite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact quantiles; infinities rank at the ends, NaN last."""
+    [found] = quantiles.group_quantiles(_non_finite(spark, sf_dir), [["district"]], _NON_FINITE, refinements=1)
+    return _as_text(found)
+
+
+@register
+def sketches_non_finite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from sketches, in one aggregation."""
+    found = quantiles.sketches(_NON_FINITE, ACCURACY)
+    return _as_text(_non_finite(spark, sf_dir).groupBy("district").agg(*found))
 
 
 @register
 def property_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The property mart written by level; reading one level touches one partition."""
     zone = staged_path(spark, "exploitation")
-    mart = marts.stamped(marts.property_analytics(B.listings(spark, sf_dir)))
+    mart = marts.stamped(property_analytics(spark, sf_dir))
     tables.write_mart(mart, zone, "property_analytics")
     stored = tables.read_mart(spark, zone, "property_analytics")
     return stored.filter(F.col("analysis_level") == "neighborhood").drop("created_at")
@@ -250,14 +293,14 @@ def property_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def property_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mart = marts.property_type_analytics(B.listings(spark, sf_dir, parts=True))
+    mart = marts.property_type_analytics(B.listings(spark, sf_dir, parts=True), accuracy=ACCURACY)
     return rounded(mart, ["avg_price_per_m2_by_type"])
 
 
 @register
 def property_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listings per level out of both marts, built together."""
-    places, types = marts.property_marts(B.listings(spark, sf_dir, parts=True))
+    places, types = marts.property_marts(B.listings(spark, sf_dir, parts=True), accuracy=ACCURACY)
     place_rows = places.select(
         "district",
         F.coalesce("neighborhood", F.lit("all")).alias("part"),
@@ -326,8 +369,10 @@ def cultural_district(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def cultural_neighborhood(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Population is known only where the sparse income has an index."""
-    income = _sparse_income(spark, sf_dir).filter(F.col("year") >= 2000)
+    """Population is known only where some year has an index, which every third nation lacks."""
+    income = _income(spark, sf_dir).withColumn(
+        "income_index_bcn_100", F.when(F.col("neighborhood_code") % 3 != 0, F.col("income_index_bcn_100"))
+    )
     return marts.cultural_neighborhood(B.sites(spark, sf_dir), income)
 
 
@@ -344,11 +389,11 @@ def _integrated(
 ) -> DataFrame:
     income, sites = _income(spark, sf_dir), B.sites(spark, sf_dir)
     return marts.integrated_analytics(
-        marts.property_analytics(B.listings(spark, sf_dir), ["neighborhood"]),
+        property_neighborhood(spark, sf_dir),
         marts.socioeconomic_neighborhood(income),
         marts.cultural_neighborhood(sites, income),
-        marts.income_quintiles(income, income_cuts),
         market_cuts,
+        income_cuts=income_cuts,
     )
 
 
@@ -376,7 +421,7 @@ def market_accessibility(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def price_quartiles_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kpi.price_quartiles(B.listings(spark, sf_dir, parts=True))
+    return kpi.price_quartiles(B.listings(spark, sf_dir, parts=True), accuracy=ACCURACY)
 
 
 @register
@@ -386,8 +431,8 @@ def listing_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def district_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The medians of the mart are not shown here, so the cheap ones will do."""
-    return kpi.district_prices(marts.property_analytics(B.listings(spark, sf_dir), ["district"], exact=False))
+    """The medians of the mart are not shown here, so it comes without."""
+    return kpi.district_prices(marts.property_analytics(B.listings(spark, sf_dir), ["district"], medians=False))
 
 
 @register
@@ -428,12 +473,11 @@ def spatial_equity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def kpi_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The indicators over stored marts, as a run has them: no mart is computed for two of them."""
     income, sites = _income(spark, sf_dir), _sites(spark, sf_dir)
-    property_mart = stage(marts.property_analytics(B.listings(spark, sf_dir)), "property")
+    property_mart = stage(property_analytics(spark, sf_dir), "property")
     integrated_mart = marts.integrated_analytics(
         property_mart,
         marts.socioeconomic_neighborhood(income),
         marts.cultural_neighborhood(sites, income),
-        marts.income_quintiles(income),
     )
     digest = kpi.kpi_digest(
         property_mart,
@@ -560,8 +604,8 @@ def describe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def column_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Type classes of the columns, with the missing values found in each class."""
-    events = B.table(spark, sf_dir, "events")
+    """Type classes of the columns as stored, beside the number of rows."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
     kinds = type_counts(events)
     rows = events.agg(F.count(F.lit(1)).alias("n")).scalar()
     return kinds.select("type_class", "column_count", rows.alias("total_rows"))
@@ -641,12 +685,13 @@ def rule_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def quality_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(_checks(spark, sf_dir), ["value"])
+    return rounded(_checks(spark, sf_dir).drop("error"), ["value"])
 
 
 @register
 def row_count_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validate.row_count_gate(_zone_status(spark, sf_dir))
+    """One of the tables with a least row count has no status at all."""
+    return validate.row_count_gate(_zone_status(spark, sf_dir), {**validate.MIN_RECORDS, "weather": 1})
 
 
 @register
@@ -733,7 +778,223 @@ def log_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def price_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two regressors trained on the listings, by validation error."""
-    columns = ["neighborhood", "property_type", "size_m2", "rooms", "floor", "status", "price_eur", "is_exterior"]
-    rows = regress.model_rows(B.listings(spark, sf_dir, parts=True), columns, keep=["property_code"])
-    ranking, _ = regress.train(rows, ["property_code"])
+    ranking, _ = regress.train(stage(model_rows(spark, sf_dir), "rows"), ["property_code"])
     return ranking
+
+
+@register
+def model_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listings as the models see them."""
+    columns = ["neighborhood", "property_type", "size_m2", "rooms", "floor", "status", "price_eur", "is_exterior"]
+    return regress.model_rows(B.listings(spark, sf_dir, parts=True), columns, keep=["property_code"])
+
+
+@register
+def model_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which side of the split each listing is on."""
+    rows = B.listings(spark, sf_dir).select("property_code")
+    sides = zip(("train", "validation"), regress.split(rows, ["property_code"]))
+    return reduce(DataFrame.unionByName, [part.withColumn("side", F.lit(side)) for side, part in sides])
+
+
+@register
+def linear_price_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Validation error of a linear model of the price by size alone."""
+    rows = B.listings(spark, sf_dir).select("property_code", "size_m2", F.col("price_eur").alias(regress.TARGET))
+    models = {name: m for name, m in regress.regressors().items() if name == "LinearRegression"}
+    ranking, _ = regress.train(stage(rows, "rows"), ["property_code"], models, partitions=8)
+    return rounded(ranking, ["rmse"], 4)
+
+
+# ------------------------------------------------------- landing files and zones
+
+
+@register
+def json_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of one array of records each."""
+    path = staged_path(spark, "arrays")
+    record = F.struct("conv_id", "turn", "role", "text")
+    groups = B.table(spark, sf_dir, "conversations").groupBy(F.expr("conv_id div 50").alias("part"))
+    groups.agg(F.to_json(F.collect_list(record)).alias("value")).write.partitionBy("part").text(path)
+    return landing.read_json_arrays(spark, path, B.TABLES["conversations"]).drop("part")
+
+
+@register
+def folder_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder of JSON lines, read without a schema."""
+    path = staged_path(spark, "folder")
+    B.table(spark, sf_dir, "conversations").write.json(path)
+    return landing.read_folder(spark, path)
+
+
+@register
+def folder_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder of CSV files whose texts hold line breaks, quotes and commas."""
+    path = staged_path(spark, "folder")
+    texts = B.table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias('id "of", it'), "text", "lang")
+    options = {"header": True, "quoteAll": True, "escape": '"'}
+    options |= {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    texts.write.options(**options).csv(path)
+    found = landing.read_folder(spark, path)
+    return found.select(F.col('`id "of", it`').cast("bigint").alias("doc_id"), "text", "lang")
+
+
+@register
+def load_safety(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes beyond the range of their type and districts of blanks do not stop or bend a load."""
+    size = F.when(F.col("rooms") == 2, 3e10).otherwise(F.col("size"))
+    district = F.when(F.col("floor") == "3", " ").otherwise(F.col("district"))
+    raw = _raw_listings(spark, sf_dir).withColumns({"size": size, "district": district})
+    zone = staged_path(spark, "formatted")
+    tables.write_mart(standardize.format_listings(raw), zone, "idealista")
+    return tables.read_mart(spark, zone, "idealista").select("property_code", "district", "size_m2")
+
+
+@register
+def load_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of a load, and of a mart, has the same known time."""
+    loaded = standardize.format_listings(_raw_listings(spark, sf_dir)).select(F.col("load_timestamp").alias("at"))
+    made = marts.stamped(marts.cultural_category(B.sites(spark, sf_dir))).select(F.col("created_at").alias("at"))
+    counts = [F.count(F.lit(1)).alias("row_count"), F.count("at").alias("known"), F.count_distinct("at").alias("times")]
+    both = [df.agg(*counts).withColumn("what", F.lit(name)) for name, df in (("load", loaded), ("mart", made))]
+    return both[0].unionByName(both[1])
+
+
+def _small_zone(spark: SparkSession, sf_dir: str) -> str:
+    """A zone of two tables of one file each; one of them breaks the rules' expectations."""
+    zone = staged_path(spark, "zone")
+    B.table(spark, sf_dir, "nation").coalesce(1).write.parquet(f"{zone}/idealista")
+    B.without_low_index(_income(spark, sf_dir)).coalesce(1).write.parquet(f"{zone}/income")
+    return zone
+
+
+@register
+def zone_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a zone holds, and one that is not there."""
+    zone = _small_zone(spark, sf_dir)
+    found = zone_inventory(spark, {"formatted": zone, "landing": f"{zone}/none"})
+    known = F.col("latest_modification").isNotNull().alias("dated")
+    return found.select("zone", "exists", "dir_count", (F.col("total_size_mb") > 0).alias("has_content"), known)
+
+
+@register
+def table_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table_file_counts(spark, _small_zone(spark, sf_dir))
+
+
+@register
+def required_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    zone = _small_zone(spark, sf_dir)
+    return required_datasets(spark, zone, ["idealista", "income", "cultural-sites"]).drop("path")
+
+
+@register
+def table_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.preview(B.table(spark, sf_dir, "nation"))
+
+
+@register
+def log_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log files of two runs, newest first."""
+    path = staged_path(spark, "logs")
+    events = B.table(spark, sf_dir, "events").select("event_type")
+    for run in ("one", "two"):
+        events.coalesce(1).write.text(f"{path}/{run}")
+    listed = reports.list_logs(spark, f"{path}/*/*.txt").withColumn("run", F.element_at(F.split("path", "/"), -2))
+    return listed.limit(1).select("run", (F.col("size") > 0).alias("has_content"))
+
+
+@register
+def newest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of two stored reports the newer one."""
+    path = staged_path(spark, "output")
+    counted = B.table(spark, sf_dir, "labels").groupBy(F.col("toxic").alias("run")).agg(F.count(F.lit(1)).alias("rows"))
+    for run in (1, 0):
+        reports.write_report(counted.filter(F.col("run") == run), f"{path}/{run}_validation_report.json")
+    return reports.read_reports(spark, f"{path}/*validation_report*").limit(1).select("run", "rows")
+
+
+@register
+def zone_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checks of a zone in which one table lacks the columns that its rules need."""
+    zone = _small_zone(spark, sf_dir)
+    status = validate.validate_zone(spark, "formatted", zone, ["idealista", "income", "cultural_sites"])
+    checks = validate.check_zone(spark, status)
+    named = F.col("error").contains("price_eur").alias("names_column")
+    return rounded(checks, ["value"]).select("zone", "dataset", "check", "value", named)
+
+
+@register
+def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that lacks a dataset has failed, however good the tables are."""
+    zone = _small_zone(spark, sf_dir)
+    presence = required_datasets(spark, zone, ["idealista", "income", "cultural-sites"])
+    formatted = validate.validate_zone(spark, "formatted", zone, ["idealista", "income"])
+    made = validate.validate_zone(spark, "exploitation", zone, ["income"], nulls=False)
+    checks = validate.check_zone(spark, formatted)
+    score = validate.quality_score(formatted.unionByName(made), checks)
+    return validate.pipeline_report(presence, formatted, made, score, "run-1", "2025-01-01")
+
+
+# ----------------------------------------------------------- names, copies, gaps
+
+
+@register
+def newest_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One order per customer, the newest; of several on that day the one with the largest key."""
+    orders = B.table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderkey", "o_totalprice")
+    return dedup_latest(orders, ["o_custkey"], ["o_orderdate"]).drop("o_orderdate")
+
+
+@register
+def canonical_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with their nation, of which those with odd keys are spelt otherwise."""
+    nation = B.table(spark, sf_dir, "nation")
+    odd = nation.filter(F.col("n_nationkey") % 2 == 1)
+    aliases = odd.select(F.concat(F.lit("  "), F.upper("n_name")).alias("alias"), F.concat("n_name", F.lit("!")).alias("name"))
+    customers = B.table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    return marts.with_canonical_names(customers.select("c_custkey", "n_name"), "n_name", aliases)
+
+
+@register
+def completeness_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Completeness of rows of which some lack an index and some a price."""
+    rows = _sparse_income(spark, sf_dir).select(
+        F.col("district_name").alias("district"),
+        F.col("neighborhood_name").alias("neighborhood"),
+        F.when(F.col("year") != 1996, F.col("population")).alias("median_price_eur"),
+        "income_index_bcn_100",
+    )
+    return rounded(kpi.completeness_kpi(rows), ["completeness_percentage"])
+
+
+_ALL_NUMBERS = [
+    "l_orderkey",
+    "l_partkey",
+    "l_suppkey",
+    "l_linenumber",
+    "l_quantity",
+    "l_extendedprice",
+    "l_discount",
+    "l_tax",
+]
+
+
+@register
+def histogram_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All numeric columns of the line items, one with infinities and NaN."""
+    line = F.col("l_linenumber")
+    odd = F.when(line == 6, float("inf")).when(line == 7, float("nan")).otherwise(F.col("l_tax")).alias("odd_tax")
+    return rounded(profile.histogram(B.table(spark, sf_dir, "lineitem").select("*", odd)), ["lower", "upper"])
+
+
+@register
+def correlation_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eleven columns, all by default."""
+    quantity = F.col("l_quantity")
+    more = [
+        (quantity * F.col("l_tax")).alias("quantity_tax"),
+        (F.col("l_extendedprice") * F.col("l_discount")).alias("saved"),
+        F.when(quantity > 5, F.col("l_linenumber")).alias("some_lines"),
+    ]
+    return rounded(profile.correlation_matrix(B.table(spark, sf_dir, "lineitem").select(*_ALL_NUMBERS, *more)), ["r"])
