@@ -20,8 +20,8 @@ def _mark(edges: DataFrame) -> tuple:
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``node``, ``component`` (smallest node reachable) for every node that has an edge.
 
-    ``edges`` holds pairs of longs in either direction; repeats, loops and pairs with a NULL are
-    ignored. No edges give no rows.
+    ``edges`` holds pairs of one type that can be ordered, in either direction; repeats, loops and
+    pairs with a NULL are ignored. No edges give no rows.
 
     Each round links every larger neighbour of a node to the node's smallest neighbour, then every
     smaller one likewise; the set shrinks towards stars whose centre is the component's smallest

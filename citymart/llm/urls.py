@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citymart.llm.components import connected_components
-from citymart.session import stage
 
 #: Tags that name another address of the same page, and the attribute that holds it.
 _TAG = r"(?is)<(?:link|meta)\b[^>]*>"
@@ -99,16 +98,11 @@ def judge_pages(
     """
     if links is None:
         links = alias_links(pages, url_col, html_col)
-    # Components work on longs: an address is known by its hash, two of 64 bits never meet in practice.
-    links = stage(links.select("a", "b", F.xxhash64("a").alias("x"), F.xxhash64("b").alias("y")), "links")
-    groups = connected_components(links, "x", "y")
-    ends = links.select(F.col("a").alias("url"), F.col("x").alias("key"))
-    ends = ends.unionAll(links.select("b", "y")).distinct()
-    host, path = F.regexp_extract("url", r"(?s)^([^/?#]*)", 1), F.regexp_extract("url", r"(?s)^[^/?#]*([^?#]*)", 1)
-    ends = ends.withColumn("verdict", matching_rule(host, path, rules)[1])
-    ends = ends.join(groups, F.col("key") == F.col("node"))
-    fates = ends.groupBy("component").agg(F.min("verdict").alias("fate"))  # allow sorts before block
-    fates = ends.join(fates.filter("fate is not null"), "component").select(F.col("url").alias("__address"), "fate")
+    groups = connected_components(links.select("a", "b"))
+    host, path = F.regexp_extract("node", r"(?s)^([^/?#]*)", 1), F.regexp_extract("node", r"(?s)^[^/?#]*([^?#]*)", 1)
+    groups = groups.withColumn("verdict", matching_rule(host, path, rules)[1])
+    fates = groups.groupBy("component").agg(F.min("verdict").alias("fate"))  # allow sorts before block
+    fates = groups.join(fates.filter("fate is not null"), "component").select(F.col("node").alias("__address"), "fate")
 
     page = pages.select(id_col, host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"), address(F.col(url_col)).alias("__at"))
     rule, verdict = matching_rule(F.col("host"), F.col("path"), rules)
