@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citymart.functions import columns as C
@@ -16,6 +16,9 @@ from citymart.session import stage
 # Fixed value: listings at or above this price per square metre are outliers.
 MAX_PRICE_PER_M2 = 20_000
 
+# Neighbourhoods that listings spell otherwise than incomes beyond letter case.
+NEIGHBORHOOD_ALIASES = [("El Poble Sec - Parc de Montjuïc", "el Poble Sec")]
+
 PLACE = ["district", "neighborhood"]
 INCOME_PLACE = ["district_name", "neighborhood_name"]
 
@@ -364,6 +367,11 @@ def integrated_analytics(
     )
 
 
+def known_aliases(spark: SparkSession) -> DataFrame:
+    """The alias table that comes with the package; add rows of the same columns as needed."""
+    return spark.createDataFrame(NEIGHBORHOOD_ALIASES, "alias string, name string")
+
+
 def with_canonical_names(df: DataFrame, column: str, aliases: DataFrame) -> DataFrame:
     """``df`` with the names in ``column`` replaced where ``aliases`` lists them as an ``alias``.
 

@@ -531,3 +531,32 @@ def test_unseen_categories_are_skipped(spark):
     best = regress.best_model(ranking)
     assert best == ranking.first()["model"]
     assert fitted[best].transform(df.withColumn("neighborhood", F.lit("never seen"))).count() == 0
+
+
+def listing_rows(spark, n=600, names=200):
+    data = [
+        (str(i), f"n{i % names}", "flat", "good", float(i * 37 % 101), 1000.0 * (i * 37 % 101) + 50 * (i % names)) for i in range(n)
+    ]
+    return spark.createDataFrame(
+        data, "key string, neighborhood string, property_type string, status string, size_m2 double, price double"
+    )
+
+
+def test_a_forest_takes_any_number_of_labels(spark):
+    ranking, _ = regress.train(listing_rows(spark), ["key"], regress.regressors(trees=2), partitions=4)
+    assert {r["model"] for r in ranking.collect()} == {"LinearRegression", "RandomForestRegressor"}
+
+
+def test_models_do_not_follow_the_partitions_of_their_input(spark):
+    df = listing_rows(spark, names=20)
+    found = []
+    for parts in (1, 2, 8):
+        ranking, _ = regress.train(df.repartition(parts), ["key"], regress.regressors(trees=5), partitions=4)
+        found.append({r["model"]: round(r["rmse"], 6) for r in ranking.collect()})
+    assert found[0] == found[1] == found[2]
+
+
+def test_shipped_aliases_let_names_meet(spark):
+    df = spark.createDataFrame([("El Poble Sec - Parc de Montjuïc",), ("la Font de la Guatlla",)], "n string")
+    named = marts.with_canonical_names(df, "n", marts.known_aliases(spark))
+    assert rows(named) == [("el Poble Sec",), ("la Font de la Guatlla",)]
