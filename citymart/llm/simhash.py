@@ -83,7 +83,9 @@ def _with_neighbours(key: Column) -> Column:
 
 
 def _classes(df: DataFrame, id_col: str, text_col: str, words: int, bits: int) -> DataFrame:
-    """``id_col``, ``text_hash``, ``fp`` and ``component_id`` of every row with an id."""
+    """``id_col``, ``text_hash``, ``fp``, ``group`` and ``component_id`` of every row with an id.
+
+    A group is known by its smallest fingerprint, as one id may stand for unrelated texts."""
     rows = stage(fingerprints(df.filter(F.col(id_col).isNotNull()), id_col, text_col, words), "fingerprints")
     distinct = stage(rows.groupBy("fp").agg(F.min(id_col).alias("rep")), "distinct")
     cells = distinct.select("fp", "rep", F.explode(_cells(bits)).alias("cell"))
@@ -93,11 +95,12 @@ def _classes(df: DataFrame, id_col: str, text_col: str, words: int, bits: int) -
         (F.col("l.cell") == F.col("r.cell"))
         & (F.col("l.fp") < F.col("r.fp"))
         & (F.bit_count(F.col("l.fp").bitwiseXOR(F.col("r.fp"))) <= bits),
-    ).select(F.col("l.rep").alias("a"), F.col("r.rep").alias("b"))
+    ).select(F.col("l.fp").alias("a"), F.col("r.fp").alias("b"))
     groups = connected_components(links)
-    classes = distinct.join(groups, F.col("rep") == F.col("node"), "left").select(
-        F.col("fp").alias("__fp"), F.coalesce("component", "rep").alias("component_id")
-    )
+    classes = distinct.join(groups, F.col("fp") == F.col("node"), "left")
+    classes = classes.select(F.col("fp").alias("__fp"), "rep", F.coalesce("component", "fp").alias("group"))
+    smallest = classes.groupBy("group").agg(F.min("rep").alias("component_id"))
+    classes = stage(classes.join(smallest, "group").drop("rep"), "classes")
     return rows.join(classes, F.col("fp") == F.col("__fp")).drop("__fp")
 
 
@@ -108,8 +111,8 @@ def simhash_duplicates(
 
     Texts whose fingerprints differ in at most ``bits`` bits are linked; ``component_id`` is the
     smallest id reachable over links, ``kept`` marks that id. NULL and empty texts have fingerprint
-    zero and link like any other. Rows without an id are left out. Rows that repeat an id link the
-    groups of their texts, as one document. Other columns are ignored. An empty table gives no rows.
+    zero and link like any other. Rows without an id are left out. Rows that repeat an id are texts of
+    their own under that id. Other columns are ignored. An empty table gives no rows.
 
     The fingerprint is cut into 16 segments of four bits and mapped to the vector of their popcounts;
     the Manhattan distance of two vectors is never above the number of differing bits. Every distinct
@@ -133,9 +136,9 @@ def drop_duplicates(
     Rows that repeat both id and text count once. Where one id has several texts in a group, the text
     with the smallest hash stays. Rows without an id stay: they cannot be told apart.
     """
-    rows = _classes(df, id_col, text_col, words, bits).groupBy(id_col, "text_hash", "component_id").count()
-    rows = stage(rows, "classes")
-    first = rows.groupBy("component_id").agg(F.min(F.struct(id_col, "text_hash")).alias("first"))
+    rows = _classes(df, id_col, text_col, words, bits).groupBy(id_col, "text_hash", "group").count()
+    rows = stage(rows, "texts")
+    first = rows.groupBy("group").agg(F.min(F.struct(id_col, "text_hash")).alias("first"))
     first = first.select(F.col(f"first.{id_col}").alias("__id"), F.col("first.text_hash").alias("__hash"))
     same = (F.col(id_col) == F.col("__id")) & (F.col("text_hash") == F.col("__hash"))
     gone = rows.join(first, same, "left_anti").select(F.col(id_col).alias("__id"), F.col("text_hash").alias("__hash"))
