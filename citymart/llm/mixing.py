@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
+from fractions import Fraction
+from itertools import islice
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from citymart.session import stage
 
-#: Characters of a block, slots of the repeating schedule, most sources, units ranked by one task.
+#: Characters of a block, most sources, units ranked by one task, planned blocks handed on at once.
 BLOCK_CHARS = 100_000
-PERIOD = 10_000
 MAX_SOURCES = 10_000
 SLICE_UNITS = 2_000
+PLAN_BLOCKS = 50_000
 
 
 def integer_shares(weights: dict, period: int) -> dict:
@@ -35,30 +39,71 @@ def integer_shares(weights: dict, period: int) -> dict:
     return shares
 
 
-def schedule(shares: dict) -> list[tuple[object, int, int, int, int]]:
-    """Source, block, release, deadline and slot of every block of one period.
+def plan_blocks(weights: list, counts: list[int]) -> Iterator[tuple[int, int, int, int, int]]:
+    """Index of the source, block, release, deadline and slot of every block, by slot.
 
-    Block k of a source with a of the A slots is released at floor(k A / a) and due by
-    ceil((k + 1) A / a). Of the released blocks the one due first takes the next slot. As the shares
-    add up to the period, every block meets its deadline, and after any t slots a source is less than
-    one block away from t a / A. The next period starts anew with the same pattern.
+    Block k of a source with the share w of all weights is released at floor(k / w) and due by
+    ceil((k + 1) / w), both from the exact weights. Of the released blocks the one due first takes the
+    next slot. As the shares add up to one, every block meets its deadline, and after any t slots a
+    source that lasts is less than one block away from t w. Slots of sources that ran out stay empty.
     """
-    period = sum(shares.values())
-    names = sorted(shares, key=str)
-    release = lambda i, k: k * period // shares[names[i]]
-    due = lambda i, k: -(-(k + 1) * period // shares[names[i]])
-    waiting = [(0, i, 0) for i in range(len(names))]
-    ready: list[tuple[int, int, int]] = []
-    out = []
-    for slot in range(period):
+    exact = [Fraction(w) for w in weights]
+    total = sum(exact)
+    steps = [(total / w).as_integer_ratio() for w in exact]  # 1 / w
+    waiting = [(0, i, 0) for i, n in enumerate(counts) if n]
+    ready: list[tuple[int, int, int, int]] = []
+    slot = 0
+    while waiting or ready:
+        if not ready:
+            slot = max(slot, waiting[0][0])
         while waiting and waiting[0][0] <= slot:
-            _, i, k = heapq.heappop(waiting)
-            heapq.heappush(ready, (due(i, k), i, k))
-        deadline, i, k = heapq.heappop(ready)
-        out.append((names[i], k, release(i, k), deadline, slot))
-        if k + 1 < shares[names[i]]:
-            heapq.heappush(waiting, (release(i, k + 1), i, k + 1))
-    return out
+            release, i, k = heapq.heappop(waiting)
+            heapq.heappush(ready, (-(-(k + 1) * steps[i][0] // steps[i][1]), i, k, release))
+        deadline, i, k, release = heapq.heappop(ready)
+        yield i, k, release, deadline, slot
+        slot += 1
+        if k + 1 < counts[i]:
+            heapq.heappush(waiting, ((k + 1) * steps[i][0] // steps[i][1], i, k + 1))
+
+
+def _by_name(source: object) -> tuple[bool, str]:
+    return source is None, str(source)
+
+
+def schedule(shares: dict) -> list[tuple[object, int, int, int, int]]:
+    """Source, block, release, deadline and slot of the blocks of one period of whole shares."""
+    names = sorted(shares, key=_by_name)
+    counts = [shares[s] for s in names]
+    return [(names[i], *rest) for i, *rest in plan_blocks(counts, counts)]
+
+
+def _plan(sizes: DataFrame, weights: dict | None, alpha: float, block_chars: int, period: int | None) -> DataFrame:
+    """Every source's blocks with their windows and slots. One task walks through the blocks, holding
+    one entry for each source, and hands them on as it goes."""
+    kind = sizes.schema["source"].dataType.simpleString()
+    names = ["__source", "__block", "release", "deadline", "slot"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [(s, n) for batch in batches for s, n in zip(batch.column(0), batch.column(1).to_pylist())]
+        keys = {s.as_py(): s for s, _ in found}
+        lengths = {s.as_py(): n for s, n in found}
+        given = weights if weights is not None else {s: n**alpha for s, n in lengths.items()}
+        first = {s: given[s] for s in lengths if given.get(s, 0) > 0}
+        rest = {s: n for s, n in lengths.items() if s not in first}
+        for later, group in enumerate((first, rest)):
+            if period is not None and group:
+                group = integer_shares(group, max(period, len(group)))
+            order = sorted(group, key=_by_name)
+            base = later << 61
+            plan = plan_blocks([group[s] for s in order], [-(-lengths[s] // block_chars) for s in order])
+            while rows := list(islice(plan, PLAN_BLOCKS)):
+                i, k, r, d, slot = zip(*rows)
+                columns = [pa.array([order[j] for j in i], keys[order[0]].type), pa.array(k, pa.int64())]
+                columns += [pa.array([base + x for x in c], pa.int64()) for c in (r, d, slot)]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    schema = f"__source {kind}, __block long, release long, deadline long, slot long"
+    return stage(sizes.coalesce(1).mapInArrow(run, schema), "plan")
 
 
 def _units(df: DataFrame, id_col: str, source_col: str, text_col: str, seed: int) -> DataFrame:
@@ -98,7 +143,7 @@ def mixing_positions(
     source_col: str = "source",
     text_col: str = "text",
     block_chars: int = BLOCK_CHARS,
-    period: int = PERIOD,
+    period: int | None = None,
     seed: int = 42,
 ) -> DataFrame:
     """One row per distinct source, id and text: ``source``, ``id``, ``text_hash``, ``at``, ``block``,
@@ -109,47 +154,22 @@ def mixing_positions(
     ``weights`` give each source's share of the mix in characters; without them a source of n
     characters weighs n to the power ``alpha``. Sources without a positive weight follow after all
     others, by their own sizes. A block's ``slot`` orders the mix: at every point each source is less
-    than one block from its share of the slots, as long as it lasts; when it runs out its slots stay
-    empty, which leaves the others' proportions as they are. No text is dropped or repeated.
+    than one block from its exact share of the slots, as long as it lasts; when it runs out its slots
+    stay empty, which leaves the others' proportions as they are. No text is dropped or repeated. With
+    ``period`` the weights are first rounded to whole slots of such a period.
 
     A NULL source is a source of its own, NULL texts are empty, NULL ids tell texts apart by their
-    hash. An empty table gives no rows. Up to ``MAX_SOURCES`` sources: their sizes come to the driver
-    and one period of the schedule (``period`` rows, or as many as sources) is broadcast.
+    hash. An empty table gives no rows. Up to ``MAX_SOURCES`` sources: one task plans all blocks from
+    their sizes. Slots are 64-bit numbers: a source's blocks over its share must stay below 2 to the 61.
     """
     units = stage(_units(df, id_col, source_col, text_col, seed), "units")
-    sizes = units.groupBy("source").agg(F.sum("size").alias("n")).limit(MAX_SOURCES + 1).collect()
-    if len(sizes) > MAX_SOURCES:
+    sizes = stage(units.groupBy("source").agg(F.sum("size").alias("n")), "sizes")
+    if sizes.count() > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
-    sizes = {r.source: r.n for r in sizes}
-    given = weights if weights is not None else {s: n**alpha for s, n in sizes.items()}
-    first = {s: given[s] for s in sizes if given.get(s, 0) > 0}
-    rest = {s: n for s, n in sizes.items() if s not in first}
-    rows = []
-    for later, group in enumerate((first, rest)):
-        if group:
-            shares = integer_shares(group, max(period, len(group)))
-            rows += [(s, k, r, d, slot, shares[s], sum(shares.values()), later) for s, k, r, d, slot in schedule(shares)]
-    kind = df.schema[source_col].dataType.simpleString()
-    schema = f"__source {kind}, phase long, r long, d long, o long, share long, period long, later int"
-    plan = df.sparkSession.createDataFrame(rows, schema)
-    shares = plan.select(F.col("__source").alias("__of"), "share", "period", "later").distinct()
+    plan = _plan(sizes, weights, alpha, block_chars, period)
     units = _with_starts(units).withColumn("block", F.floor(F.col("start") / block_chars).cast("long"))
-    # bounded by MAX_SOURCES rows and by the period
-    units = units.join(F.broadcast(shares), F.col("source").eqNullSafe(F.col("__of")))
-    units = units.withColumn("turn", F.floor(F.col("block") / F.col("share")).cast("long"))
-    same = F.col("source").eqNullSafe(F.col("__source")) & (F.col("block") - F.col("turn") * F.col("share") == F.col("phase"))
-    units = units.join(F.broadcast(plan.drop("share", "period", "later")), same)
-    base = F.col("turn") * F.col("period") + F.col("later") * F.lit(1 << 61)
-    return units.select(
-        "source",
-        "id",
-        "text_hash",
-        "at",
-        "block",
-        (base + F.col("r")).alias("release"),
-        (base + F.col("d")).alias("deadline"),
-        (base + F.col("o")).alias("slot"),
-    )
+    same = F.col("source").eqNullSafe(F.col("__source")) & (F.col("block") == F.col("__block"))
+    return units.join(plan, same).select("source", "id", "text_hash", "at", "block", "release", "deadline", "slot")
 
 
 def mix_documents(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **options) -> DataFrame:

@@ -97,3 +97,25 @@ def test_empty_table_and_too_many_sources(spark, monkeypatch):
     monkeypatch.setattr(mixing, "MAX_SOURCES", 2)
     with pytest.raises(ValueError, match="sources"):
         mixing_positions(docs(spark, 40)[1])
+
+
+def test_exact_weights_hold_over_many_periods():
+    weights = [n**0.5 for n in (10_000_000_000, *range(1_000_000, 400_000_000, 20_000_000), 3, 1)]
+    total = sum(map(Fraction, weights))
+    last = 0
+    for i, k, release, deadline, slot in mixing.plan_blocks(weights, [60_000, *[900] * (len(weights) - 1)]):
+        share = Fraction(weights[i]) / total
+        assert release == k / share // 1 and deadline == -(-(k + 1) / share // 1) and release <= slot < deadline
+        assert abs(k - share * slot) < 1 and abs(k + 1 - share * (slot + 1)) < 1
+        assert slot >= last
+        last = slot + 1
+    assert last > 200_000
+
+
+def test_positions_follow_the_weights_themselves(spark):
+    weights = {"hot": 2**0.5, "a": 1e-4, "b": 1e-6, None: 0.3}
+    places = mixing_positions(docs(spark)[1], weights=weights, block_chars=20)
+    total = sum(map(Fraction, weights.values()))
+    found = places.select("source", "block", "slot").distinct().collect()
+    assert all(abs(r.block - Fraction(weights[r.source]) / total * r.slot) < 1 for r in found)
+    assert max(r.slot for r in found) > 10_000_000 and len({r.slot for r in found}) == len(found)
