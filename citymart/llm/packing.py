@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import string
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -23,6 +24,15 @@ KNOWN_WORDS = 700_000
 _PUNCTUATION = string.punctuation.encode()
 
 
+def _is_letters(core: bytes) -> bool:
+    """Letters, of which the last is one after the tokenizer's normalising too. Else, as in U+09DF or
+    U+0130, it leaves a mark that the tokenizer joins with punctuation behind it."""
+    if core.isalpha():  # ASCII
+        return True
+    text = core.decode()
+    return text.isalpha() and unicodedata.normalize("NFC", text).lower()[-1].isalpha()
+
+
 class WordIds(dict):
     """Token ids (in ``kind``'s bytes) of space-separated words, learnt as they come.
 
@@ -58,13 +68,14 @@ class WordIds(dict):
 
     def learn(self) -> None:
         """Fill all entries that ``parts`` opened. A word of letters and trailing punctuation has the
-        ids of the letters and of the punctuation as a whole, so only its parts are encoded."""
+        ids of the letters and of the punctuation as a whole, so only its parts are encoded; all other
+        words are encoded whole."""
         odd, cores, composed, todo = {}, {}, [], self.new
         while todo:
             self.new = {}
             for word, ids in todo.items():
                 core = word.rstrip(_PUNCTUATION)
-                if not core.decode().isalpha():
+                if not _is_letters(core):
                     odd[word] = ids
                 elif len(core) == len(word):
                     cores[word] = ids

@@ -111,3 +111,18 @@ def test_empty_table_has_the_same_columns(spark):
     assert pack_documents(empty, TOKENIZER).collect() == []
     assert pack_documents(empty, TOKENIZER).dtypes == pack_documents(full, TOKENIZER).dtypes
     assert [tuple(r) for r in pack_documents(full, TOKENIZER).collect()] == [(1, 0, 1, zlib.crc32(b"\x01\0\0\0"), 1, 0, 0)]
+
+
+MARKED = ["হয়, হয়! হয়", "पढ़, पढ़.", "\ufb2a, \ufb2a", "ANKARALİ, ANKARALİ. İ; ANKARALİ", "য়ক, naïve, ÉTÉ!"]
+
+
+def test_words_that_normalise_to_a_mark_before_punctuation():
+    texts = MARKED + ["\u0958, b\u0f43; \u095c\u095c?! x\u0130..."]
+    for text, found in zip(texts, token_ids(pa.array(texts), TOKENIZER)):
+        assert found.tolist() == tokens(text)
+
+
+def test_every_letter_before_punctuation():
+    words = [f"b{chr(c)}," for c in range(128, 0x11000) if chr(c).isalpha()]
+    whole = Tokenizer.from_file(TOKENIZER).encode_batch_fast(words, add_special_tokens=False)
+    assert [f.tolist() for f in token_ids(pa.array(words), TOKENIZER)] == [w.ids for w in whole]
