@@ -99,31 +99,48 @@ def _escapes(layer: Layer) -> list[Layer]:
     return [_replaced(layer, pieces)] if pieces else []
 
 
-def _unpack(data: bytes) -> bytes | None:
-    """``data`` unpacked once, None if it is not compressed. Raises ValueError if too large."""
+def _unpacker(data: bytes):
     if data[:2] == b"\x1f\x8b":
-        unpacker = zlib.decompressobj(31)
-    elif data[:1] == b"\x78" and len(data) > 1 and int.from_bytes(data[:2], "big") % 31 == 0:
-        unpacker = zlib.decompressobj()
-    elif data[:3] == b"BZh":
-        unpacker = bz2.BZ2Decompressor()
-    elif data[:6] == b"\xfd7zXZ\x00":
-        unpacker = lzma.LZMADecompressor()
-    elif data[:4] == b"\x28\xb5\x2f\xfd":
-        unpacker = None
-    else:
-        return None
-    try:
-        if unpacker is None:
-            with zstandard.ZstdDecompressor().stream_reader(data) as stream:
-                out = stream.read(MAX_LAYER_BYTES + 1)
-        else:
-            out = unpacker.decompress(data, MAX_LAYER_BYTES + 1)
-    except (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError):
-        return None
-    if len(out) > MAX_LAYER_BYTES:
-        raise ValueError("layer too large")
-    return out
+        return zlib.decompressobj(31)
+    if data[:1] == b"\x78" and len(data) > 1 and int.from_bytes(data[:2], "big") % 31 == 0:
+        return zlib.decompressobj()
+    if data[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if data[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor()
+    return None
+
+
+def _unpack(data: bytes) -> tuple[bytes, int] | None:
+    """``data`` unpacked once, all its members and frames, and how many bytes they take; None if it is
+    not compressed. What follows the last whole member is left. Raises ValueError if too large."""
+    out, size, rest = [], 0, data
+    while True:
+        rest = rest.lstrip(b"\0") if out else rest  # padding between members
+        try:
+            if rest[:4] == b"\x28\xb5\x2f\xfd":
+                unpacker = zstandard.ZstdDecompressor().decompressobj()
+                part, at = [], 0
+                while at < len(rest) and not unpacker.eof and size <= MAX_LAYER_BYTES:
+                    part.append(unpacker.decompress(rest[at : at + 1024]))  # a block is 128 KB at most
+                    size, at = size + len(part[-1]), at + 1024
+                left = unpacker.unused_data + rest[at:] if unpacker.eof else b""
+                part = b"".join(part)
+            elif unpacker := _unpacker(rest):
+                part = unpacker.decompress(rest, MAX_LAYER_BYTES + 1 - size)
+                size += len(part)
+                left = unpacker.unused_data if unpacker.eof else b""
+            else:
+                break
+        except (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError):
+            break
+        if size > MAX_LAYER_BYTES:
+            raise ValueError("layer too large")
+        out.append(part)
+        rest = left
+        if not rest:
+            break
+    return (b"".join(out), len(data) - len(rest)) if out else None
 
 
 def _plain(data: bytes) -> str | None:
@@ -153,7 +170,7 @@ def _base64(layer: Layer, too_large: list[int]) -> list[Layer]:
         try:
             while data not in seen and (inner := _unpack(data)) is not None:
                 seen.add(data)
-                data = inner
+                data = inner[0]
         except ValueError:
             too_large[0] += 1
             continue

@@ -133,3 +133,29 @@ def test_overlapping_spans_are_masked_once():
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert digest(find_secrets(df)).collect() == [] and mask_secrets(df).collect() == []
+
+
+def two(pack):
+    return b64(pack(b"first member ") + pack(f"see {SECRET}".encode()))
+
+
+LATER_MEMBERS = {
+    "gzip": two(gzip.compress),
+    "zlib": two(zlib.compress),
+    "bz2": two(bz2.compress),
+    "xz": two(lzma.compress),
+    "zstd": two(zstandard.compress),
+    "three": b64(gzip.compress(b"a") + gzip.compress(b"") + gzip.compress(SECRET.encode())),
+}
+
+
+@pytest.mark.parametrize("name", LATER_MEMBERS)
+def test_secrets_in_later_members_are_found(name):
+    text = f"a {LATER_MEMBERS[name]} b"
+    assert [s[:3] for s in find(text)[0]] == [("assign", 2, len(text) - 2)]
+
+
+def test_the_size_holds_for_all_members(monkeypatch):
+    monkeypatch.setattr(secrets, "MAX_LAYER_BYTES", 1000)
+    for pack in (gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.compress):
+        assert find(f"a {b64(pack(b' ' * 600) * 2)} b") == ([], 1)
