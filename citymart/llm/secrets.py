@@ -30,7 +30,23 @@ _HEX = re.compile("[0-9a-f]{16,}")
 _PERCENT = re.compile("(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\U[0-9A-Fa-f]{8}|\\u\{[0-9A-Fa-f]{1,6}\})+")
 _ONE_ESCAPE = re.compile(r"\\[uUx]\{?([0-9A-Fa-f]+)\}?")
+#: Bytes of which some are percent codes, or escapes as in a literal of bytes; other characters stand for themselves.
+_PERCENT_BYTES = re.compile(r"[!#$&-;=?-~]{0,24}+(?:%[0-9A-Fa-f]{2}[!#$&-;=?-~]*)+")
+_PERCENT_BYTE = re.compile(r"(%[0-9A-Fa-f]{2})|.", re.S)
+_ESCAPED_BYTES = re.compile(r"[\x20-\x5b\x5d-\x7e]{0,24}+(?:\\(?:x[0-9A-Fa-f]{2}|u00[0-9A-Fa-f]{2}|[abfnrtv0\\'\"])[\x20-\x5b\x5d-\x7e]*)+")
+_ESCAPED_BYTE = re.compile(r"\\x(..)|\\u00(..)|\\.|.", re.S)
+#: What compressed data begins with, of which some is encoded.
+_ENCODED_MAGIC = re.compile(r"(?i:(?:%|\\x|\\u00)(?:8b|01|5e|9c|da|fd|b5|42))|x\^|BZh[1-9]1AY")
+_SHORT_ESCAPES = {"a": "\a", "b": "\b", "f": "\f", "n": "\n", "r": "\r", "t": "\t", "v": "\v", "0": "\0"}
 _BASE64 = re.compile("[A-Za-z0-9+/_-]{16,}={0,2}")
+#: Lines of a value that goes on in the next line.
+_WRAPPED = re.compile("(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{16,}+\r?\n)+[A-Za-z0-9+/_-]+={0,2}")
+_MAGIC = re.compile(rb"\x1f\x8b|x|BZh|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
+#: With other bytes before it; the first bytes of zlib that are in use.
+_INNER_MAGIC = re.compile(rb"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]|BZh[1-9]1AY&SY|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
+#: The shortest secret, or token that is decoded, has so many ASCII characters.
+_ROOM = re.compile(rb"[\x20-\x7e]{16,}")
+_BAD_BYTE = re.compile("[\udc80-\udcff]")
 _CONTROL = re.compile("[\x00-\x08\x0e-\x1f\x7f\x80-\x9f]")
 
 Layer = tuple[str, "np.ndarray | None", "np.ndarray | None"]
@@ -62,27 +78,33 @@ def _replaced(layer: Layer, pieces: list[tuple[int, int, str, list[tuple[int, in
     return "".join(texts), np.concatenate([*new_starts, starts[at:]]), np.concatenate([*new_ends, ends[at:]])
 
 
-def _percent(layer: Layer) -> list[Layer]:
+def _text(data: bytes) -> str:
+    """``data`` as text, U+FFFD for every byte that is not UTF-8."""
+    return _BAD_BYTE.sub("\ufffd", data.decode(errors="surrogateescape"))
+
+
+def _percent(layer: Layer, too_large: list[tuple[int, int]]) -> list[Layer]:
     if "%" not in layer[0]:
         return []
-    pieces = []
+    pieces, out = [], []
     for m in _PERCENT.finditer(layer[0]):
-        try:
-            new = bytes.fromhex(m[0].replace("%", "")).decode()
-        except UnicodeDecodeError:
-            continue
         at, sources = m.start(), []
-        for char in new:
-            sources.append((at, at + 3 * len(char.encode())))
+        for char in bytes.fromhex(m[0].replace("%", "")).decode(errors="surrogateescape"):
+            sources.append((at, at + 3 * len(char.encode(errors="surrogateescape"))))
             at = sources[-1][1]
-        pieces.append((m.start(), m.end(), new, sources))
-    return [_replaced(layer, pieces)] if pieces else []
+        pieces.append((m.start(), m.end(), _text(bytes.fromhex(m[0].replace("%", ""))), sources))
+    for m in _PERCENT_BYTES.finditer(layer[0]) if _ENCODED_MAGIC.search(layer[0]) else ():
+        if not _ENCODED_MAGIC.search(m[0]):
+            continue
+        parts = [(int(p[0][1:], 16) if p[1] else ord(p[0]), p.span()) for p in _PERCENT_BYTE.finditer(m[0])]
+        out += _packed_parts(layer, m.start(), parts, too_large)
+    return ([_replaced(layer, pieces)] if pieces else []) + out
 
 
-def _escapes(layer: Layer) -> list[Layer]:
+def _escapes(layer: Layer, too_large: list[tuple[int, int]]) -> list[Layer]:
     if "\\" not in layer[0]:
         return []
-    pieces = []
+    pieces, out = [], []
     for m in _ESCAPE.finditer(layer[0]):
         chars, sources, high = [], [], None
         for one in _ONE_ESCAPE.finditer(m[0]):
@@ -96,7 +118,15 @@ def _escapes(layer: Layer) -> list[Layer]:
             chars.append(chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else "\ufffd")
             sources.append(span)
         pieces.append((m.start(), m.end(), "".join(chars), sources))
-    return [_replaced(layer, pieces)] if pieces else []
+    for m in _ESCAPED_BYTES.finditer(layer[0]) if _ENCODED_MAGIC.search(layer[0]) else ():
+        if not _ENCODED_MAGIC.search(m[0]):
+            continue
+        parts = [
+            (int(p[1] or p[2], 16) if p[1] or p[2] else ord(_SHORT_ESCAPES.get(p[0][1:], p[0][-1])), p.span())
+            for p in _ESCAPED_BYTE.finditer(m[0])
+        ]
+        out += _packed_parts(layer, m.start(), parts, too_large)
+    return ([_replaced(layer, pieces)] if pieces else []) + out
 
 
 def _unpacker(data: bytes):
@@ -143,58 +173,83 @@ def _unpack(data: bytes) -> tuple[bytes, int] | None:
     return (b"".join(out), len(data) - len(rest)) if out else None
 
 
-def _plain(data: bytes) -> str | None:
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return None
-    return text if text and not _CONTROL.search(text) else None
+def _packed(data: bytes, too_large: list[tuple[int, int]], place) -> list[tuple[str, int, int]]:
+    """The texts of compressed data in ``data`` and where it stands there.
 
+    Compressed layers inside each other are unwrapped until nothing is compressed or the same bytes
+    come again. ``place`` gives the span in the text of those that are too large."""
+    out, at = [], 0
+    while m := (_MAGIC.match(data, at) if at == 0 else None) or _INNER_MAGIC.search(data, at):
+        start, at, seen, inner = m.start(), m.start() + 1, set(), data[m.start() :]
+        used = None
+        try:
+            while inner not in seen and (found := _unpack(inner)) is not None:
+                seen.add(inner)
+                used = used or found[1]
+                inner = found[0]
+        except ValueError:
+            too_large.append(place(start, start + used if used else len(data)))
+            at = start + used if used else len(data)
+            continue
+        if used:
+            at = start + used
+            if inner and inner not in seen:
+                out.append((_text(inner), start, at))
+    return out
+
+
+def _packed_parts(layer: Layer, base: int, parts: list[tuple[int, tuple[int, int]]], too_large: list[tuple[int, int]]) -> list[Layer]:
+    """Compressed data among bytes that stand one by one in the text, from ``base`` on."""
+    _, starts, ends = layer
+
+    def place(a: int, b: int) -> tuple[int, int]:
+        a, b = base + parts[a][1][0], base + parts[b - 1][1][1]
+        return (a, b) if starts is None else (int(starts[a]), int(ends[b - 1]))
 
-def _base64(layer: Layer, too_large: list[int]) -> list[Layer]:
-    """Every token that decodes to text, or to compressed text, as a layer of its own.
+    found = _packed(bytes(code for code, _ in parts), too_large, place)
+    return [(new, *(np.full(len(new), x) for x in place(a, b))) for new, a, b in found]
 
-    All its characters stand for the whole token. Compressed layers inside each other are unwrapped
-    until nothing is compressed or the same bytes come again."""
+
+def _base64(layer: Layer, too_large: list[tuple[int, int]]) -> list[Layer]:
+    """What every token decodes to, as text or as compressed text, as layers of their own.
+
+    All characters of a layer stand for the whole token. A token may begin with something else, such as
+    a path, so it is decoded from each of its first four characters on; lines of one value are joined.
+    Text in which bytes are not text is kept if it has room for a secret or another layer."""
     text, starts, ends = layer
     out = []
-    for m in _BASE64.finditer(text):
-        token = m[0].rstrip("=")
-        if len(token) % 4 == 1:
-            continue
-        try:
-            data = base64.b64decode(token.replace("-", "+").replace("_", "/") + "=" * (-len(token) % 4), validate=True)
-        except (binascii.Error, ValueError):
-            continue
-        seen = set()
-        try:
-            while data not in seen and (inner := _unpack(data)) is not None:
-                seen.add(data)
-                data = inner[0]
-        except ValueError:
-            too_large[0] += 1
-            continue
-        new = None if data in seen else _plain(data)
-        if new is not None:
-            a, b = m.span()
-            a, b = (a, b) if starts is None else (starts[a], ends[b - 1])
-            out.append((new, np.full(len(new), a), np.full(len(new), b)))
+    for m in [*_BASE64.finditer(text), *_WRAPPED.finditer(text)]:
+        a, b = m.span()
+        a, b = (a, b) if starts is None else (int(starts[a]), int(ends[b - 1]))
+        whole = m[0].replace("\r", "").replace("\n", "").rstrip("=").replace("-", "+").replace("_", "/")
+        closed: list[tuple[int, int]] = []
+        for skip in range(4):
+            token = whole[skip:]
+            token = token[:-1] if len(token) % 4 == 1 else token
+            data = base64.b64decode(token + "=" * (-len(token) % 4))
+            news = [new for new, _, _ in _packed(data, closed, lambda *_: (a, b))]
+            if _ROOM.search(data) or skip == 0 and _plain(data):
+                news.append(_text(data))
+            out += [(new, np.full(len(new), a), np.full(len(new), b)) for new in news]
+        too_large += closed[:1]
     return out
 
 
-def find(text: str) -> tuple[list[tuple[str, int, int, bool]], int]:
-    """Kind, start, end and base of all secrets by start, kind and end, and the layers left closed.
+def _plain(data: bytes) -> bool:
+    try:
+        return not _CONTROL.search(data.decode())
+    except UnicodeDecodeError:
+        return False
 
-    ``base`` secrets stand in the text itself; the others were found in a layer decoded from it and
-    carry the span of what they were decoded from. Layers are decoded until nothing new comes; a
-    layer equal to an earlier one of the same place is not opened again.
-    """
+
+def _search(text: str) -> tuple[list[tuple[str, int, int, bool]], list[tuple[int, int]]]:
+    """As ``find``, with the spans of the layers left closed."""
     base = scan(text)
     spans = dict.fromkeys(base, True)
-    too_large, todo, seen = [0], [(text, None, None)], set()
+    too_large, todo, seen = [], [(text, None, None)], set()
     while todo:
         layer = todo.pop()
-        for new in _percent(layer) + _escapes(layer) + _base64(layer, too_large):
+        for new in _percent(layer, too_large) + _escapes(layer, too_large) + _base64(layer, too_large):
             mark = (hash(new[0]), len(new[0]), int(new[1][0]), int(new[2][-1])) if new[0] else None
             if mark is None or mark in seen:
                 continue
@@ -205,7 +260,18 @@ def find(text: str) -> tuple[list[tuple[str, int, int, bool]], int]:
     return sorted(
         ((kind, start, end, of_base) for (kind, start, end), of_base in spans.items()),
         key=lambda s: (s[1], KINDS.index(s[0]), s[2]),
-    ), too_large[0]
+    ), sorted(set(too_large))
+
+
+def find(text: str) -> tuple[list[tuple[str, int, int, bool]], int]:
+    """Kind, start, end and base of all secrets by start, kind and end, and the layers left closed.
+
+    ``base`` secrets stand in the text itself; the others were found in a layer decoded from it and
+    carry the span of what they were decoded from. Layers are decoded until nothing new comes; a
+    layer equal to an earlier one of the same place is not opened again.
+    """
+    spans, closed = _search(text)
+    return spans, len(closed)
 
 
 def find_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -159,3 +159,46 @@ def test_the_size_holds_for_all_members(monkeypatch):
     monkeypatch.setattr(secrets, "MAX_LAYER_BYTES", 1000)
     for pack in (gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.compress):
         assert find(f"a {b64(pack(b' ' * 600) * 2)} b") == ([], 1)
+
+
+def percent_bytes(data):
+    return "".join(chr(b) if chr(b).isalnum() and b < 128 else f"%{b:02X}" for b in data)
+
+
+def wrapped(data, end="\n"):
+    value = b64(data)
+    return end.join(value[i : i + 76] for i in range(0, len(value), 76))
+
+
+NOISE = bytes(hashlib.sha256(b"noise").digest()) * 9
+PARTLY = {
+    "bad percent byte": "%FF" + percent(SECRET),
+    "bad byte in base64": b64(b"\xff\x00\x01" + SECRET.encode() + b"\xfe"),
+    "glued to a path": f"/x/{b64(SECRET)}",
+    "glued, other alignments": f"/ab/cde/{b64('?' + SECRET)}",
+    "compressed, glued to a path": f"/some/path/{b64(gzip.compress(SECRET.encode()))}",
+    "wrapped": wrapped("." * 45 + SECRET + "." * 60),
+    "wrapped with CRLF": wrapped("." * 45 + SECRET + "." * 60, "\r\n"),
+    "wrapped and compressed": wrapped(gzip.compress(NOISE + SECRET.encode())),
+    "percent of compressed": percent_bytes(gzip.compress(SECRET.encode())),
+    "percent of zlib": percent_bytes(zlib.compress(SECRET.encode())),
+    "escapes of compressed": "".join(f"\\x{b:02x}" for b in gzip.compress(SECRET.encode())),
+    "literal of bytes": repr(bz2.compress(SECRET.encode())),
+}
+
+
+@pytest.mark.parametrize("name", PARTLY)
+def test_secrets_in_parts_of_layers_are_found(name):
+    text = f"a {PARTLY[name]} b"
+    spans, closed = find(text)
+    assert closed == 0 and any(kind == "assign" and 2 <= start < end <= len(text) - 2 for kind, start, end, _ in spans)
+    assert "Sup3rS3cret" not in mask(text, spans) and find(mask(text, spans))[0] == []
+
+
+def mask(text, spans):
+    return secrets.mask(text, spans, "#")
+
+
+def test_bytes_that_are_no_text_keep_the_spans():
+    text = "é %C3%A9%FF%E2%82password%3Dabcdefghijklmnop y"
+    assert [text[a:b] for _, a, b, _ in find(text)[0]] == ["password%3Dabcdefghijklmnop"]
