@@ -14,7 +14,7 @@ _TAG = r"(?is)<(?:link|meta)\b[^>]*>"
 _CANONICAL = r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b"
 _REFRESH = r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b"
 _HREF = r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)"
-_TARGET = r"(?is)\burl\s*=\s*[\"']?([^\"'\s>;]+)"
+_TARGET = r"(?is)\burl\s*=\s*[\"']?([^\"'\s>]+)"
 
 
 def _lower(column: Column) -> Column:
@@ -32,10 +32,24 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
+def _without_dots(path: Column) -> Column:
+    """``path`` without the segments ``.`` and ``..``, which lead to the folder itself and the one above."""
+
+    def step(done: Column, name: Column) -> Column:
+        up = F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))
+        return F.when(name == "..", up).when(name == ".", done).otherwise(F.concat(done, F.array(name)))
+
+    names = F.split(F.regexp_replace(path, r"/(\.\.?)$", "/$1/"), "/")
+    kept = F.aggregate(F.slice(names, 2, F.size(names)), F.array().cast("array<string>"), step)
+    return F.when(F.instr(path, "/.") > 0, F.concat(F.lit("/"), F.array_join(kept, "/"))).otherwise(path)
+
+
 def address(url: Column) -> Column:
-    """Address by which pages and links meet: host, path and query, without scheme and fragment."""
+    """Address by which pages and links meet: host, path and query, without scheme and fragment. An
+    empty path is ``/``."""
     query = F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^[^?#]*(\?[^#]*)", 1)
-    return F.when(F.instr(url, "://") > 0, F.concat(host_of(url), path_of(url), query))
+    path = F.when(path_of(url) == "", F.lit("/")).otherwise(_without_dots(path_of(url)))
+    return F.when(F.instr(url, "://") > 0, F.concat(host_of(url), path, query))
 
 
 def matching_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]) -> tuple[Column, Column]:
@@ -56,8 +70,10 @@ def matching_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, st
 def alias_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Pairs of addresses, ``a`` and ``b``: a page's own and one that it redirects to or calls canonical.
 
-    Links are read from ``<link rel=canonical>`` and ``<meta http-equiv=refresh>``; an address that
-    begins with a slash belongs to the page's host, one without a host to nothing.
+    Links are read from ``<link rel=canonical>`` and ``<meta http-equiv=refresh>``. Addresses without
+    host are resolved against the page's: those that begin with a slash against its host, with ``?``
+    against its path, others against its folder. A page with an empty path has no folder here, and an
+    address with another scheme (``mailto:``) is none.
     """
     tags = pages.filter(F.col(html_col).rlike(r"(?i)canonical|refresh")).select(
         F.col(url_col).alias("url"), F.explode(F.regexp_extract_all(html_col, F.lit(_TAG), F.lit(0))).alias("tag")
@@ -66,10 +82,13 @@ def alias_links(pages: DataFrame, url_col: str = "url", html_col: str = "html")
         F.col("tag").rlike(_REFRESH), F.regexp_extract("tag", _TARGET, 1)
     )
     links = tags.select("url", F.replace(found, F.lit("&amp;"), F.lit("&")).alias("to")).filter("to <> ''")
+    site = F.concat(F.lit("http://"), host_of(F.col("url")))
     to = (
         F.when(F.col("to").startswith("//"), F.concat(F.lit("http:"), "to"))
-        .when(F.col("to").startswith("/"), F.concat(F.lit("http://"), host_of(F.col("url")), "to"))
-        .otherwise(F.col("to"))
+        .when(F.col("to").startswith("/"), F.concat(site, "to"))
+        .when(F.col("to").startswith("?"), F.concat(site, path_of(F.col("url")), "to"))
+        .when(F.col("to").rlike(r"^([A-Za-z][A-Za-z0-9+.-]*:|#)") | F.regexp_like(F.col("to"), F.lit("^[^?#]*://")), F.col("to"))
+        .when(path_of(F.col("url")) != "", F.concat(site, F.regexp_extract(path_of(F.col("url")), "(?s)^.*/", 0), "to"))
     )
     links = links.select(address(F.col("url")).alias("a"), address(to).alias("b"))
     return links.filter("a is not null and b is not null and a <> b").distinct()
@@ -98,7 +117,8 @@ def judge_pages(
     """
     if links is None:
         links = alias_links(pages, url_col, html_col)
-    groups = connected_components(links.select("a", "b"))
+    a, b = (F.regexp_replace(c, r"^([^/?#]+)(?=$|\?)", "$1/") for c in ("a", "b"))  # given ones may lack a path
+    groups = connected_components(links.select(a.alias("a"), b.alias("b")))
     host, path = F.regexp_extract("node", r"(?s)^([^/?#]*)", 1), F.regexp_extract("node", r"(?s)^[^/?#]*([^?#]*)", 1)
     groups = groups.withColumn("verdict", matching_rule(host, path, rules)[1])
     fates = groups.groupBy("component").agg(F.min("verdict").alias("fate"))  # allow sorts before block

@@ -3,7 +3,7 @@
 import duckdb
 
 from citymart.llm.queries import ORACLES, URL_RULES
-from citymart.llm.urls import judge_pages
+from citymart.llm.urls import alias_links, judge_pages
 
 SCHEMA = "page_id long, url string, html string, host string, verdict string, component long"
 
@@ -77,3 +77,37 @@ def test_odd_rows_and_empty_table(spark):
     assert len(found) == 3 and {r.verdict for r in found} == {"block"}
     assert judge_pages(frame(spark, []), URL_RULES).collect() == []
     assert judge_pages(frame(spark, PAGES), []).filter("verdict = 'block' or rule is not null").count() == 0
+
+
+def refresh(target, quote='"'):
+    return f"<meta http-equiv=refresh content={quote}0; url={target}{quote}>"
+
+
+def test_targets_are_read_whole_and_resolved(spark):
+    bad = [
+        ("http://b.net/y?a=1&b=2", "http://a1.com/", refresh("http://b.net/y?a=1&amp;b=2")),
+        ("http://b.net/y;jsessionid=3", "http://a2.com/", refresh("http://b.net/y;jsessionid=3")),
+        ("http://a3.com/d/page2.html", "http://a3.com/d/page.html", refresh("page2.html")),
+        ("http://a4.com/x?q", "http://a4.com/d/e.html?z", link("../x?q")),
+        ("http://a5.com/d/e?a=1", "http://a5.com/d/e", refresh("?a=1")),
+        ("http://a6.com/d/", "http://a6.com/d/e/f", refresh("./../#top")),
+        ("http://a7.com", "http://a7.com/d", link("http://a7.com/")),
+        ("http://a8.com/", "http://a8.com/d", link("HTTP://A8.com")),
+        ("http://a9.com?q", "http://a9.com/d", link("/?q")),
+        ("http://a10.com/b", "http://a10.com/a", refresh("/c/./../b")),
+    ]
+    # each page's target is another page, which calls a blocked address canonical
+    pages = [(2 * i, page, html) for i, (_, page, html) in enumerate(bad)]
+    pages += [(2 * i + 1, target, link("http://q.net/")) for i, (target, _, _) in enumerate(bad)]
+    pages += [(100, "http://z.com/d/e", link("mailto:x@a1.com")), (101, "http://z.com/y", refresh("http://b.net/"))]
+    pages += [(102, "http://z.com/x", refresh("http://bad.net"))]
+    found = {r.page_id: r.verdict for r in judge_pages(frame(spark, pages), URL_RULES).collect()}
+    assert {i for i, v in found.items() if v == "allow"} == {100}
+    edges = {(r.a, r.b) for r in alias_links(frame(spark, pages)).collect()}
+    assert {b for a, b in edges if a == "a1.com/"} == {"b.net/y?a=1&b=2"}
+    assert ("a4.com/d/e.html?z", "a4.com/x?q") in edges and ("a6.com/d/e/f", "a6.com/d/") in edges
+
+
+def test_given_links_without_a_path(spark):
+    links = spark.createDataFrame([("a.com", "q.net")], "a string, b string")
+    assert judge_pages(frame(spark, [(1, "http://a.com/", None)]), URL_RULES, links).first().verdict == "block"
