@@ -137,10 +137,12 @@ def token_ids(texts: pa.Array, file: str) -> Iterator[np.ndarray]:
 
 
 def token_pieces(
-    df: DataFrame, tokenizer_file: str, id_col: str, text_col: str, size: int, end_id: int, with_ids: bool
+    df: DataFrame, tokenizer_file: str, id_col: str, text_col: str, size: int, end_id: int, with_ids: bool,
+    order: tuple[str, str] | None = None,
 ) -> DataFrame:
     """The pieces of every document: whole multiples of ``size`` and the rest, with the task that cut
-    them and their rank among that task's pieces of equal length."""
+    them and their rank among that task's pieces of equal length. With ``order``, a file and a row in
+    it, also these, and ranks are those in a chunk: consecutive rows of a file, known by the first."""
     kind = df.schema[id_col].dataType.simpleString()
     fields = {
         id_col: kind,
@@ -151,20 +153,30 @@ def token_pieces(
         "task": "int",
         "rank_in_task": "bigint",
     }
+    if order:
+        fields |= {"file": "string", "row": "bigint", "chunk": "bigint"}
     if with_ids:
         fields["ids"] = "array<int>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, seen = TaskContext.get().partitionId(), [0] * (size + 1)
+        last, chunk = None, 0
         for batch in batches:
+            rows, chunks = batch.column(3).to_pylist() if order else [], []
+            files = batch.column(2).to_pylist() if order else []
             taken, starts, lengths, sums, totals, ranks, ids = [], [], [], [], [], [], []
             for row, tokens in enumerate(token_ids(batch.column(1), tokenizer_file)):
                 tokens = np.append(tokens.astype("<u4"), np.array([end_id], "<u4"))
                 total = len(tokens)
+                if order:
+                    if last != (files[row], rows[row] - 1):
+                        chunk, seen = rows[row], [0] * (size + 1)
+                    last = files[row], rows[row]
                 for start in range(0, total, size):
                     piece = tokens[start : start + size]
                     length = len(piece)
                     taken.append(row)
+                    chunks.append(chunk)
                     starts.append(start)
                     lengths.append(length)
                     sums.append(zlib.crc32(piece))
@@ -176,11 +188,14 @@ def token_pieces(
             columns = [batch.column(0).take(pa.array(taken, pa.int64()))]
             columns += [pa.array(c, pa.int64()) for c in (starts, lengths, sums, totals)]
             columns += [pa.array([task] * len(taken), pa.int32()), pa.array(ranks, pa.int64())]
+            if order:
+                columns += [batch.column(c).take(pa.array(taken, pa.int64())) for c in (2, 3)]
+                columns.append(pa.array(chunks, pa.int64()))
             if with_ids:
                 columns.append(pa.array(ids, pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays(columns, names=list(fields))
 
-    return df.select(id_col, text_col).mapInArrow(run, ", ".join(f"`{n}` {k}" for n, k in fields.items()))
+    return df.select(id_col, text_col, *(order or ())).mapInArrow(run, ", ".join(f"`{n}` {k}" for n, k in fields.items()))
 
 
 def pack_histogram(counts: dict[int, int], size: int) -> list[tuple[int, tuple[int, ...]]]:
@@ -241,6 +256,7 @@ def pack_documents(
     size: int = 2048,
     end_id: int = 1,
     with_ids: bool = False,
+    order: tuple[str, str] | None = None,
 ) -> DataFrame:
     """One row per piece: ``id_col``, ``start``, ``length``, ``ids_crc32``, ``doc_tokens``, ``sequence_id``,
     ``offset`` and, if asked for, the token ``ids``.
@@ -254,12 +270,17 @@ def pack_documents(
     it go back as a table of similar size, and every piece finds its place by its rank among the
     pieces of its length. Ranks are counted per task and summed over tasks, so that no length, however
     frequent, is gathered anywhere.
+
+    ``order`` names two columns, a file's name and a row's number in it, that place the documents. Then
+    pieces of equal length are packed in this order, and sequences are numbered by their first piece's
+    place. Else their order means nothing.
     """
-    pieces = stage(token_pieces(df, tokenizer_file, id_col, text_col, size, end_id, with_ids), "pieces")
-    counts = pieces.groupBy("task", "length").agg(F.count("*").alias("n"))
-    earlier = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = stage(token_pieces(df, tokenizer_file, id_col, text_col, size, end_id, with_ids, order), "pieces")
+    cut = ["file", "chunk"] if order else ["task"]
+    counts = pieces.groupBy(*cut, "length").agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy("length").orderBy(*cut).rowsBetween(Window.unboundedPreceding, -1)
     before = counts.select(
-        F.col("task").alias("__task"),
+        *[F.col(c).alias(f"__{c}") for c in cut],
         F.col("length").alias("__length"),
         "n",
         F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("__before"),
@@ -267,10 +288,11 @@ def pack_documents(
     before = stage(before, "ranks")
     histogram = {r[0]: r[1] for r in before.groupBy("__length").agg(F.sum("n")).collect()}
     out = pieces.columns[:5] + ["sequence_id", "offset"] + ["ids"] * with_ids
-    ranked = pieces.join(before, (F.col("task") == F.col("__task")) & (F.col("length") == F.col("__length")))
+    wanted, out = out, out + (["file", "row"] if order else [])
+    ranked = pieces.join(before, [F.col(c) == F.col(f"__{c}") for c in [*cut, "length"]])
     ranked = ranked.select(*pieces.columns[:5], (F.col("rank_in_task") + F.col("__before")).alias("rank"), *out[7:])
     if not histogram:
-        return ranked.withColumn("sequence_id", F.col("rank")).withColumn("offset", F.col("rank")).select(*out)
+        return ranked.withColumn("sequence_id", F.col("rank")).withColumn("offset", F.col("rank")).select(*wanted)
     shift = 63 - size.bit_length()
     keys, bases, offsets = _places(pack_histogram(histogram, size), shift)
     starts = keys & ((1 << shift) - 1)
@@ -286,4 +308,28 @@ def pack_documents(
             yield pa.RecordBatch.from_arrays(columns, names=out)
 
     kinds = {f.name: f.dataType.simpleString() for f in pieces.schema} | {"sequence_id": "bigint", "offset": "bigint"}
-    return ranked.mapInArrow(place, ", ".join(f"`{c}` {kinds[c]}" for c in out))
+    packed = ranked.mapInArrow(place, ", ".join(f"`{c}` {kinds[c]}" for c in out))
+    return _in_order(stage(packed, "packed")).select(*wanted) if order else packed
+
+
+def _in_order(packed: DataFrame) -> DataFrame:
+    """The sequences numbered by the least place of their pieces: sorted in ranges, counted in each."""
+    first = packed.groupBy("sequence_id").agg(F.min(F.struct("file", "row", "start")).alias("at"))
+    first = first.select("sequence_id", "at.*").repartitionByRange("file", "row", "start")
+    first = first.sortWithinPartitions("file", "row", "start").select("sequence_id")
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, n = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            size = batch.num_rows
+            columns = [batch.column(0), pa.array([part] * size, pa.int32()), pa.array(range(n, n + size), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["__sequence", "part", "__n"])
+            n += size
+
+    numbers = stage(first.mapInArrow(number, "__sequence bigint, part int, __n bigint"), "numbers")
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each part
+    parts = numbers.groupBy("part").agg(F.count("*").alias("n"))
+    parts = parts.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("__base"))
+    numbers = numbers.join(parts, "part").select("__sequence", (F.col("__n") + F.col("__base")).alias("__number"))
+    packed = packed.join(numbers, F.col("sequence_id") == F.col("__sequence"))
+    return packed.withColumn("sequence_id", F.col("__number"))

@@ -43,8 +43,9 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents, placed in sequences of 2048 tokens."""
-    return pack_documents(docs, TOKENIZER, size=2048, end_id=1)
+    """Pieces of documents, placed in sequences of 2048 tokens that are numbered in the stored order."""
+    docs = docs.select("*", F.col("_metadata.file_name").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+    return pack_documents(docs, TOKENIZER, size=2048, end_id=1, order=("__file", "__row"))
 
 
 STAGES = [

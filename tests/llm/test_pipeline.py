@@ -9,6 +9,7 @@ import __spark_entry__ as E
 import corpus_pipeline
 from citymart.llm import queries
 from citymart.llm.labelled import held_out
+from citymart.llm.mixing import mix_documents
 from citymart.llm.secrets import find, mask
 from citymart.llm.simhash import fingerprint
 from citymart.llm.toxicity import Scorer, fit
@@ -109,3 +110,18 @@ def test_stages_take_odd_and_empty_tables(spark, tmp_path, some):
     assert {r.doc_id for r in found} == ({None, 1, 2, 3} if some else set())
     for name in ("op2_secrets", "op3_mixing", "op4_toxicity", "op5_resampling", "op6_simhash", "op9_passages"):
         assert queries.QUERIES[name](spark, str(tmp_path)).collect() is not None
+
+
+def test_sequences_keep_the_order_of_the_mix(spark):
+    sources = ["hot"] * 300 + ["a"] * 60 + ["b"] * 60
+    texts = [(i, "word " * (100 + 37 * i % 3900), s) for i, s in enumerate(sources)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, source string")
+    mixed = stage(mix_documents(docs, weights={"hot": 1, "a": 1, "b": 1}, block_chars=20_000), "mixed")
+    found = dict(corpus_pipeline.STAGES)["packing"](spark, mixed, "").collect()
+    ids = {r.sequence_id for r in found}
+    assert ids == set(range(len(ids)))
+    for n in (45, 90):  # before a source runs out
+        shares = Counter()
+        for r in found:
+            shares[sources[r.doc_id]] += r.length * (r.sequence_id < n)
+        assert all(abs(shares[s] / sum(shares.values()) - 1 / 3) < 0.12 for s in set(sources)), (n, shares)
