@@ -329,17 +329,23 @@ def mask(text: str, spans: list[tuple[str, int, int, bool]], mark: str) -> str:
     return "".join([*out, text[at:]])
 
 
+def _to_mask(text: str) -> list[tuple[str, int, int, bool]]:
+    spans, closed = _search(text)
+    return sorted([*spans, *(("closed", a, b, False) for a, b in closed)], key=lambda s: s[1:3]) if closed else spans
+
+
 def mask_secrets(df: DataFrame, text_col: str = "text", mark: str = "[secret]") -> DataFrame:
     """``df`` with all secrets in ``text_col`` replaced by ``mark``; all rows and columns stay.
 
-    NULL texts stay NULL. A text in which nothing is found is returned as it is.
+    Layers too large to be opened are replaced too, since nobody knows what they hold. NULL texts stay
+    NULL. A text in which nothing is found is returned as it is.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.get_field_index(text_col)
             texts = [t.as_py() for t in batch.column(at)]
-            found = [find(t)[0] if t else [] for t in texts]
+            found = [_to_mask(t) if t else [] for t in texts]
             texts = [mask(t, spans, mark) if spans else t for t, spans in zip(texts, found)]
             yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
 
