@@ -8,17 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from citymart.llm.alignment import align_documents
 from citymart.llm.inner_product import top_products
 from citymart.llm.labelled import held_out
 from citymart.llm.mixing import mixing_positions
 from citymart.llm.packing import pack_documents
 from citymart.llm.passages import shared_passages
+from citymart.llm.repeats import periodic_runs
 from citymart.llm.resampling import resample
 from citymart.llm.secrets import digest, find_secrets
 from citymart.llm.simhash import simhash_duplicates
+from citymart.llm.token_files import read_token_files, write_token_files
 from citymart.llm.toxicity import fit, score_documents
 from citymart.llm.urls import judge_pages
 from citymart.llm.vector_links import vector_links
+from citymart.session import staged_path
 
 #: Rules of the url query: verdict, host, beginning of the path.
 URL_RULES = (
@@ -29,6 +33,15 @@ URL_RULES = (
 )
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_TOKENIZER = public_tokenizers.path("piece_bpe_32k.model")
+
+#: The run of the greatest length over period; of equal ones the first, then the one of the smallest period. Products
+#: compare the quotients exactly.
+BEST_RUN = """
+aggregate(runs, cast(null as struct<start: bigint, length: bigint, period: bigint>), (best, r) ->
+  if(best is null or cast(r.length as decimal(19)) * best.period > cast(best.length as decimal(19)) * r.period, r, best))
+"""
 
 
 def op1_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,6 +91,47 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"), URL_RULES)
 
 
+def with_periods(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text``; in the documents that a checksum of their id picks, words from one on repeat those
+    behind it. No document without words, or without an id, is picked."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    picked = docs.select("doc_id", "text", (h % 10 == 0).alias("picked"), F.floor(h / 10).cast("long").alias("g"))
+    words = F.when(F.col("picked"), F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+    picked = picked.withColumn("words", words).withColumn("n", F.greatest(F.size("words"), F.lit(1)).cast("long"))
+    picked = picked.withColumn("a", F.col("g") % F.col("n"))
+    picked = picked.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    repeated = F.expr("array_join(transform(words, (w, i) -> if(i >= a, words[cast(a + (i - a) % p as int)], w)), ' ')")
+    text = F.when(F.col("picked") & (F.size("words") > 0), repeated).otherwise(F.col("text"))
+    return picked.select("doc_id", text.alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = periodic_runs(with_periods(spark.read.parquet(f"{sf_dir}/documents.parquet")))
+    runs = runs.withColumn("best", F.expr(BEST_RUN))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period))
+    return runs.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    files = write_token_files(docs, staged_path(spark, "token-files"), BYTE_TOKENIZER, end_id=2)
+    return read_token_files(files, docs.schema["doc_id"].dataType.simpleString())
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, _ = align_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), BYTE_TOKENIZER, PIECE_TOKENIZER)
+    return documents
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_vector_links": op1_vector_links,
     "op2_secrets": op2_secrets,
@@ -89,6 +143,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_inner_product": op8_inner_product,
     "op9_passages": op9_passages,
     "op10_urls": op10_urls,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_token_files": op12_token_files,
+    "op13_alignment": op13_alignment,
 }
 
 ORACLES: dict[str, str] = {
