@@ -58,6 +58,11 @@ def _missing(df: DataFrame) -> list[Column]:
     return [_ref(c).isNull().cast("long") for c in df.columns]
 
 
+def row_nulls(df: DataFrame) -> Column:
+    """How many columns of a row are missing."""
+    return sum(_missing(df), F.lit(0).cast("long"))
+
+
 # ------------------------------------------------- missing values, duplicates
 
 
@@ -89,9 +94,8 @@ def missing_top(df: DataFrame, n: int = 10) -> DataFrame:
 def null_totals(df: DataFrame) -> DataFrame:
     """One row ``(record_count, column_count, null_count, null_percentage)`` from one pass."""
     cells = F.lit(len(df.columns))
-    row_nulls = sum(_missing(df), F.lit(0).cast("long"))
     return df.agg(
-        F.count(F.lit(1)).alias("record_count"), F.coalesce(F.sum(row_nulls), F.lit(0)).alias("null_count")
+        F.count(F.lit(1)).alias("record_count"), F.coalesce(F.sum(row_nulls(df)), F.lit(0)).alias("null_count")
     ).select(
         "record_count",
         cells.alias("column_count"),
@@ -129,7 +133,7 @@ def distinct_kinds(df: DataFrame, figures: dict[str, Column], exact: bool) -> Da
 
 def quality_metrics(df: DataFrame, exact: bool = True) -> DataFrame:
     """Size, missing cells and duplicates of a table in one row and one pass."""
-    kinds = distinct_kinds(df, {"row_nulls": sum(_missing(df), F.lit(0).cast("long"))}, exact)
+    kinds = distinct_kinds(df, {"row_nulls": row_nulls(df)}, exact)
     cells = F.lit(len(df.columns))
     return (
         kinds.agg(

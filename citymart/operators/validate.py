@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.errors import PySparkException
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from citymart.functions.columns import percent_of
-from citymart.operators.profile import distinct_kinds, null_totals
+from citymart.operators.profile import distinct_kinds, null_totals, row_nulls
 from citymart.sources.tables import DEFAULT_FORMAT, read_table
 
 STATUS_SCHEMA = """
@@ -20,6 +22,9 @@ STATUS_SCHEMA = """
 """
 CHECK_SCHEMA = "zone string, dataset string, check string, value double, error string"
 
+# So many tables of a zone are looked at side by side.
+SIDE_BY_SIDE = 4
+
 # Fixed value: the last year that income can be known for.
 LAST_YEAR = 2025
 
@@ -92,6 +97,33 @@ def _failure(error: Exception) -> str:
     return str(error).strip() or type(error).__name__
 
 
+def _each(spark: SparkSession, work: Callable, items: Sequence) -> list:
+    """``work`` on every item, a few side by side: small tables share the cluster instead of queueing for it."""
+    if not items:
+        return []
+    with ThreadPoolExecutor(min(SIDE_BY_SIDE, len(items))) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(work), items))
+
+
+def status_figures(df: DataFrame, nulls: bool = True) -> dict[str, Column]:
+    """What a status row needs to know of a table, as aggregates that a write can take along."""
+    figures = {"record_count": F.count(F.lit(1))}
+    if nulls:
+        figures["null_count"] = F.coalesce(F.sum(row_nulls(df)), F.lit(0))
+    return figures
+
+
+def written_status(spark: SparkSession, zone: str, path: str, written: Mapping[str, tuple[int, Mapping]]) -> DataFrame:
+    """Status rows of tables just written, from their number of columns and the figures of the write."""
+    rows = [
+        (zone, name, "success", figures["record_count"], columns, figures.get("null_count"), None, f"{path}/{name}", None)
+        for name, (columns, figures) in written.items()
+    ]
+    cells = F.col("record_count") * F.col("column_count")
+    share = F.when(F.col("null_count").isNotNull(), percent_of(F.col("null_count"), cells))
+    return spark.createDataFrame(rows, STATUS_SCHEMA).withColumn("null_percentage", share)
+
+
 def validate_zone(
     spark: SparkSession,
     zone: str,
@@ -105,14 +137,15 @@ def validate_zone(
     Each table is one aggregation run on its own, so a broken one does not stop the others; only
     its single result row comes back to the driver.
     """
-    rows = []
-    for dataset in datasets:
+
+    def status(dataset: str) -> tuple:
         where = f"{path}/{dataset}"
         try:
-            rows.append(tuple(table_status(read_table(spark, where, fmt), zone, dataset, where, nulls).first()))
+            return tuple(table_status(read_table(spark, where, fmt), zone, dataset, where, nulls).first())
         except (PySparkException, Py4JJavaError) as error:
-            rows.append((zone, dataset, "error", None, None, None, None, where, _failure(error)))
-    return spark.createDataFrame(rows, STATUS_SCHEMA)
+            return zone, dataset, "error", None, None, None, None, where, _failure(error)
+
+    return spark.createDataFrame(_each(spark, status, datasets), STATUS_SCHEMA)
 
 
 def failed_status(spark: SparkSession, zone: str, path: str, failed: Mapping[str, Exception]) -> DataFrame:
@@ -197,14 +230,16 @@ def check_zone(
 ) -> DataFrame:
     """Quality checks of every table that loaded; a check that fails to run becomes an ``error`` row
     with the whole text of the error."""
-    rows = []
-    for table in status.filter(F.col("status") == "success").orderBy("zone", "dataset").collect():
+
+    def check(table: Row) -> list[tuple]:
         try:
             df = read_table(spark, table["path"], fmt)
-            rows += [tuple(r) for r in quality_checks(df, table["zone"], table["dataset"], exact=exact).collect()]
+            return [tuple(r) for r in quality_checks(df, table["zone"], table["dataset"], exact=exact).collect()]
         except (PySparkException, Py4JJavaError) as error:
-            rows.append((table["zone"], table["dataset"], "error", None, _failure(error)))
-    return spark.createDataFrame(rows, CHECK_SCHEMA)
+            return [(table["zone"], table["dataset"], "error", None, _failure(error))]
+
+    loaded = status.filter(F.col("status") == "success").orderBy("zone", "dataset").collect()
+    return spark.createDataFrame([r for found in _each(spark, check, loaded) for r in found], CHECK_SCHEMA)
 
 
 # ------------------------------------------------------------------ gates

@@ -19,13 +19,14 @@ def run_exploitation(
     fold_names: bool = False,
     aliases: DataFrame | None = None,
 ) -> DataFrame:
-    """Build and store the nine marts; one status row each.
+    """Build and store the nine marts; one status row each, its figures taken while the mart is written.
 
     The integrated mart is built from the stored neighbourhood marts, so nothing is computed twice.
     """
     with scratch(spark):
-        _build(spark, formatted_zone, exploitation_zone, fmt, exact, fold_names, aliases)
-    return validate.validate_zone(spark, "exploitation", exploitation_zone, list(EXPLOITATION), nulls=False, fmt=fmt)
+        written = _build(spark, formatted_zone, exploitation_zone, fmt, exact, fold_names, aliases)
+    in_order = {name: written[name] for name in EXPLOITATION}
+    return validate.written_status(spark, "exploitation", exploitation_zone, in_order)
 
 
 def _build(
@@ -36,7 +37,9 @@ def _build(
     exact: bool,
     fold_names: bool,
     aliases: DataFrame | None,
-) -> None:
+) -> dict[str, tuple[int, dict]]:
+    """The number of columns and the figures of each mart that was written."""
+    written = {}
 
     def formatted(name: str) -> DataFrame:
         return tables.read_mart(spark, formatted_zone, name, fmt)
@@ -45,7 +48,8 @@ def _build(
         return tables.read_mart(spark, exploitation_zone, name, fmt)
 
     def write(df: DataFrame, name: str) -> None:
-        tables.write_mart(df, exploitation_zone, name, fmt)
+        figures = validate.status_figures(df, nulls=False)
+        written[name] = len(df.columns), tables.write_mart(df, exploitation_zone, name, fmt, figures)
 
     listings, income, sites = formatted("idealista"), formatted("income"), formatted("cultural_sites")
     prices, prices_by_type = marts.property_marts(listings, exact)
@@ -65,3 +69,4 @@ def _build(
         aliases=aliases,
     )
     write(marts.stamped(integrated), "integrated_analytics")
+    return written

@@ -38,14 +38,15 @@ def landing_presence(spark: SparkSession, landing_zone: str) -> DataFrame:
 def run_formatting(
     spark: SparkSession, landing_zone: str, formatted_zone: str, fmt: str = tables.DEFAULT_FORMAT
 ) -> DataFrame:
-    """Format and store every dataset; one status row each, an error in one does not stop the rest."""
-    failed = {}
+    """Format and store every dataset; an error in one does not stop the rest. One status row each, its figures taken
+    while the table is written."""
+    failed, written = {}, {}
     for name, folder in LANDING_FOLDERS.items():
         try:
             formatted = READERS[name](spark, f"{landing_zone}/{folder}")
-            tables.write_mart(formatted, formatted_zone, name, fmt)
+            figures = validate.status_figures(formatted)
+            written[name] = len(formatted.columns), tables.write_mart(formatted, formatted_zone, name, fmt, figures)
         except (PySparkException, Py4JJavaError) as error:
             failed[name] = error
-    good = [name for name in LANDING_FOLDERS if name not in failed]
-    status = validate.validate_zone(spark, "formatted", formatted_zone, good, fmt=fmt)
+    status = validate.written_status(spark, "formatted", formatted_zone, written)
     return status.unionByName(validate.failed_status(spark, "formatted", formatted_zone, failed))

@@ -533,6 +533,16 @@ advice as (
 )"""
 
 
+_DIRTY_COLUMNS = ("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority", "o_year")
+
+# A table of customers before and after it is replaced by those with a balance, which is doubled.
+_SEGMENTS = """
+    select c_mktsegment, count(*) as customers,
+           cast(sum(cast(c_acctbal as decimal(18,2)) * cast(1 + after as integer)) as double) as balance, state
+    from customer, (values {states}) s(state, after)
+    where after = 0 or c_acctbal > 0
+    group by c_mktsegment, state"""
+
 ORACLES: dict[str, str] = {
     "standardize_listings": f"with {_RAW_LISTINGS} select * from raw where price_eur > 0 and size_m2 > 0 and district is not null",
     "format_listings_json": f"with {_RAW_LISTINGS} select * from raw where price_eur > 0 and size_m2 > 0 and district is not null",
@@ -850,4 +860,15 @@ ORACLES: dict[str, str] = {
                    case when l_quantity > 5 then l_linenumber end as some_lines
             from lineitem)
         {_correlations((*_NUMBERS, "quantity_tax", "saved", "some_lines"))}""",
+    "replaced_table": _SEGMENTS.format(states="('before', 0.0), ('after', 1.0)"),
+    "replaced_version": _SEGMENTS.format(states="('before', 0.0), ('after', 1.0)"),
+    "written_figures": f"""with {_NET}, {_DIRTY}, written as ("""
+    + _union(
+        [
+            _status_row("formatted", "idealista", "net", _NET_COLUMNS),
+            _status_row("formatted", "cultural_sites", "dirty", _DIRTY_COLUMNS),
+        ]
+    )
+    + """)
+        select * replace (round(null_percentage, 6) as null_percentage) from written""",
 }

@@ -9,6 +9,8 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +21,8 @@ from citymart.operators.latest import dedup_latest, latest_per_key
 from citymart.plans import bindings as B
 from citymart.session import stage, staged_path
 from citymart.sources import landing, reports, schemas, tables
-from citymart.sources.files import entries, list_tables, required_datasets, table_file_counts, zone_inventory
+from citymart.sources.files import list_tables, required_datasets, table_file_counts, zone_inventory
+from citymart.sources.storage import entries
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -998,3 +1001,56 @@ def correlation_all(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(quantity > 5, F.col("l_linenumber")).alias("some_lines"),
     ]
     return rounded(profile.correlation_matrix(B.table(spark, sf_dir, "lineitem").select(*_ALL_NUMBERS, *more)), ["r"])
+
+
+# ------------------------------------------------------------------- replacement
+
+
+def _segments(customers: DataFrame, state: str) -> DataFrame:
+    """Customers and their balance per market segment, as seen in one state of the table."""
+    balance = F.sum(F.col("c_acctbal").cast("decimal(18,2)")).cast("double")
+    found = customers.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("customers"), balance.alias("balance"))
+    return found.withColumn("state", F.lit(state))
+
+
+def _failing(customers: DataFrame) -> DataFrame:
+    """Rows that cannot be written to the end."""
+    broken = F.when(F.col("c_custkey") % 7 == 3, F.raise_error(F.lit("broken row"))).otherwise(F.col("c_acctbal"))
+    return customers.withColumn("c_acctbal", broken)
+
+
+def _replaced(spark: SparkSession, sf_dir: str, versioned: bool) -> DataFrame:
+    """A table replaced from its own rows, then by a write that fails. ``before`` was opened in between."""
+    path = staged_path(spark, "customers")
+    how = {"partition_by": ["c_mktsegment"], "versioned": versioned}
+    tables.write_table(B.table(spark, sf_dir, "customer"), path, **how)
+    before = tables.read_table(spark, path)
+    states = [] if versioned else [stage(_segments(before, "before"), "segments")]
+    doubled = before.filter(F.col("c_acctbal") > 0).withColumn("c_acctbal", 2 * F.col("c_acctbal"))
+    tables.write_table(doubled, path, **how)
+    try:
+        tables.write_table(_failing(before if versioned else tables.read_table(spark, path)), path, **how)
+    except (PySparkException, Py4JJavaError):
+        states.append(_segments(tables.read_table(spark, path), "after"))
+    return reduce(DataFrame.unionByName, [*states, _segments(before, "before")] if versioned else states)
+
+
+@register
+def replaced_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _replaced(spark, sf_dir, versioned=False)
+
+
+@register
+def replaced_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A reader of the version before still sees all of its rows."""
+    return _replaced(spark, sf_dir, versioned=True)
+
+
+@register
+def written_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status rows of two tables from the figures of their writes."""
+    zone, written = staged_path(spark, "zone"), {}
+    for name, df in (("idealista", _net_listings(spark, sf_dir)), ("cultural_sites", _dirty_orders(spark, sf_dir))):
+        figures = tables.write_table(df, f"{zone}/{name}", figures=validate.status_figures(df), versioned=True)
+        written[name] = len(df.columns), figures
+    return rounded(validate.written_status(spark, "formatted", zone, written).drop("path"), ["null_percentage"])

@@ -1,68 +1,14 @@
-"""Folder listings through the Hadoop file system, so any storage Spark can read works."""
+"""What zones hold: tables, files, sizes, required folders."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import datetime, timezone
-from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-class Entry(NamedTuple):
-    name: str
-    path: str
-    is_dir: bool
-    length: int
-    modified: datetime
-
-
-def _filesystem(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    fs, where = _filesystem(spark, path)
-    return fs.exists(where)
-
-
-def entries(spark: SparkSession, path: str) -> list[Entry]:
-    """The direct content of a folder by name; one metadata call."""
-    fs, where = _filesystem(spark, path)
-    found = [
-        Entry(
-            s.getPath().getName(),
-            s.getPath().toString(),
-            s.isDirectory(),
-            s.getLen(),
-            datetime.fromtimestamp(s.getModificationTime() / 1000, timezone.utc),
-        )
-        for s in fs.listStatus(where)
-    ]
-    return sorted(found)
-
-
-def head(spark: SparkSession, path: str, size: int = 65_536) -> str:
-    """The text at the beginning of a file: at most ``size`` bytes are read, whatever its length."""
-    fs, where = _filesystem(spark, path)
-    stream = fs.open(where)
-    try:
-        return bytes(stream.readNBytes(size)).decode("utf-8-sig", "ignore")
-    finally:
-        stream.close()
-
-
-def file_count(spark: SparkSession, path: str) -> int:
-    """Files directly in a folder, counted as the file system lists them, without an object for each."""
-    fs, where = _filesystem(spark, path)
-    listed, count = fs.listFiles(where, False), 0
-    while listed.hasNext():
-        listed.next()
-        count += 1
-    return count
+from citymart.sources.storage import entries, exists, file_count, filesystem, is_hidden
+from citymart.sources.versions import current, is_versioned
 
 
 def list_tables(spark: SparkSession, zone: str, marker: str | None = None) -> DataFrame:
@@ -73,17 +19,17 @@ def list_tables(spark: SparkSession, zone: str, marker: str | None = None) -> Da
     rows = [
         (e.name, e.path)
         for e in entries(spark, zone)
-        if e.is_dir and (marker is None or exists(spark, f"{e.path}/{marker}"))
+        if e.is_dir and not is_hidden(e.name) and (marker is None or exists(spark, f"{e.path}/{marker}"))
     ]
     return spark.createDataFrame(rows, "dataset string, path string")
 
 
 def table_file_counts(spark: SparkSession, zone: str) -> DataFrame:
-    """Direct files of each table folder of a zone: ``(dataset, file_count)``."""
+    """Direct files in each table's newest content: ``(dataset, file_count)``."""
     rows = [
-        (e.name, file_count(spark, e.path))
+        (e.name, file_count(spark, current(spark, e.path)))
         for e in entries(spark, zone)
-        if e.is_dir
+        if e.is_dir and not is_hidden(e.name)
     ]
     return spark.createDataFrame(rows, "dataset string, file_count int")
 
@@ -91,27 +37,37 @@ def table_file_counts(spark: SparkSession, zone: str) -> DataFrame:
 def zone_inventory(spark: SparkSession, zones: Mapping[str, str]) -> DataFrame:
     """Files, folders, megabytes and newest change of each zone; zeros for one that is missing.
 
-    Totals come from the file system's own summary. Only the newest change needs every file, and
-    Spark lists those in parallel; file contents are not read.
+    Of a versioned table its newest content counts. Totals come from the file system's own summary. Only the newest
+    change needs every file, and Spark lists those in parallel; file contents are not read.
     """
+
+    def totals(path: str) -> tuple[int, int, int]:
+        fs, where = filesystem(spark, path)
+        summary = fs.getContentSummary(where)
+        return summary.getFileCount(), summary.getDirectoryCount(), summary.getLength()
+
     rows = []
     newest = None
     for name, path in zones.items():
-        fs, where = _filesystem(spark, path)
-        if not fs.exists(where):
+        if not exists(spark, path):
             rows.append((name, False, path, 0, 0, 0.0))
             continue
-        summary = fs.getContentSummary(where)
-        folders = summary.getDirectoryCount() - 1
-        rows.append((name, True, path, summary.getFileCount(), folders, summary.getLength() / 1024 / 1024))
-        if summary.getFileCount():
-            files = (
+        files, folders, size = totals(path)
+        versioned = [e.path for e in entries(spark, path) if e.is_dir and is_versioned(spark, e.path)]
+        contents = [current(spark, table) for table in versioned]
+        for table, content in zip(versioned, contents):
+            for part, sign in ((table, -1), (content, 1)):
+                more = totals(part)
+                files, folders, size = files + sign * more[0], folders + sign * more[1], size + sign * more[2]
+        rows.append((name, True, path, files, folders - 1, size / 1024 / 1024))
+        if files:
+            changed = (
                 spark.read.format("binaryFile")
                 .option("recursiveFileLookup", True)
-                .load(path)
+                .load([path, *contents])
                 .select(F.lit(name).alias("zone"), "modificationTime")
             )
-            newest = files if newest is None else newest.unionByName(files)
+            newest = changed if newest is None else newest.unionByName(changed)
     schema = "zone string, exists boolean, path string, file_count bigint, dir_count bigint, total_size_mb double"
     inventory = spark.createDataFrame(rows, schema)
     if newest is None:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from citymart.functions.schema import common_type
-from citymart.sources.files import entries, head
+from citymart.sources.storage import entries, head
 
 
 def read_json_arrays(spark: SparkSession, path: str | list[str], schema: str | None = None) -> DataFrame:
