@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import json
+import math
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark import inheritable_thread_target
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citymart.operators.standardize import fill_missing, numeric_text
@@ -33,9 +37,10 @@ CATEGORICAL = ["neighborhood", "property_type", "status"]
 DEFAULTS = {"neighborhood": "unknown", "status": "good", "floor": 0}
 TARGET = "price"
 
-# The training rows are spread over so many partitions. Forests draw their samples by partition, so
-# the number is a parameter of the model and does not follow the cluster.
+# The training rows are spread over so many partitions at least, and over more where one would hold more rows.
+# Forests draw their samples by partition, so the number follows from the rows and not from the cluster.
 PARTITIONS = 32
+ROWS_PER_PARTITION = 1_000_000
 
 
 def model_rows(
@@ -90,15 +95,16 @@ def train(
     models: Mapping[str, Estimator] | None = None,
     train_percent: int = 80,
     seed: int = 42,
-    partitions: int = PARTITIONS,
+    partitions: int | None = None,
 ) -> tuple[DataFrame, dict[str, PipelineModel]]:
     """Fit every model and rank them: ``(model, rmse)`` best first, and the fitted pipelines.
 
     Features are fitted on the training rows only. The algorithms pass over the rows many times, so
-    these are spread evenly once, in the order of their keys, and kept for the duration of the fits.
-    ``rows`` is read three times: pass a stored table.
+    these are spread evenly once, in the order of their keys, and kept for the duration of the fits, which
+    run side by side. ``rows`` is read four times: pass a stored table.
     """
     spark = rows.sparkSession
+    partitions = partitions or max(PARTITIONS, math.ceil(rows.count() / ROWS_PER_PARTITION))
     training, validation = split(rows, keys, train_percent, seed)
     prepared = Pipeline(stages=feature_stages(rows, ignore=keys)).fit(training)
     needed = ["features", TARGET]
@@ -110,11 +116,16 @@ def train(
     train_set, validation_set = ready(training), ready(validation)
     evaluator = RegressionEvaluator(labelCol=TARGET, metricName="rmse")
     try:
-        fitted, scores = {}, []
-        for name, model in (models or regressors(seed)).items():
-            regression = _with_bins(model, prepared).fit(train_set)
-            scores.append((name, evaluator.evaluate(regression.transform(validation_set))))
-            fitted[name] = PipelineModel(stages=[*prepared.stages, regression])
+        candidates = dict(models or regressors(seed))
+
+        def fit(name: str) -> tuple[Model, float]:
+            regression = _with_bins(candidates[name], prepared).fit(train_set)
+            return regression, evaluator.evaluate(regression.transform(validation_set))
+
+        with ThreadPoolExecutor(len(candidates)) as pool:
+            found = dict(zip(candidates, pool.map(inheritable_thread_target(spark)(fit), candidates)))
+        fitted = {name: PipelineModel(stages=[*prepared.stages, model]) for name, (model, _) in found.items()}
+        scores = [(name, score) for name, (_, score) in found.items()]
     finally:
         train_set.unpersist()
         validation_set.unpersist()
@@ -134,6 +145,44 @@ def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 
 
+def feature_names(model: PipelineModel) -> list[str]:
+    """What stands at each place of a fitted pipeline's feature vector."""
+    return next(s for s in model.stages if isinstance(s, VectorAssembler)).getInputCols()
+
+
+def labels(model: PipelineModel) -> list[tuple[str, str, int]]:
+    """Column, label and index of every label a fitted pipeline knows: the most frequent first, ties by label."""
+    indexers = [s for s in model.stages if isinstance(s, StringIndexerModel)]
+    return [
+        (column, label, index)
+        for s in indexers
+        for column, found in zip(s.getInputCols(), s.labelsArray)
+        for index, label in enumerate(found)
+    ]
+
+
+def signature(model: PipelineModel, rows: DataFrame) -> dict[str, dict[str, str]]:
+    """Names and types of the columns a fitted pipeline needs and of those it adds."""
+    made = {c for s in model.stages if isinstance(s, StringIndexerModel) for c in s.getOutputCols()}
+    raw = [c for s in model.stages if isinstance(s, StringIndexerModel) for c in s.getInputCols()]
+    needed = [c for c in feature_names(model) if c not in made] + raw
+    kinds = {f.name: f.dataType.simpleString() for f in model.transform(rows).schema}
+    return {
+        "inputs": {c: kinds[c] for c in rows.columns if c in needed},
+        "outputs": {c: kinds[c] for c in ("features", "prediction")},
+    }
+
+
+def save_signature(model: PipelineModel, rows: DataFrame, path: str) -> None:
+    """Store the signature as one JSON document in the folder ``path``."""
+    text = json.dumps(signature(model, rows), indent=2)
+    rows.sparkSession.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def read_signature(spark: SparkSession, path: str) -> dict[str, dict[str, str]]:
+    return json.loads(spark.read.text(path, wholetext=True).first()["value"])
+
+
 def model_example(model: PipelineModel, rows: DataFrame, n: int = 5) -> DataFrame:
     """A few inputs with their predictions, to store beside a model."""
     return model.transform(rows.limit(n)).select("features", "prediction")

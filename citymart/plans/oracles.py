@@ -69,7 +69,7 @@ from (select district, quantile_disc(price, 0.25) as p25, quantile_disc(price, 0
 
 _MODEL = f"""{_LISTINGS},
 sides as (
-    select property_code, size_m2, price_eur,
+    select property_code, size_m2, rooms, neighborhood, property_type, status, price_eur,
            cast(concat('0x', substring(md5(concat('42|', property_code)), 1, 8)) as bigint) % 100 < 80 as train
     from listings
 )"""
@@ -533,6 +533,47 @@ advice as (
 )"""
 
 
+# The split of all training rows that leaves the least squares, among the midpoints between values that occur.
+_STUMP = """,
+features as (
+    select f.feature, f.value, price_eur as price from sides, lateral ({features}) f(feature, value) where train
+),
+cells as (select feature, value, count(*) as n, sum(price) as s, sum(price * price) as q from features group by all),
+cuts as (
+    select feature, value, lead(value) over (partition by feature order by value) as next,
+           sum(n) over upto as n, sum(s) over upto as s, sum(q) over upto as q,
+           sum(n) over whole as all_n, sum(s) over whole as all_s, sum(q) over whole as all_q
+    from cells window upto as (partition by feature order by value), whole as (partition by feature)
+),
+best as (
+    select *, (value + next) / 2.0::double as threshold from cuts where next is not null
+    order by (q - s * s / n) + (all_q - q - (all_s - s) * (all_s - s) / (all_n - n)) limit 1
+),
+tree as (
+    select 0 as node, feature, threshold, cast(all_n as bigint) as "rows", all_s / all_n as prediction from best
+    union all select 1, null, null, cast(n as bigint), s / n from best
+    union all select 2, null, null, cast(all_n - n as bigint), (all_s - s) / (all_n - n) from best
+)"""
+_size_only = "values ('size_m2', size_m2)"
+_size_or_rooms = "values ('size_m2', size_m2), ('rooms', rooms)"
+
+# A line and the tree by their error on the other rows.
+_RANKING = """
+line as (
+    select regr_slope(price_eur, size_m2) as slope, regr_intercept(price_eur, size_m2) as start from sides where train
+),
+errors as (
+    select 'LinearRegression' as model, price_eur - start - slope * size_m2 as e from sides, line where not train
+    union all
+    select 'Stump', price_eur - prediction
+    from sides, best join tree on node = case when size_m2 <= best.threshold then 1 else 2 end where not train
+),
+ranking as (
+    select model, sqrt(avg(e * e)) as error, round(sqrt(avg(e * e)), 4) as rmse,
+           row_number() over (order by sqrt(avg(e * e)), model) as place
+    from errors group by model
+)"""
+
 _DIRTY_COLUMNS = ("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority", "o_year")
 
 # A table of customers before and after it is replaced by those with a balance, which is doubled.
@@ -871,4 +912,26 @@ ORACLES: dict[str, str] = {
     )
     + """)
         select * replace (round(null_percentage, 6) as null_percentage) from written""",
+    "forest_split": f"""with {_MODEL} {_STUMP.format(features=_size_or_rooms)}
+        select node, feature, threshold, "rows", round(prediction, 4) as prediction from tree""",
+    "forest_predictions": f"""with {_MODEL} {_STUMP.format(features=_size_or_rooms)}
+        select property_code, round(prediction, 4) as prediction
+        from sides, best join tree on node = case when case best.feature when 'size_m2' then size_m2 else rooms end
+                                                     <= best.threshold then 1 else 2 end
+        where not train""",
+    "forest_ranking": f"""with {_MODEL} {_STUMP.format(features=_size_only)}, {_RANKING}
+        select place, model, rmse from ranking""",
+    "label_index": f"""with {_MODEL}, labels as (
+            select 'neighborhood' as "column", neighborhood as label from sides where train
+            union all select 'property_type', property_type from sides where train
+            union all select 'status', status from sides where train),
+        counted as (select "column", label, count(*) as count from labels group by all)
+        select *, cast(row_number() over (partition by "column" order by count desc, label) - 1 as integer) as index
+        from counted""",
+    "training_run": f"""with {_RAW_LISTINGS}, sides as (
+            select *, cast(concat('0x', substring(md5(concat('42|', property_code)), 1, 8)) as bigint) % 100 < 80 as train
+            from raw where price_eur > 0 and size_m2 > 0 and district is not null)
+        {_STUMP.format(features=_size_only)}, {_RANKING}
+        select place, model, rmse, case when place = 1 then 'size_m2 int' end as inputs,
+               cast(case when place = 1 then 5 end as bigint) as examples from ranking""",
 }

@@ -11,14 +11,17 @@ from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.regression import RandomForestRegressor
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from citymart.functions import columns as C
 from citymart.functions.schema import numeric_columns, type_counts
-from citymart.operators import kpi, marts, profile, quantiles, regress, standardize, validate
+from citymart.operators import kpi, marts, profile, quantiles, regress, standardize, trees, validate
 from citymart.operators.latest import dedup_latest, latest_per_key
 from citymart.plans import bindings as B
+from citymart.plans import training
 from citymart.session import stage, staged_path
 from citymart.sources import landing, reports, schemas, tables
 from citymart.sources.files import list_tables, required_datasets, table_file_counts, zone_inventory
@@ -1054,3 +1057,76 @@ def written_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
         figures = tables.write_table(df, f"{zone}/{name}", figures=validate.status_figures(df), versioned=True)
         written[name] = len(df.columns), figures
     return rounded(validate.written_status(spark, "formatted", zone, written).drop("path"), ["null_percentage"])
+
+
+# ------------------------------------------------------------------------ forest
+
+
+def _stump() -> RandomForestRegressor:
+    """A forest of one tree that splits once, on all rows and all features."""
+    return RandomForestRegressor(
+        labelCol=regress.TARGET, numTrees=1, maxDepth=1, maxBins=128, bootstrap=False, featureSubsetStrategy="all"
+    )
+
+
+def _model_listings(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    listings = B.listings(spark, sf_dir).select("property_code", *columns, F.col("price_eur").alias(regress.TARGET))
+    return stage(listings, "rows")
+
+
+@register
+def forest_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes of a tree that splits once: where, and the mean price on either side."""
+    rows = _model_listings(spark, sf_dir, "size_m2", "rooms")
+    _, fitted = regress.train(rows, ["property_code"], {"Stump": _stump()})
+    found = trees.forest_nodes(spark, fitted["Stump"].stages[-1], regress.feature_names(fitted["Stump"]))
+    return rounded(found.select("node", "feature", "threshold", "rows", "prediction"), ["prediction"], 4)
+
+
+@register
+def forest_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The validation rows' prices by that tree, from a join of rows and nodes."""
+    rows = _model_listings(spark, sf_dir, "size_m2", "rooms")
+    _, fitted = regress.train(rows, ["property_code"], {"Stump": _stump()})
+    *features, forest = fitted["Stump"].stages
+    nodes = trees.forest_nodes(spark, forest, regress.feature_names(fitted["Stump"]))
+    _, validation = regress.split(rows, ["property_code"])
+    ready = PipelineModel(stages=features).transform(validation)
+    return rounded(trees.predict_by_nodes(ready, nodes, trees=1, depth=1, keys=["property_code"]), ["prediction"], 4)
+
+
+def _ranked(ranking: DataFrame) -> DataFrame:
+    place = F.row_number().over(Window.orderBy("rmse", "model")).cast("long")  # a row for each model
+    return rounded(ranking.select(place.alias("place"), "model", "rmse"), ["rmse"], 4)
+
+
+@register
+def forest_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A linear model and a tree by their validation error, the best first."""
+    models = {"LinearRegression": regress.regressors()["LinearRegression"], "Stump": _stump()}
+    ranking, _ = regress.train(_model_listings(spark, sf_dir, "size_m2"), ["property_code"], models)
+    return _ranked(ranking)
+
+
+@register
+def label_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The number each text label gets in the training rows: the most frequent first, ties by label."""
+    rows = B.listings(spark, sf_dir, parts=True).select("property_code", "neighborhood", "property_type", "status", "rooms")
+    known, _ = regress.split(rows, ["property_code"])
+    fitted = Pipeline(stages=regress.feature_stages(rows, ignore=["property_code"])).fit(known)
+    found = spark.createDataFrame(regress.labels(fitted), "column string, label string, index int")
+    times = [known.groupBy(F.lit(c).alias("column"), F.col(c).alias("label")).count() for c in regress.CATEGORICAL]
+    return found.join(reduce(DataFrame.unionByName, times), ["column", "label"])
+
+
+@register
+def training_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole run over the stored listings: the ranking, what was saved for the best and what it predicts from."""
+    zone, path = staged_path(spark, "formatted"), staged_path(spark, "models")
+    tables.write_mart(standardize.format_listings(_raw_listings(spark, sf_dir)), zone, "idealista")
+    models = {"LinearRegression": regress.regressors()["LinearRegression"], "Stump": _stump()}
+    ranking = _ranked(training.run_training(spark, zone, path, columns=["size_m2", "price_eur"], models=models))
+    inputs = ",".join(f"{c} {t}" for c, t in regress.read_signature(spark, f"{path}/signature")["inputs"].items())
+    saved = F.col("place") == 1
+    examples = spark.read.parquet(f"{path}/example").agg(F.count("prediction")).scalar()
+    return ranking.select("*", F.when(saved, inputs).alias("inputs"), F.when(saved, examples).alias("examples"))
