@@ -8,7 +8,6 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from citymart.llm.parts import Parts, cut, groups
+from citymart.llm.byte_level import byte_level
 
 MAGIC = b"TOKCODE1"
 #: Bits of a chunk, bits a rank counts over, tokens of a segment.
@@ -185,33 +184,6 @@ class CodeReader:
             held.append(ids[max(0, begin - first) :])
 
 
-@cache
-def _byte_parts(tokenizer_file: str) -> tuple:
-    """The tokenizer, what is known of later parts, and the strings it reads as special tokens. One per worker."""
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(tokenizer_file)
-
-    def encode(parts: list[str]) -> Iterator[bytes]:
-        for found in tokenizer.encode_batch_fast([" " + p for p in parts], add_special_tokens=False):
-            yield np.array(found.ids, "<u4").tobytes()
-
-    added = tuple(t.content for t in tokenizer.get_added_tokens_decoder().values())
-    return tokenizer, Parts(encode), added
-
-
-def byte_level_ids(texts: pa.Array, tokenizer_file: str) -> Iterator[np.ndarray]:
-    """The ids of each text by a byte-level tokenizer; NULL counts as empty. A text with the string of an added
-    token is encoded whole, since such a token cuts the white space beside it too."""
-    tokenizer, known, added = _byte_parts(tokenizer_file)
-    for group in groups(texts):
-        parts = [[text] if any(a in text for a in added) else cut(text) for text in group]
-        begins = tokenizer.encode_batch_fast([found.pop(0) for found in parts], add_special_tokens=False)
-        known.learn(set().union(*parts))
-        for found, begin in zip(parts, begins):
-            yield np.frombuffer(np.array(begin.ids, "<u4").tobytes() + b"".join(map(known.__getitem__, found)), "<u4")
-
-
 def write_token_files(
     df: DataFrame, folder: str, tokenizer_file: str, end_id: int, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -242,7 +214,7 @@ def write_token_files(
         path = f"{folder}/files/part-{part:08d}-{uuid.uuid4().hex}.codes"
         end = np.array([end_id], "<u4")
         for batch in batches:
-            for document, ids in zip(batch.column(0), byte_level_ids(batch.column(1), tokenizer_file)):
+            for document, ids in zip(batch.column(0), byte_level(tokenizer_file).ids(batch.column(1))):
                 writer = writer or CodeWriter(path, batch.schema.field(0).type)
                 writer.add(document, np.append(ids, end))
                 documents += 1
