@@ -5,20 +5,25 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import cache
-from itertools import accumulate
-from typing import NamedTuple
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citymart.llm.parts import Parts, cut, groups
+from citymart.llm.byte_level import ByteLevel
+from citymart.llm.parts import Parts, cut_all, gathered, groups
 from citymart.session import stage
 
 #: Documents form a block until they have so many links; blocks meet the corpus-wide counts as a whole.
 BLOCK_LINKS = 1 << 20
+#: Texts are cut and looked up together up to so many bytes; new parts are aligned so many at a time.
+GROUP_BYTES, TOGETHER = 4_000_000, 20_000
+#: A worker knows so many parts at most; one takes about 120 bytes.
+KNOWN_PARTS = 700_000
 
 
 def byte_level_bytes(tokenizer) -> list[bytes]:
@@ -42,66 +47,99 @@ def piece_bytes(processor) -> list[bytes]:
     ]
 
 
-def cut_groups(a: list[int], a_sizes: list[int], b: list[int], b_sizes: list[int]) -> list[tuple[list[int], list[int]]]:
-    """Ids of both lists between one common end and the next."""
-    a_ends = {end: k for k, end in enumerate(accumulate(a_sizes), 1)}
-    b_ends = {end: k for k, end in enumerate(accumulate(b_sizes), 1)}
-    found, i, j = [], 0, 0
-    for end in sorted(a_ends.keys() & b_ends.keys()):
-        next_i, next_j = a_ends[end], b_ends[end]
-        found.append((a[i:next_i], b[j:next_j]))
-        i, j = next_i, next_j
-    return found
-
+def common_ends(a_sizes: np.ndarray, b_sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Offsets at which tokens of both lists end, and how many tokens of each end up to there. The offsets are looked
+    up in a dictionary from ends to places for each list; their common keys, sorted, are the cuts."""
+    a_ends = dict(zip(np.cumsum(a_sizes).tolist(), count(1)))
+    b_ends = dict(zip(np.cumsum(b_sizes).tolist(), count(1)))
+    cuts = sorted(a_ends.keys() & b_ends.keys())
+    places = (np.fromiter(map(ends.__getitem__, cuts), np.int64, len(cuts)) for ends in (a_ends, b_ends))
+    return np.array(cuts, np.int64), *places
 
-class Part(NamedTuple):
-    """What the alignment of a part comes to: numbers, groups as text, linked pairs ``a * 2^32 + b``."""
 
-    n_a: int
-    n_b: int
-    n_groups: int
-    groups: str
-    links: bytes
+def _listed(values: pa.Array, ends: np.ndarray, separator: str) -> pa.Array:
+    """The values between one end and the next as one text each."""
+    lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), values)
+    return pc.binary_join(lists, pa.scalar(separator, values.type))
 
 
 class Aligner:
-    """Parts of texts by both tokenizers. A part of which either gives back other bytes has no entry."""
+    """Texts by both tokenizers, part by part."""
 
     def __init__(self, a_file: str, b_file: str):
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(a_file)
-        self.a.encode_special_tokens = True  # their strings are plain text
+        self.a = ByteLevel(a_file, special_as_text=True)
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_file)
-        self.a_bytes, self.b_bytes = byte_level_bytes(self.a), piece_bytes(self.b)
-        self.known = Parts(self.align)
-
-    def align(self, parts: list[str]) -> Iterator[Part | None]:
-        spaced = [" " + p for p in parts]
-        found_a = self.a.encode_batch_fast(spaced, add_special_tokens=False)
-        for text, found, b in zip(spaced, found_a, self.b.encode(parts, num_threads=1)):
-            a, raw = found.ids, text.encode()
-            a_bytes, b_bytes = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-            if len(raw) == 1 or b"".join(a_bytes) != raw or b"".join(b_bytes) != raw:
-                yield None
-                continue
-            both = cut_groups(a, list(map(len, a_bytes)), b, list(map(len, b_bytes)))
-            text = ";".join([f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in both])
-            # the ends of a group's ids differ but for the last of both, so each slice has one link
-            links = np.array([(x[-1] << 32) + y[-1] for x, y in both], np.int64)
-            yield Part(len(a), len(b), len(both), text, links.tobytes())
-
-    def texts(self, texts: pa.Array) -> Iterator[list[Part]]:
-        """The entries of each text's parts in turn; none for NULL, empty and unlike ones."""
-        for group in groups(texts):
-            parts = [cut(text) if text else [] for text in group]
-            self.known.learn(set().union(*parts))
-            for text, found in zip(group, parts):
-                entries = list(map(self.known.__getitem__, found))
-                if None in entries:  # parts may differ where the whole does not
-                    entries = [e for e in self.align([text]) if e]
-                yield entries
+        self.a_bytes, self.b_bytes = byte_level_bytes(self.a.tokenizer), piece_bytes(self.b)
+        self.a_sizes, self.b_sizes = (np.array(list(map(len, x)), np.int64) for x in (self.a_bytes, self.b_bytes))
+        self.digits = pa.array(list(map(str, range(max(len(self.a_sizes), len(self.b_sizes))))), pa.large_string())
+        self.known = Parts(self.align, KNOWN_PARTS)
+
+    def align(self, parts: list[str]) -> list[pa.Array]:
+        """For each part whether both tokenizers give its bytes back, the numbers of A's ids, B's ids and groups, the
+        groups as text, and the linked pairs as ``a * 2^32 + b``. Many parts are aligned at once: one after the other
+        they are one text, and where a part ends, tokens of both end."""
+        some = [self._together(parts[k : k + TOGETHER]) for k in range(0, max(1, len(parts)), TOGETHER)]
+        return [pa.concat_arrays(column) for column in zip(*some)]
+
+    def _together(self, parts: list[str]) -> list[pa.Array]:
+        a = self.a.later_parts(parts)
+        b = self.b.encode(parts, num_threads=1)
+        n_a, n_b = a.value_lengths().to_numpy().astype(np.int64), np.array(list(map(len, b)), np.int64)
+        a_ids = a.flatten().to_numpy().astype(np.int64)
+        b_ids = np.fromiter(chain.from_iterable(b), np.int64)
+        like = self._like(parts, a_ids, n_a, b_ids, n_b)
+        if not like.all():  # the others are aligned without them, and they have no tokens
+            a_ids, b_ids = a_ids[np.repeat(like, n_a)], b_ids[np.repeat(like, n_b)]
+            n_a, n_b = n_a * like, n_b * like
+        a_sizes, b_sizes = self.a_sizes[a_ids], self.b_sizes[b_ids]
+        cuts, a_at, b_at = common_ends(a_sizes, b_sizes)
+        slices = [_listed(self.digits.take(pa.array(ids)), at, ",") for ids, at in ((a_ids, a_at), (b_ids, b_at))]
+        groups = pc.binary_join_element_wise(*slices, pa.scalar("|", pa.large_string()))
+        bytes_up_to = np.append(0, np.cumsum(a_sizes))[np.cumsum(n_a)]
+        ends = np.searchsorted(cuts, bytes_up_to, side="right")  # groups up to the end of each part
+        # the ends of a group's ids differ but for the last of both, so each slice has one link
+        links = (a_ids[a_at - 1] << 32) + b_ids[b_at - 1]
+        counts = [pa.array(n) for n in (n_a, n_b, np.diff(ends, prepend=0))]
+        lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(links))
+        return [pa.array(like), *counts, _listed(groups, ends, ";"), lists]
+
+    def _like(self, parts: list[str], a_ids: np.ndarray, n_a: np.ndarray, b_ids: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+        """Whether both tokenizers give back a space and the part; an empty part has no tokens."""
+        raw = [f" {p}".encode() for p in parts]
+        sizes = np.array(list(map(len, raw)), np.int64)
+        text, like = b"".join(raw), sizes > 1
+        for ids, n, table, lengths in ((a_ids, n_a, self.a_bytes, self.a_sizes), (b_ids, n_b, self.b_bytes, self.b_sizes)):
+            spelt = list(map(table.__getitem__, ids.tolist()))
+            ends = np.cumsum(n)
+            of_part = np.diff(np.append(0, np.cumsum(lengths[ids]))[np.append(0, ends)])
+            if not (of_part == sizes).all() or b"".join(spelt) != text:
+                begins = (ends - n).tolist()
+                like &= [b"".join(spelt[x:y]) == r for x, y, r in zip(begins, ends.tolist(), raw)]
+        return like
+
+    def texts(self, texts: pa.Array) -> Iterator[tuple[int, int, int, memoryview, np.ndarray]]:
+        """``n_a``, ``n_b``, ``n_groups``, groups as text (UTF-8) and links of each text; none for NULL, empty and
+        unlike ones."""
+        for group in groups(texts, GROUP_BYTES):
+            parts = cut_all(group)
+            offsets = parts.offsets.to_numpy().astype(np.int64)
+            offsets -= offsets[0]
+            rows, (like, *counts, words, pairs) = self.known.look_up(parts.flatten())
+            sums = [np.add.reduceat(c.to_numpy()[rows], offsets[:-1]) for c in counts]
+            alike = np.logical_and.reduceat(like.to_numpy(zero_copy_only=False)[rows], offsets[:-1])
+            joined = _listed(words.take(pa.array(rows)), offsets[1:], ";")
+            ends = np.frombuffer(joined.buffers()[1], np.int64, len(group) + 1).tolist()
+            text = memoryview(joined.buffers()[2] or b"")
+            links, at = gathered(rows, pairs)
+            at = np.append(0, at)[offsets].tolist()
+            for row, (good, *found) in enumerate(zip(alike.tolist(), *(s.tolist() for s in sums))):
+                if good:
+                    yield *found, text[ends[row] : ends[row + 1]], links[at[row] : at[row + 1]]
+                else:  # parts may differ where the whole does not
+                    _, *found, whole, one = self.align([group[row].as_py()])
+                    yield *(n[0].as_py() for n in found), memoryview(whole[0].as_py().encode()), one.flatten().to_numpy()
 
 
 @cache
@@ -161,13 +199,11 @@ def _aligned(df: DataFrame, a_file: str, b_file: str, id_col: str, text_col: str
         part, n, block = TaskContext.get().partitionId(), 0, None
         for batch in batches:
             kinds = [batch.schema.field(0).type, *[pa.int64()] * 4, *[pa.string()] * (kept - 5)]
-            for document, entries in zip(batch.column(0), aligner(a_file, b_file).texts(batch.column(1))):
+            for document, (*counts, text, links) in zip(batch.column(0), aligner(a_file, b_file).texts(batch.column(1))):
                 block = block or Block((part << 32) + n, list(fields), kinds)
-                n_a, n_b, n_groups, texts, links = zip(*entries) if entries else ([], [], [], [], [])
-                links, text = np.frombuffer(b"".join(links), np.int64), ";".join(texts)
-                digest = hashlib.sha256(text.encode()).hexdigest() if entries else ""
-                row = [document.as_py(), sum(n_a), sum(n_b), sum(n_groups), len(links), digest, text]
-                block.add(row[:kept], links)
+                digest = hashlib.sha256(text).hexdigest() if counts[0] else ""
+                row = [document.as_py(), *counts, len(links), digest]
+                block.add(row + [str(text, "utf-8")] * with_groups, links)
                 if block.size >= BLOCK_LINKS or len(block.rows) >= BLOCK_LINKS >> 4:
                     yield block.batch()
                     n, block = n + 1, None
@@ -192,10 +228,10 @@ def align_documents(
     tokens: zeros and empty strings. Rows with a NULL or repeated id are documents like any other, other columns are
     ignored, empty tables give no rows. Ties in ``links`` are all ``best``.
 
-    Words repeat, so each worker aligns a part of a text (up to the next space) once and looks it up afterwards. Documents of a task
-    form blocks; a block's distinct pairs, not those of each document, meet the corpus-wide counts, and go
-    back to its documents. So what is shuffled are pairs of blocks, where a frequent pair counts once, and no table of
-    pairs is sent to all executors unless Spark finds it small.
+    Words repeat, so each worker aligns a part of a text (up to the next space) once and looks it up afterwards.
+    Documents of a task form blocks; a block's distinct pairs, not those of each document, meet the corpus-wide counts
+    and go back to its documents. So what is shuffled are pairs of blocks, where a frequent pair counts once, and no
+    table of pairs is sent to all executors unless Spark finds it small.
     """
     aligned = stage(_aligned(df, a_file, b_file, id_col, text_col, with_groups), "aligned")
     blocks = aligned.filter(F.col("pairs").isNotNull()).select("block", "pairs", "pair_links")
