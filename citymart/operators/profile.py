@@ -37,7 +37,8 @@ def _comparable(field: T.StructField) -> Column:
     return F.to_json(F.struct(value)) if _holds_map(field.dataType) else value
 
 
-def _identity(df: DataFrame, keys: Sequence[str] | None, exact: bool) -> list[Column]:
+def identity(df: DataFrame, keys: Sequence[str] | None, exact: bool) -> list[Column]:
+    """What two rows must share to be copies: their columns in comparable form, or the halves of a fingerprint."""
     fields = [df.schema[k] for k in (keys or df.columns)]
     if exact:
         return [_comparable(f).alias(f"id_{i}") for i, f in enumerate(fields)]
@@ -111,7 +112,7 @@ def duplicate_profile(df: DataFrame, keys: Sequence[str] | None = None, exact: b
     task. ``exact=False`` shuffles a 128-bit fingerprint instead of the columns, which spares wide
     tables most of the traffic; two different rows share one with a chance of about n² / 2^129.
     """
-    kinds = df.select(*_identity(df, keys, exact))
+    kinds = df.select(*identity(df, keys, exact))
     kinds = kinds.groupBy(*kinds.columns).agg(F.count(F.lit(1)).alias("copies"))
     return kinds.agg(
         F.coalesce(F.sum("copies"), F.lit(0)).alias("total_rows"), F.count(F.lit(1)).alias("unique_rows")
@@ -127,7 +128,7 @@ def duplicate_profile(df: DataFrame, keys: Sequence[str] | None = None, exact: b
 
 def distinct_kinds(df: DataFrame, figures: dict[str, Column], exact: bool) -> DataFrame:
     """Each kind of row once, with its ``copies`` and the given figures, which follow from the row."""
-    kinds = df.select(*_identity(df, None, exact), *[f.alias(n) for n, f in figures.items()])
+    kinds = df.select(*identity(df, None, exact), *[f.alias(n) for n, f in figures.items()])
     return kinds.groupBy(*kinds.columns).agg(F.count(F.lit(1)).alias("copies"))
 
 

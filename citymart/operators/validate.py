@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from citymart.functions.columns import percent_of
+from citymart.operators.duplicates import exact_kinds
 from citymart.operators.profile import distinct_kinds, null_totals, row_nulls
 from citymart.sources.tables import DEFAULT_FORMAT, read_table
 
@@ -198,9 +199,10 @@ def quality_checks(
     rules: Mapping[str, Column | str] | None = None,
     exact: bool = False,
 ) -> DataFrame:
-    """Duplicates and rule violations of a table, in one pass, as rows ``(zone, dataset, check, value, error)``.
+    """Duplicates and rule violations of a table as rows ``(zone, dataset, check, value, error)``.
 
-    Rows are compared by a 128-bit fingerprint, or column by column if ``exact``.
+    Rows are compared by a 128-bit fingerprint, in one pass. If ``exact``, those whose fingerprint repeats are then
+    compared column by column.
     """
     rules = RULES.get(dataset, {}) if rules is None else rules
     broken = {
@@ -209,7 +211,8 @@ def quality_checks(
     }
     copies = F.col("copies")
     duplicates, total = F.coalesce(F.sum(copies - 1), F.lit(0)), F.coalesce(F.sum(copies), F.lit(0))
-    counted = distinct_kinds(df, broken, exact).agg(
+    kinds = exact_kinds(df, broken) if exact else distinct_kinds(df, broken, exact=False)
+    counted = kinds.agg(
         duplicates.alias("duplicate_count"),
         percent_of(duplicates, total).alias("duplicate_percentage"),
         *[F.coalesce(F.sum(copies * F.col(r)), F.lit(0)).alias(r) for r in broken],

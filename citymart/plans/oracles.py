@@ -574,6 +574,12 @@ ranking as (
     from errors group by model
 )"""
 
+_PRICE_FIGURES = """
+               count(*) as listings, round(avg(price_eur), 4) as avg_price_eur,
+               round(avg(price_per_m2), 4) as avg_price_per_m2, round(avg(size_m2), 4) as avg_size_m2,
+               min(price_per_m2) as price_per_m2_min, max(price_per_m2) as price_per_m2_max,
+               quantile_disc(price_eur, 0.5) as median_price_eur, quantile_disc(price_per_m2, 0.9) as p90_price_per_m2"""
+
 _DIRTY_COLUMNS = ("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority", "o_year")
 
 # A table of customers before and after it is replaced by those with a balance, which is doubled.
@@ -934,4 +940,59 @@ ORACLES: dict[str, str] = {
         {_STUMP.format(features=_size_only)}, {_RANKING}
         select place, model, rmse, case when place = 1 then 'size_m2 int' end as inputs,
                cast(case when place = 1 then 5 end as bigint) as examples from ranking""",
+    "price_rollup": f"""with {_LISTINGS}
+        select case when grouping(district) = 1 then 'city' when grouping(neighborhood) = 0 then 'neighborhood'
+                    when grouping(property_type) = 0 then 'property_type' else 'district' end as grain,
+               district, neighborhood, property_type, {_PRICE_FIGURES}
+        from valid group by grouping sets ((), (district), (district, neighborhood), (district, property_type))""",
+    "price_refresh": f"""with {_LISTINGS}, changed as (
+            select * replace (case when neighborhood = 'FRANCE' then 2 * price_eur else price_eur end as price_eur)
+            from valid where neighborhood <> 'FRANCE' or 2 * price_eur > 30000)
+        select case when grouping(neighborhood) = 0 then 'neighborhood' else 'district' end as grain,
+               district, neighborhood, {_PRICE_FIGURES}
+        from changed group by grouping sets ((district), (district, neighborhood))""",
+    "site_rollup": f"""with {_PLACES}{_SITES}
+        select case when grouping(district) = 1 then 'city' when grouping(neighborhood) = 0 then 'neighborhood'
+                    else 'district' end as grain,
+               district, neighborhood, count(*) as sites, count(distinct category) as unique_category,
+               count(distinct facility_type) as unique_facility_type
+        from sites group by grouping sets ((), (district), (district, neighborhood))""",
+    "exact_duplicates": f"""with kinds as (select text, lang, source from documents)
+        {_duplicates('kinds', 'text, lang, source')}""",
+    "exact_checks": f"""with {_NET}
+        select zone, dataset, "check", round(value, 6) as value
+        from ({_check_rows("idealista", "net", _NET_COLUMNS, {
+            "negative_prices": "price_eur <= 0", "zero_sizes": "size_m2 <= 0"})})""",
+    "heavy_values": """
+        select l_partkey as value, count(*) as count from lineitem group by l_partkey order by 2 desc, 1 limit 15""",
+    "heavy_texts": """
+        select case when doc_id % 5 > 0 then concat_ws('/', source, lang) end as value, count(*) as count
+        from documents group by 1 order by 2 desc, 1 nulls first limit 20""",
+    "mixed_json": """
+        select o_orderkey as k,
+               case o_orderkey % 4 when 0 then cast(o_custkey as varchar) when 1 then o_orderstatus end as v,
+               case when o_orderkey % 4 = 2 then o_totalprice > 1e5 end as big,
+               case when o_orderkey % 4 = 1 then o_custkey end as c,
+               case when o_orderkey % 4 = 3 then 'x' end as its
+        from orders""",
+    "log_increments": """
+        select concat(upper(event_type), ' user=', user_id, ' ', props) as line, event_id % 2 as batch,
+               case event_id % 2 when 0 then (select count(*) from events where event_id % 2 = 0)
+                    else (select count(*) from events where event_id % 2 = 1) end as came,
+               cast(0 as bigint) as again
+        from events where event_type = 'error'""",
+    "zone_counts": """
+        select 'regions' as zone, true as exists, count(distinct n_regionkey) as dir_count,
+               count(*) + count(distinct n_regionkey) as file_count
+        from nation
+        union all select 'none', false, 0, 0""",
+    "folder_counts": """
+        select concat('region-', n_regionkey) as dataset, true as exists, cast(count(*) + 1 as integer) as file_count, asked
+        from nation, (values ('table'), ('required')) a(asked) group by n_regionkey, asked
+        union all select 'region-none', false, 0, 'required'""",
+    "preview_rows": """
+        select 'orders' as dataset, least(100, count(*)) as shown, cast(6 as integer) as columns from orders
+        union all select 'nation', least(100, count(*)), cast(3 as integer) from nation""",
 }
+
+ORACLES["gram_correlations"] = ORACLES["correlation_all"]

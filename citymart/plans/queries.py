@@ -18,12 +18,25 @@ from pyspark.sql import functions as F
 
 from citymart.functions import columns as C
 from citymart.functions.schema import numeric_columns, type_counts
-from citymart.operators import kpi, marts, profile, quantiles, regress, standardize, trees, validate
+from citymart.operators import (
+    duplicates,
+    gram,
+    heavy,
+    kpi,
+    marts,
+    profile,
+    quantiles,
+    regress,
+    rollups,
+    standardize,
+    trees,
+    validate,
+)
 from citymart.operators.latest import dedup_latest, latest_per_key
 from citymart.plans import bindings as B
 from citymart.plans import training
 from citymart.session import stage, staged_path
-from citymart.sources import landing, reports, schemas, tables
+from citymart.sources import increments, landing, reports, schemas, tables
 from citymart.sources.files import list_tables, required_datasets, table_file_counts, zone_inventory
 from citymart.sources.storage import entries
 
@@ -1130,3 +1143,193 @@ def training_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     saved = F.col("place") == 1
     examples = spark.read.parquet(f"{path}/example").agg(F.count("prediction")).scalar()
     return ranking.select("*", F.when(saved, inputs).alias("inputs"), F.when(saved, examples).alias("examples"))
+
+
+# ------------------------------------------------------------------------ rollups
+
+# KLL sketches of this size are exact in groups of so many rows.
+SKETCH_K = 65_535
+
+_MEDIANS = {"median_price_eur": ("price_eur", 0.5), "p90_price_per_m2": ("price_per_m2", 0.9)}
+_GRAINS = {
+    "city": [],
+    "district": ["district"],
+    "neighborhood": marts.PLACE,
+    "property_type": ["district", "property_type"],
+}
+
+
+def _merged_prices(sketches: DataFrame, grain: str) -> DataFrame:
+    keys = _GRAINS[grain]
+    found = rollups.price_figures(rollups.merge_prices(sketches, keys, SKETCH_K), keys, _MEDIANS)
+    absent = {k: F.lit(None).cast("string") for k in (*marts.PLACE, "property_type") if k not in keys}
+    return found.withColumns(absent).withColumn("grain", F.lit(grain))
+
+
+def _rounded_prices(sketches: DataFrame, grains: Sequence[str]) -> DataFrame:
+    found = reduce(DataFrame.unionByName, [_merged_prices(sketches, g) for g in grains])
+    return rounded(found, ["avg_price_eur", "avg_price_per_m2", "avg_size_m2"], 4)
+
+
+@register
+def price_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices at four grains out of stored sketches of the finest one; the listings are read once."""
+    path = staged_path(spark, "sketches")
+    tables.write_table(rollups.price_sketches(B.listings(spark, sf_dir, parts=True), SKETCH_K), path)
+    return _rounded_prices(tables.read_table(spark, path), list(_GRAINS))
+
+
+@register
+def price_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of which one neighbourhood was built anew after its prices doubled and its cheap listings went."""
+    path, source = staged_path(spark, "sketches"), staged_path(spark, "listings")
+    listings = B.listings(spark, sf_dir, parts=True)
+    build = lambda df: rollups.price_sketches(df, SKETCH_K)
+    tables.write_table(build(listings), path, versioned=True)
+    here = F.col("neighborhood") == "FRANCE"
+    changed = listings.withColumn("price_eur", F.when(here, 2 * F.col("price_eur")).otherwise(F.col("price_eur")))
+    tables.write_table(changed.filter(~here | (F.col("price_eur") > 30_000)), source, ["district"])
+    stored = tables.read_table(spark, source)
+    new = rollups.refreshed(tables.read_table(spark, path), stored, [("EUROPE", "FRANCE")], build)
+    tables.write_table(new, path, versioned=True)
+    return _rounded_prices(tables.read_table(spark, path), ["district", "neighborhood"]).drop("property_type")
+
+
+@register
+def site_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sites and their different categories and types per neighbourhood, district and city, from stored sketches."""
+    path = staged_path(spark, "sketches")
+    tables.write_table(rollups.site_sketches(B.sites(spark, sf_dir)), path)
+    stored = tables.read_table(spark, path)
+    found = []
+    for grain in ("city", "district", "neighborhood"):
+        keys = _GRAINS[grain]
+        absent = {k: F.lit(None).cast("string") for k in marts.PLACE if k not in keys}
+        merged = rollups.site_figures(rollups.merge_sites(stored, keys), keys)
+        found.append(merged.withColumns(absent).withColumn("grain", F.lit(grain)))
+    return reduce(DataFrame.unionByName, found)
+
+
+# ------------------------------------------------- bounded profiles, landing, increments
+
+
+@register
+def exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies among whole documents, compared by value where fingerprints repeat."""
+    return duplicates.exact_duplicates(B.table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
+@register
+def exact_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Duplicates and broken rules of the listings, rows compared by value."""
+    checks = validate.quality_checks(_net_listings(spark, sf_dir), "formatted", "idealista", exact=True)
+    return rounded(checks.drop("error"), ["value"])
+
+
+@register
+def heavy_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parts sold most often, of many that are sold nearly as often."""
+    return heavy.heavy_values(B.table(spark, sf_dir, "lineitem"), "l_partkey", tracked=256, buckets=4096)
+
+
+@register
+def heavy_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sources and kinds of documents, NULL among them."""
+    label = F.when(F.col("doc_id") % 5 > 0, F.concat_ws("/", "source", "lang")).alias("label")
+    return heavy.heavy_values(B.table(spark, sf_dir, "documents").select(label), "label", n=20)
+
+
+@register
+def gram_correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The eleven columns of ``correlation_all`` by matrix products, blocks of four columns."""
+    quantity = F.col("l_quantity")
+    more = [
+        (quantity * F.col("l_tax")).alias("quantity_tax"),
+        (F.col("l_extendedprice") * F.col("l_discount")).alias("saved"),
+        F.when(quantity > 5, F.col("l_linenumber")).alias("some_lines"),
+    ]
+    items = B.table(spark, sf_dir, "lineitem").select(*_ALL_NUMBERS, *more)
+    return rounded(gram.gram_correlations(items, block=4), ["r"])
+
+
+@register
+def mixed_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records by line, arrays and documents of several lines, whose columns differ and conflict, read without a schema."""
+    path = staged_path(spark, "mixed")
+    orders = B.table(spark, sf_dir, "orders").withColumn("kind", F.col("o_orderkey") % 4)
+    key, customer = F.col("o_orderkey").alias("k"), F.col("o_custkey")
+    shapes = [
+        F.struct(key, customer.alias("v")),
+        F.struct(key, F.col("o_orderstatus").alias("v"), F.struct(customer.alias("c")).alias("n")),
+        F.array(F.struct(key, (F.col("o_totalprice") > 1e5).alias("big"))),
+    ]
+    for kind, shape in enumerate(shapes):
+        orders.filter(F.col("kind") == kind).select(F.to_json(shape).alias("value")).write.text(f"{path}/{kind}")
+    record = F.to_json(F.struct(key, F.lit("x").alias("it's")), {"pretty": "true"})
+    documents = orders.filter(F.col("kind") == 3).groupBy((F.col("o_orderkey") % 64).alias("part"))
+    documents = documents.agg(F.array_join(F.collect_list(record), ",\n").alias("all"))
+    value = F.concat(F.lit("[\n"), "all", F.lit("\n]")).alias("value")
+    documents.select("part", value).write.partitionBy("part").text(f"{path}/3")
+    files = [e.path for kind in range(3) for e in entries(spark, f"{path}/{kind}") if e.name.endswith(".txt")]
+    files += [f.path for d in entries(spark, f"{path}/3") if d.is_dir for f in entries(spark, d.path) if f.name.endswith(".txt")]
+    found = landing.read_files(spark, json=files)
+    return found.select("k", "v", "big", F.col("n.c").alias("c"), F.col("`it's`").alias("its"))
+
+
+@register
+def log_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Error lines of logs that came in two parts, and the run that read each; the third run finds nothing new."""
+    logs, target = staged_path(spark, "logs"), staged_path(spark, "ingested")
+    lines = F.format_string("%s user=%d %s", F.upper("event_type"), "user_id", "props")
+    events = B.table(spark, sf_dir, "events")
+    came = []
+    for part in (0, 1):
+        events.filter(F.col("event_id") % 2 == part).select(lines).write.mode("append").text(logs)
+        came.append(increments.ingest_files(spark, logs, target, "*.txt"))
+    came.append(increments.ingest_files(spark, logs, target, "*.txt"))
+    found = increments.search_ingested(spark, target, "error User")
+    rows_came = F.get(F.array(*map(F.lit, came)), F.col("batch")).cast("long").alias("came")
+    return found.select("line", "batch", rows_came, F.lit(came[2]).cast("long").alias("again"))
+
+
+# ---------------------------------------------------------------- counted folders
+
+
+def _region_zone(spark: SparkSession, sf_dir: str) -> tuple[str, list[str]]:
+    """A zone with a folder for each region that has nations, and a file in it for each of its nations."""
+    zone = staged_path(spark, "zone")
+    nation = B.table(spark, sf_dir, "nation")
+    regions = [r["n_regionkey"] for r in nation.select("n_regionkey").distinct().orderBy("n_regionkey").collect()]
+    for key in regions:
+        here = nation.filter(F.col("n_regionkey") == key).coalesce(1)
+        here.write.option("maxRecordsPerFile", 1).parquet(f"{zone}/region-{key}")
+    return zone, [f"region-{key}" for key in regions]
+
+
+@register
+def zone_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Folders and files of a zone: one file a nation and the mark of a finished write in each folder."""
+    zone, _ = _region_zone(spark, sf_dir)
+    found = zone_inventory(spark, {"regions": zone, "none": f"{zone}/none"})
+    return found.select("zone", "exists", "dir_count", "file_count")
+
+
+@register
+def folder_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of each folder, once as the tables of the zone, once as required folders of which one is missing."""
+    zone, names = _region_zone(spark, sf_dir)
+    asked = F.lit("table").alias("asked")
+    listed = table_file_counts(spark, zone).select("dataset", F.lit(True).alias("exists"), "file_count", asked)
+    required = required_datasets(spark, zone, [*names, "region-none"]).drop("path").withColumn("asked", F.lit("required"))
+    return listed.unionByName(required)
+
+
+@register
+def preview_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much of a long and of a short table a preview holds."""
+    counts = []
+    for name in ("orders", "nation"):
+        preview = profile.preview(B.table(spark, sf_dir, name))
+        shown = preview.agg(F.count(F.lit(1)).alias("shown"))
+        counts.append(shown.select(F.lit(name).alias("dataset"), "shown", F.lit(len(preview.columns)).alias("columns")))
+    return counts[0].unionByName(counts[1])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from csv import reader as read_records
 from functools import reduce
 
@@ -13,6 +14,10 @@ from pyspark.sql import types as T
 
 from citymart.functions.schema import common_type
 from citymart.sources.storage import entries, head
+from citymart.sources.variants import read_json
+
+# The beginnings of so many files are read at a time.
+HEADS_AT_ONCE = 16
 
 
 def read_json_arrays(spark: SparkSession, path: str | list[str], schema: str | None = None) -> DataFrame:
@@ -52,16 +57,6 @@ def _csv_header(head: str) -> tuple[str, ...]:
     return tuple(next((r for r in read_records(io.StringIO(head, newline="")) if r), ()))
 
 
-def _json_kind(start: str) -> str | None:
-    """``lines`` if the first line is a record, or the beginning of one longer than ``start``; else one
-    document per file, an ``array`` as a rule."""
-    first, line_ends, _ = start.lstrip().partition("\n")
-    first = first.rstrip()
-    if not first:
-        return None
-    return "lines" if first[0] == "{" and (first[-1] == "}" or not line_ends) else "array"
-
-
 def _as_type(column: Column, have: T.DataType, want: T.DataType) -> Column:
     if have == want:
         return column
@@ -96,12 +91,8 @@ def union_relaxed(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, aligned)
 
 
-def read_folder(spark: SparkSession, path: str) -> DataFrame:
-    """Every CSV or every JSON file of a folder as one table.
-
-    A folder must hold one of the two kinds. CSV files are grouped by their header, JSON files by
-    whether they hold an array or one record per line; the groups are combined by column name.
-    """
+def read_folder(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Every CSV or every JSON file of a folder as one table, see :func:`read_files`. A folder must hold one of the two."""
     files = [e for e in entries(spark, path) if not e.is_dir]
     tables = [e.path for e in files if e.name.lower().endswith(".csv")]
     json = [e.path for e in files if e.name.lower().endswith(".json")]
@@ -109,27 +100,31 @@ def read_folder(spark: SparkSession, path: str) -> DataFrame:
         raise ValueError("the folder holds both CSV and JSON files; only one kind is supported")
     if not tables and not json:
         raise ValueError("the folder holds no CSV or JSON file")
-    return read_files(spark, tables, json)
+    return read_files(spark, tables, json, multi_line)
+
 
+def read_files(
+    spark: SparkSession, csv: Sequence[str] = (), json: Sequence[str] = (), multi_line: bool = True
+) -> DataFrame:
+    """CSV and JSON files combined into one table by column name; empty files contribute nothing.
 
-def read_files(spark: SparkSession, csv: Sequence[str] = (), json: Sequence[str] = ()) -> DataFrame:
-    """CSV and JSON files, grouped as :func:`read_folder` does, combined into one table.
+    CSV files are grouped by their header, of which only the beginning of each file is read, many at a time. Their types
+    are guessed, which reads a file once more; name the kind and a schema with the readers above where that matters.
+    Fields may hold line breaks in quotes, unless ``multi_line`` is false: then large files are split over tasks.
 
-    Only the beginning of each file is looked at to group them; empty files contribute nothing. CSV
-    fields may hold line breaks in quotes. Types are guessed, which reads a file once more; name the
-    kind and a schema with the readers above where that matters.
+    JSON files hold records or arrays, by line or as one document; see :mod:`citymart.sources.variants`.
     """
     frames = []
     by_header: dict[tuple[str, ...], list[str]] = {}
-    for file in csv:
-        if header := _csv_header(head(spark, file)):
+    with ThreadPoolExecutor(HEADS_AT_ONCE) as pool:
+        headers = list(pool.map(lambda file: _csv_header(head(spark, file)), csv))
+    for file, header in zip(csv, headers):
+        if header:
             by_header.setdefault(header, []).append(file)
-    frames += [read_csv(spark, group, multi_line=True) for group in by_header.values()]
-    kinds = {file: _json_kind(head(spark, file)) for file in json}
-    lines = [file for file, kind in kinds.items() if kind == "lines"]
-    arrays = [file for file, kind in kinds.items() if kind == "array"]
-    frames += [read_json_lines(spark, lines)] if lines else []
-    frames += [read_json_arrays(spark, arrays)] if arrays else []
+    frames += [read_csv(spark, group, multi_line=multi_line) for group in by_header.values()]
+    if json:
+        records = read_json(spark, json)
+        frames += [records] if records.columns else []
     if not frames:
         raise ValueError("no CSV or JSON file with content")
     return union_relaxed(frames)

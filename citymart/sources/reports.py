@@ -29,8 +29,9 @@ def read_reports(spark: SparkSession, pattern: str) -> DataFrame:
     )
 
 
-def _log_lines(spark: SparkSession, pattern: str) -> DataFrame:
-    return spark.read.text(pattern).select(
+def log_lines(lines: DataFrame) -> DataFrame:
+    """Lines of text files, read at once or as a stream, with what is known of their file."""
+    return lines.select(
         "value",
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_name").alias("name"),
@@ -57,4 +58,4 @@ def list_logs(spark: SparkSession, pattern: str) -> DataFrame:
 def search_logs(spark: SparkSession, pattern: str, term: str) -> DataFrame:
     """Log lines that contain ``term``, whatever the letter case."""
     hit = F.contains(F.lower("value"), F.lit(term.lower()))
-    return _log_lines(spark, pattern).filter(hit).select("path", "name", F.col("value").alias("line"))
+    return log_lines(spark.read.text(pattern)).filter(hit).select("path", "name", F.col("value").alias("line"))
