@@ -182,37 +182,51 @@ select query_id, rank, vec_id, score from ranked where rank <= 5
 """,
     "op10_urls": r"""
 with recursive page as (
-  select page_id, html,
+  select page_id, url, html,
     translate(regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)', 1),
       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
-    regexp_extract(coalesce(url, ''), '^(?s:.*?)://[^/?#]*([^?#]*)', 1) as path,
-    regexp_extract(coalesce(url, ''), '^[^?#]*(\?[^#]*)', 1) as query
+    regexp_extract(coalesce(url, ''), '^(?s:.*?)://[^/?#]*([^?#]*)', 1) as path
   from pages
 ),
 tag as (
-  select host, path, query,
-    unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>')) as tag from page
+  select url, host, path, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>')) as tag
+  from page where contains(url, '://')
 ),
 target as (
-  select host || path || query as a, host,
+  select url, 'http://' || host as site, path,
     replace(case when regexp_matches(tag, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b')
         then regexp_extract(tag, '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1)
       when regexp_matches(tag, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b')
-        then regexp_extract(tag, '(?is)\burl\s*=\s*["'']?([^"''\s>;]+)', 1) end, '&amp;', '&') as t
-  from tag where host <> ''
+        then regexp_extract(tag, '(?is)\burl\s*=\s*["'']?([^"''\s>]+)', 1) end, '&amp;', '&') as t
+  from tag
 ),
 absolute as (
-  select a, case when t like '//%' then 'http:' || t when t like '/%' then 'http://' || host || t else t end as t
+  select url, case when starts_with(t, '//') then 'http:' || t
+      when starts_with(t, '/') then site || t
+      when starts_with(t, '?') then site || path || t
+      when regexp_matches(t, '^([A-Za-z][A-Za-z0-9+.-]*:|#)') or regexp_matches(t, '^[^?#]*://') then t
+      when path <> '' then site || regexp_extract(path, '^(?s:.*)/') || t end as t
   from target where t <> ''
 ),
-link as (
-  select distinct a,
-    translate(regexp_extract(t, '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-      'abcdefghijklmnopqrstuvwxyz') || regexp_extract(t, '^(?s:.*?)://[^/?#]*([^?#]*)', 1)
-      || regexp_extract(t, '^[^?#]*(\?[^#]*)', 1) as b
-  from absolute where t like '%://%'
+part as (
+  select u, translate(regexp_extract(u, '^(?s:.*?)://([^/?#]*)', 1),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    regexp_extract(u, '^(?s:.*?)://[^/?#]*([^?#]*)', 1) as path,
+    regexp_extract(u, '^[^?#]*(\?[^#]*)', 1) as query
+  from (select url as u from page union select t from absolute) where contains(u, '://')
+),
+address as (
+  select u, host || case when path = '' then '/' when not contains(path, '/.') then path
+    else '/' || array_to_string(list_reduce(
+      list_transform(string_split(regexp_replace(path, '/(\.\.?)$', '/\1/'), '/')[2:], lambda s: [s]),
+      lambda a, x: case x[1] when '..' then a[:-2] when '.' then a else a || x end, []::varchar[]), '/') end || query as at
+  from part
+),
+edge as (
+  select x.at as a, y.at as b from absolute l join address x on l.url = x.u join address y on l.t = y.u where x.at <> y.at
+  union
+  select y.at, x.at from absolute l join address x on l.url = x.u join address y on l.t = y.u where x.at <> y.at
 ),
-edge as (select a, b from link where a <> b union select b, a from link where a <> b),
 reach(a, b) as (
   select a, a from edge
   union
@@ -241,6 +255,6 @@ own as (
   group by p.page_id
 )
 select p.page_id, p.host, p.path, o.rule, coalesce(o.verdict, f.fate, 'allow') as verdict
-from page p left join own o using (page_id) left join fate f on p.host || p.path || p.query = f.address
+from page p left join own o using (page_id) left join address x on p.url = x.u left join fate f on x.at = f.address
 """,
 }

@@ -1,5 +1,7 @@
 """Url rules and the fate of aliases."""
 
+import random
+
 import duckdb
 
 from citymart.llm.queries import ORACLES, URL_RULES
@@ -111,3 +113,32 @@ def test_targets_are_read_whole_and_resolved(spark):
 def test_given_links_without_a_path(spark):
     links = spark.createDataFrame([("a.com", "q.net")], "a string, b string")
     assert judge_pages(frame(spark, [(1, "http://a.com/", None)]), URL_RULES, links).first().verdict == "block"
+
+
+def linked_pages(n=1500, seed=6):
+    """Pages of a few sites that link to each other in every way, some to blocked or allowed hosts."""
+    rng = random.Random(seed)
+    hosts = ["a.com", "b.com", "C.com", "d.com:80"]
+    targets = ["b.html", "../x", "?q=1", "./", "../../y;s=1", "/r/./s/../t", "//b.com", "#top", "mailto:a@b.com", ".", "..", "z?u=http://q.net/"]
+    rows = []
+    for i in range(n):
+        url = f"http://{rng.choice(hosts)}/{rng.choice(['', 'd/', 'd/e/'])}p{rng.randrange(n)}{rng.choice(['', '?k=1&l=2', '#f'])}"
+        to = rng.choice([*targets, f"http://{rng.choice(hosts)}/p{rng.randrange(n)}?a=1&amp;b=2", f"/d/p{rng.randrange(n)}"])
+        if rng.random() < 0.02:
+            to = rng.choice(["http://bad.net/x", "http://ok.org/fr/1", "HTTP://EXAMPLE.com/de/"])
+        html = rng.choice([link(to), refresh(to), refresh(to, "'"), None, "no link"])
+        rows.append((i, rng.choice([url] * 9 + [f"http://{hosts[0]}"]), html))
+    return rows + PAGES_WITH_DOTS
+
+
+PAGES_WITH_DOTS = [(9001, "http://ok.com/dir/a.html", link("b.html")), (9002, "http://ok.com/dir/b.html", refresh("http://bad.net/"))]
+
+
+def test_many_links_equal_the_sql(spark):
+    df = frame(spark, linked_pages())
+    con = duckdb.connect()
+    con.register("pages", df.toPandas())
+    found = sorted(map(tuple, judge_pages(df, URL_RULES).collect()), key=str)
+    assert found == sorted(con.execute(ORACLES["op10_urls"]).fetchall(), key=str)
+    verdicts = {r[0]: r[4] for r in found}
+    assert verdicts[9001] == verdicts[9002] == "block" and 100 < sum(v == "block" for v in verdicts.values()) < len(found) - 100
