@@ -6,7 +6,7 @@ import math
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import ahocorasick
@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from citymart.llm.labelled import TRAIN_ROWS, training_rows
+from citymart.llm.names import unused
 from citymart.session import stage
 
-#: Terms a lexicon has at most.
+#: Terms a lexicon has at most: the most frequent ones of the surest.
 MAX_TERMS = 5_000
 #: A term needs this much evidence: its log likelihood ratio, and the G statistic of its counts. Among
 #: millions of candidate terms chance alone gives less than one beyond the latter.
@@ -38,48 +39,88 @@ MODALS = frozenset("will shall should must gonna going hope werde wirst sollst v
 VIOLENCE = frozenset("kill hurt beat shoot stab burn hang murder destroy töten tuer matar sterben mourir morir".split())
 
 _WORD = re.compile(r"[^\W\d_]+")
-_TOKEN = re.compile(r"[^\W\d_]+|[\"“”„«»]")
+_TOKEN = re.compile(r"[^\W\d_]+|[\"“”„«»,]")
 _BREAK = re.compile(r"[.!?;\n]+")
 
-# What the cascade makes of an insult: plain, with a target, negated, reported; and a threat.
-PLAIN, TARGETED, NEGATED, REPORTED, THREAT = "I", "t", "n", "r", "T"
+# Roles of words and marks: negator, reporting verb, target, modal verb, violent verb, quotation mark, comma, any other.
+ROLES = {"N": NEGATORS, "R": REPORTERS, "Y": TARGETS, "M": MODALS, "V": VIOLENCE}
+INSULT = "I"
+
+# What the cascade makes of an insult: plain, with a target, negated, reported; and of a threat.
+PLAIN, TARGETED, NEGATED, REPORTED = INSULT, "t", "n", "r"
+THREAT, THREAT_NEGATED, THREAT_REPORTED = "T", "m", "q"
 #: Log likelihood ratios assumed for them before any label is seen, worth PRIOR_ROWS rows.
-PRIOR = {PLAIN: 4.0, TARGETED: 5.0, NEGATED: 1.0, REPORTED: 1.5, THREAT: 4.0}
+PRIOR = {
+    PLAIN: 4.0,
+    TARGETED: 5.0,
+    NEGATED: 1.0,
+    REPORTED: 1.5,
+    THREAT: 4.0,
+    THREAT_NEGATED: 1.0,
+    THREAT_REPORTED: 1.5,
+}
 PRIOR_ROWS = 5
 
 
 class Transducer:
-    """States and symbols to states and symbols; what the table leaves out goes by ``default``."""
+    """Reads the words of a clause, each by its mark or else its role, and writes their marks anew.
+
+    ``writes`` gives the mark that a state makes of a symbol, others stay; ``moves`` the next state by role, what it
+    leaves out goes by ``default``.
+    """
 
-    def __init__(self, table: dict[tuple[int, str], tuple[int, str]], default: dict[int, int] | None = None):
-        self.table, self.default = table, default or {}
+    def __init__(self, moves: dict[tuple[int, str], int], writes: dict[tuple[int, str], str], default: dict[int, int] | None = None):
+        self.moves, self.writes, self.default = moves, writes, default or {}
 
-    def __call__(self, symbols: Iterable[str]) -> list[str]:
+    def __call__(self, roles: Sequence[str], marks: Sequence[str]) -> list[str]:
         state, out = 0, []
-        for symbol in symbols:
-            state, symbol = self.table.get((state, symbol)) or (self.default.get(state, state), symbol)
-            out.append(symbol)
+        for role, mark in zip(roles, marks):
+            out.append(self.writes.get((state, mark or role), mark))
+            state = self.moves.get((state, role), self.default.get(state, state))
         return out
 
+    def backwards(self, roles: Sequence[str], marks: Sequence[str]) -> list[str]:
+        return self(roles[::-1], marks[::-1])[::-1]
+
+
+def _covering(states: Iterable[int], insult: str, threat: str) -> dict[tuple[int, str], str]:
+    return {(s, m): w for s in states for m, w in ((INSULT, insult), (THREAT, threat))}
+
 
-#: A negator covers the next three tokens.
+#: A modal verb, a violent verb and a target before the next comma, in this order, are a threat.
+THREATS = Transducer({(0, "M"): 1, (1, "V"): 2, (2, "Y"): 0, (2, ","): 0}, {(2, "Y"): THREAT})
+#: A negator covers the next three words.
 NEGATION = Transducer(
-    {(s, "N"): (3, "N") for s in range(4)} | {(s, "I"): (s - 1, NEGATED) for s in (1, 2, 3)}, {3: 2, 2: 1, 1: 0}
+    {(s, "N"): 3 for s in range(4)} | {(s, ","): s for s in (1, 2, 3)},
+    _covering((1, 2, 3), NEGATED, THREAT_NEGATED),
+    {3: 2, 2: 1, 1: 0},
 )
 #: A reporting verb covers the rest of the clause, quotation marks what is between them.
-REPORT = Transducer(
-    {(s, "R"): (1, "R") for s in (0, 1)} | {(1, "I"): (1, REPORTED)} | {(0, '"'): (2, '"'), (2, '"'): (0, '"'), (2, "I"): (2, REPORTED)}
-)
-#: A modal verb, a violent verb and a target, in this order, are a threat.
-THREATS = Transducer({(0, "M"): (1, "M"), (1, "V"): (2, "V"), (2, "Y"): (0, THREAT)})
+REPORT = Transducer({(0, "R"): 1, (0, '"'): 2, (2, '"'): 0}, _covering((1, 2), REPORTED, THREAT_REPORTED))
+#: Run backwards: a reporting verb behind a comma covers what is before the comma.
+REPORT_AFTER = Transducer({(0, "R"): 1, (1, ","): 2}, _covering((2,), REPORTED, THREAT_REPORTED))
 #: A target covers the insults after it; run backwards too, also those before.
-TARGET = Transducer({(0, "Y"): (1, "Y"), (1, "I"): (1, TARGETED)})
+TARGET = Transducer({(0, "Y"): 1}, {(1, INSULT): TARGETED})
+
+
+def marked(roles: Sequence[str], insults: Sequence[str]) -> tuple[list[str], list[str]]:
+    """What becomes of the insults and of the threats in a clause: every transducer reads what the one before wrote.
+
+    Threats are found first, by the words' roles; then negation and reports act on both, a target on insults. A
+    word of the lexicon keeps its role, so it may be an insult and part of a threat.
+    """
+    tapes = [list(insults), THREATS(roles, [""] * len(roles))]
+    for k, tape in enumerate(tapes):
+        tape = REPORT(roles, NEGATION(roles, tape))
+        tapes[k] = REPORT_AFTER.backwards(roles, tape)
+    return TARGET.backwards(roles, TARGET(roles, tapes[0])), tapes[1]
 
 
-def cascade(symbols: list[str]) -> list[str]:
-    """All transducers composed: each reads what the one before wrote."""
-    symbols = THREATS(REPORT(NEGATION(symbols)))
-    return TARGET(TARGET(symbols)[::-1])[::-1]
+def cascade(symbols: Sequence[str]) -> list[str]:
+    """One symbol for each word: what it is as an insult, else as a threat, else its role. ``symbols`` are roles, or
+    INSULT for an insult without a role."""
+    insults, threats = marked(symbols, [s if s == INSULT else "" for s in symbols])
+    return [i or t or s for i, t, s in zip(insults, threats, symbols)]
 
 
 @dataclass(frozen=True)
@@ -111,16 +152,15 @@ class Scorer:
                 return self.model.prefixes[word[:n]]
         return 0.0
 
-    def symbol(self, word: str) -> str:
-        if self.weight(word):
-            return "I"
-        for words, symbol in ((NEGATORS, "N"), (REPORTERS, "R"), (TARGETS, "Y"), (MODALS, "M"), (VIOLENCE, "V")):
-            if word in words:
-                return symbol
-        return "o" if word[0].isalpha() else '"'
+    @staticmethod
+    def role(word: str) -> str:
+        """The class of a word, whether or not it is in the lexicon."""
+        if not word[0].isalpha():
+            return "," if word == "," else '"'
+        return next((role for role, words in ROLES.items() if word in words), "o")
 
-    def clauses(self, text: str) -> Iterator[list[tuple[str, str]]]:
-        """Words and symbols of every clause in which something was found."""
+    def clauses(self, text: str) -> Iterator[list[tuple[str, str, str]]]:
+        """Every clause in which something was found: its words, what they are as insults and as threats."""
         text = text.lower()
         done = -1
         for last, length in self.finder.iter(text):
@@ -132,18 +172,18 @@ class Scorer:
             end = _BREAK.search(text, last)
             done = end.end() if end else len(text)
             words = _TOKEN.findall(text, start, done)
-            yield list(zip(words, cascade([self.symbol(w) for w in words])))
+            insults = [INSULT if self.weight(w) else "" for w in words]
+            yield list(zip(words, *marked([self.role(w) for w in words], insults)))
 
     def classes(self, text: str) -> set[str]:
-        return {symbol for clause in self.clauses(text) for _, symbol in clause if symbol in PRIOR}
+        return {mark for clause in self.clauses(text) for _, *marks in clause for mark in marks if mark}
 
     def score(self, text: str) -> float:
-        """Probability that the label is 1: each clause adds the weight of its strongest match."""
+        """Probability that the label is 1: each clause adds the weight of its strongest insult and strongest threat."""
         total, classes = self.model.base, self.model.classes
         for clause in self.clauses(text):
-            found = [self.weight(w) * classes[s] / classes[PLAIN] for w, s in clause if s in PRIOR and s != THREAT]
-            found += [classes[THREAT] for _, s in clause if s == THREAT]
-            total += max(found, default=0.0)
+            insults = (self.weight(w) * classes[i] / classes[PLAIN] for w, i, _ in clause if i)
+            total += max(insults, default=0.0) + max((classes[t] for _, _, t in clause if t), default=0.0)
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, total))))
 
 
@@ -254,9 +294,9 @@ def fit(
         b = (b + PRIOR_ROWS * share * math.exp(-prior)) / (zeros + PRIOR_ROWS)
         classes[name] = max(0.1, math.log(a / b))
     # a target adds up to half as much again; negation and reports take away down to a tenth
-    top = classes[PLAIN]
-    classes[TARGETED] = min(1.5 * top, max(top, classes[TARGETED]))
-    classes |= {c: min(top, max(0.1 * top, classes[c])) for c in (NEGATED, REPORTED)}
+    classes[TARGETED] = min(1.5 * classes[PLAIN], max(classes[PLAIN], classes[TARGETED]))
+    for whole, parts in ((PLAIN, (NEGATED, REPORTED)), (THREAT, (THREAT_NEGATED, THREAT_REPORTED))):
+        classes |= {c: min(classes[whole], max(0.1 * classes[whole], classes[c])) for c in parts}
     return Model(words, prefixes, classes, base)
 
 
@@ -281,5 +321,5 @@ def score_documents(df: DataFrame, model: Model, text_col: str = "text", score_c
 
 def reject_toxic(df: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.7) -> DataFrame:
     """The rows of ``df`` whose text scores below ``threshold``, all columns as they were."""
-    kept = score_documents(df, model, text_col, "__score").filter(F.col("__score") < threshold)
-    return kept.drop("__score")
+    score = unused(df, "score")
+    return score_documents(df, model, text_col, score).filter(F.col(score) < threshold).drop(score)

@@ -14,10 +14,13 @@ from citymart.llm.toxicity import (
     REPORTED,
     TARGETED,
     THREAT,
+    THREAT_NEGATED,
+    THREAT_REPORTED,
     Model,
     Scorer,
     cascade,
     fit,
+    marked,
     reject_toxic,
     score_documents,
 )
@@ -123,3 +126,70 @@ def test_odd_tables(spark):
     assert fit(empty, none).prefixes == {} and score_documents(empty, MODEL).collect() == []
     assert reject_toxic(empty, MODEL).collect() == []
     assert fit(tables(spark, docs, labels)[0], none).words == {}
+
+
+def plain_marks(roles, insults):
+    """What the grammar says, word by word: threats, then negation, reports before and after, targets."""
+    n = len(roles)
+    threats, at = [""] * n, 0
+    for i, role in enumerate(roles):
+        if at == 0 and role == "M":
+            at = 1
+        elif at == 1 and role == "V":
+            at = 2
+        elif at == 2 and role in "Y,":
+            threats[i], at = (THREAT if role == "Y" else ""), 0
+    out = []
+    for tape, classes in ((insults, "Inr"), (threats, "Tmq")):
+        tape = list(tape)
+        for i in range(n):
+            if tape[i] != classes[0]:
+                continue
+            words = [r for r in roles[:i] if r != ","]
+            quotes = 0
+            for r in roles[:i]:
+                if r == "R" and not quotes % 2:
+                    quotes = -1
+                    break
+                quotes += r == '"'
+            commas = [j for j in range(i + 1, n) if roles[j] == ","]
+            if "N" in words[-3:]:
+                tape[i] = classes[1]
+            elif quotes == -1 or quotes % 2:
+                tape[i] = classes[2]
+            elif any("R" in roles[j:] for j in commas):
+                tape[i] = classes[2]
+        out.append(tape)
+    out[0] = ["t" if m == "I" and "Y" in roles[:i] + roles[i + 1 :] else m for i, m in enumerate(out[0])]
+    return out
+
+
+def test_the_composed_transducers_equal_the_plain_grammar():
+    rng = random.Random(8)
+    for _ in range(4000):
+        n = rng.randrange(0, 12)
+        roles = rng.choices("ooNRYMV\",", k=n)
+        insults = [rng.choice(["", "", "I"]) for _ in range(n)]
+        found = [list(tape) for tape in marked(roles, insults)]
+        assert found == plain_marks(roles, insults), (roles, insults)
+
+
+@pytest.mark.parametrize(
+    "symbols, want",
+    [("NMVY", THREAT_NEGATED), ("MNVY", THREAT_NEGATED), ("RoMVY", THREAT_REPORTED), ('"MVY"', THREAT_REPORTED)]
+    + [("MVY,YR", THREAT_REPORTED), ("MVo,YR", None), ("I,R", REPORTED), ("IR", PLAIN), ("NooooMVY", THREAT)],
+)
+def test_threats_are_negated_and_reported(symbols, want):
+    assert [s for s in cascade(list(symbols)) if s in PRIOR] == ([want] if want else [])
+
+
+@pytest.mark.parametrize("words", [{"fool": 6.0}, {"fool": 6.0, "kill": 5.0, "you": 2.5, "not": 2.5, "said": 2.5}])
+def test_sentences_about_violence_score_apart(words):
+    """Words of the lexicon keep their part in the grammar."""
+    score = Scorer(Model(words, {}, dict(PRIOR), -2.0)).score
+    threat = score("I will kill you")
+    assert threat > 0.7
+    assert threat > score("he will not kill you") and threat > score("she said I will kill you")
+    assert threat > score("you must shoot the film, they say") and threat > score("kill the lights")
+    assert threat > score("I will kill you, he said") < threat
+    assert score('"I will kill you" is a line') < threat
