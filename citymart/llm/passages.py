@@ -66,21 +66,21 @@ def _anchor_rows(docs: DataFrame, least: int) -> DataFrame:
 
 
 def _suffix_rows(docs: DataFrame, least: int, id_kind: str) -> DataFrame:
-    """``id``, ``suffix`` (the ``least`` words from a position), ``left`` (as many before, the last
+    """``id`` and ``key`` of a text, ``suffix`` (the ``least`` words from a position), ``left`` (as many before, the last
     first), how far before the position the runs that it was chosen for begin, ``near`` to ``far``, and
     ``at``, all positions of the document that have these. Words that repeat over and over, which have
     positions chosen at every step, make few rows."""
-    names = ["id", "suffix", "left", "near", "far", "at"]
+    names = ["id", "suffix", "left", "near", "far", "at", "key"]
     kinds = [pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.list_(pa.int32())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, out = batch.column(0), []
+            ids, texts, out = batch.column(0), batch.column(3), []
 
             def table() -> pa.RecordBatch:
                 row, *columns = zip(*out)
-                columns = [pa.array(c, k) for c, k in zip(columns, kinds)]
-                return pa.RecordBatch.from_arrays([ids.take(pa.array(row)), *columns], names=names)
+                columns, row = [pa.array(c, k) for c, k in zip(columns, kinds)], pa.array(row)
+                return pa.RecordBatch.from_arrays([ids.take(row), *columns, texts.take(row)], names=names)
 
             for row, (text, chosen) in enumerate(zip(batch.column(1), batch.column(2))):
                 words, wanted = split_words(text.as_py()), set(chosen.as_py())
@@ -98,7 +98,7 @@ def _suffix_rows(docs: DataFrame, least: int, id_kind: str) -> DataFrame:
             if out:
                 yield table()
 
-    return docs.mapInArrow(run, f"id {id_kind}, suffix binary, left binary, near int, far int, at array<int>")
+    return docs.mapInArrow(run, f"id {id_kind}, suffix binary, left binary, near int, far int, at array<int>, key bigint")
 
 
 def common_words(a: bytes, b: bytes) -> int:
@@ -116,7 +116,7 @@ def common_words(a: bytes, b: bytes) -> int:
 #: Keys that a task remembers to have told.
 RECENT_KEYS = 100_000
 
-Row = tuple  # id, suffix, left, near, far, at
+Row = tuple  # id, suffix, left, near, far, at, key
 
 
 def run_keys(row: Row, first: int, last: int, least: int) -> Iterator[tuple[int, bytes]]:
@@ -186,12 +186,12 @@ def shared_spans(rows: Iterable[Row], least: int) -> Iterator[tuple]:
 
 def _compare(rows: DataFrame, least: int, id_kind: str) -> DataFrame:
     """``shared_spans`` over each partition, with the keys of the runs asked and told."""
-    kinds = [to_arrow_type(rows.schema["id"].dataType), pa.string(), pa.int32(), pa.int32(), pa.binary()]
-    names = ["id", "what", "start", "end", "run_key"]
+    kinds = [to_arrow_type(rows.schema["id"].dataType), pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.binary()]
+    names = ["id", "key", "what", "start", "end", "run_key"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def read() -> Iterator[Row]:
-            wanted = ("id", "suffix", "left", "near", "far", "at")
+            wanted = ("id", "suffix", "left", "near", "far", "at", "key")
             for batch in batches:
                 yield from zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in wanted))
 
@@ -201,28 +201,29 @@ def _compare(rows: DataFrame, least: int, id_kind: str) -> DataFrame:
         out = []
         for what, row, *more in shared_spans(read(), least):
             if what == "span":
-                out += [(row[0], what, p - more[0], p + more[1], None) for p in row[5]]
+                out += [(row[0], row[6], what, p - more[0], p + more[1], None) for p in row[5]]
             elif what == "ask":
-                out += [(row[0], what, p - more[0], p - more[0] + least, more[1]) for p in row[5]]
+                out += [(row[0], row[6], what, p - more[0], p - more[0] + least, more[1]) for p in row[5]]
             else:
-                out.append((None, what, None, None, more[1]))
+                out.append((None, None, what, None, None, more[1]))
             if len(out) >= 10_000:
                 yield table(out)
                 out = []
         if out:
             yield table(out)
 
-    return rows.mapInArrow(run, f"id {id_kind}, what string, start int, end int, run_key binary")
+    return rows.mapInArrow(run, f"id {id_kind}, key bigint, what string, start int, end int, run_key binary")
 
 
 def shared_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = 50) -> DataFrame:
     """One row per passage of at least ``least`` words that a document shares with another.
 
     ``id_col``, ``start`` and ``end`` (word numbers, end exclusive), ``words``. Words are split at ASCII
-    white space, A-Z count as a-z. Overlapping and touching passages of a document are one. Documents
+    white space, A-Z count as a-z. Overlapping and touching passages of a text are one. Documents
     that share nothing have no rows. NULL, empty and shorter texts share nothing; rows without an id
-    are left out; rows that repeat an id are one document, which does not share with itself. Other
-    columns are ignored. An empty table gives no rows.
+    are left out; rows that repeat an id are one document, which does not share with itself; its
+    different texts have rows of their own, with word numbers of each. Other columns are ignored. An empty
+    table gives no rows.
 
     Positions with the smallest hash of their window are kept; those whose words begin a position in
     another document too (counted with a combined aggregate, joined as a skewed join) become suffixes.
@@ -244,24 +245,25 @@ def shared_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     chosen = found.join(several, F.col("gram") == F.col("__gram"), "left_semi")
     chosen = chosen.groupBy(F.col("key").alias("__key")).agg(F.collect_set("pos").alias("at"))
     chosen = stage(chosen, "chosen")
-    texts = docs.join(chosen, F.col("key") == F.col("__key")).select("id", "text", "at")
+    texts = docs.join(chosen, F.col("key") == F.col("__key")).select("id", "text", "at", "key")
     suffixes = stage(_suffix_rows(texts, least, id_kind), "suffixes")
-    order = ["suffix", "left", "id", "at"]
+    order = ["suffix", "left", "id", "key", "at"]
     suffixes = suffixes.repartitionByRange(*order).sortWithinPartitions(*order)
     compared = stage(_compare(suffixes, least, id_kind), "compared")
-    spans = compared.filter("what = 'span'").select("id", "start", "end")
+    place = ["id", "key", "start", "end"]
+    spans = compared.filter("what = 'span'").select(*place)
     # a run asked for is shared if it was told, or asked for by another document; only asks have an id
     runs = compared.filter("run_key is not null")
     known = runs.groupBy("run_key").agg(
         F.min("id").alias("low"), F.max("id").alias("high"), F.bool_or(F.col("id").isNull()).alias("told")
     )
     known = stage(known.filter("told and low is not null or low <> high").select("run_key"), "runs")
-    asked = runs.filter("id is not null").select("id", "run_key", "start", "end")
-    spans = spans.unionAll(asked.join(known, "run_key", "left_semi").select("id", "start", "end")).distinct()
-    # overlapping spans of a document become one
-    before = Window.partitionBy("id").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    asked = runs.filter("id is not null").select(*place, "run_key")
+    spans = spans.unionAll(asked.join(known, "run_key", "left_semi").select(*place)).distinct()
+    # overlapping spans of a text become one
+    before = Window.partitionBy("id", "key").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
     spans = spans.withColumn("fresh", (F.col("start") > F.coalesce(F.max("end").over(before), F.lit(-1))).cast("int"))
-    so_far = Window.partitionBy("id").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, 0)
+    so_far = Window.partitionBy("id", "key").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, 0)
     spans = spans.withColumn("passage", F.sum("fresh").over(so_far))
-    spans = spans.groupBy("id", "passage").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    spans = spans.groupBy("id", "key", "passage").agg(F.min("start").alias("start"), F.max("end").alias("end"))
     return spans.select(F.col("id").alias(id_col), "start", "end", (F.col("end") - F.col("start")).alias("words"))

@@ -91,3 +91,12 @@ def test_odd_rows(spark):
     rows += [(5, "\t" + text.upper().replace(" ", "\n"))]
     assert {tuple(r) for r in shared_passages(frame(spark, rows)).collect()} == {(1, 0, 60, 60), (5, 0, 60, 60)}
     assert shared_passages(frame(spark, [])).collect() == []
+
+
+def test_texts_of_one_id_keep_their_own_word_numbers(spark):
+    shared = [f"s{i}" for i in range(120)]
+    first = " ".join(shared[:60] + [f"a{i}" for i in range(10)])
+    second = " ".join([f"b{i}" for i in range(55)] + shared[60:])
+    rows = [(1, first), (1, second), (1, second), (2, " ".join(shared[:60])), (3, " ".join(shared[60:]))]
+    found = sorted(tuple(r) for r in shared_passages(frame(spark, rows)).collect())
+    assert found == [(1, 0, 60, 60), (1, 55, 115, 60), (2, 0, 60, 60), (3, 0, 60, 60)]
