@@ -8,7 +8,9 @@ import bz2
 import lzma
 import re
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,9 +33,9 @@ _PERCENT = re.compile("(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\U[0-9A-Fa-f]{8}|\\u\{[0-9A-Fa-f]{1,6}\})+")
 _ONE_ESCAPE = re.compile(r"\\[uUx]\{?([0-9A-Fa-f]+)\}?")
 #: Bytes of which some are percent codes, or escapes as in a literal of bytes; other characters stand for themselves.
-_PERCENT_BYTES = re.compile(r"[!#$&-;=?-~]{0,24}+(?:%[0-9A-Fa-f]{2}[!#$&-;=?-~]*)+")
-_PERCENT_BYTE = re.compile(r"(%[0-9A-Fa-f]{2})|.", re.S)
-_ESCAPED_BYTES = re.compile(r"[\x20-\x5b\x5d-\x7e]{0,24}+(?:\\(?:x[0-9A-Fa-f]{2}|u00[0-9A-Fa-f]{2}|[abfnrtv0\\'\"])[\x20-\x5b\x5d-\x7e]*)+")
+_PERCENT_BYTES = re.compile(r"(?:%[0-9A-Fa-f]{2}|[!#$&-;=?-~]+)+")
+_PERCENT_BYTE = re.compile(r"%([0-9A-Fa-f]{2})()|.", re.S)
+_ESCAPED_BYTES = re.compile(r"(?:\\(?:x[0-9A-Fa-f]{2}|u00[0-9A-Fa-f]{2}|[abfnrtv0\\'\"])|[\x20-\x5b\x5d-\x7e]+)+")
 _ESCAPED_BYTE = re.compile(r"\\x(..)|\\u00(..)|\\.|.", re.S)
 #: What compressed data begins with, of which some is encoded.
 _ENCODED_MAGIC = re.compile(r"(?i:(?:%|\\x|\\u00)(?:8b|01|5e|9c|da|fd|b5|42))|x\^|BZh[1-9]1AY")
@@ -49,7 +51,25 @@ _ROOM = re.compile(rb"[\x20-\x7e]{16,}")
 _BAD_BYTE = re.compile("[\udc80-\udcff]")
 _CONTROL = re.compile("[\x00-\x08\x0e-\x1f\x7f\x80-\x9f]")
 
-Layer = tuple[str, "np.ndarray | None", "np.ndarray | None"]
+#: Input is unpacked so many bytes at a time, at first few: most of what looks like a beginning is none.
+FIRST_CHUNK, CHUNK, ZSTD_CHUNK = 1 << 12, 1 << 16, 1 << 10
+#: A decoder's own memory, which the data asks for.
+LZMA_BYTES = 1 << 28
+_PADDING, _ZSTD = re.compile(rb"\0*"), b"\x28\xb5\x2f\xfd"
+
+#: A text with the beginning and the end, in the whole text, of what each character was decoded from. Both are
+#: arrays, two numbers where all characters stand for one token, or None in the whole text itself.
+Layer = tuple[str, "np.ndarray | int | None", "np.ndarray | int | None"]
+
+
+def _place(layer: Layer, start: int, end: int) -> tuple[int, int]:
+    """Where a part of a layer stands in the whole text."""
+    _, starts, ends = layer
+    if starts is None:
+        return start, end
+    if isinstance(starts, int):
+        return starts, ends
+    return int(starts[start]), int(ends[end - 1])
 
 
 def scan(text: str) -> list[tuple[str, int, int]]:
@@ -65,6 +85,12 @@ def scan(text: str) -> list[tuple[str, int, int]]:
 def _replaced(layer: Layer, pieces: list[tuple[int, int, str, list[tuple[int, int]]]]) -> Layer:
     """The layer with parts replaced; a piece is start, end, new text and each new character's source."""
     text, starts, ends = layer
+    if isinstance(starts, int):
+        texts, at = [], 0
+        for start, end, new, _ in pieces:
+            texts += [text[at:start], new]
+            at = end
+        return "".join([*texts, text[at:]]), starts, ends
     if starts is None:
         starts = np.arange(len(text))
         ends = starts + 1
@@ -94,10 +120,8 @@ def _percent(layer: Layer, too_large: list[tuple[int, int]]) -> list[Layer]:
             at = sources[-1][1]
         pieces.append((m.start(), m.end(), _text(bytes.fromhex(m[0].replace("%", ""))), sources))
     for m in _PERCENT_BYTES.finditer(layer[0]) if _ENCODED_MAGIC.search(layer[0]) else ():
-        if not _ENCODED_MAGIC.search(m[0]):
-            continue
-        parts = [(int(p[0][1:], 16) if p[1] else ord(p[0]), p.span()) for p in _PERCENT_BYTE.finditer(m[0])]
-        out += _packed_parts(layer, m.start(), parts, too_large)
+        if "%" in m[0] and _ENCODED_MAGIC.search(m[0]):
+            out += _packed_parts(layer, m.start(), _PERCENT_BYTE.finditer(m[0]), too_large)
     return ([_replaced(layer, pieces)] if pieces else []) + out
 
 
@@ -119,95 +143,111 @@ def _escapes(layer: Layer, too_large: list[tuple[int, int]]) -> list[Layer]:
             sources.append(span)
         pieces.append((m.start(), m.end(), "".join(chars), sources))
     for m in _ESCAPED_BYTES.finditer(layer[0]) if _ENCODED_MAGIC.search(layer[0]) else ():
-        if not _ENCODED_MAGIC.search(m[0]):
-            continue
-        parts = [
-            (int(p[1] or p[2], 16) if p[1] or p[2] else ord(_SHORT_ESCAPES.get(p[0][1:], p[0][-1])), p.span())
-            for p in _ESCAPED_BYTE.finditer(m[0])
-        ]
-        out += _packed_parts(layer, m.start(), parts, too_large)
+        if "\\" in m[0] and _ENCODED_MAGIC.search(m[0]):
+            out += _packed_parts(layer, m.start(), _ESCAPED_BYTE.finditer(m[0]), too_large)
     return ([_replaced(layer, pieces)] if pieces else []) + out
 
 
-def _unpacker(data: bytes):
-    if data[:2] == b"\x1f\x8b":
-        return zlib.decompressobj(31)
-    if data[:1] == b"\x78" and len(data) > 1 and int.from_bytes(data[:2], "big") % 31 == 0:
-        return zlib.decompressobj()
-    if data[:3] == b"BZh":
+def _unpacker(data: memoryview):
+    """What unpacks data that begins like this; None if nothing does. Looks at the first bytes only."""
+    head = bytes(data[:8])
+    if head[:2] == b"\x1f\x8b":
+        return zlib.decompressobj(31) if head[2:3] in (b"", b"\x08") and not (head[3:4] or b"\0")[0] & 0xE0 else None
+    if head[:1] == b"\x78" and len(head) > 2 and int.from_bytes(head[:2], "big") % 31 == 0:
+        return zlib.decompressobj() if _is_deflate(head[2:]) else None
+    if head[:3] == b"BZh":
         return bz2.BZ2Decompressor()
-    if data[:6] == b"\xfd7zXZ\x00":
-        return lzma.LZMADecompressor()
+    if head[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor(memlimit=LZMA_BYTES)
+    if head[:4] == _ZSTD:
+        return zstandard.ZstdDecompressor().decompressobj()
     return None
 
 
-def _unpack(data: bytes) -> tuple[bytes, int] | None:
+def _is_deflate(head: bytes) -> bool:
+    """Whether a first block can begin with these bytes: a stored one repeats its length, negated; one with codes of
+    its own has at most 286 symbols and 30 distances."""
+    kind = head[0] >> 1 & 3
+    if kind == 0 and len(head) >= 5:
+        return int.from_bytes(head[1:3], "little") ^ int.from_bytes(head[3:5], "little") == 0xFFFF
+    if kind == 2 and len(head) >= 2:
+        return head[0] >> 3 <= 29 and head[1] & 31 <= 29
+    return kind != 3
+
+
+def _member(unpacker, data: memoryview, most: int) -> tuple[bytes, int]:
+    """One member unpacked, and how many bytes it takes. Stops beyond ``most`` bytes of output."""
+    out, size, at = [], 0, 0
+    zstd = data[:4] == _ZSTD
+    while at < len(data) and not unpacker.eof and size <= most:
+        chunk = data[at : at + (ZSTD_CHUNK if zstd else CHUNK if at else FIRST_CHUNK)]
+        # a block of zstd is 128 KB at most
+        out.append(unpacker.decompress(chunk) if zstd else unpacker.decompress(chunk, most + 1 - size))
+        size, at = size + len(out[-1]), at + len(chunk)
+    return b"".join(out), at - (len(unpacker.unused_data) if unpacker.eof else 0)
+
+
+def _unpack(data: memoryview) -> tuple[bytes, int] | None:
     """``data`` unpacked once, all its members and frames, and how many bytes they take; None if it is
     not compressed. What follows the last whole member is left. Raises ValueError if too large."""
-    out, size, rest = [], 0, data
-    while True:
-        rest = rest.lstrip(b"\0") if out else rest  # padding between members
+    out, size, at = [], 0, 0
+    while at < len(data):
+        at = _PADDING.match(data, at).end() if out else at
+        if (unpacker := _unpacker(data[at:])) is None:
+            break
         try:
-            if rest[:4] == b"\x28\xb5\x2f\xfd":
-                unpacker = zstandard.ZstdDecompressor().decompressobj()
-                part, at = [], 0
-                while at < len(rest) and not unpacker.eof and size <= MAX_LAYER_BYTES:
-                    part.append(unpacker.decompress(rest[at : at + 1024]))  # a block is 128 KB at most
-                    size, at = size + len(part[-1]), at + 1024
-                left = unpacker.unused_data + rest[at:] if unpacker.eof else b""
-                part = b"".join(part)
-            elif unpacker := _unpacker(rest):
-                part = unpacker.decompress(rest, MAX_LAYER_BYTES + 1 - size)
-                size += len(part)
-                left = unpacker.unused_data if unpacker.eof else b""
-            else:
-                break
-        except (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError):
+            part, taken = _member(unpacker, data[at:], MAX_LAYER_BYTES - size)
+        except (zlib.error, OSError, EOFError, MemoryError, lzma.LZMAError, zstandard.ZstdError):
             break
+        size += len(part)
         if size > MAX_LAYER_BYTES:
             raise ValueError("layer too large")
         out.append(part)
-        rest = left
-        if not rest:
-            break
-    return (b"".join(out), len(data) - len(rest)) if out else None
+        at += taken
+    return (out[0] if len(out) == 1 else b"".join(out), at) if out else None
 
 
 def _packed(data: bytes, too_large: list[tuple[int, int]], place) -> list[tuple[str, int, int]]:
     """The texts of compressed data in ``data`` and where it stands there.
 
     Compressed layers inside each other are unwrapped until nothing is compressed or the same bytes
-    come again. ``place`` gives the span in the text of those that are too large."""
-    out, at = [], 0
+    come again. ``place`` gives the span in the text of those that are too large. What only looks like a beginning is
+    told by its first bytes, without a copy of what follows."""
+    out, at, whole = [], 0, memoryview(data)
     while m := (_MAGIC.match(data, at) if at == 0 else None) or _INNER_MAGIC.search(data, at):
-        start, at, seen, inner = m.start(), m.start() + 1, set(), data[m.start() :]
-        used = None
+        start, at, seen = m.start(), m.start() + 1, set()
+        inner, used = whole[start:], None
         try:
-            while inner not in seen and (found := _unpack(inner)) is not None:
-                seen.add(inner)
+            while (found := _unpack(inner)) is not None:
                 used = used or found[1]
-                inner = found[0]
+                if found[0] in seen:
+                    break
+                seen.add(found[0])
+                inner = memoryview(found[0])
         except ValueError:
             too_large.append(place(start, start + used if used else len(data)))
             at = start + used if used else len(data)
             continue
         if used:
             at = start + used
-            if inner and inner not in seen:
-                out.append((_text(inner), start, at))
+            if found is None and len(inner):
+                out.append((_text(bytes(inner)), start, at))
     return out
 
 
-def _packed_parts(layer: Layer, base: int, parts: list[tuple[int, tuple[int, int]]], too_large: list[tuple[int, int]]) -> list[Layer]:
-    """Compressed data among bytes that stand one by one in the text, from ``base`` on."""
-    _, starts, ends = layer
+def _packed_parts(layer: Layer, base: int, parts: Iterable[re.Match], too_large: list[tuple[int, int]]) -> list[Layer]:
+    """Compressed data among bytes that stand one by one in the text, from ``base`` on: codes in the matches' groups,
+    short escapes and characters that stand for themselves."""
+    data, ends = bytearray(), array("q", [base])
+    for p in parts:
+        code = p[1] or p[2]
+        data.append(int(code, 16) if code else ord(_SHORT_ESCAPES.get(p[0][1:], p[0][-1])))
+        ends.append(base + p.end())
 
     def place(a: int, b: int) -> tuple[int, int]:
-        a, b = base + parts[a][1][0], base + parts[b - 1][1][1]
-        return (a, b) if starts is None else (int(starts[a]), int(ends[b - 1]))
+        return _place(layer, ends[a], ends[b])
 
-    found = _packed(bytes(code for code, _ in parts), too_large, place)
-    return [(new, *(np.full(len(new), x) for x in place(a, b))) for new, a, b in found]
+    return [(new, *place(a, b)) for new, a, b in _packed(bytes(data), too_large, place)]
 
 
 def _base64(layer: Layer, too_large: list[tuple[int, int]]) -> list[Layer]:
@@ -216,11 +256,9 @@ def _base64(layer: Layer, too_large: list[tuple[int, int]]) -> list[Layer]:
     All characters of a layer stand for the whole token. A token may begin with something else, such as
     a path, so it is decoded from each of its first four characters on; lines of one value are joined.
     Text in which bytes are not text is kept if it has room for a secret or another layer."""
-    text, starts, ends = layer
-    out = []
-    for m in [*_BASE64.finditer(text), *_WRAPPED.finditer(text)]:
-        a, b = m.span()
-        a, b = (a, b) if starts is None else (int(starts[a]), int(ends[b - 1]))
+    text, out = layer[0], []
+    for m in chain(_BASE64.finditer(text), _WRAPPED.finditer(text)):
+        a, b = _place(layer, *m.span())
         whole = m[0].replace("\r", "").replace("\n", "").rstrip("=").replace("-", "+").replace("_", "/")
         closed: list[tuple[int, int]] = []
         for skip in range(4):
@@ -230,7 +268,7 @@ def _base64(layer: Layer, too_large: list[tuple[int, int]]) -> list[Layer]:
             news = [new for new, _, _ in _packed(data, closed, lambda *_: (a, b))]
             if _ROOM.search(data) or skip == 0 and _plain(data):
                 news.append(_text(data))
-            out += [(new, np.full(len(new), a), np.full(len(new), b)) for new in news]
+            out += [(new, a, b) for new in news]
         too_large += closed[:1]
     return out
 
@@ -250,13 +288,13 @@ def _search(text: str) -> tuple[list[tuple[str, int, int, bool]], list[tuple[int
     while todo:
         layer = todo.pop()
         for new in _percent(layer, too_large) + _escapes(layer, too_large) + _base64(layer, too_large):
-            mark = (hash(new[0]), len(new[0]), int(new[1][0]), int(new[2][-1])) if new[0] else None
+            mark = (hash(new[0]), len(new[0]), *_place(new, 0, len(new[0]))) if new[0] else None
             if mark is None or mark in seen:
                 continue
             seen.add(mark)
             todo.append(new)
             for kind, start, end in scan(new[0]):
-                spans.setdefault((kind, int(new[1][start]), int(new[2][end - 1])), False)
+                spans.setdefault((kind, *_place(new, start, end)), False)
     return sorted(
         ((kind, start, end, of_base) for (kind, start, end), of_base in spans.items()),
         key=lambda s: (s[1], KINDS.index(s[0]), s[2]),
