@@ -96,7 +96,8 @@ def _price_stats(
     return join_on(stats, reduce(DataFrame.unionByName, found), [*keys, "analysis_level"], "left")
 
 
-def _property_columns(stats: DataFrame) -> DataFrame:
+def property_columns(stats: DataFrame) -> DataFrame:
+    """Price statistics as the property mart holds them."""
     if "neighborhood" not in stats.columns:
         stats = stats.withColumn("neighborhood", F.lit(None).cast("string"))
     return stats.select(
@@ -115,7 +116,8 @@ def _property_columns(stats: DataFrame) -> DataFrame:
     )
 
 
-def _type_columns(stats: DataFrame) -> DataFrame:
+def type_columns(stats: DataFrame) -> DataFrame:
+    """Price statistics as the mart by type holds them."""
     return stats.select(
         "district",
         "property_type",
@@ -136,12 +138,12 @@ def property_analytics(
 
     Without ``medians`` their columns are NULL.
     """
-    return _property_columns(_price_stats(listings, levels, exact, medians, accuracy))
+    return property_columns(_price_stats(listings, levels, exact, medians, accuracy))
 
 
 def property_type_analytics(listings: DataFrame, exact: bool = False, accuracy: int = ACCURACY) -> DataFrame:
     """Listings, mean and median price per m² per district and property type."""
-    return _type_columns(_price_stats(listings, ["property_type"], exact, accuracy=accuracy))
+    return type_columns(_price_stats(listings, ["property_type"], exact, accuracy=accuracy))
 
 
 def property_marts(
@@ -150,7 +152,7 @@ def property_marts(
     """Both property marts out of one staged result, so that they share every scan."""
     stats = stage(_price_stats(listings, list(_LEVELS), exact, accuracy=accuracy), "prices")
     by_type = F.col("analysis_level") == "property_type"
-    return _property_columns(stats.filter(~by_type)), _type_columns(stats.filter(by_type))
+    return property_columns(stats.filter(~by_type)), type_columns(stats.filter(by_type))
 
 
 # ------------------------------------------------------------ socio-economic
@@ -255,10 +257,14 @@ def _site_measures() -> list[Column]:
 
 def cultural_district(sites: DataFrame, income: DataFrame) -> DataFrame:
     """Sites, their variety and their density per district."""
+    return district_density(valid_sites(sites).groupBy("district").agg(*_site_measures()), income)
+
+
+def district_density(counted: DataFrame, income: DataFrame) -> DataFrame:
+    """Counted sites of each district beside its residents."""
     population = latest_population(income).groupBy("district").agg(
         F.sum("population").alias("total_population")
     )
-    counted = valid_sites(sites).groupBy("district").agg(*_site_measures())
     return counted.join(population, "district", "left").select(
         "district",
         F.lit("district").alias("analysis_level"),
@@ -274,7 +280,11 @@ def cultural_district(sites: DataFrame, income: DataFrame) -> DataFrame:
 
 def cultural_neighborhood(sites: DataFrame, income: DataFrame) -> DataFrame:
     """Sites, their variety and their density per neighbourhood; 0.0 without residents."""
-    counted = valid_sites(sites).groupBy(*PLACE).agg(*_site_measures())
+    return neighborhood_density(valid_sites(sites).groupBy(*PLACE).agg(*_site_measures()), income)
+
+
+def neighborhood_density(counted: DataFrame, income: DataFrame) -> DataFrame:
+    """Counted sites of each neighbourhood beside its residents."""
     return counted.join(latest_population(income), PLACE, "left").select(
         *PLACE,
         F.lit("neighborhood").alias("analysis_level"),

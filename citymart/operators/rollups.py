@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from citymart.operators import marts
 from citymart.operators.marts import PLACE, valid_prices, valid_sites
 
 # Size of the sketches: values a KLL sketch holds at full weight, binary logarithm of the hashes a theta sketch holds.
@@ -23,6 +24,7 @@ DISTINCT_LG = 14
 # Columns of the sketch tables: what is sketched, and the counts and sums kept beside the sketches.
 PRICE_SKETCHES = ["price_eur", "price_per_m2"]
 SITE_SKETCHES = ["category", "facility_type"]
+SUMMED = [*PRICE_SKETCHES, "size_m2", "rooms"]
 
 
 def _number(value: Column) -> Column:
@@ -37,7 +39,10 @@ def price_sketches(listings: DataFrame, k: int = QUANTILE_K) -> DataFrame:
     The finest grain that any mart needs; coarser ones follow by :func:`merge_prices`.
     """
     kept = valid_prices(listings)
-    sums = [F.sum(F.col(m).cast("decimal(24,6)")).alias(f"{m}_sum") for m in (*PRICE_SKETCHES, "size_m2")]
+    if "rooms" not in kept.columns:
+        kept = kept.withColumn("rooms", F.lit(None).cast("int"))
+    sums = [F.sum(F.col(m).cast("decimal(30,10)")).alias(f"{m}_sum") for m in SUMMED]
+    sums += [F.count("rooms").alias("rooms_known"), F.sum(F.col("price_per_m2") ** 2).alias("price_per_m2_squares")]
     sketches = [F.kll_sketch_agg_double(_number(F.col(m)), F.lit(k)).alias(f"{m}_sketch") for m in PRICE_SKETCHES]
     limits = [F.min("price_per_m2").alias("price_per_m2_min"), F.max("price_per_m2").alias("price_per_m2_max")]
     return kept.groupBy(*PLACE, "property_type").agg(F.count(F.lit(1)).alias("listings"), *sums, *limits, *sketches)
@@ -45,17 +50,23 @@ def price_sketches(listings: DataFrame, k: int = QUANTILE_K) -> DataFrame:
 
 def merge_prices(sketches: DataFrame, keys: Sequence[str], k: int = QUANTILE_K) -> DataFrame:
     """The same figures at a coarser grain, from the sketches alone. No keys: the whole city in one row."""
-    sums = [F.sum(f"{m}_sum").cast("decimal(38,6)").alias(f"{m}_sum") for m in (*PRICE_SKETCHES, "size_m2")]
+    sums = [F.sum(f"{m}_sum").cast("decimal(38,10)").alias(f"{m}_sum") for m in SUMMED]
+    sums += [F.sum(c).alias(c) for c in ("rooms_known", "price_per_m2_squares")]
     merged = [F.kll_merge_agg_double(f"{m}_sketch", F.lit(k)).alias(f"{m}_sketch") for m in PRICE_SKETCHES]
     limits = [F.min("price_per_m2_min").alias("price_per_m2_min"), F.max("price_per_m2_max").alias("price_per_m2_max")]
     return sketches.groupBy(*keys).agg(F.sum("listings").alias("listings"), *sums, *limits, *merged)
 
 
-def price_figures(sketches: DataFrame, keys: Sequence[str], quantiles: Mapping[str, tuple[str, float]]) -> DataFrame:
+def price_figures(
+    sketches: DataFrame,
+    keys: Sequence[str],
+    quantiles: Mapping[str, tuple[str, float]],
+    more: Sequence[Column] = (),
+) -> DataFrame:
     """Listings, mean prices and sizes, and the wanted quantiles, read out of a sketch table.
 
     ``quantiles`` maps a result column to ``(measure, probability)``; the value of rank ceil(p * n) is taken. A group
-    without values has NULLs.
+    without values has NULLs. ``more`` are further columns of the sketch table.
     """
     known = {m: F.kll_sketch_get_n_double(f"{m}_sketch") > 0 for m in PRICE_SKETCHES}
     found = [
@@ -66,7 +77,33 @@ def price_figures(sketches: DataFrame, keys: Sequence[str], quantiles: Mapping[s
         F.try_divide(F.col(f"{m}_sum").cast("double"), F.col("listings")).alias(f"avg_{m}")
         for m in (*PRICE_SKETCHES, "size_m2")
     ]
-    return sketches.select(*keys, "listings", *means, "price_per_m2_min", "price_per_m2_max", *found)
+    return sketches.select(*keys, "listings", *means, "price_per_m2_min", "price_per_m2_max", *found, *more)
+
+
+def property_marts(sketches: DataFrame, k: int = QUANTILE_K) -> tuple[DataFrame, DataFrame]:
+    """Both property marts out of a sketch table: what ``marts.property_marts`` gives, without the listings.
+
+    The means come from exact sums, the deviation from the sum of squares; medians are as good as the sketches.
+    """
+    medians = {"median_price_eur": ("price_eur", 0.5), "median_price_per_m2": ("price_per_m2", 0.5)}
+    levels = {"district": ["district"], "neighborhood": PLACE, "property_type": ["district", "property_type"]}
+    found = {}
+    for level, keys in levels.items():
+        merged = merge_prices(sketches, keys, k)
+        n, mean = F.col("listings"), F.col("price_per_m2_sum").cast("double") / F.col("listings")
+        spread = F.greatest(F.col("price_per_m2_squares") - n * mean * mean, F.lit(0.0))
+        rooms = F.try_divide(F.col("rooms_sum").cast("double"), F.col("rooms_known")).alias("avg_rooms")
+        deviation = F.sqrt(F.try_divide(spread, n - 1)).alias("price_per_m2_stddev")
+        stats = price_figures(merged, keys, medians, [rooms, deviation])
+        found[level] = stats.withColumn("analysis_level", F.lit(level)).withColumnsRenamed(
+            {
+                "listings": "total_properties",
+                "price_per_m2_min": "min_price_per_m2",
+                "price_per_m2_max": "max_price_per_m2",
+            }
+        )
+    places = [marts.property_columns(found[level]) for level in ("district", "neighborhood")]
+    return places[0].unionByName(places[1]), marts.type_columns(found["property_type"])
 
 
 def site_sketches(sites: DataFrame, lg: int = DISTINCT_LG) -> DataFrame:
@@ -88,6 +125,15 @@ def site_figures(sketches: DataFrame, keys: Sequence[str]) -> DataFrame:
     return sketches.select(*keys, "sites", *counts)
 
 
+def cultural_marts(sketches: DataFrame, income: DataFrame, lg: int = DISTINCT_LG) -> tuple[DataFrame, DataFrame]:
+    """The cultural marts by district and by neighbourhood out of a sketch table, without the sites."""
+    names = {"sites": "total_cultural_sites", "unique_category": "unique_categories", "unique_facility_type": "unique_facility_types"}
+    district, place = (
+        site_figures(merge_sites(sketches, keys, lg), keys).withColumnsRenamed(names) for keys in (["district"], PLACE)
+    )
+    return marts.district_density(district, income), marts.neighborhood_density(place, income)
+
+
 def refreshed(
     sketches: DataFrame,
     source: DataFrame,

@@ -996,3 +996,5 @@ ORACLES: dict[str, str] = {
 }
 
 ORACLES["gram_correlations"] = ORACLES["correlation_all"]
+ORACLES["rollup_property"] = ORACLES["property_analytics"]
+ORACLES["rollup_culture"] = ORACLES["cultural_district"]

@@ -1179,6 +1179,20 @@ def price_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded_prices(tables.read_table(spark, path), list(_GRAINS))
 
 
+@register
+def rollup_property(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The property mart by district and neighbourhood out of sketches; no group is aggregated from its rows."""
+    sketches = stage(rollups.price_sketches(B.listings(spark, sf_dir, parts=True), SKETCH_K), "sketches")
+    return rollups.property_marts(sketches, SKETCH_K)[0]
+
+
+@register
+def rollup_culture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cultural mart by district out of sketches."""
+    sketches = stage(rollups.site_sketches(B.sites(spark, sf_dir)), "sketches")
+    return rollups.cultural_marts(sketches, _income(spark, sf_dir))[0]
+
+
 @register
 def price_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sketches of which one neighbourhood was built anew after its prices doubled and its cheap listings went."""

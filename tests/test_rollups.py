@@ -1,14 +1,18 @@
 """Sketches: exact in small groups, bounded errors in large ones, refreshed without reading the rest."""
 
+import json
 import math
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from citymart.operators import rollups
+from citymart.operators import rollups, standardize
+from citymart.plans.exploitation import run_exploitation
 from citymart.plans.rollups import build_rollups, refresh_rollups
-from citymart.sources import tables
+from citymart.sources import schemas, tables
+from citymart.sources.schemas import EXPLOITATION
+from tests.test_pipelines import formatted, listing, zones  # noqa: F401  (fixtures and a landing record)
 
 SCHEMA = "district string, neighborhood string, property_type string, price_eur double, size_m2 int, price_per_m2 double"
 MEDIAN = {"median": ("price_eur", 0.5), "p90": ("price_per_m2", 0.9)}
@@ -116,24 +120,40 @@ def test_refresh_reads_only_what_changed(spark, tmp_path):
 
 
 def test_rollups_of_the_zones(spark, tmp_path):
-    from tests.test_pipelines import listing  # a landing record, formatted below as the run does
-
-    from citymart.operators import standardize
-    from citymart.sources import schemas
+    zone, out = str(tmp_path / "f"), str(tmp_path / "e")
 
-    def raw(rows):
-        return spark.createDataFrame(spark.sparkContext.parallelize([__import__("json").dumps(r) for r in rows]).map(lambda t: (t,)), "v string").select(
-            F.from_json("v", schemas.LISTINGS_LANDING).alias("r")
-        ).select("r.*")
+    def store(*prices):
+        raw = [(json.dumps(listing(str(i), *"AaBb"[2 * i : 2 * i + 2], price, 10.0)),) for i, price in enumerate(prices)]
+        landed = spark.createDataFrame(raw, "v string").select(F.from_json("v", schemas.LISTINGS_LANDING).alias("r"))
+        tables.write_mart(standardize.format_listings(landed.select("r.*")), zone, "idealista")
 
-    zone, out = str(tmp_path / "f"), str(tmp_path / "e")
-    site_schema = schemas.FORMATTED["cultural_sites"]
-    tables.write_mart(standardize.format_listings(raw([listing("1", "A", "a", 100.0, 10.0), listing("2", "B", "b", 50.0, 10.0)])), zone, "idealista")
-    tables.write_mart(spark.createDataFrame([], site_schema), zone, "cultural_sites")
+    tables.write_mart(spark.createDataFrame([], schemas.FORMATTED["cultural_sites"]), zone, "cultural_sites")
+    store(100.0, 50.0)
     build_rollups(spark, zone, out)
-    tables.write_mart(standardize.format_listings(raw([listing("1", "A", "a", 300.0, 10.0), listing("2", "B", "b", 999.0, 10.0)])), zone, "idealista")
+    store(300.0, 999.0)
     refresh_rollups(spark, zone, out, [("A", "a")])
     stored = tables.read_table(spark, f"{out}/price_sketches")
     got = {r["district"]: r["median"] for r in rollups.price_figures(stored, ["district"], MEDIAN).collect()}
     assert got == {"A": 300.0, "B": 50.0}  # only the neighbourhood named was read again
     assert tables.read_table(spark, f"{out}/site_sketches").count() == 0
+
+
+def test_marts_from_sketches_equal_those_from_rows(spark, zones, formatted, tmp_path):  # noqa: F811
+    """A whole run either way; the tables differ in nothing but the time of the run."""
+    found = []
+    for name, from_sketches in (("rows", False), ("sketches", True)):
+        zone = str(tmp_path / name)
+        status = run_exploitation(spark, zones["formatted"], zone, from_sketches=from_sketches)
+        assert {r["status"] for r in status.collect()} == {"success"}
+        marts = {n: tables.read_mart(spark, zone, n).drop("created_at") for n in EXPLOITATION}
+        by_type = marts["property_type_analytics"]  # its means are not rounded in the mart
+        marts["property_type_analytics"] = by_type.withColumn("avg_price_per_m2_by_type", F.round("avg_price_per_m2_by_type", 6))
+        found.append({n: (df.dtypes, sorted(map(str, df.collect()))) for n, df in marts.items()})
+    assert found[0] == found[1]
+    assert tables.read_table(spark, f"{tmp_path}/sketches/price_sketches").count() > 0
+
+
+def test_one_listing_has_no_deviation(spark):
+    places, kinds = rollups.property_marts(rollups.price_sketches(listings(spark, 1)))
+    assert [(r["total_properties"], r["price_per_m2_stddev"], r["avg_rooms"]) for r in places.collect()] == [(1, None, None)] * 2
+    assert kinds.count() == 1
