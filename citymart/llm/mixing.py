@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from citymart.llm.names import unused
 from citymart.session import stage
 
 #: Characters of a block, most sources, units ranked by one task, planned blocks handed on at once.
@@ -179,11 +180,12 @@ def mix_documents(df: DataFrame, id_col: str = "doc_id", source_col: str = "sour
     reads in mixed order, file by file. Equal rows stay side by side.
     """
     places = mixing_positions(df, id_col=id_col, source_col=source_col, text_col=text_col, **options)
-    places = stage(places.select(*[F.col(c).alias(f"__{c}") for c in ("source", "id", "text_hash", "at", "slot")]), "places")
-
-    def same(a: str, b: Column) -> Column:
-        return F.col(a).eqNullSafe(b)
-
-    keys = same("__id", F.col(id_col)) & same("__source", F.col(source_col)) & (F.col("__text_hash") == F.xxhash64(text_col))
-    mixed = df.join(places, keys).repartitionByRange("__slot", "__at").sortWithinPartitions("__slot", "__at")
-    return mixed.select(*df.columns)
+    own = {c: unused(df, c) for c in ("source", "id", "text_hash", "at", "slot")}
+    places = stage(places.select(*[F.col(c).alias(name) for c, name in own.items()]), "places")
+    keys = (
+        F.col(own["id"]).eqNullSafe(F.col(id_col))
+        & F.col(own["source"]).eqNullSafe(F.col(source_col))
+        & (F.col(own["text_hash"]) == F.xxhash64(text_col))
+    )
+    order = own["slot"], own["at"]
+    return df.join(places, keys).repartitionByRange(*order).sortWithinPartitions(*order).select(*df.columns)

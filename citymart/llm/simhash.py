@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citymart.llm.components import connected_components
+from citymart.llm.names import unused
 from citymart.session import stage
 
 SEGMENTS = 16
@@ -139,12 +140,14 @@ def drop_duplicates(
     rows = _classes(df, id_col, text_col, words, bits).groupBy(id_col, "text_hash", "group").count()
     rows = stage(rows, "texts")
     first = rows.groupBy("group").agg(F.min(F.struct(id_col, "text_hash")).alias("first"))
-    first = first.select(F.col(f"first.{id_col}").alias("__id"), F.col("first.text_hash").alias("__hash"))
-    same = (F.col(id_col) == F.col("__id")) & (F.col("text_hash") == F.col("__hash"))
-    gone = rows.join(first, same, "left_anti").select(F.col(id_col).alias("__id"), F.col("text_hash").alias("__hash"))
-    here = (F.col(id_col) == F.col("__id")) & (F.xxhash64(text_col) == F.col("__hash"))
+    own_id, own_hash = unused(df, "id"), unused(df, "hash")
+    first = first.select(F.col(f"first.{id_col}").alias(own_id), F.col("first.text_hash").alias(own_hash))
+    same = (F.col(id_col) == F.col(own_id)) & (F.col("text_hash") == F.col(own_hash))
+    known = F.col(id_col).alias(own_id), F.col("text_hash").alias(own_hash)
+    gone = rows.join(first, same, "left_anti").select(*known)
+    here = (F.col(id_col) == F.col(own_id)) & (F.xxhash64(text_col) == F.col(own_hash))
     kept = df.join(gone, here, "left_anti")
-    twice = rows.filter("count > 1").select(F.col(id_col).alias("__id"), F.col("text_hash").alias("__hash"))
+    twice = rows.filter("count > 1").select(*known)
     if twice.isEmpty():
         return kept
     several = kept.join(twice, here, "left_semi").dropDuplicates([id_col, text_col])

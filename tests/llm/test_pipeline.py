@@ -4,6 +4,7 @@ from collections import Counter
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 import corpus_pipeline
@@ -24,7 +25,7 @@ pytestmark = pytest.mark.skipif(not SF_DIR.exists(), reason="driver tables are n
 
 def test_every_operator_is_registered_once():
     numbers = [int(name[2:].split("_")[0]) for name in queries.QUERIES]
-    assert sorted(numbers) == list(range(1, 11)) and "pipeline" in E.queries()
+    assert sorted(numbers) == list(range(1, 14)) and "pipeline" in E.queries()
     assert set(queries.ORACLES) <= set(queries.QUERIES) <= set(E.queries())
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "toxicity", "simhash near-dedup", "secret scans", "mixing sources", "packing"
@@ -108,7 +109,8 @@ def test_stages_take_odd_and_empty_tables(spark, tmp_path, some):
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     found = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r.doc_id for r in found} == ({None, 1, 2, 3} if some else set())
-    for name in ("op2_secrets", "op3_mixing", "op4_toxicity", "op5_resampling", "op6_simhash", "op9_passages"):
+    names = ("op2_secrets", "op3_mixing", "op4_toxicity", "op5_resampling", "op6_simhash", "op9_passages")
+    for name in (*names, "op11_periodic_runs", "op12_token_files", "op13_alignment"):
         assert queries.QUERIES[name](spark, str(tmp_path)).collect() is not None
 
 
@@ -125,3 +127,30 @@ def test_sequences_keep_the_order_of_the_mix(spark):
         for r in found:
             shares[sources[r.doc_id]] += r.length * (r.sequence_id < n)
         assert all(abs(shares[s] / sum(shares.values()) - 1 / 3) < 0.12 for s in set(sources)), (n, shares)
+
+
+CLASHING = """__id __hash __slot __source __text_hash __at __score __file __row ___id __key __fp __block _metadata __metadata hash at
+    slot score key fp group label low high task start length release deadline block count file row id text_hash first size
+    n chunk rank masked layers too_large sequence_id offset ids component_id""".split()
+
+
+def test_columns_named_as_our_own_change_nothing(spark, tmp_path):
+    labels = [(i, i % 2, int(i % 5 == 0)) for i in range(40)]
+    texts = [(i, f"some text number {i} " * (i % 7 + 1) + ("you numbskull" if i % 5 == 0 else ""), "en", "ab"[i % 2]) for i in range(60)]
+    texts += [(70, texts[3][1], "en", "a"), (3, texts[3][1], "en", "b"), (3, texts[3][1], "en", "b")]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    plain = spark.createDataFrame([(*t, len(t[1])) for t in texts], schema)
+    found = []
+    for name, docs in (("plain", plain), ("more", plain.select("*", *[F.lit(k).alias(c) for k, c in enumerate(CLASHING)]))):
+        folder = f"{tmp_path}/{name}"
+        spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+        docs.write.parquet(f"{folder}/documents.parquet")
+        kept = spark.read.parquet(f"{folder}/documents.parquet")
+        for stage_name, function in corpus_pipeline.STAGES[:-1]:
+            before, kept = kept, stage(function(spark, kept, folder), stage_name.replace(" ", "-"))
+            assert kept.columns == before.columns, stage_name
+        packed = corpus_pipeline.STAGES[-1][1](spark, kept, folder).collect()
+        found.append((rows(kept.select(*plain.columns)), Counter((r.doc_id, r.length, r.ids_crc32) for r in packed)))
+        if name == "more":
+            assert kept.select(*CLASHING).distinct().collect() == [tuple(range(len(CLASHING)))]
+    assert found[0] == found[1]
