@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citymart.llm.mixing import mix_documents
+from citymart.llm.names import unused
 from citymart.llm.packing import pack_documents
 from citymart.llm.queries import TOKENIZER
 from citymart.llm.secrets import mask_secrets
@@ -44,8 +45,9 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents, placed in sequences of 2048 tokens that are numbered in the stored order."""
-    docs = docs.select("*", F.col("_metadata.file_name").alias("__file"), F.col("_metadata.row_index").alias("__row"))
-    return pack_documents(docs, TOKENIZER, size=2048, end_id=1, order=("__file", "__row"))
+    file, row, place = unused(docs, "file"), unused(docs, "row"), docs.metadataColumn("_metadata")
+    docs = docs.select("*", place["file_name"].alias(file), place["row_index"].alias(row))
+    return pack_documents(docs, TOKENIZER, size=2048, end_id=1, order=(file, row))
 
 
 STAGES = [
