@@ -34,7 +34,8 @@ def exact_kinds(df: DataFrame, figures: Mapping[str, Column], keys: Sequence[str
         F.count(F.lit(1)).alias("copies"), *[F.first(f).alias(n) for n, f in figures.items()]
     )
     first = stage(first, "fingerprints")
-    compared = repeating_rows(df, marks, first).select(*identity(df, keys, exact=True), *[f.alias(n) for n, f in figures.items()])
+    taken = [f.alias(n) for n, f in figures.items()]
+    compared = repeating_rows(df, marks, first).select(*identity(df, keys, exact=True), *taken)
     compared = compared.groupBy(*compared.columns).agg(F.count(F.lit(1)).alias("copies"))
     wanted = ["copies", *figures]
     return first.filter(F.col("copies") == 1).select(*wanted).unionByName(compared.select(*wanted))

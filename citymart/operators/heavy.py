@@ -22,11 +22,10 @@ def heavy_values(df: DataFrame, column: str, n: int = 15, tracked: int = TRACKED
 
     NULL is a value; an empty table gives no rows. ``df`` is read two or three times.
     """
-    # an alias of the column's own, as the name may clash with those used here
     values = df.select(F.col("`" + column.replace("`", "``") + "`").alias("value"))
     found = F.expr(f"approx_top_k(value, {tracked}, {tracked})")
-    candidates = values.filter(F.col("value").isNotNull()).agg(found.alias("found")).select(F.explode("found.item").alias("known"))
-    candidates = stage(candidates.distinct(), "candidates")
+    candidates = values.filter(F.col("value").isNotNull()).agg(found.alias("found"))
+    candidates = stage(candidates.select(F.explode("found.item").alias("known")).distinct(), "candidates")
     marked = values.join(candidates, F.col("value") == F.col("known"), "left")
     single = F.col("known").isNotNull() | F.col("value").isNull()
     bucket = F.when(~single, F.pmod(F.xxhash64("value"), F.lit(buckets)))
@@ -34,7 +33,8 @@ def heavy_values(df: DataFrame, column: str, n: int = 15, tracked: int = TRACKED
     counted = stage(counted.agg(F.count(F.lit(1)).alias("count")), "value-counts")
     best = counted.filter("bucket is null").select("value", "count").orderBy(F.desc("count"), "value").limit(n)
     least = best.agg(F.when(F.count(F.lit(1)) == n, F.min("count")).otherwise(0)).first()[0]
-    open_buckets = counted.filter(F.col("bucket").isNotNull() & (F.col("count") >= least)).select(F.col("bucket").alias("__bucket"))
+    open_buckets = counted.filter(F.col("bucket").isNotNull() & (F.col("count") >= least))
+    open_buckets = open_buckets.select(F.col("bucket").alias("__bucket"))
     if not open_buckets.limit(1).count():
         return best
     open_buckets = stage(open_buckets, "open-buckets")

@@ -5,9 +5,7 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
@@ -16,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citymart.operators.standardize import fill_missing, numeric_text
+from citymart.session import side_by_side
 
 # The listing columns a model sees, and what replaces their NULLs.
 MODEL_COLUMNS = [
@@ -122,8 +121,7 @@ def train(
             regression = _with_bins(candidates[name], prepared).fit(train_set)
             return regression, evaluator.evaluate(regression.transform(validation_set))
 
-        with ThreadPoolExecutor(len(candidates)) as pool:
-            found = dict(zip(candidates, pool.map(inheritable_thread_target(spark)(fit), candidates)))
+        found = dict(zip(candidates, side_by_side(spark, fit, list(candidates), len(candidates))))
         fitted = {name: PipelineModel(stages=[*prepared.stages, model]) for name, (model, _) in found.items()}
         scores = [(name, score) for name, (_, score) in found.items()]
     finally:

@@ -127,7 +127,8 @@ def site_figures(sketches: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def cultural_marts(sketches: DataFrame, income: DataFrame, lg: int = DISTINCT_LG) -> tuple[DataFrame, DataFrame]:
     """The cultural marts by district and by neighbourhood out of a sketch table, without the sites."""
-    names = {"sites": "total_cultural_sites", "unique_category": "unique_categories", "unique_facility_type": "unique_facility_types"}
+    names = {"sites": "total_cultural_sites", "unique_category": "unique_categories"}
+    names |= {"unique_facility_type": "unique_facility_types"}
     district, place = (
         site_figures(merge_sites(sketches, keys, lg), keys).withColumnsRenamed(names) for keys in (["district"], PLACE)
     )

@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import PySparkException
 from py4j.protocol import Py4JJavaError
-from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from citymart.functions.columns import percent_of
 from citymart.operators.duplicates import exact_kinds
 from citymart.operators.profile import distinct_kinds, null_totals, row_nulls
+from citymart.session import side_by_side
 from citymart.sources.tables import DEFAULT_FORMAT, read_table
 
 STATUS_SCHEMA = """
@@ -98,14 +97,6 @@ def _failure(error: Exception) -> str:
     return str(error).strip() or type(error).__name__
 
 
-def _each(spark: SparkSession, work: Callable, items: Sequence) -> list:
-    """``work`` on every item, a few side by side: small tables share the cluster instead of queueing for it."""
-    if not items:
-        return []
-    with ThreadPoolExecutor(min(SIDE_BY_SIDE, len(items))) as pool:
-        return list(pool.map(inheritable_thread_target(spark)(work), items))
-
-
 def status_figures(df: DataFrame, nulls: bool = True) -> dict[str, Column]:
     """What a status row needs to know of a table, as aggregates that a write can take along."""
     figures = {"record_count": F.count(F.lit(1))}
@@ -146,7 +137,7 @@ def validate_zone(
         except (PySparkException, Py4JJavaError) as error:
             return zone, dataset, "error", None, None, None, None, where, _failure(error)
 
-    return spark.createDataFrame(_each(spark, status, datasets), STATUS_SCHEMA)
+    return spark.createDataFrame(side_by_side(spark, status, datasets, SIDE_BY_SIDE), STATUS_SCHEMA)
 
 
 def failed_status(spark: SparkSession, zone: str, path: str, failed: Mapping[str, Exception]) -> DataFrame:
@@ -242,7 +233,8 @@ def check_zone(
             return [(table["zone"], table["dataset"], "error", None, _failure(error))]
 
     loaded = status.filter(F.col("status") == "success").orderBy("zone", "dataset").collect()
-    return spark.createDataFrame([r for found in _each(spark, check, loaded) for r in found], CHECK_SCHEMA)
+    checked = side_by_side(spark, check, loaded, SIDE_BY_SIDE)
+    return spark.createDataFrame([r for found in checked for r in found], CHECK_SCHEMA)
 
 
 # ------------------------------------------------------------------ gates

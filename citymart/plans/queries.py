@@ -1285,7 +1285,8 @@ def mixed_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = F.concat(F.lit("[\n"), "all", F.lit("\n]")).alias("value")
     documents.select("part", value).write.partitionBy("part").text(f"{path}/3")
     files = [e.path for kind in range(3) for e in entries(spark, f"{path}/{kind}") if e.name.endswith(".txt")]
-    files += [f.path for d in entries(spark, f"{path}/3") if d.is_dir for f in entries(spark, d.path) if f.name.endswith(".txt")]
+    parts = [e.path for e in entries(spark, f"{path}/3") if e.is_dir]
+    files += [e.path for part in parts for e in entries(spark, part) if e.name.endswith(".txt")]
     found = landing.read_files(spark, json=files)
     return found.select("k", "v", "big", F.col("n.c").alias("c"), F.col("`it's`").alias("its"))
 

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 from functools import cache
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
@@ -48,25 +51,38 @@ def _temporary_dir(application_id: str) -> str:
     return tempfile.mkdtemp(prefix=f"citymart-{application_id}-")
 
 
-_SCOPES: list[str] = []
+# Open scopes, outermost first; every thread has its own.
+_SCOPES: ContextVar[tuple[str, ...]] = ContextVar("scopes", default=())
 
 
 def staging_dir(spark: SparkSession) -> str:
     """One folder per application, so that all of its staged tables can be dropped together; inside
     ``scratch``, one per scope in it."""
     folder = f"{shared_dir(spark)}/citymart-{spark.sparkContext.applicationId}"
-    return "/".join([folder, *_SCOPES])
+    return "/".join([folder, *_SCOPES.get()])
 
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
-    """A scope whose staged tables are dropped at its end; nothing built on them may leave it."""
-    _SCOPES.append(f"run-{uuid.uuid4().hex}")
+    """A scope whose staged tables are dropped at its end; nothing built on them may leave it. Runs in other threads
+    have scopes of their own."""
+    opened = _SCOPES.set((*_SCOPES.get(), f"run-{uuid.uuid4().hex}"))
     try:
         yield
     finally:
         clear_staged(spark)
-        _SCOPES.pop()
+        _SCOPES.reset(opened)
+
+
+def side_by_side(spark: SparkSession, work: Callable, items: Sequence, most: int) -> list:
+    """``work`` on every item, up to ``most`` at a time, in the scope and with the local properties of the caller:
+    small jobs share the cluster instead of queueing for it. Results in the order of the items."""
+    if not items:
+        return []
+    contexts = [copy_context() for _ in items]
+    job = inheritable_thread_target(spark)(lambda context, item: context.run(work, item))
+    with ThreadPoolExecutor(min(most, len(items))) as pool:
+        return list(pool.map(job, contexts, items))
 
 
 def staged_path(spark: SparkSession, name: str) -> str:

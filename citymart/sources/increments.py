@@ -54,5 +54,6 @@ def search_ingested(spark: SparkSession, target: str, term: str) -> DataFrame:
 def ingested_reports(spark: SparkSession, target: str, schema: str) -> DataFrame:
     """Reports that came so far as whole files, newest first, with path and time of change."""
     report = F.from_json("value", schema)
-    found = ingested(spark, target).select(report.alias("report"), F.col("path").alias("file_path"), F.col("modified").alias("file_modified"))
+    known = F.col("path").alias("file_path"), F.col("modified").alias("file_modified")
+    found = ingested(spark, target).select(report.alias("report"), *known)
     return found.select("report.*", "file_path", "file_modified").orderBy(F.desc("file_modified"), "file_path")
