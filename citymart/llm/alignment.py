@@ -193,7 +193,8 @@ def _aligned(df: DataFrame, a_file: str, b_file: str, id_col: str, text_col: str
     if with_groups:
         fields["groups"] = "string"
     kept = len(fields)
-    fields |= {"block": "bigint", "at": "array<int>", "times": "array<int>", "pairs": "array<bigint>", "pair_links": "array<bigint>"}
+    fields |= {"block": "bigint", "at": "array<int>", "times": "array<int>"}
+    fields |= {"pairs": "array<bigint>", "pair_links": "array<bigint>"}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, n, block = TaskContext.get().partitionId(), 0, None
@@ -264,7 +265,6 @@ def align_documents(
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema} | {"n_best": "bigint", "count_sum": "bigint"}
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in ["id", *out, "n_best", "count_sum"])
     counted = docs.groupBy("block").cogroup(looked_up.groupBy("of")).applyInArrow(count, schema)
-    table = links.select(
-        F.shiftright("pair", 32).cast("int").alias("a"), F.col("pair").bitwiseAND(0xFFFFFFFF).cast("int").alias("b"), "links", "best"
-    )
+    a, b = F.shiftright("pair", 32), F.col("pair").bitwiseAND(0xFFFFFFFF)
+    table = links.select(a.cast("int").alias("a"), b.cast("int").alias("b"), "links", "best")
     return counted.withColumnRenamed("id", id_col), table

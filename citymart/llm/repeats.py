@@ -84,9 +84,8 @@ def _symbols(words: np.ndarray, kinds: int, block: int) -> np.ndarray:
     limit = int(((PRIME - 1) // block) ** 0.5)
     if kinds <= limit + 1:
         return words
-    return ((words.astype(np.uint64) * np.uint64(2_654_435_761)) % np.uint64(1 << 32) * np.uint64(limit) >> np.uint64(32)).astype(
-        np.int64
-    )
+    mixed = words.astype(np.uint64) * np.uint64(2_654_435_761) % np.uint64(1 << 32)
+    return (mixed * np.uint64(limit) >> np.uint64(32)).astype(np.int64)
 
 
 def _gaps(words: np.ndarray) -> np.ndarray:
@@ -251,5 +250,6 @@ def periodic_runs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         ]
         return pa.RecordBatch.from_arrays(columns, names=[id_col, "n_words", "runs", "collapsed"])
 
-    schema = f"`{id_col}` {kind}, n_words bigint, runs array<struct<start: bigint, length: bigint, period: bigint>>, collapsed string"
+    runs = "array<struct<start: bigint, length: bigint, period: bigint>>"
+    schema = f"`{id_col}` {kind}, n_words bigint, runs {runs}, collapsed string"
     return df.select(id_col, text_col).mapInArrow(run, schema)

@@ -277,7 +277,8 @@ def read_tokens(files: DataFrame, places: DataFrame, place_col: str = "place") -
     place is NULL or beyond the ids. A column ``token`` of ``places`` is replaced. Repeated places are rows of their own."""
     span = lambda c: F.floor(c / SPAN_TOKENS).cast("long")
     last = F.col("base") + F.col("tokens") - 1
-    spans = files.select("path", "base", last.alias("last"), F.explode(F.sequence(span(F.col("base")), span(last))).alias("span"))
+    touched = F.explode(F.sequence(span(F.col("base")), span(last))).alias("span")
+    spans = files.select("path", "base", last.alias("last"), touched)
     kept = [c for c in places.columns if c.lower() != "token"]
     asked = places.select(F.struct(*[places[c] for c in kept]).alias("row"), places[place_col].cast("long").alias("at"))
     inside = (span(asked.at) == spans.span) & asked.at.between(spans.base, spans.last)

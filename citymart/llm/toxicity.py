@@ -69,7 +69,12 @@ class Transducer:
     leaves out goes by ``default``.
     """
 
-    def __init__(self, moves: dict[tuple[int, str], int], writes: dict[tuple[int, str], str], default: dict[int, int] | None = None):
+    def __init__(
+        self,
+        moves: dict[tuple[int, str], int],
+        writes: dict[tuple[int, str], str],
+        default: dict[int, int] | None = None,
+    ):
         self.moves, self.writes, self.default = moves, writes, default or {}
 
     def __call__(self, roles: Sequence[str], marks: Sequence[str]) -> list[str]:
