@@ -40,9 +40,12 @@ ODD = [
 ]
 
 
+WHOLE = Tokenizer.from_file(BYTE_TOKENIZER)
+
+
 @pytest.fixture(scope="module")
 def tokenizer():
-    return Tokenizer.from_file(BYTE_TOKENIZER)
+    return WHOLE
 
 
 def ids_of(tokenizer, text):
@@ -57,9 +60,8 @@ def test_ids_of_odd_texts_equal_the_tokenizers(tokenizer):
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(st.sampled_from(" \n\t 　\x1c\x85​᠎'ab1.é字") | st.characters(codec="utf-8"), max_size=30)))
 def test_ids_of_any_text_equal_the_tokenizers(texts):
-    whole = Tokenizer.from_file(BYTE_TOKENIZER)
-    found = [f.tolist() for f in ByteLevel(BYTE_TOKENIZER).ids(pa.array(texts, pa.string()))]
-    assert found == [ids_of(whole, t) for t in texts]
+    found = [f.tolist() for f in byte_level.byte_level(BYTE_TOKENIZER).ids(pa.array(texts, pa.string()))]
+    assert found == [ids_of(WHOLE, t) for t in texts]
 
 
 def test_every_character_beside_a_cut(tokenizer):
