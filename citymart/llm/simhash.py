@@ -83,20 +83,29 @@ def _with_neighbours(key: Column) -> Column:
     return F.filter(F.array(*steps), lambda k: k.isNotNull())
 
 
-def _classes(df: DataFrame, id_col: str, text_col: str, words: int, bits: int) -> DataFrame:
-    """``id_col``, ``text_hash``, ``fp``, ``group`` and ``component_id`` of every row with an id.
+def _links(distinct: DataFrame, bits: int) -> DataFrame:
+    """``a``, ``b``: fingerprints ``fp`` that differ in at most ``bits`` bits, the smaller one first.
 
-    A group is known by its smallest fingerprint, as one id may stand for unrelated texts."""
-    rows = stage(fingerprints(df.filter(F.col(id_col).isNotNull()), id_col, text_col, words), "fingerprints")
-    distinct = stage(rows.groupBy("fp").agg(F.min(id_col).alias("rep")), "distinct")
-    cells = distinct.select("fp", "rep", F.explode(_cells(bits)).alias("cell"))
-    left, right = cells.alias("l"), cells.alias("r")
-    links = left.join(
+    The optimizer's size of exploded rows leaves out that each becomes many, so without the hint it would broadcast
+    far more cells than its threshold allows.
+    """
+    cells = distinct.select("fp", F.explode(_cells(bits)).alias("cell"))
+    left, right = cells.alias("l"), cells.hint("merge").alias("r")
+    return left.join(
         right,
         (F.col("l.cell") == F.col("r.cell"))
         & (F.col("l.fp") < F.col("r.fp"))
         & (F.bit_count(F.col("l.fp").bitwiseXOR(F.col("r.fp"))) <= bits),
     ).select(F.col("l.fp").alias("a"), F.col("r.fp").alias("b"))
+
+
+def _classes(df: DataFrame, id_col: str, text_col: str, words: int, bits: int) -> DataFrame:
+    """``id_col``, ``text_hash``, ``fp``, ``group`` and ``component_id`` of every row with an id.
+
+    A group is known by its smallest fingerprint, as one id may stand for unrelated texts."""
+    rows = stage(fingerprints(df.filter(F.col(id_col).isNotNull()), id_col, text_col, words), "fingerprints")
+    distinct = stage(rows.groupBy("fp").agg(F.min(id_col).alias("rep")), "distinct")
+    links = _links(distinct, bits)
     groups = connected_components(links)
     classes = distinct.join(groups, F.col("fp") == F.col("node"), "left")
     classes = classes.select(F.col("fp").alias("__fp"), "rep", F.coalesce("component", "fp").alias("group"))

@@ -4,9 +4,10 @@ import random
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from citymart.llm.components import connected_components
-from citymart.llm.simhash import drop_duplicates, fingerprint, simhash_duplicates
+from citymart.llm.simhash import _links, drop_duplicates, fingerprint, simhash_duplicates
 
 SCHEMA = "doc_id long, text string, fp long, cell string"
 
@@ -105,3 +106,13 @@ def test_components(spark):
     want = {3: 3, 4: 3, 5: 3, 8: 8, 9: 8, 20: 20, 21: 20} | {i: 30 for i in range(30, 71)} | {i: 100 for i in range(100, 300)}
     assert {r.node: r.component for r in found} == want and len(found) == len(want)
     assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_cells_are_not_broadcast(spark, tmp_path):
+    """Each fingerprint goes to many cells: a stored table below the threshold is far above it once exploded."""
+    spark.range(2000).select(F.xxhash64("id").alias("fp"), F.col("id").alias("rep")).write.parquet(str(tmp_path / "fps"))
+    links = _links(spark.read.parquet(str(tmp_path / "fps")), 2)
+    links.collect()
+    plan = links._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan
+    assert "Broadcast" not in plan
