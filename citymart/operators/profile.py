@@ -171,7 +171,8 @@ def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 5
 
     All numeric columns by default. The limits are those of the finite values; infinities and NaN
     are counted in a row without bin and limits. The limits come from a scalar subquery, so counting
-    needs no join and combines map-side.
+    needs no join and combines map-side, by one number for column and bin; names and limits follow for
+    the few counted rows.
     """
     columns = list(columns or numeric_columns(df))
     limits = df.agg(
@@ -188,25 +189,24 @@ def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 5
         value, low, high = _ref(name).cast("double"), limits[f"lo_{i}"], limits[f"hi_{i}"]
         place = F.try_divide(value - low, high - low) * bins
         inside = F.least(F.lit(bins - 1), F.coalesce(F.floor(place), F.lit(0))).cast("int")
-        number = F.when(_finite(value).isNotNull(), inside)
-        width = (high - low) / bins
-        cells.append(
-            F.when(
-                value.isNotNull(),
-                F.struct(
-                    F.lit(name).alias("column_name"),
-                    number.alias("bin"),
-                    (low + number * width).alias("lower"),
-                    (low + (number + 1) * width).alias("upper"),
-                ),
-            )
-        )
-    return (
+        number = F.when(_finite(value).isNotNull(), inside).otherwise(bins)
+        cells.append(F.when(value.isNotNull(), number + i * (bins + 1)))
+    counts = (
         df.select(F.explode(F.array(*cells)).alias("cell"))
         .filter(F.col("cell").isNotNull())
-        .groupBy("cell.column_name", "cell.bin", "cell.lower", "cell.upper")
+        .groupBy("cell")
         .agg(F.count(F.lit(1)).alias("count"))
     )
+    place, bin_ = F.expr(f"cell div {bins + 1}").cast("int"), F.col("cell") % (bins + 1)
+    known = counts.select(
+        F.get(F.array(*[F.lit(c) for c in columns]), place).alias("column_name"),
+        F.when(bin_ < bins, bin_).alias("bin"),
+        *[F.get(F.array(*[limits[f"{n}_{i}"] for i in range(len(columns))]), place).alias(n) for n in ("lo", "hi")],
+        "count",
+    )
+    low, width = F.col("lo"), (F.col("hi") - F.col("lo")) / bins
+    lower, upper = low + F.col("bin") * width, low + (F.col("bin") + 1) * width
+    return known.select("column_name", "bin", lower.alias("lower"), upper.alias("upper"), "count")
 
 
 def top_values(df: DataFrame, column: str, n: int = 15) -> DataFrame:

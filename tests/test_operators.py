@@ -1,6 +1,7 @@
 """Operators on small literal tables: NULLs, empty input, ties, single rows."""
 
 import math
+import re
 import statistics
 
 import pytest
@@ -332,6 +333,21 @@ def test_histogram(spark):
     assert by_column["c"] == [(0, 5.0, 5.0, 101)]
 
 
+def test_histogram_counts_by_one_number(spark):
+    """Names and limits are put to the counted rows, not to every value."""
+    inf, nan = float("inf"), float("nan")
+    df = spark.createDataFrame([(0.0, 1), (10.0, 1), (inf, 1), (nan, None), (None, 1)], "`a.b` double, n int")
+    got = profile.histogram(df, bins=2)
+    assert sorted(map(tuple, got.collect()), key=str) == [
+        ("a.b", 0, 0.0, 5.0, 1),
+        ("a.b", 1, 5.0, 10.0, 1),
+        ("a.b", None, None, None, 2),
+        ("n", 0, 1.0, 1.0, 4),
+    ]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"HashAggregate\(keys=\[cell#\d+\]", plan)
+
+
 def test_correlation(spark):
     df = spark.createDataFrame([(1, 2.0, 5, None), (2, 1.0, 5, 3), (3, None, 5, 9), (4, 3.0, 5, 1)], "a int, b double, c int, d int")
     got = {(r["col_a"], r["col_b"]): r["r"] for r in profile.correlation_matrix(df).collect()}
