@@ -38,3 +38,11 @@ def test_listing_files_are_compressed_and_bounded(spark, tables, staged, monkeyp
     files = list((staged / "staged-landing-listings").glob("part-*"))
     assert len(files) == LINES / 10 and all(f.name.endswith(".json.gz") for f in files)
     assert found.count() == found.select("property_code").distinct().count() == LINES
+
+
+def test_csv_files_are_bounded(spark, tables, staged, monkeypatch):
+    monkeypatch.setattr(Q, "LANDING_BYTES", 1_000)
+    found = Q.folder_csv(spark, str(tables)).collect()
+    files = list((staged / "staged-folder").glob("*.csv"))
+    assert len(files) >= DOCS / 5 and max(f.stat().st_size for f in files) < 2_000
+    assert sorted((r["doc_id"], r["text"]) for r in found) == [(i, f'a "b",\n{i} ' * 20) for i in range(DOCS)]
