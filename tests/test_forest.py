@@ -97,6 +97,20 @@ def test_partitions_follow_the_rows(spark, monkeypatch, per_partition, want):
     assert seen == [want] and ranking.count() == 1 and isinstance(fitted["one"], PipelineModel)
 
 
+@pytest.mark.parametrize("per_partition, want", [(1_000_000, 8), (10, 40)])
+def test_given_partitions_are_the_least(spark, monkeypatch, per_partition, want):
+    monkeypatch.setattr(regress, "ROWS_PER_PARTITION", per_partition)
+    seen = []
+
+    class Spy(RandomForestRegressor):
+        def _fit(self, dataset):
+            seen.append(dataset.rdd.getNumPartitions())
+            return super()._fit(dataset)
+
+    regress.train(listings(spark), ["property_code"], {"one": Spy(labelCol="price", numTrees=1, maxDepth=1)}, partitions=8)
+    assert seen == [want]
+
+
 def test_models_are_ranked_as_if_fitted_in_turn(spark):
     rows = listings(spark)
     models = {"deep": RandomForestRegressor(labelCol="price", numTrees=3, maxDepth=5, seed=1), **regress.regressors(trees=3)}
