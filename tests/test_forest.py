@@ -111,6 +111,21 @@ def test_given_partitions_are_the_least(spark, monkeypatch, per_partition, want)
     assert seen == [want]
 
 
+def test_rows_are_kept_on_disk_and_dropped_after_the_fits(spark):
+    seen = []
+
+    class Spy(RandomForestRegressor):
+        def _fit(self, dataset):
+            seen.append(dataset)
+            level = dataset.storageLevel
+            assert level.useDisk and not level.useMemory
+            return super()._fit(dataset)
+
+    ranking, _ = regress.train(listings(spark), ["property_code"], {"one": Spy(labelCol="price", numTrees=1, maxDepth=1)})
+    assert ranking.count() == 1 and len(seen) == 1
+    assert not seen[0].storageLevel.useDisk and not seen[0].storageLevel.useMemory
+
+
 def test_models_are_ranked_as_if_fitted_in_turn(spark):
     rows = listings(spark)
     models = {"deep": RandomForestRegressor(labelCol="price", numTrees=3, maxDepth=5, seed=1), **regress.regressors(trees=3)}
