@@ -27,11 +27,12 @@ STORED_ROWS = 16
 class ForestRegressor(RandomForestRegressor):
     """MLlib's forest of the same parameters, tree for tree, for large tables.
 
-    MLlib itself draws the bins, the samples and the features of each node, chooses each split and builds the model; only
-    the statistics that it chooses by are counted here. MLlib takes a row through all trees before the next one, which
-    reads another part of a few MB for every tree. Here a chunk of rows goes through one tree at a time, in columns.
-    The binned rows and how often each tree draws them are stored once, in a byte each, and not kept in memory.
-    Weighted rows and samples without replacement are left to MLlib.
+    Bins, samples and the model are MLlib's own; the nodes of a pass, their features and splits are chosen here by
+    MLlib's rules and numbers. The passes over the rows are another: MLlib takes a row through all trees before the next
+    one, which reads another part of a few MB for every tree, and keeps an int for every row and tree. Here a chunk of rows
+    goes through one tree at a time, in columns, and the binned rows are stored once, with a byte for every tree.
+    Weighted rows and samples without replacement are left to MLlib. Sums are added in another order than MLlib's, which
+    is not fixed either: of two splits that gain the same but for rounding, the other one may be taken.
     """
 
     def _fit(self, dataset: DataFrame) -> RandomForestRegressionModel:
@@ -100,7 +101,8 @@ class _Training:
         self.bins = list(known.numBins())
         every = range(len(self.bins))
         self.continuous = [known.isContinuous(f) for f in every]
-        self.thresholds = [np.array([s.threshold() for s in self.splits[f]]) if self.continuous[f] else None for f in every]
+        found = [[s.threshold() for s in self.splits[f]] if self.continuous[f] else None for f in every]
+        self.thresholds = [None if values is None else np.array(values) for values in found]
         self.numbers_of_splits = [known.numSplits(f) for f in every]
         self.chosen_features = known.numFeaturesPerNode() if known.subsamplingFeatures() else None
         self.deepest, self.most_bytes = known.maxDepth(), strategy.maxMemoryInMB() * 1024 * 1024
@@ -121,7 +123,8 @@ class _Training:
                 for number, features in pending[tree].items():
                     start, end = cells[tree][number]
                     stack += [(tree, n) for n in self._grow(grown[tree], number, features, counts[tree][:, start:end])]
-        return ForestModel(self._built(grown), self.layout, [_plan(t, grown[t], {}, self.bins) for t in range(self.trees)])
+        walks = [_plan(tree, nodes, {}, self.bins) for tree, nodes in enumerate(grown)]
+        return ForestModel(self._built(grown), self.layout, walks)
 
     # ------------------------------------------------------------ rows
 
@@ -167,7 +170,8 @@ class _Training:
         text, none = named("java.lang.String"), _module(jvm, "scala.None")
         ends = catalyst.Literal(0, integer), catalyst.Literal(self.trees, integer)
         letters = catalyst.objects.NewInstance(text, seq(drawn, *ends), seq(), False, kinds.ObjectType(text), none)
-        kept, kind = named("org.apache.spark.unsafe.types.UTF8String"), _module(jvm, "org.apache.spark.sql.types.StringType")
+        kept = named("org.apache.spark.unsafe.types.UTF8String")
+        kind = _module(jvm, "org.apache.spark.sql.types.StringType")
         found = catalyst.objects.StaticInvoke(
             kept, kind, "fromString", seq(letters), seq(), False, False, False, none
         )
@@ -194,7 +198,7 @@ class _Training:
         return chosen
 
     def _order(self, trees: list[int]) -> list[int]:
-        """The trees in the order that MLlib grows them in: that of its map, which decides what the next nodes draw."""
+        """The trees in the order that MLlib grows them in, that of its map: it decides what the next nodes draw."""
         scala = self.jvm.scala
         stack, pair = scala.collection.mutable.ListBuffer(), scala.Tuple2
         node = self.jvm.org.apache.spark.ml.tree.LearningNode.emptyNode(1)
@@ -266,11 +270,11 @@ class _Training:
         for at, nodes in enumerate(grown):
             # the sums and categories go over at once, each node takes its part
             parts = [n.sums for n in nodes.values()]
-            parts += [np.array(n.split[1], float) for n in nodes.values() if n.split and not self.continuous[n.split[0]]]
+            chosen = [n for n, node in nodes.items() if node.split and not self.continuous[node.split[0]]]
+            parts += [np.array(nodes[n].split[1], float) for n in chosen]
             ends = iter(np.cumsum([len(p) for p in parts]).tolist())
             values = _py2java(context, DenseVector(np.concatenate(parts))).values()
             place = {number: (end - 3, end) for number, end in zip(nodes, ends)}
-            chosen = [n for n, node in nodes.items() if node.split and not self.continuous[node.split[0]]]
             left = {n: (end - len(nodes[n].split[1]), end) for n, end in zip(chosen, ends)}
             made: dict[int, tuple[JavaObject, float | None]] = {}
             for number in sorted(nodes, reverse=True):
@@ -327,7 +331,8 @@ def _plan(tree: int, nodes: dict[int, _Node], pending: dict[int, list[int]], bin
             asked[i, place[number]], base[i, place[number]] = f, done
             done += bins[f]
         cells[number] = start, done
-    values = np.array([node.sums[1] / node.sums[0] if node.sums is not None and node.sums[0] else 0.0 for node in nodes.values()])
+    known = [np.zeros(3) if node.sums is None else node.sums for node in nodes.values()]
+    values = np.array([label / weight if weight else 0.0 for weight, label, _ in known])
     return _Plan(tree, max(nodes).bit_length() - 1, feature, below, values, asked, base, size, cells)
 
 
@@ -386,8 +391,8 @@ def _hashed(seed: int) -> int:
 
 @dataclass
 class _Layout:
-    """How rows are binned and stored: the trees, the thresholds of each feature (None for categories), one more than the
-    most bins. Categories that were not seen share the last one and go right."""
+    """How rows are binned and stored: the trees, the thresholds of each feature (None for categories), one more than
+    the most bins. Categories that were not seen share the last one and go right."""
 
     trees: int
     thresholds: list[np.ndarray | None]
@@ -402,7 +407,7 @@ class _Layout:
         bins = np.empty(features.shape, self.kind)
         for f, found in enumerate(self.thresholds):
             values = features[:, f]
-            bins[:, f] = np.minimum(values, self.most - 1) if found is None else np.searchsorted(found, values, side="left")
+            bins[:, f] = np.minimum(values, self.most - 1) if found is None else np.searchsorted(found, values)
         return bins
 
     def parts(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -417,8 +422,9 @@ class _Layout:
 class _Plan:
     """A tree's nodes for one pass: where a row goes from each, and where a row that ends in it is counted.
 
-    ``below`` holds the next node for each node and bin, the node itself where rows end. ``asked`` and ``base`` hold, for
-    each counted feature of a node, the feature and its first cell, ``cells`` a node's first cell and the one after its last.
+    ``below`` holds the next node for each node and bin, the node itself where rows end. ``asked`` and ``base`` hold,
+    for each counted feature of a node, the feature and its first cell, ``cells`` a node's first cell and the one after
+    its last.
     """
 
     tree: int
